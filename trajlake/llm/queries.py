@@ -73,3 +73,12 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stage(mixing.sized(docs, "doc_id", "text", "source", seed=17).select("doc_id", "mix_size", "mix_source", "mix_deal", "mix_order"), "mix")
     taken = mixing.take(rows, *mixing.quotas(rows))
     return taken.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
+
+
+@query("op4_near_duplicates")
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of two-word shingles are linked at 80 of 100."""
+    from trajlake.llm import neardup
+
+    found = neardup.near_duplicates(_read(spark, sf_dir, "documents"), width=2, percent=80)
+    return found.withColumn("kept", F.coalesce("kept", F.lit(False)))
