@@ -82,3 +82,21 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = neardup.near_duplicates(_read(spark, sf_dir, "documents"), width=2, percent=80)
     return found.withColumn("kept", F.coalesce("kept", F.lit(False)))
+
+
+@query("op2_nearest_vectors")
+def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all vectors for every twentieth vec_id, by inner product."""
+    from trajlake.llm import onebit
+
+    index, mean, turn = onebit.encode(_read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return onebit.search(index, index.where("vec_id % 20 = 0"), mean, turn, k=20)
+
+
+@query("op3_warc_bundles")
+def op3_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record in seekable bundles, read back from them."""
+    from trajlake.llm import warc
+
+    index = warc.write_bundles(warc.mark_revisits(_read(spark, sf_dir, "pages"), "page_id", "url", "html", min_bytes=0))
+    return warc.read_bundles(index)
