@@ -126,3 +126,9 @@ def take(rows: DataFrame, by_source: DataFrame, by_shard: DataFrame) -> DataFram
     begin = F.sum("mix_size").over(w) - F.col("mix_size")
     part = F.greatest(F.lit(0), F.least(F.col("mix_size"), F.col("mix_words") % whole - begin))
     return placed.withColumn("mix_taken", (F.floor(F.col("mix_words") / whole) * F.col("mix_size") + part).cast("long"))
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its n-th word, with the white space before it as it is."""
+    parts = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    return F.array_join(F.slice(parts, F.lit(1), n.cast("int")), "")

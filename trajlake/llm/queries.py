@@ -100,3 +100,27 @@ def op3_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     index = warc.write_bundles(warc.mark_revisits(_read(spark, sf_dir, "pages"), "page_id", "url", "html", min_bytes=0))
     return warc.read_bundles(index)
+
+
+@query("op5_benchmark_leaks")
+def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that a document has within their error budgets."""
+    from trajlake.llm import decontam
+
+    return decontam.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+@query("op7_secrets")
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: base spans, and tokens that one source alone has."""
+    from trajlake.llm import secrets
+
+    return secrets.secrets(_read(spark, sf_dir, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five stages of corpus_pipeline.py over documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
