@@ -124,3 +124,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query("op6_repeated_bytes")
+def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the bytes of strings of 400 that start at more than one place."""
+    from trajlake.llm import suffixdedup
+
+    return suffixdedup.remove_repeats(_read(spark, sf_dir, "documents"))
