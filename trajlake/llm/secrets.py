@@ -68,7 +68,10 @@ def scan(docs: DataFrame, key: str, text: str, repository: str, owner: str) -> D
 
 def candidates(scanned: DataFrame) -> DataFrame:
     """rid, repository, owner, kind (its place in KINDS), begin, end, hash: the candidates that count, with their places."""
-    each = F.explode(F.concat(*(F.transform(F.col(name), lambda x, k=k: F.struct(F.lit(k).alias("kind"), x["i"].alias("i"), x["skipped"].alias("skipped"), x["size"].alias("size"), x["value"].alias("value"))) for k, name in enumerate(KINDS))))
+    def of_kind(name: str, k: int) -> Column:
+        return F.transform(name, lambda x: F.struct(F.lit(k).alias("kind"), x["i"].alias("i"), x["skipped"].alias("skipped"), x["size"].alias("size"), x["value"].alias("value")))
+
+    each = F.explode(F.concat(*(of_kind(name, k) for k, name in enumerate(KINDS))))
     rows = scanned.select("rid", "repository", "owner", each.alias("x")).select("rid", "repository", "owner", "x.*")
     end = F.sum(F.col("skipped") + F.col("size")).over(Window.partitionBy("rid", "kind").orderBy("i"))
     rows = rows.withColumn("end", end).withColumn("begin", F.col("end") - F.col("size"))
