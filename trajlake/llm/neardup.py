@@ -173,6 +173,8 @@ def _block_links(sets: DataFrame, rest: DataFrame, percent: int) -> DataFrame:
         return pd.DataFrame(found, columns=["a", "b"])
 
     keys = ["cluster", "i", "j"]
+    # New names for the same columns: both sides come from one table.
+    left, right = left.toDF(*keys, "cls", "shingles"), right.toDF(*keys, "cls", "shingles")
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(links, "a binary, b binary")
 
 
