@@ -57,7 +57,7 @@ joined AS (
   WHERE f.kind IS NOT NULL AND b.kind IS {0}NULL AND NOT regexp_matches(f.src, '{1}') AND NOT regexp_matches(f.dst, '{1}'))
 SELECT scene, object_1_id, object_1_relation_to_2, object_2_id, object_2_relation_to_1, kind FROM joined"""
 
-DENY = ["snow", "_wall_"]
+DENY = ["anvil", "hot_"]
 
 
 def _edges(spark, sf_dir):
@@ -97,7 +97,7 @@ def unique_goals(spark, sf_dir):
     return U.mutual_goals(_edges(spark, sf_dir))
 
 
-@query("unique_goals_denylist", f"WITH {_MUTUAL.format('NOT ', 'snow|_wall_')} WHERE n = 1")
+@query("unique_goals_denylist", f"WITH {_MUTUAL.format('NOT ', 'anvil|hot_')} WHERE n = 1")
 def unique_goals_denylist(spark, sf_dir):
     return U.mutual_goals(_edges(spark, sf_dir), DENY, DENY)
 
@@ -110,13 +110,13 @@ def one_way_goals(spark, sf_dir):
 
 @query(
     "unique_after_denylist",
-    f"""WITH {PAIRS}, few AS (SELECT * FROM edges WHERE NOT regexp_matches(dst, 'snow')), c AS (
+    f"""WITH {PAIRS}, few AS (SELECT * FROM edges WHERE NOT regexp_matches(dst, 'anvil')), c AS (
   SELECT *, count(*) OVER (PARTITION BY src, rel) AS n_rel, count(*) OVER (PARTITION BY src, rel, dst_category) AS n_cat FROM few)
 SELECT src, dst, rel, CASE WHEN n_rel = 1 THEN 'relational' ELSE 'semantic' END AS kind FROM c WHERE n_rel = 1 OR n_cat = 1""",
 )
 def unique_after_denylist(spark, sf_dir):
     """The form that leaves denied targets out before it counts."""
-    return U.unique_edges(_edges(spark, sf_dir), ~U.denied(F.col("dst"), ["snow"])).where("kind is not null").select("src", "dst", "rel", "kind")
+    return U.unique_edges(_edges(spark, sf_dir), ~U.denied(F.col("dst"), ["anvil"])).where("kind is not null").select("src", "dst", "rel", "kind")
 
 
 @query("unique_goal_types", f"WITH {_MUTUAL.format('NOT ', '~none~')} WHERE n = 1".replace("SELECT scene, object_1_id, object_1_relation_to_2, object_2_id, object_2_relation_to_1, kind FROM joined WHERE n = 1", "SELECT DISTINCT regexp_replace(object_1_id, '_[0-9]+/m$', '') AS target_type, object_1_relation_to_2 AS rel, regexp_replace(object_2_id, '_[0-9]+/m$', '') AS source_type FROM joined WHERE n = 1"))
