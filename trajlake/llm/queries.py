@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trajlake.llm import oracles
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -75,7 +77,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
 
 
-@query("op4_near_duplicates")
+@query("op4_near_duplicates", oracles.NEAR)
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of two-word shingles are linked at 80 of 100."""
     from trajlake.llm import neardup
@@ -93,7 +95,7 @@ def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return onebit.search(index, index.where("vec_id % 20 = 0"), mean, turn, k=20)
 
 
-@query("op3_warc_bundles")
+@query("op3_warc_bundles", oracles.WARC)
 def op3_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a record in seekable bundles, read back from them."""
     from trajlake.llm import warc
@@ -110,7 +112,7 @@ def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
-@query("op7_secrets")
+@query("op7_secrets", oracles.SECRETS)
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: base spans, and tokens that one source alone has."""
     from trajlake.llm import secrets
@@ -126,7 +128,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-@query("op6_repeated_bytes")
+@query("op6_repeated_bytes", oracles.REPEATS)
 def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the bytes of strings of 400 that start at more than one place."""
     from trajlake.llm import suffixdedup
