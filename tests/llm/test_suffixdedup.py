@@ -64,7 +64,7 @@ def test_family_holds_few_levels_and_batches_make_no_difference(monkeypatch):
         family = S.Family(40, 8)
         for at in range(0, len(key), size):
             s = slice(at, at + size)
-            family.add(key[s], segments[s], (place - first)[s], np.arange(len(key))[s])
+            family.add(segments[s], (place - first)[s], np.arange(len(key))[s])
         assert len(family.levels) <= 2 + np.log2(len(key))
         hits.append({row: found.tolist() for row, found in family.result()})
     assert hits[0] == hits[1]
