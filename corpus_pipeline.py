@@ -20,7 +20,8 @@ MIN_SCORE = 0.3
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the labelled languages. Texts that are null or have no letter go, and so do those that no language fits better than the rest."""
     model = langid.fit(docs)
-    return langid.predict(docs, model).where((F.col("lang_pred") != "und") & (F.col("lang_score") >= MIN_SCORE)).select(*docs.columns)
+    found = langid.predict(docs, model, names=("__language", "__score"))
+    return found.where((F.col("__language") != "und") & (F.col("__score") >= MIN_SCORE)).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

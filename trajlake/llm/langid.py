@@ -127,15 +127,15 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
     return Model(labels, (marks.T.astype(np.float64) @ (root @ b)).astype(np.float32))
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The input with lang_pred and lang_score appended, in place of columns of those names.
+def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
+    """The input with the language and its score appended under the two names, in place of columns of those names.
 
     The score is the best class's share of the positive parts of all scores, from 0 to 1. Null texts and texts without a
     letter are ``und`` with score 0; so are all texts under a model without labels. Ties go to the first label. Whole texts
     are read, in pieces of bounded size. The model (at most 32,768 numbers per label) goes to the workers with the function.
     """
     labels, weights = model.labels, model.weights
-    kept = [c for c in docs.columns if c not in ("lang_pred", "lang_score")]
+    kept = [c for c in docs.columns if c not in names]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -144,16 +144,16 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 p = np.zeros((batch.num_rows, BITS), np.uint8)
                 texts = batch.column(batch.num_columns - 1).to_pylist()
                 found = np.array([spectrum(t, row) for t, row in zip(texts, p, strict=True)], bool)
-                names, scores = np.full(len(texts), "und", object), np.zeros(len(texts))
+                found_names, scores = np.full(len(texts), "und", object), np.zeros(len(texts))
                 if labels and found.any():
                     p = p[found].astype(np.float32)
                     f = np.maximum((p @ weights) / np.sqrt(p.sum(1, keepdims=True)), 0).astype(np.float64)
                     total = f.sum(1)
                     best = f.argmax(1)
-                    names[found] = np.array(labels, object)[best]
+                    found_names[found] = np.array(labels, object)[best]
                     scores[found] = np.where(total > 0, f[np.arange(len(f)), best] / np.where(total > 0, total, 1), 0)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores)], names=[*kept, "lang_pred", "lang_score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found_names, pa.string()), pa.array(scores)], names=[*kept, *names])
 
     given = docs.select(*kept)
-    schema = StructType([*given.schema.fields, StructField("lang_pred", StringType()), StructField("lang_score", DoubleType())])
+    schema = StructType([*given.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
     return given.withColumn("__text", F.col(text)).mapInArrow(score, schema)
