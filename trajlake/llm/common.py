@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 U64 = np.uint64
 
@@ -41,6 +42,11 @@ def stage(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded(table: DataFrame, rows: int) -> DataFrame:
+    """A staged table of narrow rows, to be broadcast if it has at most so many; beyond that Spark joins it by a shuffle."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def fan_out(spark: SparkSession) -> int:
     """Partitions for a few large work items that each take a while."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -24,12 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.llm.common import U64, rows_of, stage
+from trajlake.llm.common import U64, bounded, rows_of, stage
 from trajlake.llm.components import components
 from trajlake.llm.shingles import OnePermutation, set_key, shingle_set
 
 BANDS, ROWS = 32, 5
 SMALL, BLOCK, HUBS = 128, 64, 3
+#: Most rows of (class, cluster, key) and of keys that are broadcast so that texts needn't be shuffled, 20 MB or so; more are joined by a shuffle.
+WANTED, GONE = 250_000, 1_000_000
 #: Distinct shingles counted by one matrix product.
 COLUMNS = 1 << 14
 
@@ -113,7 +115,7 @@ def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame, width: int) -
                         column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in out], ["cls", "cluster", "shingles"])
 
-    rows_ = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("t")).join(wanted, "doc_id").select("cls", "cluster", "t")
+    rows_ = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("t")).join(bounded(wanted, WANTED), "doc_id").select("cls", "cluster", "t")
     return stage(rows_.mapInArrow(make, "cls binary, cluster binary, shingles binary"), "sets")
 
 
@@ -230,8 +232,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     Texts without words stay. Rows that repeat a key and its text stay once, where they have words.
     """
     found = stage(near_duplicates(docs, key, text, width, percent), "groups")
-    gone = found.where(~F.coalesce("kept", F.lit(True))).select(F.col("doc_id").alias(key)).distinct()
-    kept = docs.join(gone, key, "left_anti")
+    gone = stage(found.where(~F.coalesce("kept", F.lit(True))).select(F.col("doc_id").alias(key)).distinct(), "gone")
+    kept = docs.join(bounded(gone, GONE), key, "left_anti")
     again = found.where("kept and n_shingles > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias(key))
     if again.limit(1).count():
         again = stage(again, "again")
