@@ -16,7 +16,7 @@ import heapq
 import math
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Documents of a shard, about, and the most shards: what the driver holds and joins by broadcast is bounded by them.
@@ -97,7 +97,7 @@ def quotas(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3,
     block = max(1, min(block_words, math.floor(min((t for t in goal if t > 0), default=Fraction(1)) / LEAST_BLOCKS)))
     seats = sainte_lague(goal, round(sum(goal) / block), [math.ceil(cap * s / block) for s in sizes])
     schema = "mix_key string, mix_source_size long, mix_target double, mix_shards long"
-    by_source = spark.createDataFrame([(r["mix_source"], r["s"], float(t), max(1, min(-(-r["n"] // shard_docs), max_shards * r["n"] // docs))) for r, t in zip(per, goal, strict=True)], schema)
+    by_source = _small(spark, [(r["mix_source"], r["s"], float(t), max(1, min(-(-r["n"] // shard_docs), max_shards * r["n"] // docs))) for r, t in zip(per, goal, strict=True)], schema)
     shards: dict[str | None, list] = {}
     for r in _dealt(rows, by_source).groupBy("mix_source", "mix_shard").agg(F.sum("mix_size").alias("s")).collect():
         shards.setdefault(r["mix_source"], []).append((r["mix_shard"], r["s"]))
@@ -106,7 +106,13 @@ def quotas(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3,
         own = sorted(shards[r["mix_source"]])
         got = sainte_lague([s for _, s in own], q, [math.ceil(cap * s / block) for _, s in own])
         out += [(r["mix_source"], k, s, min(g * block, cap * s)) for (k, s), g in zip(own, got, strict=True)]
-    return by_source, spark.createDataFrame(out, "mix_key string, mix_place long, mix_shard_size long, mix_words long")
+    return by_source, _small(spark, out, "mix_key string, mix_place long, mix_shard_size long, mix_words long")
+
+
+def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table from the driver's own list, to be broadcast if its length allows it; else joined by a shuffle."""
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= 2 * MAX_SHARDS else table
 
 
 def _dealt(rows: DataFrame, by_source: DataFrame) -> DataFrame:
