@@ -84,43 +84,38 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
 
 
 class Level:
-    """Anchors in the order of their suffixes. ``text`` holds their segments; a segment has all windows of its anchor's run."""
-
-    def __init__(self, keys: np.ndarray, segments: list[bytes], shift: np.ndarray, found: list[np.ndarray], row: np.ndarray, gram: int) -> None:
-        suffix = np.array([s[d : d + gram + 32] for s, d in zip(segments, shift.tolist(), strict=True)], object)
-        order = np.array(sorted(range(len(suffix)), key=suffix.__getitem__), np.int64)
-        self.keys, self.shift, self.row = keys[order], shift[order], row[order]
-        self.segments = [segments[i] for i in order]
-        self.found = [found[i] for i in order]
-        self.grams = np.array([suffix[i][:gram] for i in order], object)
-        new = np.concatenate(([True], self.grams[1:] != self.grams[:-1])) if len(order) else np.zeros(0, bool)
-        self.start = np.flatnonzero(new)
-        self.end = np.append(self.start[1:], len(order))[: len(self.start)]
+    """Anchors in the order of their suffixes, with the fingerprints of their windows and what is known to be repeated."""
+
+    def __init__(self, suffix: list[bytes], prints: list[np.ndarray], found: list[np.ndarray], row: list[int], gram: int) -> None:
+        order = sorted(range(len(suffix)), key=suffix.__getitem__)
+        self.suffix, self.prints, self.found, self.row = ([x[i] for i in order] for x in (suffix, prints, found, row))
+        grams = [x[:gram] for x in self.suffix]
+        self.start = [i for i in range(len(grams)) if not i or grams[i] != grams[i - 1]]
+        self.end = [*self.start[1:], len(grams)][: len(self.start)]
+        self.heads = [grams[i] for i in self.start]
 
     def __len__(self) -> int:
-        return len(self.keys)
+        return len(self.row)
 
 
-def merge_scan(a: Level, b: Level, length: int) -> None:
-    """Marks in both levels (which may be the same one) the windows that two different anchors' segments share.
+def merge_scan(a: Level, b: Level) -> None:
+    """Marks in both levels (which may be the same one) the windows that two different anchors share.
 
     Runs of equal grams meet by a merge of the two sorted rows of grams.
     """
-    same = a is b
     pairs: list[tuple[Level, int]] = []
     group: list[int] = []
-    if same:
-        for g, (s, e) in enumerate(zip(a.start.tolist(), a.end.tolist(), strict=True)):
+    if a is b:
+        for g, (s, e) in enumerate(zip(a.start, a.end, strict=True)):
             if e - s > 1:
                 pairs += [(a, i) for i in range(s, e)]
                 group += [g] * (e - s)
     else:
         i = j = 0
-        heads_a, heads_b = a.grams[a.start].tolist(), b.grams[b.start].tolist()
-        while i < len(heads_a) and j < len(heads_b):
-            if heads_a[i] < heads_b[j]:
+        while i < len(a.heads) and j < len(b.heads):
+            if a.heads[i] < b.heads[j]:
                 i += 1
-            elif heads_b[j] < heads_a[i]:
+            elif b.heads[j] < a.heads[i]:
                 j += 1
             else:
                 own = [(a, k) for k in range(a.start[i], a.end[i])] + [(b, k) for k in range(b.start[j], b.end[j])]
@@ -129,20 +124,16 @@ def merge_scan(a: Level, b: Level, length: int) -> None:
                 i, j = i + 1, j + 1
     if not pairs:
         return
-    prints, owner = [], []
+    prints = [level.prints[k] for level, k in pairs]
     with np.errstate(over="ignore"):
-        for n, ((level, k), g) in enumerate(zip(pairs, group, strict=True)):
-            f = fingerprints(np.frombuffer(level.segments[k], np.uint8), length)
-            # Equal windows have their anchor at one offset, so the offset and the run go into the fingerprint.
-            offset = (level.shift[k] - np.arange(len(f))).astype(U64)
-            prints.append(mix64(f + offset * U64(_Q) + U64(g) * U64(_P)))
-            owner.append(np.full(len(f), n))
-    flat = np.concatenate(prints)
-    order = np.argsort(flat, kind="stable")
+        run = np.repeat(np.array(group, U64), [len(f) for f in prints])
+        flat = mix64(np.concatenate(prints) + run * U64(_P))
+    order = np.argsort(flat)
     s = flat[order]
+    same = s[1:] == s[:-1]
     twin = np.zeros(len(s), bool)
-    twin[1:] = s[1:] == s[:-1]
-    twin[:-1] |= s[1:] == s[:-1]
+    twin[1:] = same
+    twin[:-1] |= same
     hit = np.zeros(len(flat), bool)
     hit[order] = twin
     at = 0
@@ -157,21 +148,32 @@ class Family:
     def __init__(self, length: int = LENGTH, gram: int = GRAM) -> None:
         self.length, self.gram, self.levels = length, gram, []
 
-    def add(self, keys: np.ndarray, segments: list[bytes], shift: np.ndarray, row: np.ndarray) -> None:
-        found = [np.zeros(len(s) - self.length + 1, bool) for s in segments]
-        new = Level(keys, segments, shift, found, row, self.gram)
-        merge_scan(new, new, self.length)
+    def add(self, segments: list[bytes], shift: np.ndarray, row: np.ndarray) -> None:
+        """A batch of anchors: a segment has all windows of an anchor's run, and the anchor's gram begins ``shift`` bytes into it."""
+        sizes = np.array([len(s) for s in segments])
+        start = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+        windows = sizes - self.length + 1
+        first = np.concatenate(([0], np.cumsum(windows)))
+        within = np.arange(first[-1]) - np.repeat(first[:-1], windows)
+        f = fingerprints(np.frombuffer(b"".join(segments), np.uint8), self.length)[np.repeat(start, windows) + within]
+        # Equal windows have their anchor at one offset, so the offset goes into the fingerprint.
+        with np.errstate(over="ignore"):
+            f = mix64(f + (np.repeat(shift, windows) - within).astype(U64) * U64(_Q))
+        cuts = first[1:-1]
+        suffix = [s[d : d + self.gram + 32] for s, d in zip(segments, shift.tolist(), strict=True)]
+        new = Level(suffix, np.split(f, cuts), np.split(np.zeros(len(f), bool), cuts), row.tolist(), self.gram)
+        merge_scan(new, new)
         for level in self.levels:
-            merge_scan(level, new, self.length)
+            merge_scan(level, new)
         self.levels.append(new)
         while len(self.levels) > 1 and len(self.levels[-2]) < 2 * len(self.levels[-1]):
             b, a = self.levels.pop(), self.levels.pop()
-            self.levels.append(Level(np.concatenate((a.keys, b.keys)), a.segments + b.segments, np.concatenate((a.shift, b.shift)), a.found + b.found, np.concatenate((a.row, b.row)), self.gram))
+            self.levels.append(Level(a.suffix + b.suffix, a.prints + b.prints, a.found + b.found, a.row + b.row, self.gram))
 
     def result(self) -> Iterator[tuple[int, np.ndarray]]:
         """The number of each anchor's row and its windows that are repeated."""
         for level in self.levels:
-            yield from zip(level.row.tolist(), level.found, strict=True)
+            yield from zip(level.row, level.found, strict=True)
 
 
 def _runs(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -231,7 +233,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
             n = batch.num_rows
             if not n:
                 continue
-            levels.add(batch.column("key").to_numpy(), batch.column("segment").to_pylist(), batch.column("shift").to_numpy(), np.arange(base, base + n))
+            levels.add(batch.column("segment").to_pylist(), batch.column("shift").to_numpy(), np.arange(base, base + n))
             refs.append([batch.column(c).to_numpy() for c in ("doc_id", "print", "first")])
             base += n
         if not refs:
@@ -249,8 +251,9 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
     cold = few.repartition(parts, "key").mapInArrow(family, "doc_id long, print long, first long, last long")
     windows = stage(texts.where(F.exists("keys", lambda k: k["hot"])).mapInArrow(segments(True), "doc_id long, print long, at long, f long, g long"), "windows")
     again = windows.groupBy("f", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f", "g")
-    hot_hits = windows.join(again, ["f", "g"]).select("doc_id", "print", F.col("at").alias("first"), F.col("at").alias("last"))
-    return texts, cold.unionByName(hot_hits)
+    # A table of its own, so that the join on fingerprints stands alone in its stage and AQE can split what is skewed.
+    hits = stage(windows.join(again, ["f", "g"]).select("doc_id", "print", F.col("at").alias("first")), "hits")
+    return texts, cold.unionByName(hits.withColumn("last", F.col("first")))
 
 
 def _once(long: DataFrame, asked: DataFrame) -> DataFrame:
