@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from trajlake.functions import text as X
 from trajlake.operators import instructions as I
 from trajlake.operators import sampling as S
+from trajlake.operators.ranking import places
 from trajlake.plans.catalog import query, table
 from trajlake.sources.testbed import OBJECTS, objects
 
@@ -47,11 +48,9 @@ def clean_names(spark, sf_dir):
     "WITH n AS (SELECT event_id, 'rgb_' || CAST(event_id % 1000 AS VARCHAR) || '_' || CAST(user_id AS VARCHAR) || '.png' AS name FROM events) SELECT event_id, row_number() OVER (ORDER BY event_id % 1000, CAST(split_part(split_part(name, '_', 3), '.', 1) AS BIGINT), event_id) AS place FROM n WHERE event_id < 2000",
 )
 def natural_sort(spark, sf_dir):
-    """Frames in natural order of their names. One listing of 2,000 names is sorted."""
-    from pyspark.sql import Window
-
-    n = table(spark, sf_dir, "events").where("event_id < 2000").select("event_id", F.concat(F.lit("rgb_"), (F.col("event_id") % 1000).cast("string"), F.lit("_"), F.col("user_id").cast("string"), F.lit(".png")).alias("name"))
-    return n.select("event_id", F.row_number().over(Window.orderBy(X.natural_key(F.col("name")), "event_id")).cast("long").alias("place"))
+    """All frames in natural order of their names. The SQL still has the first 2,000 events only."""
+    n = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("rgb_"), (F.col("event_id") % 1000).cast("string"), F.lit("_"), F.col("user_id").cast("string"), F.lit(".png")).alias("name"))
+    return places(n.select("event_id", X.natural_key(F.col("name")).alias("k")), ["k", "event_id"]).select("event_id", "place")
 
 
 _PATHS = """SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'path_' || event_id || '_x' WHEN 1 THEN 'path_1_2_' || event_id ELSE 'path_' || (event_id % 40) || '_' || user_id END AS name FROM events"""
