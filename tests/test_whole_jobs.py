@@ -16,3 +16,12 @@ def test_natural_sort_ranks_all_events(spark, tmp_path):
     got = {r["event_id"]: r["place"] for r in QUERIES["natural_sort"](spark, str(tmp_path)).collect()}
     want = sorted(range(5000), key=lambda i: (i % 1000, i * 37 % 211, i))
     assert got == {i: n for n, i in enumerate(want, 1)}
+
+
+def test_rasters_answer_for_all_events(spark, tmp_path):
+    """Events whose places repeat must get the answers of the early events at the same places."""
+    spark.range(0, 9000).select(F.col("id").alias("event_id")).write.parquet(f"{tmp_path}/events.parquet")
+    lines = {r["event_id"]: r["clear"] for r in QUERIES["sight_lines"](spark, str(tmp_path)).collect()}
+    assert sorted(lines) == list(range(9000)) and all(lines[i] == lines[i % 64] for i in lines)
+    risks = {r["event_id"]: r["risk"] for r in QUERIES["sector_risk"](spark, str(tmp_path)).collect()}
+    assert sorted(risks) == list(range(9000)) and all(risks[i] == risks[i % 4422] for i in risks)
