@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from trajlake.kernels.search import grid_path
+from trajlake.operators.planning import raster_array
 from trajlake.plans import load_all
 from trajlake.plans.catalog import QUERIES
+from trajlake.sources.testbed import cells
 
 load_all()
 
@@ -25,3 +28,13 @@ def test_rasters_answer_for_all_events(spark, tmp_path):
     assert sorted(lines) == list(range(9000)) and all(lines[i] == lines[i % 64] for i in lines)
     risks = {r["event_id"]: r["risk"] for r in QUERIES["sector_risk"](spark, str(tmp_path)).collect()}
     assert sorted(risks) == list(range(9000)) and all(risks[i] == risks[i % 4422] for i in risks)
+
+
+def test_grid_paths_of_all_customers(spark, tmp_path):
+    spark.range(95, 110).select(F.col("id").alias("c_custkey")).write.parquet(f"{tmp_path}/customer.parquet")
+    got = {r["key"]: r for r in QUERIES["grid_paths"](spark, str(tmp_path)).collect()}
+    free = raster_array(cells(spark))
+    assert sorted(got) == list(range(95, 110))
+    for k, r in got.items():
+        path = grid_path(free, (k * 3 % 64, k * 5 % 64), (k * 7 % 64, k * 11 % 64))
+        assert r["n_cells"] == len(path) and r["reached"] == (bool(path) and path[-1] == (k * 7 % 64, k * 11 % 64))

@@ -32,8 +32,9 @@ def planned_paths(spark, sf_dir):
 def grid_paths(spark, sf_dir):
     k = F.col("c_custkey")
     at = lambda m: (k * m % 64).cast("int")
-    p = table(spark, sf_dir, "customer").where("c_custkey <= 100").select(k.alias("key"), at(3).alias("r0"), at(5).alias("c0"), at(7).alias("r1"), at(11).alias("c1"))
-    return L.grid_paths(p, L.raster_array(cells(spark)))
+    p = table(spark, sf_dir, "customer").select(k.alias("key"), at(3).alias("r0"), at(5).alias("c0"), at(7).alias("r1"), at(11).alias("c1"))
+    # A file of customers is one small partition, but each row is a search of a millisecond or two.
+    return L.grid_paths(p.repartition(4 * spark.sparkContext.defaultParallelism), L.raster_array(cells(spark)))
 
 
 @query("lines")
