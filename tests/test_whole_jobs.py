@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from trajlake.kernels.search import grid_path
+from trajlake.kernels.shapes import share_inside
 from trajlake.operators.planning import raster_array
 from trajlake.plans import load_all
 from trajlake.plans.catalog import QUERIES
@@ -38,3 +40,16 @@ def test_grid_paths_of_all_customers(spark, tmp_path):
     for k, r in got.items():
         path = grid_path(free, (k * 3 % 64, k * 5 % 64), (k * 7 % 64, k * 11 % 64))
         assert r["n_cells"] == len(path) and r["reached"] == (bool(path) and path[-1] == (k * 7 % 64, k * 11 % 64))
+
+
+def test_clouds_of_every_label_meet(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    clouds = np.round(rng.uniform(0, 1, (12, 21, 3)) * 64) / 64
+    rows = [(i, i % 10, [float(v) for v in c.ravel()] + [0.0]) for i, c in enumerate(clouds)]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {(r["a"], r["b"]): r["dist"] for r in QUERIES["cloud_distances"](spark, str(tmp_path)).collect()}
+    least = {(i, i + 1): np.sqrt(((clouds[i][:, None] - clouds[i + 1][None]) ** 2).sum(2)).min() for i in range(11)}
+    want = {k: round(float(d), 6) for k, d in least.items() if d <= 0.25}
+    assert len(want) > 8 and got == want
+    shares = {(r["a"], r["b"]): r["share"] for r in QUERIES["hull_shares"](spark, str(tmp_path)).collect()}
+    assert shares == {(i, i + 1): share_inside(clouds[i], clouds[i + 1]) for i in range(11)}

@@ -172,10 +172,10 @@ d AS (SELECT p.a, p.b, min((s.x - t.x) ** 2 + (s.y - t.y) ** 2 + (s.z - t.z) **
 SELECT a, b, round(sqrt(d2), 6) AS dist FROM d WHERE d2 <= 0.25 * 0.25""",
 )
 def cloud_distances(spark, sf_dir):
-    """Least distances of clouds with neighbouring numbers, up to a quarter of a metre."""
-    few = _points(spark, sf_dir).where("label < 3")
-    pairs = few.select(F.col("vec_id").alias("a"), (F.col("vec_id") + 1).alias("b")).distinct()
-    return M.cloud_distances(few, pairs, "vec_id", 0.25).select("a", "b", F.round("dist", 6).alias("dist"))
+    """Least distances of clouds with neighbouring numbers, up to a quarter of a metre. The SQL still has three of the ten labels only."""
+    p = _points(spark, sf_dir)
+    pairs = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("a"), (F.col("vec_id") + 1).alias("b")).distinct()
+    return M.cloud_distances(p, pairs, "vec_id", 0.25).select("a", "b", F.round("dist", 6).alias("dist"))
 
 
 @query("mesh_transform", f"WITH {_POINTS} SELECT vec_id, i, 0.5 * x - 2.0 * y + 0.25 AS x, 2.0 * x + 0.5 * y - 1.0 AS y, z + 3.0 AS z FROM pts")

@@ -85,8 +85,8 @@ def snapped_paths(spark, sf_dir):
 
 @query("hull_shares")
 def hull_shares(spark, sf_dir):
-    p = _points(spark, sf_dir).where("label < 2")
-    pairs = p.select(F.col("vec_id").alias("a")).distinct().withColumn("b", F.col("a") + 1)
+    p = _points(spark, sf_dir)
+    pairs = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("a")).distinct().withColumn("b", F.col("a") + 1)
     return L.hull_shares(pairs, p, "vec_id")
 
 
