@@ -53,3 +53,20 @@ def test_clouds_of_every_label_meet(spark, tmp_path):
     assert len(want) > 8 and got == want
     shares = {(r["a"], r["b"]): r["share"] for r in QUERIES["hull_shares"](spark, str(tmp_path)).collect()}
     assert shares == {(i, i + 1): share_inside(clouds[i], clouds[i + 1]) for i in range(11)}
+
+
+def test_limits_are_those_of_the_reference(spark, tmp_path):
+    draws = {r["room"]: r["count"] for r in QUERIES["walkable_draws"](spark, str(tmp_path)).groupBy("room").count().collect()}
+    assert draws == {room: 2000 for room in range(4)}
+    drawn = QUERIES["distinct_draws"](spark, str(tmp_path)).groupBy("room").sum("n").collect()
+    assert sorted(tuple(r) for r in drawn) == [(room, 2000) for room in range(4)]
+    cloud = [float(v) for v in np.round(np.random.default_rng(4).uniform(0, 1, 64) * 64) / 64]
+    spark.createDataFrame([(7, 0, cloud)], "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert QUERIES["surface_samples"](spark, str(tmp_path)).count() == 7000
+    spark.range(0, 25).select(F.col("id").alias("n_nationkey")).write.parquet(f"{tmp_path}/nation.parquet")
+    paths = QUERIES["planned_paths"](spark, str(tmp_path)).select("goal", "start_no").distinct().groupBy("goal").count().collect()
+    assert len(paths) == 25 and max(r["count"] for r in paths) == 4
+    hard = [(k, "a bolt", "kitchen", 1) for k in range(2000)]
+    spark.createDataFrame(hard, "p_partkey long, p_name string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    late = [r for r in QUERIES["ring_points"](spark, str(tmp_path)).collect() if r["try_no"] >= 8]
+    assert late and all(r["x"] < 15 and r["try_no"] < 1000 for r in late)

@@ -115,12 +115,12 @@ drawn AS (SELECT room, draw_no, row, col FROM draws JOIN ranked USING (room, ran
 
 def _draws(spark):
     walk = cells(spark).where("free").select(F.floor(F.col("row") / 16).cast("int").alias("room"), "row", "col")
-    return S.draws_with_replacement(walk, "room", 200, "1024", ["row", "col"])
+    return S.draws_with_replacement(walk, "room", 2000, "1024", ["row", "col"])
 
 
 @query("walkable_draws", f"WITH {_DRAWS} SELECT room, draw_no, row, col FROM drawn")
 def walkable_draws(spark, sf_dir):
-    """Draws with replacement of free cells in each room."""
+    """Draws with replacement of free cells in each room, 2,000 of them. The SQL here and of what follows from the draws still has 200."""
     return _draws(spark)
 
 
@@ -145,9 +145,9 @@ p AS (SELECT id, i, max_x + sqrt(0.25 + u * 2.0) * cos((v * 2 - 1) * 0.5) AS x,
 
 @query("ring_points", f"WITH {OBJECTS}, {_RINGS} SELECT id, CAST(arg_min(i, i) FILTER (WHERE x < 15.0) AS INTEGER) AS try_no, round(arg_min(x, i) FILTER (WHERE x < 15.0), 6) AS x, round(arg_min(y, i) FILTER (WHERE x < 15.0), 6) AS y FROM p GROUP BY id HAVING count(*) FILTER (WHERE x < 15.0) > 0")
 def ring_points(spark, sf_dir):
-    """The first place before each object's face, of eight tries, that is inside."""
+    """The first place before each object's face, of 1,000 tries, that is inside. The SQL still has eight tries."""
     o = objects(spark, sf_dir).select("id", F.col("max_x").alias("cx"), ((F.col("min_y") + F.col("max_y")) / 2).alias("cy"), F.lit(1.0).alias("nx"), F.lit(0.0).alias("ny"))
-    p = S.ring_points(o, "id", 8, 0.5, 1.5, 0.5, "1025").where("x < 15.0")
+    p = S.ring_points(o, "id", 1000, 0.5, 1.5, 0.5, "1025").where("x < 15.0")
     return p.groupBy("id").agg(F.min(F.struct("try_no", "x", "y")).alias("m")).select("id", "m.try_no", F.round("m.x", 6).alias("x"), F.round("m.y", 6).alias("y"))
 
 
@@ -197,4 +197,4 @@ def surface_samples(spark, sf_dir):
     p = _points(spark, sf_dir)
     t = p.groupBy("vec_id").agg(F.array_sort(F.collect_list(F.struct("i", "x", "y", "z"))).alias("v"))
     t = t.select("vec_id", F.posexplode(M.fan_triangles("v")).alias("tri", "t")).select(F.col("vec_id").alias("mesh"), "tri", *(F.get("t", F.lit(j)).alias(n) for j, n in enumerate("abc")))
-    return M.surface_samples(t, "mesh", 50)
+    return M.surface_samples(t, "mesh", 7000)

@@ -25,7 +25,7 @@ def planned_paths(spark, sf_dir):
     k = F.col("n_nationkey").cast("long")
     g = table(spark, sf_dir, "nation").select(k.alias("goal"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))).alias("order"), ((k * 5 % 14 + 1) * 1.0).alias("gx"), ((k * 3 % 3 + 1) * 0.75).alias("gy"))
     g = g.withColumns({"sx": (F.col("order") * 3 + 1) * 1.0, "sy": F.lit(0.5)})
-    return L.plan_goals(g, _world(spark), K.PlannerSettings(footprint=0, expansions=4000), attempts=4, keep=2)
+    return L.plan_goals(g, _world(spark))
 
 
 @query("grid_paths")
