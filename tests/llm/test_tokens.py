@@ -26,30 +26,77 @@ def test_a_full_cache_starts_anew(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE", 5)
     coder = tokens.ChunkEncoder(PATH)
     t = "one two three, four. five six seven eight nine ten, eleven twelve."
-    assert all(coder.encode(t) == coder.whole(t) for _ in range(3))
+    assert all(coder.encode(t) == coder.whole([t])[0] for _ in range(3))
 
 
-@pytest.mark.parametrize("ids", [[], [0], [7] * 900, list(range(3000)), [65535] * 50, [2**32 - 2, 0, 70000] * 40, list(np.random.default_rng(0).integers(0, 49408, 5000)), list(np.tile(np.random.default_rng(1).integers(0, 300, 350), 9))])
+@pytest.mark.parametrize("ids", [[], [0], [7] * 900, list(range(3000)), [65535] * 50, [2**32 - 1, 2**32 - 2, 0, 70000] * 40, list(np.random.default_rng(0).integers(0, 49408, 5000)), list(np.tile(np.random.default_rng(1).integers(0, 300, 350), 9))])
 def test_coder_round_trip(ids):
     a = np.array(ids, np.uint32)
-    blocks = idcoder.encode(a, 512)
-    back = idcoder.decode(blocks)
+    table = idcoder.Table.of(a)
+    blocks = idcoder.encode(a, table, 512)
+    table = idcoder.Table.from_bytes(table.to_bytes())
+    back = idcoder.decode(blocks, table)
     assert (np.concatenate(back) if back else np.zeros(0)).tolist() == a.tolist()
     if len(blocks) > 1:
-        assert idcoder.decode(blocks[1:2])[0].tolist() == a[512:1024].tolist()  # a block stands alone
+        assert idcoder.decode(blocks[1:2], table)[0].tolist() == a[512:1024].tolist()  # a block stands alone
         n, crc, code = blocks[0]
         with pytest.raises(ValueError):
-            idcoder.decode([(n, crc ^ 1, code)])
+            idcoder.decode([(n, crc ^ 1, code)], table)
 
 
 def test_repeats_cost_less_than_noise():
     rng = np.random.default_rng(2)
-    size = lambda a: sum(len(c) for _, _, c in idcoder.encode(a.astype(np.uint32), 4096))
+    size = lambda a: sum(len(c) for _, _, c in idcoder.encode(a.astype(np.uint32), None, 4096))
     assert size(np.tile(rng.integers(0, 50000, 64), 64)) < size(rng.integers(0, 50000, 4096)) / 8
     with pytest.raises(ValueError):
-        idcoder.encode(np.array([2**32 - 1], np.uint32))
+        idcoder.encode(np.array([1], np.uint32), None, idcoder.BLOCK + 1)
 
 
+def test_more_ids_than_ranks_of_their_own():
+    a = np.random.default_rng(4).zipf(1.1, 30_000) % 45_000
+    table = idcoder.Table.of(a)
+    assert len(table.ids) > idcoder.DENSE
+    assert (np.concatenate(idcoder.decode(idcoder.encode(a, table), table)) == a).all()
+
+
+def test_files_are_smaller_than_counts_alone_would_make_them():
+    """Whole files of sf0.01 stay below the entropy of their own ids' counts, which no coder without contexts or adaptation can."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).combine_chunks()
+    ids, size = tokens.ChunkEncoder(PATH).encode_batch(texts)
+    share = np.bincount(ids) / len(ids)
+    share = share[share > 0]
+    entropy = -(share * np.log2(share)).sum() / 8
+    data = idfiles.pack(list(range(len(size))), size, ids)
+    assert len(data) / len(ids) < 0.95 * entropy
+    assert (idfiles.unpack(data)[2] == ids).all()
+
+
+def test_other_tokenizer_files_go_to_the_library():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    library, coder = Tokenizer.from_file(path), tokens.ChunkEncoder(path)
+    assert not coder.fast
+    for t in TEXTS:
+        assert coder.encode(t) == np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_many_small_mixtures_encode_as_the_library_does():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    rng, letters = np.random.default_rng(0), list("abcXYZäßñ'’.,;:!?&#$*()0129²ªºµ sSt-_/\\\"é€…–")
+    texts = ["".join(rng.choice(letters, rng.integers(1, 40))) for _ in range(3000)]
+    ids, size = tokens.ChunkEncoder(PATH).encode_batch(pa.array(texts))
+    want = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+    assert ids.tolist() == sum(want, []) and size.tolist() == list(map(len, want))
+    very_long = "Straße don't, " * 200_000  # several slices of a batch, and one text longer than a slice
+    batch = pa.RecordBatch.from_pydict({"t": ["a b", very_long, None, "c"]})
+    parts = [tokens.ChunkEncoder(PATH).encode_batch(s.column("t"))[1] for s in tokens.slices(batch, "t", 1000)]
+    assert len(parts) > 1 and np.concatenate(parts).tolist() == [2, 200_000 * len(Tokenizer.from_file(PATH).encode("Straße don't, ").ids), 0, 1]
+
 def test_files_in_key_order(spark):
     rows = [(i * 7 % 50, f"text number {i} " * (i % 5), 0) for i in range(50)] + [(None, "no key", 1), (3, "again", 2), (99, None, 3)]
     manifest = idfiles.write_ids(spark.createDataFrame(rows, "doc_id long, text string, part int"), "doc_id", "text", PATH, 2, file_ids=60, block=16)

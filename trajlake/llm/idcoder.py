@@ -1,232 +1,381 @@
-"""An adaptive range coder for token ids: many blocks at once, each from its own empty state and with its own checksum.
-
-Each block predicts its next id from three contexts that it has learnt so far: order 2 (the id that last followed the two
-ids before), order 1 (the id that last followed the id before) and order 0 (the ids met, by their low bits). How often each
-prediction has held at its present confidence gives the three hit rates; they are mixed into one distribution over "the
-order-2 id", "the order-1 id", "one of the order-0 ids" and "another id", and a range coder with 16-bit totals codes the
-outcome. Another id follows as plain 16-bit digits. Blocks share no state, so NumPy codes all blocks of a file in step, one
-id of each block at a time, and any block can be decoded alone.
+"""An adaptive context-mixing range coder for token ids: many blocks at once, each reset to the same start and with its own checksum.
+
+A table goes with a set of blocks (a file's): the distinct ids by falling frequency, and their counts. An id's place in it is its rank; the rarest
+beyond ``DENSE`` share one rank and are told apart by their counts. Each block predicts its next rank from what it has learnt by itself:
+
+* order 0 counts each rank, from a start in proportion to the table;
+* order 1 keeps, for each rank, which rank leads among those that came after it, and by how much it leads (0 to 3);
+* order 2 keeps the same for each pair of ranks, in slots that hold the pair, so another pair in the slot is no prediction.
+
+How often a lead of each size has held is counted by block, orders 1 and 2 apart, and these shares are the weights that mix the three into one
+distribution for each id: w2 on order 2's leader, w1 on order 1's, and the rest over all ranks by order 0's counts. A range coder codes the id's
+interval. Every id is learnt: leaders at once, counts and shares after every ``STEP`` ids by all of them. Blocks share no state but the
+table, so NumPy works on all blocks of a file in step, and any block can be decoded alone.
 """
 
 from __future__ import annotations
 
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 
-#: Ids in a block.
-BLOCK = 4096
-_H1, _H2, _H0 = 1 << 8, 1 << 9, 1 << 10
-_MASK = (1 << 48) - 1
-#: Hit rates that a block begins with, in 65536ths, by confidence 0 to 3; confidence 0 means no prediction. The last rate is order 0's.
-_START = np.array([0, 6000, 26000, 44000], np.int32)
-_START0 = 40000
-#: A block learns its hit rates from every RATE-th id.
-RATE = 8
+#: Ids in a block, and between two updates of its counts.
+BLOCK, STEP = 4096, 32
+#: Ranks of a group, which a row of 32 sums stands for; most ranks of their own.
+GROUP = 31
+DENSE = 4000
+#: What an id adds to its count; how many ids the start of the counts stands for.
+GAIN, PRIOR = 8, 800
+#: Bits of the mixed distribution's total; of the low end; below which range words of 16 bits go out.
+_TOTAL, _LOW, _LEAST = 26, 48, 32
+_MASK = (1 << _LOW) - 1
+#: Slots of order 2, and an odd factor that scrambles pairs of ranks one to one.
+_SLOTS, _ODD = 1 << 12, 0x9E3779
+#: Where the shares of leads 1 to 3 that hold start: hits of 32 tries, for orders 1 and 2; the largest share, as 1 / (1 - share).
+_START1, _START2, _TRIES = np.array([0, 2, 10, 26]), np.array([0, 3, 20, 30]), np.array([1, 32, 32, 32])
+_MOST1, _MOST2 = 16, 64
+
+
+@dataclass
+class Table:
+    """The distinct ids in order of falling count (ties by id) and their counts."""
+
+    ids: np.ndarray
+    counts: np.ndarray
+
+    def __post_init__(self) -> None:
+        self.own = min(len(self.ids), DENSE - 1)
+        self.rare = np.concatenate(([0], np.cumsum(self.counts[self.own :], dtype=np.int64)))
+        ranks = self.own + (self.own < len(self.ids))
+        self.groups = max(1, -(-ranks // GROUP))
+        share = np.zeros(self.groups * GROUP)
+        share[: self.own] = self.counts[: self.own]
+        if ranks > self.own:
+            share[self.own] = self.rare[-1]
+        start = np.maximum(np.rint(share * (PRIOR * GAIN / max(1, int(share.sum())))), 1).astype(np.int64).reshape(self.groups, GROUP)
+        self.start = np.concatenate((np.zeros((self.groups, 1), np.int64), np.cumsum(start, 1)), 1).astype(np.uint16)
+        self.total = int(start.sum())
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> Table:
+        if len(ids) and int(ids.max()) < 1 << 20:
+            counts = np.bincount(ids)
+            own = np.flatnonzero(counts)
+            counts = counts[own]
+        else:
+            own, counts = np.unique(ids, return_counts=True)
+        order = np.lexsort((own, -counts))
+        return cls(own[order].astype(np.int64), counts[order].astype(np.int64))
+
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        """The place of each id in the table."""
+        order = np.argsort(self.ids)
+        if len(order) and self.ids[order[-1]] < 1 << 20:
+            back = np.zeros(int(self.ids[order[-1]]) + 1, np.int32)
+            back[self.ids] = np.arange(len(self.ids))
+            return back[ids]
+        return order[np.searchsorted(self.ids[order], ids)].astype(np.int32)
+
+    def to_bytes(self) -> bytes:
+        order = np.argsort(self.ids)
+        steps = np.diff(self.ids[order], prepend=0)
+        return zlib.compress(np.concatenate(([len(order)], steps, self.counts[order])).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 9)
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> Table:
+        flat = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0].astype(np.int64)
+        ids, counts = np.cumsum(flat[1 : 1 + flat[0]]), flat[1 + flat[0] :]
+        order = np.lexsort((ids, -counts))
+        return cls(ids[order], counts[order])
+
+
+#: Row s: what a rank at place s of its group adds to the group's sums.
+_ADD = ((np.arange(GROUP + 1) > np.arange(GROUP)[:, None]) * GAIN).astype(np.uint16)
 
 
 class _Model:
-    """The predictions of ``n`` blocks. Tables hold (id + 1) * 4 + confidence, 0 where nothing is known."""
-
-    def __init__(self, n: int) -> None:
-        self.t1 = np.zeros(n * _H1, np.int64)
-        self.t2 = np.zeros(n * _H2, np.int64)
-        self.t0 = np.zeros(n * _H0, np.uint32)
-        self.a1, self.a2 = np.tile(_START, n), np.tile(_START, n)
-        self.a0 = np.full(n, _START0, np.int32)
-        self.steps = 0
-        self.h1, self.h2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    """What ``n`` blocks have learnt."""
+
+    def __init__(self, table: Table, n: int) -> None:
+        self.table, self.groups = table, table.groups
+        self.ranks = self.groups * GROUP
+        self.sums = np.tile(table.start.reshape(-1), n).reshape(n * self.groups, GROUP + 1)
+        self.total = table.total
+        self.t1 = np.zeros(n * self.ranks, np.uint16)
+        self.t2 = np.zeros(n * _SLOTS, np.uint32)
+        self.hits1, self.hits2 = np.tile(_START1, n), np.tile(_START2, n)
+        self.tries1, self.tries2 = np.tile(_TRIES, n), np.tile(_TRIES, n)
         self.shrink(n)
+        self.refresh()
 
     def shrink(self, n: int) -> None:
-        self.h1, self.h2 = self.h1[:n], self.h2[:n]
+        self.n = n
         self.lane = np.arange(n)
-        self.lane1, self.lane2, self.lane0, self.lane4 = (self.lane * w for w in (_H1, _H2, _H0, 4))
-
-    def predict(self) -> None:
-        """The bounds of the outcomes: [0, b2) order 2, [b2, b1) order 1, [b1, b0) order 0, [b0, 65536) another id."""
-        self.i1 = self.lane1 + (self.h1 & (_H1 - 1))
-        self.i2 = self.lane2 + (self.h2 & (_H2 - 1))
-        v1, v2 = self.t1[self.i1], self.t2[self.i2]
-        self.q1, self.q2 = v1 >> 2, v2 >> 2
-        self.c1, self.c2 = v1 & 3, v2 & 3
-        self.b2 = self.a2[self.lane4 + self.c2]
-        # Where both orders predict the same id, order 1 has nothing to add.
-        share1 = ((65536 - self.b2) * self.a1[self.lane4 + self.c1].astype(np.int64) >> 16) * (self.q1 != self.q2)
-        self.b1 = self.b2 + share1
-        # Order 0 shares its part evenly among its slots, and leaves something for another id.
-        self.w0 = np.maximum((65536 - self.b1) * self.a0[: len(self.lane)] >> 26, 1)
-        self.b0 = self.b1 + (self.w0 << 10)
-
-    def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, hit0: np.ndarray) -> None:
-        """Learns the ids; the rates move towards what has held, where a prediction was asked."""
-        if self.steps % RATE == 0:
-            for a, j, asked, hit, most in (
-                (self.a2, self.lane4 + self.c2, self.c2 > 0, hit2, 58000),
-                (self.a1, self.lane4 + self.c1, (self.b1 > self.b2) & ~hit2, hit1, 46000),
-                (self.a0, self.lane, ~(hit2 | hit1), hit0, 62000),
-            ):
-                j, hit = j[asked], hit[asked]
-                a[j] = np.clip(a[j] + ((hit * 65535 - a[j]) >> 4), 2048, most)
-        self.steps += 1
-        x = ids + 1
-        self.t1[self.i1] = (x << 2) | np.minimum(self.c1 * (self.q1 == x) + 1, 3)
-        self.t2[self.i2] = (x << 2) | np.minimum(self.c2 * (self.q2 == x) + 1, 3)
-        self.t0[self.lane0 + (ids & (_H0 - 1))] = x
-        self.h2 = (self.h1 * 5 + ids * 60493) >> 3
-        self.h1 = ids * 40503 >> 3
+        self.lane1, self.lane2, self.lane4, self.row = (self.lane * w for w in (self.ranks, _SLOTS, 4, self.groups))
+
+    def refresh(self) -> None:
+        """Group sums and weights, from counts."""
+        own = self.sums[: self.n * self.groups, GROUP].reshape(self.n, self.groups).T
+        self.before = np.zeros((self.groups + 1, self.n), np.uint16)
+        np.cumsum(own, 0, dtype=np.uint16, out=self.before[1:])
+        n = 4 * self.n
+        self.share2 = np.minimum((self.hits2[:n] << _TOTAL) // self.tries2[:n], (1 << _TOTAL) - (1 << _TOTAL) // _MOST2)
+        self.share1 = np.minimum((self.hits1[:n] << 16) // self.tries1[:n], (1 << 16) - (1 << 16) // _MOST1)
+
+    def pair(self, x2: np.ndarray, x1: np.ndarray) -> np.ndarray:
+        """24 bits: a slot of order 2 and what tells the pair from others in it."""
+        return ((x2 << 12 | x1) * _ODD) & 0xFFFFFF
+
+    def weights(self, v1: np.ndarray, v2: np.ndarray, fits: np.ndarray) -> tuple[np.ndarray, ...]:
+        """q2, q1, lead 2, lead 1, end of order 2's interval, end of order 1's."""
+        v2 = v2.astype(np.int64)
+        q1, q2 = (v1 >> 2).astype(np.int64), (v2 >> 2) & 0xFFF
+        c2 = (v2 & 3) * fits
+        # Where both orders lead to one rank, order 1 has nothing to add.
+        c1 = (v1 & 3) * ((q1 != q2) | (c2 == 0))
+        b2 = self.share2[self.lane4 + c2]
+        b1 = b2 + (((1 << _TOTAL) - b2) * self.share1[self.lane4 + c1] >> 16)
+        return q2, q1, c2, c1, b2, b1
+
+    def lead(self, x: np.ndarray, i1: np.ndarray, v1: np.ndarray, i2: np.ndarray, v2: np.ndarray, check: np.ndarray, fits: np.ndarray) -> None:
+        """Learns who leads: a leader that has come again gains, another that came makes it lose, and takes its place at a lead of 1."""
+        new = x * 4 + 1
+        c = v1 & 3
+        self.t1[i1] = np.where(v1 >> 2 == x, v1 + (c < 3), np.where(c > 1, v1 - 1, new))
+        c = v2 & 3
+        held = np.where((v2 >> 2) & 0xFFF == x, v2 + (c < 3), np.where(c > 1, v2 - 1, check << 14 | new))
+        self.t2[i2] = np.where(fits, held, check << 14 | new)
+
+    def count(self, x: np.ndarray, c2: np.ndarray, hit2: np.ndarray, c1: np.ndarray, hit1: np.ndarray) -> None:
+        """Learns a step's ids (one row for each of STEP) and which leads have held."""
+        size = 4 * self.n
+        group, place = np.divmod(x, GROUP)
+        for g, s in zip(group + self.row, place, strict=True):
+            self.sums[g] = self.sums.take(g, 0) + _ADD.take(s, 0)
+        at2, at1 = self.lane4 + c2, self.lane4 + c1
+        self.tries2[:size] += np.bincount(at2.ravel(), minlength=size)
+        self.hits2[:size] += np.bincount(at2[hit2], minlength=size)
+        asked = ~hit2
+        self.tries1[:size] += np.bincount(at1[asked], minlength=size)
+        self.hits1[:size] += np.bincount(at1[hit1], minlength=size)
+        # A lead of 0 predicts nothing.
+        self.hits1[:size:4] = self.hits2[:size:4] = 0
+        self.total += GAIN * len(x)
+        self.refresh()
 
 
 class _Writer:
     def __init__(self, n: int, words: int) -> None:
-        self.low, self.range = np.zeros(n, np.int64), np.full(n, 1 << 48)
-        self.out, self.at = np.zeros((n, words), np.uint16), np.zeros(n, np.int64)
+        self.low, self.range = np.zeros(n, np.int64), np.full(n, 1 << _LOW)
+        self.out, self.at = np.zeros((n, words), np.int32), np.zeros(n, np.int64)
+
+    def _word(self, k: np.ndarray) -> None:
+        low, at = self.low[k], self.at[k]
+        if at.size and at.max() >= self.out.shape[1]:
+            self.out = np.concatenate((self.out, np.zeros_like(self.out)), 1)
+        self.out[k, at] = low >> _LEAST
+        self.at[k] = at + 1
+        self.low[k] = (low << 16) & _MASK
 
-    def code(self, k: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
-        """Codes [start, start + width) of 65536 on the blocks k, which are different ones."""
-        r = self.range[k] >> 16
+    def code(self, start: np.ndarray, width: np.ndarray, r: np.ndarray, k: np.ndarray | slice) -> None:
+        """Codes [start, start + width) in units of ``r`` on the blocks k, which are different ones."""
         low = self.low[k] + start * r
-        wide = width * r
-        over = k[low > _MASK]
-        low &= _MASK
-        at = self.at[over] - 1
-        while over.size:  # a carry runs left until a word takes it
-            words = self.out[over, at] + np.uint16(1)
-            self.out[over, at] = words
-            more = words == 0
-            over, at = over[more], at[more] - 1
-        small = wide <= 1 << 32
-        ks = k[small]
-        self.out[ks, self.at[ks]] = (low[small] >> 32).astype(np.uint16)
-        self.at[ks] += 1
-        self.low[k] = np.where(small, (low << 16) & _MASK, low)
-        self.range[k] = np.where(small, wide << 16, wide)
+        self.range[k] = width * r
+        over = np.flatnonzero(low > _MASK)
+        self.low[k] = low & _MASK
+        if over.size:  # words may pass 16 bits; carries run left at the end
+            over = over if isinstance(k, slice) else k[over]
+            self.out[over, self.at[over] - 1] += 1
+        while True:
+            small = np.flatnonzero(self.range[k] < 1 << _LEAST)
+            if not small.size:
+                return
+            small = small if isinstance(k, slice) else k[small]
+            self._word(small)
+            self.range[small] <<= 16
 
     def close(self) -> list[bytes]:
-        for shift in (32, 16, 0):
-            k = np.arange(len(self.low))
-            self.out[k, self.at] = ((self.low >> shift) & 0xFFFF).astype(np.uint16)
-            self.at += 1
-        return [row[:n].astype("<u2").tobytes() for row, n in zip(self.out, self.at, strict=True)]
+        for _ in range(_LOW // 16):
+            self._word(np.arange(len(self.low)))
+        out = self.out
+        while True:
+            over = out >> 16
+            if not over.any():
+                break
+            out &= 0xFFFF
+            out[:, :-1] += over[:, 1:]
+        return [row[:n].astype("<u2").tobytes() for row, n in zip(out, self.at, strict=True)]
 
 
 class _Reader:
     def __init__(self, blocks: list[bytes]) -> None:
         n = len(blocks)
         words = [np.frombuffer(b, "<u2") for b in blocks]
-        self.words = np.zeros((n, max(map(len, words)) + 2), np.int64)
+        self.width = max(map(len, words)) + 4
+        self.words = np.zeros((n, self.width), "<u2")
         for row, w in zip(self.words, words, strict=True):
             row[: len(w)] = w
-        self.code = (self.words[:, 0] << 32) | (self.words[:, 1] << 16) | self.words[:, 2]
-        self.range, self.at = np.full(n, 1 << 48), np.full(n, 3)
-
-    def peek(self, k: np.ndarray) -> np.ndarray:
-        return np.minimum(self.code[k] // (self.range[k] >> 16), 65535)
+        self.words = self.words.reshape(-1)
+        self.at = np.arange(n) * self.width
+        self.range, self.value = np.full(n, 1 << _LOW), np.zeros(n, np.int64)
+        for _ in range(_LOW // 16):
+            self.value = self.value << 16 | self.words[self.at]
+            self.at += 1
 
-    def take(self, k: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
-        r = self.range[k] >> 16
-        code = self.code[k] - start * r
-        wide = width * r
-        small = wide <= 1 << 32
-        at = self.at[k]
-        last = self.words.shape[1] - 1
-        self.code[k] = np.where(small, (code << 16) | self.words[k, np.minimum(at, last)], code)
-        self.range[k] = np.where(small, wide << 16, wide)
-        self.at[k] = at + small
+    def take(self, start: np.ndarray, width: np.ndarray, r: np.ndarray, k: np.ndarray | slice) -> None:
+        self.value[k] -= start * r
+        self.range[k] = width * r
+        while True:
+            small = np.flatnonzero(self.range[k] < 1 << _LEAST)
+            if not small.size:
+                return
+            small = small if isinstance(k, slice) else k[small]
+            at = self.at[small]
+            self.value[small] = self.value[small] << 16 | self.words[at]
+            self.range[small] <<= 16
+            self.at[small] = np.minimum(at + 1, (small + 1) * self.width - 1)
 
 
-def _digits(wide: bool) -> tuple[int, ...]:
-    return (16, 0) if wide else (0,)
+def _padded(n: int) -> int:
+    return -(-n // STEP) * STEP
 
 
-def encode(ids: np.ndarray, block: int = BLOCK) -> list[tuple[int, int, bytes]]:
-    """Blocks of (ids, CRC-32 of the ids as little-endian 32-bit values, code), in order; none for no ids.
+def encode(ids: np.ndarray, table: Table | None = None, block: int = BLOCK) -> list[tuple[int, int, bytes]]:
+    """Blocks of (ids, CRC-32 of the ids as little-endian 32-bit values and then the code, code), in order; none for no ids.
 
-    Ids are below 2^32 - 1; a block whose largest id is 65536 or more has its plain ids in two digits, which the first word says.
+    The table (that of all the ids, if none is given) must have every id. A block is at most ``BLOCK`` ids.
     """
     ids = np.ascontiguousarray(ids, "<u4")
+    if not 0 < block <= BLOCK:
+        raise ValueError(f"a block has 1 to {BLOCK} ids")
     n = -(-len(ids) // block)
     if n == 0:
         return []
-    table = np.zeros((n, block), np.int64)
-    table.reshape(-1)[: len(ids)] = ids
-    last = len(ids) - (n - 1) * block
-    wide = bool(ids.max() >> 16)
-    if ids.max() == 0xFFFFFFFF:
-        raise ValueError("ids are below 2^32 - 1")
-    columns = np.ascontiguousarray(table.T)
-    model, out = _Model(n), _Writer(n, 3 * block + 16)
-    k = model.lane
-    for t in range(block if n > 1 else last):
-        if t == last:
+    table = table or Table.of(ids)
+    places = table.places(ids)
+    full = _padded(block)
+    last = _padded(len(ids) - (n - 1) * block)
+    steps = np.zeros((n, full), np.int32)
+    whole = (n - 1) * block
+    steps[:-1, :block] = places[:whole].reshape(n - 1, block)
+    steps[-1, : len(ids) - whole] = places[whole:]
+    steps = np.ascontiguousarray(steps.T)
+    model, out = _Model(table, n), _Writer(n, block // 2 + 64)
+    x1, x2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    k = slice(0, n)
+    for t in range(0, full if n > 1 else last, STEP):
+        if t == last and n > 1:
             model.shrink(n - 1)
-            k = model.lane
-        x = columns[t, : len(k)]
-        model.predict()
-        y = x + 1
-        hit2 = y == model.q2
-        hit1 = (y == model.q1) & ~hit2
-        slot = x & (_H0 - 1)
-        hit0 = (model.t0[model.lane0 + slot] == y) & ~hit2 & ~hit1
-        start = np.where(hit2, 0, np.where(hit1, model.b2, np.where(hit0, model.b1 + slot * model.w0, model.b0)))
-        end = np.where(hit2, model.b2, np.where(hit1, model.b1, np.where(hit0, start + model.w0, 65536)))
-        out.code(k, start, end - start)
-        plain = np.flatnonzero(~(hit2 | hit1 | hit0))
-        if plain.size:
-            one = np.ones(plain.size, np.int64)
-            for shift in _digits(wide):
-                out.code(plain, (x[plain] >> shift) & 0xFFFF, one)
-        model.update(x, hit2, hit1, hit0)
-    codes = out.close()
+            model.refresh()
+            k, x1, x2 = slice(0, n - 1), x1[:-1], x2[:-1]
+        place = steps[t : t + STEP, k]
+        x = np.minimum(place, table.own).astype(np.int64)
+        past1 = np.concatenate((x1[None], x[:-1]))
+        past2 = np.concatenate((x2[None], past1[:-1]))
+        i1 = model.lane1 + past1
+        pair = model.pair(past2, past1)
+        i2, check = model.lane2 + (pair >> 12), (pair & 0xFFF).astype(np.uint32)
+        v1, v2, fits = np.empty(x.shape, np.uint16), np.empty(x.shape, np.uint32), np.empty(x.shape, bool)
+        narrow = x.astype(np.uint16)
+        for j in range(STEP):
+            v1[j], v2[j] = model.t1[i1[j]], model.t2[i2[j]]
+            fits[j] = v2[j] >> 14 == check[j]
+            model.lead(narrow[j], i1[j], v1[j], i2[j], v2[j], check[j], fits[j])
+        q2, q1, c2, c1, b2, b1 = model.weights(v1, v2, fits)
+        hit2 = (q2 == x) & (c2 > 0)
+        hit1 = (q1 == x) & (c1 > 0) & ~hit2
+        group, s = np.divmod(x, GROUP)
+        at = (model.row + group) * (GROUP + 1) + s
+        flat = model.sums.reshape(-1)
+        before = model.before[group, model.lane].astype(np.int64)
+        unit = (((1 << _TOTAL) - b1) << 16) // model.total
+        start = b1 + ((before + flat[at]) * unit >> 16)
+        end = b1 + ((before + flat[at + 1]) * unit >> 16)
+        start = np.where(hit2, 0, np.where(hit1, b2, start))
+        width = np.where(hit2, b2, np.where(hit1, b1, end)) - start
+        rare = x == DENSE - 1 if len(table.rare) > 1 else None
+        for j in range(STEP):
+            out.code(start[j], width[j], out.range[k] >> _TOTAL, k)
+            if rare is not None and rare[j].any():
+                own = np.flatnonzero(rare[j])
+                p = place[j, own] - table.own
+                out.code(table.rare[p], table.rare[p + 1] - table.rare[p], out.range[own] // table.rare[-1], own)
+        model.count(x, c2, hit2, c1, hit1)
+        x1, x2 = x[-1], x[-2]
     blocks = []
-    for b, code in enumerate(codes):
+    for b, code in enumerate(out.close()):
         own = ids[b * block : (b + 1) * block]
-        blocks.append((len(own), zlib.crc32(own.tobytes()), bytes([wide]) + code))
+        blocks.append((len(own), zlib.crc32(code, zlib.crc32(own.tobytes())), code))
     return blocks
 
 
-def decode(blocks: list[tuple[int, int, bytes]]) -> list[np.ndarray]:
+def decode(blocks: list[tuple[int, int, bytes]], table: Table) -> list[np.ndarray]:
     """The ids of each block; ValueError if a checksum doesn't hold."""
     if not blocks:
         return []
-    if len({code[0] for _, _, code in blocks}) > 1:
-        return [decode([b])[0] for b in blocks]
-    wide = bool(blocks[0][2][0])
     order = sorted(range(len(blocks)), key=lambda b: -blocks[b][0])
-    sizes = np.array([blocks[b][0] for b in order])
-    model, source = _Model(len(blocks)), _Reader([blocks[b][2][1:] for b in order])
-    got = np.zeros((int(sizes[0]), len(blocks)), np.int64)
-    k = model.lane
-    for t in range(int(sizes[0])):
-        live = int(np.searchsorted(-sizes, -t, "left"))  # blocks with more than t ids
-        if live < len(k):
+    sizes = np.array([_padded(blocks[b][0]) for b in order])
+    model, source = _Model(table, len(blocks)), _Reader([blocks[b][2] for b in order])
+    got = np.zeros((int(sizes[0]), len(blocks)), np.int32)
+    x1, x2 = np.zeros(len(blocks), np.int64), np.zeros(len(blocks), np.int64)
+    live = len(blocks)
+    for t in range(0, int(sizes[0]), STEP):
+        now = int(np.searchsorted(-sizes, -t, "left"))  # blocks with more than t ids
+        if now < live:
+            live = now
             model.shrink(live)
-            k = model.lane
-        model.predict()
-        v = source.peek(k)
-        hit2 = v < model.b2
-        hit1 = ~hit2 & (v < model.b1)
-        hit0 = ~hit2 & ~hit1 & (v < model.b0)
-        slot = (v - model.b1) // model.w0
-        slot[~hit0] = 0
-        start = np.where(hit2, 0, np.where(hit1, model.b2, np.where(hit0, model.b1 + slot * model.w0, model.b0)))
-        end = np.where(hit2, model.b2, np.where(hit1, model.b1, np.where(hit0, start + model.w0, 65536)))
-        source.take(k, start, end - start)
-        x = np.where(hit2, model.q2, np.where(hit1, model.q1, model.t0[model.lane0 + slot])) - 1
-        plain = np.flatnonzero(~(hit2 | hit1 | hit0))
-        if plain.size:
-            one, value = np.ones(plain.size, np.int64), np.zeros(plain.size, np.int64)
-            for shift in _digits(wide):
-                digit = source.peek(plain)
-                source.take(plain, digit, one)
-                value |= digit << shift
-            x[plain] = value
-        model.update(x, hit2, hit1, hit0)
-        got[t, : len(k)] = x
+            model.refresh()
+            x1, x2 = x1[:live], x2[:live]
+        k = slice(0, live)
+        shape = (STEP, live)
+        x, c2, c1 = np.empty(shape, np.int64), np.empty(shape, np.int8), np.empty(shape, np.int8)
+        hit2, hit1 = np.empty(shape, bool), np.empty(shape, bool)
+        upper, flat = model.before[1:], model.sums.reshape(-1)
+        for j in range(STEP):
+            i1 = model.lane1 + x1
+            pair = model.pair(x2, x1)
+            i2, check = model.lane2 + (pair >> 12), (pair & 0xFFF).astype(np.uint32)
+            v1, v2 = model.t1[i1], model.t2[i2]
+            fits = v2 >> 14 == check
+            q2, q1, c2[j], c1[j], b2, b1 = model.weights(v1, v2, fits)
+            r = source.range[k] >> _TOTAL
+            v = np.minimum(source.value[k] // r, (1 << _TOTAL) - 1)
+            np.less(v, b2, out=hit2[j])
+            np.logical_and(v < b1, ~hit2[j], out=hit1[j])
+            unit = (((1 << _TOTAL) - b1) << 16) // model.total
+            c = np.minimum(((np.maximum(v - b1, 0) + 1 << 16) - 1) // unit, model.total - 1).astype(np.uint16)
+            group = np.add.reduce((upper <= c).view(np.uint8), 0, dtype=np.uint8).astype(np.int64)
+            row = model.row + group
+            before = model.before[group, model.lane]
+            below = model.sums.take(row, 0) <= (c - before)[:, None]
+            s = np.bitwise_count(below.view(np.uint64)).sum(1, dtype=np.int64) - 1
+            at = row * (GROUP + 1) + s
+            before = before.astype(np.int64)
+            start = b1 + ((before + flat[at]) * unit >> 16)
+            end = b1 + ((before + flat[at + 1]) * unit >> 16)
+            start = np.where(hit2[j], 0, np.where(hit1[j], b2, start))
+            width = np.where(hit2[j], b2, np.where(hit1[j], b1, end)) - start
+            source.take(start, width, r, k)
+            own = np.where(hit2[j], q2, np.where(hit1[j], q1, group * GROUP + s))
+            x[j] = own
+            got[t + j, k] = own
+            if len(table.rare) > 1:
+                few = np.flatnonzero(own == DENSE - 1)
+                if few.size:
+                    r = source.range[few] // table.rare[-1]
+                    v = np.minimum(source.value[few] // r, table.rare[-1] - 1)
+                    p = np.searchsorted(table.rare, v, "right") - 1
+                    source.take(table.rare[p], table.rare[p + 1] - table.rare[p], r, few)
+                    got[t + j, few] = table.own + p
+            model.lead(own.astype(np.uint16), i1, v1, i2, v2, check, fits)
+            x1, x2 = own, x1
+        model.count(x, c2, hit2, c1, hit1)
     out: list[np.ndarray] = [None] * len(blocks)  # type: ignore[list-item]
+    values = table.ids.astype("<u4")
     for place, b in enumerate(order):
-        ids = got[: sizes[place], place].astype("<u4")
-        if zlib.crc32(ids.tobytes()) != blocks[b][1]:
+        ids = values[np.minimum(got[: blocks[b][0], place], len(values) - 1)]
+        if zlib.crc32(blocks[b][2], zlib.crc32(ids.tobytes())) != blocks[b][1]:
             raise ValueError(f"the checksum of block {b} doesn't hold")
         out[b] = ids
     return out

@@ -1,8 +1,8 @@
 """Token ids on disk: a table's texts, encoded in key order, in files of range-coded blocks, and those files read back.
 
-A file holds, after the magic, its blocks one after another; then a footer with the block directory (ids, CRC-32, bytes) and
-the document directory (key or none, ids); then the footer's length and CRC-32 and the magic again. Blocks are independent:
-see ``idcoder``. The manifest is a table with one row per file: part and seq order the files, and give the order of the ids.
+A file holds, after the magic, its blocks one after another; then a footer with the block directory (ids, CRC-32, bytes), the document directory
+(key or none, ids) and the table of its ids that every block starts from; then the footer's length and CRC-32 and the magic again. Blocks need
+the footer's table and nothing of each other: see ``idcoder``. The manifest is a table with one row per file: part and seq order the files, and give the order of the ids.
 """
 
 from __future__ import annotations
@@ -19,23 +19,25 @@ from pyspark.sql import functions as F
 
 from trajlake.llm import idcoder
 from trajlake.llm.common import fan_out, folder, fresh_folder, publish, rows_of, stage
-from trajlake.llm.tokens import encoder
+from trajlake.llm.tokens import encoder, slices
 
-MAGIC = b"TLIDS1\r\n"
+MAGIC = b"TLIDS2\r\n"
 #: A file closes after the document that reaches this many ids.
-FILE_IDS = 6_000_000
+FILE_IDS = 4_000_000
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long"
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-def pack(keys: list[int | None], counts: list[int], ids: np.ndarray, block: int = idcoder.BLOCK) -> bytes:
+def pack(keys: list[int | None], counts: np.ndarray, ids: np.ndarray, block: int = idcoder.BLOCK) -> bytes:
     """One file's bytes."""
-    blocks = idcoder.encode(ids, block)
+    table = idcoder.Table.of(ids)
+    blocks = idcoder.encode(ids, table, block)
     directory = struct.pack("<QQ", len(blocks), len(keys))
     directory += np.array([(n, crc, len(code)) for n, crc, code in blocks], "<u4").tobytes()
     directory += np.array([k is not None for k in keys], "u1").tobytes()
-    directory += np.array([k or 0 for k in keys], "<i8").tobytes() + np.array(counts, "<i8").tobytes()
+    directory += np.array([k or 0 for k in keys], "<i8").tobytes() + np.asarray(counts, "<i8").tobytes()
     footer = zlib.compress(directory)
+    footer = struct.pack("<I", len(footer)) + footer + table.to_bytes()
     return b"".join((MAGIC, *(code for _, _, code in blocks), footer, struct.pack("<II", len(footer), zlib.crc32(footer)), MAGIC))
 
 
@@ -47,7 +49,8 @@ def unpack(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     footer = data[-16 - size : -16]
     if zlib.crc32(footer) != crc:
         raise ValueError("the footer's checksum doesn't hold")
-    directory = zlib.decompress(footer)
+    cut = 4 + struct.unpack_from("<I", footer)[0]
+    directory, ids_table = zlib.decompress(footer[4:cut]), idcoder.Table.from_bytes(footer[cut:])
     n, docs = struct.unpack_from("<QQ", directory)
     table = np.frombuffer(directory, "<u4", 3 * n, 16).reshape(n, 3).tolist()
     at = 16 + 12 * n
@@ -58,7 +61,7 @@ def unpack(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     for ids, crc, size in table:
         blocks.append((ids, crc, data[at : at + size]))
         at += size
-    parts = idcoder.decode(blocks)
+    parts = idcoder.decode(blocks, ids_table)
     return [int(k) if t else None for k, t in zip(keys, there, strict=True)], counts, np.concatenate(parts) if parts else np.zeros(0, "<u4")
 
 
@@ -70,7 +73,6 @@ def write_ids(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int,
     """
     spark = docs.sparkSession
     to = fresh_folder(spark, "ids")
-    end = np.array([end_id], "<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
@@ -78,20 +80,28 @@ def write_ids(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int,
         keys, counts, parts, held = [], [], [], 0
 
         def close() -> pa.RecordBatch:
-            data = pack(keys, counts, np.frombuffer(b"".join(parts), "<u4"), block)
+            data = pack(keys, np.concatenate(counts), np.concatenate(parts), block)
             path = publish(to, f"part-{part:05d}-{seq:05d}", data)
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [path], "n_docs": [len(keys)], "n_tokens": [held]})
 
         for batch in batches:
-            for k, t in rows_of(batch, ["k", "t"]):
-                ids = coder.encode(t) + end
-                keys.append(k)
-                counts.append(len(ids) // 4)
-                parts.append(ids)
-                held += counts[-1]
-                if held >= file_ids:
-                    yield close()
-                    keys, counts, parts, held, seq = [], [], [], 0, seq + 1
+            for some in slices(batch, "t"):
+                ids, size = coder.encode_batch(some.column("t"))
+                ids, size = np.insert(ids, np.cumsum(size), end_id), size + 1
+                ends = np.cumsum(size)
+                own, at = some.column("k").to_pylist(), 0
+                while at < len(own):
+                    begin = int(ends[at] - size[at])
+                    # To the document that fills the file, or all.
+                    stop = min(int(np.searchsorted(ends, begin + file_ids - held)) + 1, len(own))
+                    keys += own[at:stop]
+                    counts.append(size[at:stop])
+                    parts.append(ids[begin : ends[stop - 1]])
+                    held += int(ends[stop - 1]) - begin
+                    at = stop
+                    if held >= file_ids:
+                        yield close()
+                        keys, counts, parts, held, seq = [], [], [], 0, seq + 1
         if keys:
             yield close()
 
@@ -107,7 +117,8 @@ def read_ids(manifest: DataFrame) -> DataFrame:
         manifest.join(before, "part")
         .withColumn("start", F.col("before") + F.sum("n_tokens").over(Window.partitionBy("part").orderBy("seq")) - F.col("n_tokens"))
         .select("path", "start")
-        .repartition(fan_out(manifest.sparkSession), "path")
+        # By ranges of a unique number, so that each task has as many files as any other.
+        .repartitionByRange(fan_out(manifest.sparkSession), "start")
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,8 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trajlake.llm.common import rows_of
-from trajlake.llm.tokens import encoder
+from trajlake.llm.tokens import encoder, slices
 
 #: Lengths of a block whose suffix sums are made together.
 SPAN = 512
@@ -23,11 +23,10 @@ def length_histogram(docs: DataFrame, text: str, tokenizer: str) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, seen = encoder(tokenizer), {}
+        coder, seen = encoder(tokenizer), Counter()
         for batch in batches:
-            for (t,) in rows_of(batch, ["t"]):
-                n = len(coder.encode(t)) // 4
-                seen[n] = seen.get(n, 0) + 1
+            for some in slices(batch, "t"):
+                seen.update(coder.encode_batch(some.column("t"))[1].tolist())
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array(np.fromiter(x, np.int64)) for x in (seen.keys(), seen.values())], ["length", "n"])
 
