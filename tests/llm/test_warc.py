@@ -39,6 +39,18 @@ def test_round_trip_revisits_and_seeking(spark):
     assert plain.startswith(b"WARC/1.1\r\n")  # any reader can read it from the start
 
 
+def test_bundles_are_read_in_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(i, f"u{i}", f"{i} " * 200, 0) for i in range(400)], SCHEMA)
+    index = warc.write_bundles(warc.mark_revisits(docs, "page_id", "url", "html"), frame_bytes=2000, bundle_bytes=4000)
+    fan = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert index.select("bundle").distinct().count() >= 10 * fan
+    for out in (warc.read_bundles(index), warc.fetch(index, docs, "page_id")):
+        own = out.groupBy(F.spark_partition_id()).count().collect()
+        assert len(own) == fan and max(r["count"] for r in own) < 2 * 400 / fan
+
+
 def test_least_size_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "u", "a", 0), (2, "u", "a", 0), (3, "u", "abc", 0), (4, "u", "abc", 0)], SCHEMA)
     kinds = {r["page_id"]: r["revisit"] for r in warc.mark_revisits(docs, "page_id", "url", "html", min_bytes=2).collect()}

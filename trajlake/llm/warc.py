@@ -205,7 +205,8 @@ def read_bundles(index: DataFrame) -> DataFrame:
                             rows.append(page_row(headers, block))
                         yield _record_batch(rows)
 
-    return index.select("bundle").distinct().repartition(fan_out(index.sparkSession), "bundle").mapInArrow(read, RECORDS)
+    # By ranges: the optimizer would drop a second hash by bundle after distinct, and the few rows would end up in one task.
+    return index.select("bundle").distinct().repartitionByRange(fan_out(index.sparkSession), "bundle").mapInArrow(read, RECORDS)
 
 
 def fetch(index: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -220,7 +221,8 @@ def fetch(index: DataFrame, ids: DataFrame, key: str) -> DataFrame:
                 yield _record_batch([page_row(*parse(data, p)[:2]) for p in places])
 
     wanted = index.join(ids.select(F.col(key).alias("page_id")).distinct(), "page_id", "left_semi")
-    return wanted.groupBy("bundle", "frame").agg(F.collect_list("frame_offset").alias("places")).mapInArrow(read, RECORDS)
+    frames = wanted.groupBy("bundle", "frame").agg(F.collect_list("frame_offset").alias("places"))
+    return frames.repartitionByRange(fan_out(index.sparkSession), "bundle", "frame").mapInArrow(read, RECORDS)
 
 
 def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
