@@ -60,6 +60,35 @@ def test_sums_come_near_targets_and_reruns_agree(spark):
     assert sorted(map(key, got)) == sorted(map(key, run(spark, list(reversed(rows)), shard_docs=64).collect()))
 
 
+def test_taken_words_of_each_document_against_a_plain_mix(spark):
+    """Shard by shard: whole rounds for all, and once more the first words of the seeded order."""
+    rng = random.Random(6)
+    rows = [(i if i % 9 else None, " ".join(["w"] * rng.randrange(0, 30)) + f" {i}", rng.choice("aab"), i) for i in range(300)]
+    sized = M.sized(spark.createDataFrame(rows, SCHEMA), "doc_id", "text", "source", 17)
+    by_source, by_shard = M.quotas(sized, shard_docs=40)
+    shards = {r["mix_key"]: r["mix_shards"] for r in by_source.collect()}
+    words = {(r["mix_key"], r["mix_place"]): r["mix_words"] for r in by_shard.collect()}
+    want: dict[int, int] = {}
+    for name, n in shards.items():
+        own = [r for r in sized.collect() if r["mix_source"] == name]
+        assert n > 1 and sum(r["mix_size"] for r in own)
+        for k in range(n):
+            row = sorted((r for r in own if r["mix_deal"] % n == k), key=lambda r: (r["mix_order"], r["mix_deal"]))
+            line = [r["mix_note"] for r in row for _ in range(r["mix_size"])]
+            for r in row:
+                want[r["mix_note"]] = 0
+            for i in range(words.get((name, k), 0)):
+                want[line[i % len(line)]] += 1
+    got = {r["mix_note"]: r["mix_taken"] for r in M.take(sized, by_source, by_shard).collect()}
+    assert got == want and len({r["mix_deal"] for r in sized.collect() if r["doc_id"] is None}) > 20
+
+
+def test_columns_of_the_same_names_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", 5, "x"), (2, "c", "s", 6, None)], "doc_id long, text string, source string, mix_size int, Mix_Key string")
+    sized = M.sized(docs, "doc_id", "text", "source", 1)
+    assert {r["doc_id"]: r["mix_taken"] for r in M.take(sized, *M.quotas(sized)).collect()} == {1: 2, 2: 1}
+
+
 def test_empty_and_wordless_tables(spark):
     assert run(spark, []).count() == 0
     assert [r["mix_taken"] for r in run(spark, [(1, None, "a", 0), (2, " \t", None, 0)]).collect()] == [0, 0]

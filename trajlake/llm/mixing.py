@@ -19,7 +19,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Documents of a shard, about, and the most shards: what the driver holds and joins by broadcast is bounded by them.
+#: Documents of a shard, about, and the most shards: what the driver holds and joins by broadcast is bounded by them and the number of sources.
 SHARD_DOCS, MAX_SHARDS = 512, 50_000
 #: Most words of a block, and the blocks that the smallest target has at least where it has as many words.
 BLOCK_WORDS, LEAST_BLOCKS = 256, 400
@@ -72,14 +72,21 @@ def sainte_lague(votes: list[Fraction | int], seats: int, most: list[int] | None
     return got
 
 
+#: What the operator adds to rows; input columns of these names are replaced.
+ADDED = ("mix_size", "mix_source", "mix_deal", "mix_order", "mix_key", "mix_place", "mix_source_size", "mix_target", "mix_shards", "mix_shard", "mix_shard_size", "mix_words", "mix_taken")
+
+
 def sized(docs: DataFrame, key: str, text: str, source: str, seed: int) -> DataFrame:
-    """The input with what the mix needs of each row: mix_size (words), mix_source, and two seeded hashes."""
+    """The input with what the mix needs of each row: mix_size (words), mix_source, and two seeded hashes of key and text.
+
+    Rows without a key are dealt by their texts, so they don't make one shard. Input columns with a name in ``ADDED`` are replaced.
+    """
     return docs.select(
-        "*",
+        *(F.col(f"`{c}`") for c in docs.columns if c.lower() not in ADDED),
         n_words(F.col(text)).alias("mix_size"),
         F.col(source).cast("string").alias("mix_source"),
-        F.xxhash64(F.col(key), F.lit(seed)).alias("mix_deal"),
-        F.xxhash64(F.col(key), F.lit(seed + 1), F.col(text)).alias("mix_order"),
+        F.xxhash64(F.col(key), F.col(text), F.lit(seed)).alias("mix_deal"),
+        F.xxhash64(F.col(key), F.col(text), F.lit(seed + 1)).alias("mix_order"),
     )
 
 
@@ -110,9 +117,8 @@ def quotas(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3,
 
 
 def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A table from the driver's own list, to be broadcast if its length allows it; else joined by a shuffle."""
-    table = spark.createDataFrame(rows, schema)
-    return F.broadcast(table) if len(rows) <= 2 * MAX_SHARDS else table
+    """The driver's own list as a table to broadcast: a row per source, or at most ``MAX_SHARDS`` and one more per source."""
+    return F.broadcast(spark.createDataFrame(rows, schema))
 
 
 def _dealt(rows: DataFrame, by_source: DataFrame) -> DataFrame:
