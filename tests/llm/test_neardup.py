@@ -76,6 +76,32 @@ def test_empty_table_extra_columns_and_repeated_rows(spark):
     assert sorted(neardup.keep_one(docs).collect(), key=str) == sorted([docs.collect()[i] for i in (0, 3, 4)], key=str)
 
 
+def test_rows_of_one_key_are_judged_by_their_texts(spark):
+    a, b = "a b c d e f g", "p q r s t u v"
+    rows = [(3, a, 0), (5, a, 1), (5, b, 2), (7, a, 3), (None, a, 4), (None, "x y z", 5), (None, "x y z", 6), (9, b, 7), (2, None, 8), (2, None, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, stays int")
+    got = sorted(tuple(r) for r in neardup.keep_one(docs).collect() if r["text"] not in (None, "x y z"))
+    assert got == [(3, a, 0), (5, b, 2)]
+    rest = [tuple(r) for r in neardup.keep_one(docs).collect() if r["text"] in (None, "x y z")]
+    assert len([r for r in rest if r[1]]) == 1 and len([r for r in rest if r[1] is None]) == 2
+    found = sorted(map(tuple, neardup.near_duplicates(docs).collect()), key=str)
+    assert found == sorted([(3, 3, 3, True), (5, 3, 3, False), (5, 3, 5, True), (7, 3, 3, False), (None, 3, 3, None), (None, 1, None, None), (None, 1, None, None), (9, 3, 5, False), (2, 0, 2, True), (2, 0, 2, True)], key=str)
+
+
+def test_filter_lets_all_keys_through_and_few_others(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from trajlake.llm import common
+
+    rows = spark.range(4000).select("id", F.xxhash64("id").alias("h"))
+    for words in (1 << 18, 3):
+        monkeypatch.setattr(common, "FILTER_WORDS", words)
+        some, clear = common.split_by(rows, "h", common.key_filter(rows.where("id % 10 = 0"), "h"))
+        ids = {r["id"] for r in some.collect()}
+        assert ids >= set(range(0, 4000, 10)) and ids.isdisjoint(r["id"] for r in clear.collect())
+        assert len(ids) + clear.count() == 4000 and (words < 9 or len(ids) < 420)
+
+
 def test_signature_of_small_sets_is_full_and_equal_sets_agree():
     oph = OnePermutation(8, 4)
     for text in ("one", "one two three", "a b c d e f g h i j k l m"):

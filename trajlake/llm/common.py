@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
@@ -42,9 +42,27 @@ def stage(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded(table: DataFrame, rows: int) -> DataFrame:
-    """A staged table of narrow rows, to be broadcast if it has at most so many; beyond that Spark joins it by a shuffle."""
-    return F.broadcast(table) if table.count() <= rows else table
+#: Words of 64 bits of a filter: what is broadcast is never more than so many rows of 16 bytes.
+FILTER_WORDS = 1 << 18
+
+
+def key_filter(keys: DataFrame, column: str) -> DataFrame:
+    """A Bloom filter of 64-bit hashes as a table (filter_word, filter_bits) of at most ``FILTER_WORDS`` rows, whatever the number of keys."""
+    word, bit = _place(F.col(column))
+    return stage(keys.groupBy(word.alias("__filter_word")).agg(F.bit_or(bit).alias("__filter_bits")), "filter")
+
+
+def split_by(rows: DataFrame, column: str, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose hash may be among a filter's keys, and those whose hash is none of them for certain. Only the first need a shuffle."""
+    word, bit = _place(F.col(column))
+    own = rows.withColumn("__filter_word", word).join(F.broadcast(words), "__filter_word", "left")
+    some = F.coalesce(F.col("__filter_bits").bitwiseAND(bit) != 0, F.lit(False))
+    return own.where(some).drop("__filter_word", "__filter_bits"), own.where(~some).drop("__filter_word", "__filter_bits")
+
+
+def _place(h: Column) -> tuple[Column, Column]:
+    """The word of a hash in the filter, and its bit there."""
+    return F.pmod(F.shiftrightunsigned(h, 6), F.lit(FILTER_WORDS)), F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
 
 
 def fan_out(spark: SparkSession) -> int:

@@ -6,12 +6,15 @@ candidate clusters: any two classes that share a bucket are in one, so links are
 sets.
 
 * A cluster of at most ``SMALL`` classes goes to one task, which counts all common shingles by matrix products.
-* A larger one is first held against a few hubs, the members that share buckets with most others; this is a row per member
-  and hub, and a skewed join that AQE can split. What is not in the cluster's largest component after that is held
-  against all of the cluster in blocks of ``BLOCK`` by ``BLOCK`` sets; a block returns a spanning forest of its links.
+* In a larger one stars go on: the member that shares buckets with most others is a hub, and all members that no hub has are held against it; this is a
+  row per member, and a skewed join that AQE can split. Rounds go on while a hub takes a ``GAIN``-th of what is left.
+* What is outside of the cluster's largest component then meets members of other components, and only those that share a bucket with it: whole signatures first,
+  block by block, then the full sets of the pairs whose signatures agree in at least ``AGREE`` of their values. At the threshold of 80 of 100 a pair of
+  sets agrees in less with a probability of 1 in 10^9.
 
 So every link between texts that share a bucket counts, whatever the size of its group. With 32 bands of 5 values, two texts
-at the threshold share none with a probability of 3 in a million.
+at the threshold share none with a probability of 3 in a million. Texts are fetched by a filter of fixed size, so that only rows
+that may be wanted are shuffled; the plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -24,14 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.llm.common import U64, bounded, rows_of, stage
+from trajlake.llm.common import U64, key_filter, rows_of, split_by, stage
 from trajlake.llm.components import components
 from trajlake.llm.shingles import OnePermutation, set_key, shingle_set
 
 BANDS, ROWS = 32, 5
-SMALL, BLOCK, HUBS = 128, 64, 3
-#: Most rows of (class, cluster, key) and of keys that are broadcast so that texts needn't be shuffled, 20 MB or so; more are joined by a shuffle.
-WANTED, GONE = 250_000, 1_000_000
+#: Classes of a cluster that one task compares; signatures of a block.
+SMALL, BLOCK = 128, 1024
+#: Hubs go on while one takes this share of the members left; share of a signature's values that must agree, as a part of the least similarity.
+GAIN, AGREE = 0.05, 0.75
 #: Distinct shingles counted by one matrix product.
 COLUMNS = 1 << 14
 
@@ -77,15 +81,21 @@ def forest(links: np.ndarray) -> list[tuple[int, int]]:
     return [(i, int(r)) for i, r in enumerate(root) if i != r]
 
 
+def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc_id, t and a hash of both, which tells the rows of one key apart by their texts."""
+    k, t = F.col(key).cast("long"), F.col(text)
+    return docs.select(k.alias("doc_id"), F.xxhash64(k, t).alias("rid"), t.alias("t"))
+
+
 def classes(docs: DataFrame, key: str, text: str, width: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, cls (None without words), n (set size), buckets (of one row of each class and task only): one row for each input row, staged."""
+    """doc_id, rid, cls (None without words), n (set size), buckets (of one row of each class and task only): one row for each input row, staged."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         oph = OnePermutation(bands, rows)
         sent: set[bytes] = set()
         for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
-            for k, t in rows_of(batch, ["k", "t"]):
+            out: tuple[list, ...] = ([], [], [], [], [])
+            for k, r, t in rows_of(batch, ["doc_id", "rid", "t"]):
                 s = shingle_set(t, width)
                 cls = set_key(s) if len(s) else None
                 b = None
@@ -94,29 +104,30 @@ def classes(docs: DataFrame, key: str, text: str, width: int, bands: int, rows:
                     sent.add(cls)
                     if len(sent) > 200_000:
                         sent.clear()
-                for column, x in zip(out, (k, cls, len(s), b), strict=True):
+                for column, x in zip(out, (k, r, cls, len(s), b), strict=True):
                     column.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.list_(pa.int64()))], ["doc_id", "cls", "n", "buckets"])
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(out, kinds, strict=True)], ["doc_id", "rid", "cls", "n", "buckets"])
 
-    rows_ = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-    return stage(rows_.mapInArrow(sign, "doc_id long, cls binary, n long, buckets array<long>"), "classes")
+    return stage(_rows(docs, key, text).mapInArrow(sign, "doc_id long, rid long, cls binary, n long, buckets array<long>"), "classes")
 
 
 def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame, width: int) -> DataFrame:
-    """cls, cluster, set: the full shingle sets of the wanted (cls, cluster, doc_id), made anew from the texts."""
+    """cls, cluster, set: the full shingle sets of the wanted (cls, cluster, rid), made anew from the texts."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])
             for cls, cluster, t in rows_of(batch, ["cls", "cluster", "t"]):
                 s = shingle_set(t, width)
-                if len(s) and set_key(s) == cls:  # another row may have the same doc_id
+                if len(s) and set_key(s) == cls:
                     for column, x in zip(out, (cls, cluster, s.tobytes()), strict=True):
                         column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in out], ["cls", "cluster", "shingles"])
 
-    rows_ = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("t")).join(bounded(wanted, WANTED), "doc_id").select("cls", "cluster", "t")
-    return stage(rows_.mapInArrow(make, "cls binary, cluster binary, shingles binary"), "sets")
+    some, _ = split_by(_rows(docs, key, text).select("rid", "t"), "rid", key_filter(wanted, "rid"))
+    found = some.join(wanted, "rid").select("cls", "cluster", "t")
+    return stage(found.mapInArrow(make, "cls binary, cluster binary, shingles binary"), "sets")
 
 
 def _unpack(column: pd.Series) -> list[np.ndarray]:
@@ -134,108 +145,142 @@ def _small(sets: DataFrame, percent: int) -> DataFrame:
     return sets.groupBy("cluster").applyInPandas(links, "a binary, b binary")
 
 
-def _hub_links(sets: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
-    """a, b: the members linked with a hub of their cluster. One row per member and hub is all that is compared."""
+def _linked_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """a, b of the rows (a, b, x, y) whose sets x and y are linked."""
+    for batch in batches:
+        a, b = [], []
+        for p, q, x, y in rows_of(batch, ["a", "b", "x", "y"], 64):
+            s, t = np.frombuffer(x, U64), np.frombuffer(y, U64)
+            if p != q and 100 * min(len(s), len(t)) >= percent * max(len(s), len(t)):
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                if 100 * both >= percent * (len(s) + len(t) - both):
+                    a.append(p)
+                    b.append(q)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+
+def _hub_links(sets: DataFrame, members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
+    """a, b: the members (cls, cluster) linked with the hub of their cluster. One row per member is all that is compared."""
+    hub_sets = hubs.join(sets.select(F.col("cls").alias("hub"), F.col("shingles").alias("hub_set")), "hub").select("cluster", "hub", "hub_set")
+    rows = members.select("cls").join(sets, "cls").join(hub_sets, "cluster").select(F.col("cls").alias("a"), F.col("hub").alias("b"), F.col("shingles").alias("x"), F.col("hub_set").alias("y"))
+    return rows.mapInArrow(lambda batches: _linked_rows(batches, percent), "a binary, b binary")
+
+
+def _bucket_links(sets: DataFrame, labels: DataFrame, rest: DataFrame, percent: int, bands: int, rows: int) -> DataFrame:
+    """a, b: links of the rest with members of other components (cls, root) that are in one of their buckets."""
+    least = int(AGREE * percent * bands * rows / 100)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        oph = OnePermutation(bands, rows)
         for batch in batches:
-            a, b = [], []
-            for cls, hub, x, y in rows_of(batch, ["cls", "hub", "shingles", "hub_set"], 64):
-                s, t = np.frombuffer(x, U64), np.frombuffer(y, U64)
-                if cls != hub and 100 * min(len(s), len(t)) >= percent * max(len(s), len(t)):
-                    both = len(np.intersect1d(s, t, assume_unique=True))
-                    if 100 * both >= percent * (len(s) + len(t) - both):
-                        a.append(cls)
-                        b.append(hub)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-
-    hub_sets = hubs.join(sets.select(F.col("cls").alias("hub"), F.col("shingles").alias("hub_set")), "hub")
-    return sets.join(hub_sets, "cluster").select("cls", "hub", "shingles", "hub_set").mapInArrow(compare, "a binary, b binary")
-
-
-def _block_links(sets: DataFrame, rest: DataFrame, percent: int) -> DataFrame:
-    """a, b: links of the rest (cls, cluster) with all members of their clusters, block by block."""
-    counts = rest.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
-    all_counts = sets.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("all_parts"))
-    shape = counts.join(all_counts, "cluster")
+            for cls, root, outside, x in rows_of(batch, ["cls", "root", "outside", "shingles"], 64):
+                s = np.frombuffer(x, U64)
+                sig = (oph.signature(s) & U64(0xFF)).astype(np.uint8).tobytes()
+                b = oph.buckets(s)
+                n = len(b)
+                yield pa.RecordBatch.from_arrays([pa.array(b), pa.array([cls] * n, pa.binary()), pa.array([root] * n, pa.binary()), pa.array([outside] * n), pa.array([len(s)] * n, pa.int64()), pa.array([sig] * n, pa.binary())], ["bucket", "cls", "root", "outside", "n", "sig"])
+
+    own = sets.join(labels, "cls").join(rest.select("cls", F.lit(True).alias("outside")), "cls", "left").select("cls", "root", F.coalesce("outside", F.lit(False)).alias("outside"), "shingles")
+    signed = stage(own.mapInArrow(sign, "bucket long, cls binary, root binary, outside boolean, n long, sig binary"), "signed")
+    # Buckets with a member outside and two components; one row per bucket.
+    shape = signed.groupBy("bucket").agg(F.count(F.lit(1)).alias("all"), F.count_if("outside").alias("out"), F.min("root").alias("low"), F.max("root").alias("high")).where("out > 0 and low <> high")
+    shape = shape.select("bucket", F.ceil(F.col("out") / BLOCK).cast("long").alias("parts"), F.ceil(F.col("all") / BLOCK).cast("long").alias("all_parts"))
+    placed = signed.join(shape, "bucket")
     part = lambda n: F.pmod(F.xxhash64("cls"), n)
-    left = sets.join(rest, ["cls", "cluster"]).join(shape, "cluster").select("cluster", part(F.col("parts")).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_parts") - 1)).alias("j"), "cls", "shingles")
-    right = sets.join(shape, "cluster").select("cluster", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("i"), part(F.col("all_parts")).alias("j"), "cls", "shingles")
-
-    def links(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        s, t = _unpack(x["shingles"]), _unpack(y["shingles"])
-        if not s or not t:
-            return pd.DataFrame({"a": [], "b": []})
-        hit = linked(common_counts(s, t), np.array([len(v) for v in s]), np.array([len(v) for v in t]), percent)
-        n = len(s)
-        square = np.zeros((n + len(t), n + len(t)), bool)
-        square[:n, n:], square[n:, :n] = hit, hit.T
-        names = [*x["cls"], *y["cls"]]
-        found = [(names[i], names[r]) for i, r in forest(square) if names[i] != names[r]]
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    keys = ["cluster", "i", "j"]
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    names = ["bucket", "i", "j", "cls", "root", "n", "sig"]
     # New names for the same columns: both sides come from one table.
-    left, right = left.toDF(*keys, "cls", "shingles"), right.toDF(*keys, "cls", "shingles")
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(links, "a binary, b binary")
-
+    left = placed.where("outside").select("bucket", part(F.col("parts")).alias("i"), every("all_parts").alias("j"), "cls", "root", "n", "sig").toDF(*names)
+    right = placed.select("bucket", every("parts").alias("i"), part(F.col("all_parts")).alias("j"), "cls", "root", "n", "sig").toDF(*names)
+
+    def near(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        a, b = [], []
+        if len(x) and len(y):
+            sig = np.frombuffer(b"".join(y["sig"]), np.uint8).reshape(len(y), -1)
+            n, root, cls = y["n"].to_numpy(), y["root"].to_numpy(), y["cls"].to_numpy()
+            for c, r, m, s in zip(x["cls"], x["root"], x["n"], x["sig"], strict=True):
+                same = np.count_nonzero(sig == np.frombuffer(s, np.uint8), axis=1)
+                fit = (same >= least) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (root != r)
+                for other in cls[fit]:
+                    a.append(min(c, other))
+                    b.append(max(c, other))
+        return pd.DataFrame({"a": a, "b": b})
+
+    keys = ["bucket", "i", "j"]
+    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(near, "a binary, b binary").distinct()
+    x = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
+    y = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
+    both = stage(pairs, "pairs").join(x, "a").join(y, "b").select("a", "b", "x", "y")
+    return both.mapInArrow(lambda batches: _linked_rows(batches, percent), "a binary, b binary")
+
+
+def _large(large: DataFrame, popular: DataFrame, percent: int, bands: int, rows: int) -> DataFrame:
+    """a, b: links that hold the components of large clusters (cls, cluster, shingles; popular: cls, met) together."""
+    left = stage(large.select("cls", "cluster").join(popular, "cls"), "left")
+    edges, n = None, left.count()
+    while n:
+        hubs = stage(left.groupBy("cluster").agg(F.expr("max_by(cls, struct(met, cls))").alias("hub")), "hubs")
+        found = stage(_hub_links(large, left, hubs, percent), "links")
+        edges = found if edges is None else edges.unionByName(found)
+        gone = found.select(F.col("a").alias("cls")).union(hubs.select("hub"))
+        left = stage(left.join(gone.distinct(), "cls", "left_anti"), "left")
+        before, n = n, left.count()
+        if before - n < GAIN * before:
+            break
+    parts = components(edges, "a", "b")
+    at = stage(large.select("cls", "cluster").join(parts, parts["node"] == F.col("cls"), "left").select("cls", "cluster", F.coalesce("root", "cls").alias("root")), "labels")
+    biggest = at.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("cluster").agg(F.expr("max_by(root, struct(n, root))").alias("main"))
+    rest = stage(at.join(biggest, "cluster").where("root <> main").select("cls"), "rest")
+    return edges.unionByName(_bucket_links(large, at.select("cls", "root"), rest, percent, bands, rows))
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest key reachable by links, itself included) and kept, one row for each input row.
 
-    A link is 100 * intersection >= percent * union of the full sets. Null and empty texts, and those of white space, have
-    empty sets and link with nothing. Rows with equal keys are rows of their own; those whose key is the component's are all
-    kept. A null key takes no part in the choice of the smallest, and is kept only by a caller who says so.
-    """
+def grouped(docs: DataFrame, key: str, text: str, width: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """doc_id, rid, n and root of each input row: rows with one root are one group; no root without words."""
     given = classes(docs, key, text, width, bands, rows)
-    rep = given.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+    rep = given.where("cls is not null").groupBy("cls").agg(F.min("rid").alias("rid"))
     members = given.where("buckets is not null").select("cls", F.explode("buckets").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high").drop("high")
     found = stage(members.join(shared, "bucket").select("cls", "low", "m"), "buckets")
     star = components(found.where("cls <> low").select("cls", "low").distinct(), "cls", "low")
-    cluster = stage(star.select(F.col("node").alias("cls"), F.col("root").alias("cluster")).join(rep, "cls").select("cls", "cluster", "doc_id"), "clusters")
+    cluster = stage(star.select(F.col("node").alias("cls"), F.col("root").alias("cluster")).join(rep, "cls").select("cls", "cluster", "rid"), "clusters")
     sets = _sets(docs, key, text, cluster, width)
-    many = sets.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > SMALL).select("cluster")
+    many = cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > SMALL).select("cluster")
     edges = stage(_small(sets.join(many, "cluster", "left_anti"), percent), "links")
     if many.limit(1).count():
-        large = stage(sets.join(many, "cluster", "left_semi"), "large")
+        large = stage(sets.join(many, "cluster", "left_semi").dropDuplicates(["cls"]), "large")
         popular = found.groupBy("cls").agg(F.sum("m").alias("met"))
-        rank = large.select("cls", "cluster").join(popular, "cls")
-        hubs = rank.groupBy("cluster").agg(F.expr("max_by(cls, struct(met, cls))").alias("hub"))
-        hub_edges = stage(_hub_links(large, hubs, percent), "links")
-        for _ in range(HUBS - 1):
-            # The next hub is the most popular member that no hub is linked with.
-            left = rank.join(hub_edges.select(F.col("a").alias("cls")).union(hub_edges.select(F.col("b").alias("cls"))).distinct(), "cls", "left_anti")
-            left = left.join(hubs.select(F.col("hub").alias("cls")), "cls", "left_anti")
-            more = left.groupBy("cluster").agg(F.expr("max_by(cls, struct(met, cls))").alias("hub"))
-            hubs = stage(hubs.union(more), "hubs")
-            hub_edges = stage(hub_edges.union(_hub_links(large, more, percent)), "links")
-        parts = components(hub_edges, "a", "b")
-        at = large.select("cls", "cluster").join(parts, parts["node"] == F.col("cls"), "left").select("cls", "cluster", F.coalesce("root", "cls").alias("root"))
-        biggest = at.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("cluster").agg(F.expr("max_by(root, struct(n, root))").alias("main"))
-        rest = stage(at.join(biggest, "cluster").where("root <> main").select("cls", "cluster"), "rest")
-        edges = stage(edges.union(hub_edges).union(_block_links(large, rest, percent)), "links")
-    roots = components(edges, "a", "b")
-    lows = roots.join(rep.withColumnRenamed("cls", "node"), "node").groupBy("root").agg(F.min("doc_id").alias("low"))
-    smallest = roots.join(lows, "root")
-    return given.select("doc_id", "n", "cls").join(rep.withColumnRenamed("doc_id", "own"), "cls", "left").join(smallest.select(F.col("node").alias("cls"), "low"), "cls", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.coalesce("low", "own", "doc_id").alias("component_id"),
-        (F.col("doc_id") == F.coalesce("low", "own", "doc_id")).alias("kept"),
-    )
+        edges = edges.unionByName(stage(_large(large, popular, percent, bands, rows), "links"))
+    roots = components(edges, "a", "b").select(F.col("node").alias("cls"), "root")
+    return stage(given.select("doc_id", "rid", "n", "cls").join(roots, "cls", "left").select("doc_id", "rid", "n", F.coalesce("root", "cls").alias("root")), "groups")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest key reachable by links, itself included) and kept, one row for each input row.
+
+    A link is 100 * intersection >= percent * union of the full sets. Null and empty texts, and those of white space, have
+    empty sets and link with nothing. Rows with equal keys are rows of their own; those whose key is the component's are all
+    kept. A null key takes no part in the choice of the smallest; kept is null where the key or the component's is.
+    """
+    found = grouped(docs, key, text, width, percent, bands, rows)
+    lows = found.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("low"))
+    low = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("low"))
+    return found.join(lows, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), low.alias("component_id"), (F.col("doc_id") == low).alias("kept"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """The input's rows and columns without near duplicates: of each group, the row with the smallest key stays.
+    """The input's rows and columns without near duplicates: of each group one row stays, that with the smallest key.
 
-    Texts without words stay. Rows that repeat a key and its text stay once, where they have words.
+    Decisions are by row: rows that share a key but not a group have nothing to do with each other. Of several rows of a group with the
+    smallest key one stays; a row without a key stays only if its whole group has none. Rows without words stay.
     """
-    found = stage(near_duplicates(docs, key, text, width, percent), "groups")
-    gone = stage(found.where(~F.coalesce("kept", F.lit(True))).select(F.col("doc_id").alias(key)).distinct(), "gone")
-    kept = docs.join(bounded(gone, GONE), key, "left_anti")
-    again = found.where("kept and n_shingles > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias(key))
-    if again.limit(1).count():
-        again = stage(again, "again")
-        kept = kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates([key, text]))
-    return kept
+    found = grouped(docs, key, text, width, percent, BANDS, ROWS).where("root is not null")
+    best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
+    first = found.groupBy("root").agg(F.min(best).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("root", F.col("first.rid").alias("first"))
+    # What is not the first of its group goes; a first that has its twin in the table stays once.
+    asked = found.join(first, "root").groupBy("rid").agg(F.min(F.col("rid") == F.col("first")).alias("stays"), F.count(F.lit(1)).alias("rows"))
+    fates = stage(asked.where("not stays or rows > 1").select(F.col("rid").alias("__rid"), F.col("stays").alias("__stays")), "fates")
+    rows = docs.withColumn("__rid", F.xxhash64(F.col(key).cast("long"), F.col(text)))
+    some, clear = split_by(rows, "__rid", key_filter(fates, "__rid"))
+    judged = some.join(fates, "__rid", "left")
+    twins = judged.where("__stays").dropDuplicates(["__rid"])
+    return clear.select(*docs.columns).unionByName(judged.where("__stays is null").select(*docs.columns)).unionByName(twins.select(*docs.columns))
