@@ -49,7 +49,7 @@ def test_repeats_cost_less_than_noise():
     size = lambda a: sum(len(c) for _, _, c in idcoder.encode(a.astype(np.uint32), None, 4096))
     assert size(np.tile(rng.integers(0, 50000, 64), 64)) < size(rng.integers(0, 50000, 4096)) / 8
     with pytest.raises(ValueError):
-        idcoder.encode(np.array([1], np.uint32), None, idcoder.BLOCK + 1)
+        idcoder.encode(np.array([1], np.uint32), None, idcoder.MOST + 1)
 
 
 def test_more_ids_than_ranks_of_their_own():

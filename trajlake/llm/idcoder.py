@@ -20,8 +20,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-#: Ids in a block, and between two updates of its counts.
-BLOCK, STEP = 4096, 32
+#: Ids in a block, and between two updates of its counts; most ids in a block, so that sums of counts stay below 2^16.
+BLOCK, STEP, MOST = 2048, 32, 4096
 #: Ranks of a group, which a row of 32 sums stands for; most ranks of their own.
 GROUP = 31
 DENSE = 4000
@@ -31,7 +31,8 @@ GAIN, PRIOR = 8, 800
 _TOTAL, _LOW, _LEAST = 26, 48, 32
 _MASK = (1 << _LOW) - 1
 #: Slots of order 2, and an odd factor that scrambles pairs of ranks one to one.
-_SLOTS, _ODD = 1 << 12, 0x9E3779
+_SLOT_BITS, _ODD = 11, 0x9E3779
+_SLOTS, _CHECK_BITS = 1 << _SLOT_BITS, 24 - _SLOT_BITS
 #: Where the shares of leads 1 to 3 that hold start: hits of 32 tries, for orders 1 and 2; the largest share, as 1 / (1 - share).
 _START1, _START2, _TRIES = np.array([0, 2, 10, 26]), np.array([0, 3, 20, 30]), np.array([1, 32, 32, 32])
 _MOST1, _MOST2 = 16, 64
@@ -94,6 +95,11 @@ class Table:
 _ADD = ((np.arange(GROUP + 1) > np.arange(GROUP)[:, None]) * GAIN).astype(np.uint16)
 
 
+def _quotient(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a // b of whole numbers below 2^48: a float64 quotient of such never rounds up to a whole number that it is below."""
+    return (a / b).astype(np.int64)
+
+
 class _Model:
     """What ``n`` blocks have learnt."""
 
@@ -141,11 +147,9 @@ class _Model:
     def lead(self, x: np.ndarray, i1: np.ndarray, v1: np.ndarray, i2: np.ndarray, v2: np.ndarray, check: np.ndarray, fits: np.ndarray) -> None:
         """Learns who leads: a leader that has come again gains, another that came makes it lose, and takes its place at a lead of 1."""
         new = x * 4 + 1
-        c = v1 & 3
-        self.t1[i1] = np.where(v1 >> 2 == x, v1 + (c < 3), np.where(c > 1, v1 - 1, new))
-        c = v2 & 3
-        held = np.where((v2 >> 2) & 0xFFF == x, v2 + (c < 3), np.where(c > 1, v2 - 1, check << 14 | new))
-        self.t2[i2] = np.where(fits, held, check << 14 | new)
+        self.t1[i1] = np.where((v1 ^ new) < 4, np.minimum(v1 + 1, new + 2), np.where(v1 & 2, v1 - 1, new))
+        new = check << 14 | new
+        self.t2[i2] = np.where((v2 ^ new) < 4, np.minimum(v2 + 1, new + 2), np.where((v2 & 2).astype(bool) & fits, v2 - 1, new))
 
     def count(self, x: np.ndarray, c2: np.ndarray, hit2: np.ndarray, c1: np.ndarray, hit1: np.ndarray) -> None:
         """Learns a step's ids (one row for each of STEP) and which leads have held."""
@@ -244,11 +248,11 @@ def _padded(n: int) -> int:
 def encode(ids: np.ndarray, table: Table | None = None, block: int = BLOCK) -> list[tuple[int, int, bytes]]:
     """Blocks of (ids, CRC-32 of the ids as little-endian 32-bit values and then the code, code), in order; none for no ids.
 
-    The table (that of all the ids, if none is given) must have every id. A block is at most ``BLOCK`` ids.
+    The table (that of all the ids, if none is given) must have every id. A block is at most ``MOST`` ids.
     """
     ids = np.ascontiguousarray(ids, "<u4")
-    if not 0 < block <= BLOCK:
-        raise ValueError(f"a block has 1 to {BLOCK} ids")
+    if not 0 < block <= MOST:
+        raise ValueError(f"a block has 1 to {MOST} ids")
     n = -(-len(ids) // block)
     if n == 0:
         return []
@@ -261,6 +265,7 @@ def encode(ids: np.ndarray, table: Table | None = None, block: int = BLOCK) -> l
     steps[:-1, :block] = places[:whole].reshape(n - 1, block)
     steps[-1, : len(ids) - whole] = places[whole:]
     steps = np.ascontiguousarray(steps.T)
+    del places
     model, out = _Model(table, n), _Writer(n, block // 2 + 64)
     x1, x2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
     k = slice(0, n)
@@ -275,7 +280,7 @@ def encode(ids: np.ndarray, table: Table | None = None, block: int = BLOCK) -> l
         past2 = np.concatenate((x2[None], past1[:-1]))
         i1 = model.lane1 + past1
         pair = model.pair(past2, past1)
-        i2, check = model.lane2 + (pair >> 12), (pair & 0xFFF).astype(np.uint32)
+        i2, check = model.lane2 + (pair >> _CHECK_BITS), (pair & (1 << _CHECK_BITS) - 1).astype(np.uint32)
         v1, v2, fits = np.empty(x.shape, np.uint16), np.empty(x.shape, np.uint32), np.empty(x.shape, bool)
         narrow = x.astype(np.uint16)
         for j in range(STEP):
@@ -289,7 +294,7 @@ def encode(ids: np.ndarray, table: Table | None = None, block: int = BLOCK) -> l
         at = (model.row + group) * (GROUP + 1) + s
         flat = model.sums.reshape(-1)
         before = model.before[group, model.lane].astype(np.int64)
-        unit = (((1 << _TOTAL) - b1) << 16) // model.total
+        unit = _quotient(((1 << _TOTAL) - b1) << 16, model.total)
         start = b1 + ((before + flat[at]) * unit >> 16)
         end = b1 + ((before + flat[at + 1]) * unit >> 16)
         start = np.where(hit2, 0, np.where(hit1, b2, start))
@@ -335,16 +340,16 @@ def decode(blocks: list[tuple[int, int, bytes]], table: Table) -> list[np.ndarra
         for j in range(STEP):
             i1 = model.lane1 + x1
             pair = model.pair(x2, x1)
-            i2, check = model.lane2 + (pair >> 12), (pair & 0xFFF).astype(np.uint32)
+            i2, check = model.lane2 + (pair >> _CHECK_BITS), (pair & (1 << _CHECK_BITS) - 1).astype(np.uint32)
             v1, v2 = model.t1[i1], model.t2[i2]
             fits = v2 >> 14 == check
             q2, q1, c2[j], c1[j], b2, b1 = model.weights(v1, v2, fits)
             r = source.range[k] >> _TOTAL
-            v = np.minimum(source.value[k] // r, (1 << _TOTAL) - 1)
+            v = np.minimum(_quotient(source.value[k], r), (1 << _TOTAL) - 1)
             np.less(v, b2, out=hit2[j])
             np.logical_and(v < b1, ~hit2[j], out=hit1[j])
-            unit = (((1 << _TOTAL) - b1) << 16) // model.total
-            c = np.minimum(((np.maximum(v - b1, 0) + 1 << 16) - 1) // unit, model.total - 1).astype(np.uint16)
+            unit = _quotient(((1 << _TOTAL) - b1) << 16, model.total)
+            c = np.minimum(_quotient((np.maximum(v - b1, 0) + 1 << 16) - 1, unit), model.total - 1).astype(np.uint16)
             group = np.add.reduce((upper <= c).view(np.uint8), 0, dtype=np.uint8).astype(np.int64)
             row = model.row + group
             before = model.before[group, model.lane]

@@ -23,7 +23,7 @@ from trajlake.llm.tokens import encoder, slices
 
 MAGIC = b"TLIDS2\r\n"
 #: A file closes after the document that reaches this many ids.
-FILE_IDS = 4_000_000
+FILE_IDS = 7_000_000
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long"
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
