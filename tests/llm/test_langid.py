@@ -30,6 +30,16 @@ def test_held_out_accuracy_and_edges(spark):
     assert langid.predict(docs, model).columns == ["doc_id", "text", "lang_pred", "lang_score"]
 
 
+def test_texts_like_none_that_were_learnt_are_rejected_on_request(spark):
+    model = langid.fit(spark.createDataFrame(corpus(240, 0), "doc_id long, text string, lang string"), per_label=60)
+    assert model.floor > 0
+    rows = [*corpus(60, 1), (900, "Ελληνικά είναι μια γλώσσα", "x"), (901, "Русский язык это один из языков", "x"), (902, "中文是一种语言", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.predict(docs, model, reject=True).collect()
+    assert {r["doc_id"] for r in got if r["lang_pred"] == "und"} == {900, 901, 902}
+    assert not [r for r in langid.predict(docs, model).collect() if r["lang_pred"] == "und"]
+
+
 def test_no_labels_and_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string")
     model = langid.fit(none)

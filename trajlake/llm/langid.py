@@ -31,10 +31,11 @@ ROWS = 128
 
 @dataclass
 class Model:
-    """labels in order of code point; weights[place, label]."""
+    """labels in order of code point; weights[place, label]; floor: half of the least best output on the texts learnt from."""
 
     labels: list[str] = field(default_factory=list)
     weights: np.ndarray = field(default_factory=lambda: np.zeros((BITS, 0), np.float32))
+    floor: float = 0.0
 
 
 _LETTER: np.ndarray | None = None
@@ -76,36 +77,38 @@ def spectrum(text: str | None, row: np.ndarray) -> bool:
     return found
 
 
-def _sample(docs: DataFrame, key: str, text: str, label: str, per_label: int, seed: int) -> list[tuple[str, bytes]]:
-    """Packed spectra of at most ``per_label`` texts of each label, those with the smallest seeded hash of key and text."""
-    known = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("t"), F.col(label).cast("string").alias("l"), F.xxhash64(F.col(key), F.col(text), F.lit(seed)).alias("h"))
-    sizes = {r["l"]: r["n"] for r in known.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
+def _sample(docs: DataFrame, text: str, label: str, per_label: int, seed: int) -> list[tuple[str, bytes]]:
+    """Packed spectra of at most ``per_label`` different texts of each label, those with the smallest seeded hash of the text alone."""
+    known = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("t"), F.col(label).cast("string").alias("l"), F.xxhash64(F.col(text), F.lit(seed)).alias("h"))
+    sizes = {r["l"]: r["n"] for r in known.groupBy("l").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()}
     if not sizes:
         return []
     # Hashes below a bound keep about 1.5 times the sample; the exact cut follows on that bounded rest.
     share = F.lit(1.0)
     for k, n in sizes.items():
-        share = F.when(F.col("l") == k, F.lit(min(1.0, (1.5 * per_label + 50) / n))).otherwise(share)
+        share = F.when(F.col("l") == k, F.lit(min(1.0, (1.5 * per_label + 50) / max(n, 1)))).otherwise(share)
     some = known.where((F.col("h").cast("double") + 2.0**63) / 2.0**64 < share)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             for t, k, x in rows_of(batch, ["t", "l", "h"]):
                 row = np.zeros(BITS, np.uint8)
-                if spectrum(t, row):
+                if (k, x) not in seen and spectrum(t, row):  # a text that a third of all rows have is one row
+                    seen.add((k, x))
                     yield pa.RecordBatch.from_pydict({"l": [k], "h": [x], "bits": [np.packbits(row).tobytes()]})
 
-    packed = some.mapInArrow(pack, "l string, h long, bits binary")
+    packed = some.mapInArrow(pack, "l string, h long, bits binary").groupBy("l", "h").agg(F.first("bits").alias("bits"))
     ranked = packed.groupBy("l").agg(F.expr(f"slice(array_sort(collect_list(struct(h, bits))), 1, {per_label})").alias("x"))
     return sorted((r["l"], bytes(x["bits"])) for r in ranked.collect() for x in r["x"])
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", per_label: int = 300, landmarks_per_label: int = 64, ridge: float = 1e-3, seed: int = 11) -> Model:
+def fit(docs: DataFrame, text: str = "text", label: str = "lang", per_label: int = 300, landmarks_per_label: int = 64, ridge: float = 1e-3, seed: int = 11) -> Model:
     """Learns from at most ``per_label`` texts of each label (the documented bound of the sample: 4 KB of bits each go to the driver).
 
-    Rows with a null text, a null label or no letter teach nothing; the key only draws the sample. Without any row to learn from, the model has no labels.
+    Rows with a null text, a null label or no letter teach nothing; equal texts of a label count as one. Without any row to learn from, the model has no labels.
     """
-    rows = _sample(docs, key, text, label, per_label, seed)
+    rows = _sample(docs, text, label, per_label, seed)
     if not rows:
         return Model()
     labels = sorted({k for k, _ in rows})
@@ -124,17 +127,18 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
     root = vector[:, good] / np.sqrt(value[good])
     z = (x @ marks.T).astype(np.float64) @ root
     b = np.linalg.solve(z.T @ z + ridge * len(rows) * np.eye(z.shape[1]), z.T @ y)
-    return Model(labels, (marks.T.astype(np.float64) @ (root @ b)).astype(np.float32))
+    return Model(labels, (marks.T.astype(np.float64) @ (root @ b)).astype(np.float32), float((z @ b).max(1).min()) / 2)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
+def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("lang_pred", "lang_score"), reject: bool = False) -> DataFrame:
     """The input with the language and its score appended under the two names, in place of columns of those names.
 
     The score is the best class's share of the positive parts of all scores, from 0 to 1. Null texts and texts without a
     letter are ``und`` with score 0; so are all texts under a model without labels. Ties go to the first label. Whole texts
-    are read, in pieces of bounded size. The model (at most 32,768 numbers per label) goes to the workers with the function.
+    are read, in pieces of bounded size. With ``reject``, a text whose best output is below the model's floor is ``und`` with
+    score 0 too: it is like none of the texts learnt from, in whatever share. The model (at most 32,768 numbers per label) goes to the workers with the function.
     """
-    labels, weights = model.labels, model.weights
+    labels, weights, floor = model.labels, model.weights, model.floor
     kept = [c for c in docs.columns if c not in names]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +155,11 @@ def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str,
                     total = f.sum(1)
                     best = f.argmax(1)
                     found_names[found] = np.array(labels, object)[best]
-                    scores[found] = np.where(total > 0, f[np.arange(len(f)), best] / np.where(total > 0, total, 1), 0)
+                    top = f[np.arange(len(f)), best]
+                    scores[found] = np.where(total > 0, top / np.where(total > 0, total, 1), 0)
+                    if reject:
+                        none = np.flatnonzero(found)[top < floor]
+                        found_names[none], scores[none] = "und", 0
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found_names, pa.string()), pa.array(scores)], names=[*kept, *names])
 
     given = docs.select(*kept)
