@@ -60,4 +60,35 @@ def test_clean_keeps_rows_and_columns(spark):
     got = D.clean(docs, spark.createDataFrame([(0, item)], "item_id long, text string"))
     assert got.columns == docs.columns and sorted(r["item_id"] for r in got.collect()) == [6, 6, 7]
     assert D.clean(docs, spark.createDataFrame([], "item_id long, text string")).count() == 4
+    # Rows of one key are judged by their own texts, and so are rows without a key.
+    other = "some words that no benchmark has anywhere in it, as far as known"
+    mixed = spark.createDataFrame([(1, item, 1), (1, other, 2), (None, item, 3), (None, other, 4), (5, None, 5), (5, item, 6)], docs.schema)
+    for chars in (10**6, 30):
+        kept = D.clean(mixed, spark.createDataFrame([(0, item), (1, "another of the items"), (None, "an item without a key")], "item_id long, text string"), block_chars=chars)
+        assert sorted(r["item_id"] for r in kept.collect()) == [2, 4, 5]
+
+
+def test_blocks_hold_no_more_characters_than_they_may(spark):
+    import json
+
+    from trajlake.llm.common import folder
+
+    rows = [(i, f"{i} " + "x" * (i * 37 % 900)) for i in range(200)] + [(200, "y" * 9000)]
+    names = D._blocks(spark.createDataFrame(rows, "item_id long, text string"), "item_id", "text", 6000)
+    own = [json.loads(folder(n)[0].open_input_stream(folder(n)[1]).read()) for n in names]
+    assert sorted(i for b in own for i, _ in b) == list(range(201)) and len(own) > 3
+    assert all(sum(len(t) for _, t in b) <= 6000 or len(b) == 1 for b in own)
+
+
+def test_a_very_long_text(spark):
+    item = "an item of the benchmark that is long enough to be told apart"
+    docs = spark.createDataFrame([(1, "filler words " * 150_000 + item.replace("long", "lng")), (2, "filler words " * 150_000)], SCHEMA)
+    items = spark.createDataFrame([(0, item)], "item_id long, text string")
+    assert [(r["doc_id"], r["distance"]) for r in D.leaks(docs, items).collect()] == [(1, 1)]
+    assert [r["doc_id"] for r in D.clean(docs, items).collect()] == [2]
+
+
+def test_nothing_of_nothing(spark):
+    item = "an item of the benchmark that is long enough to be told apart"
+    docs = spark.createDataFrame([(1, item, 5)], "doc_id long, text string, item_id int")
     assert D.leaks(docs.limit(0), spark.createDataFrame([(0, item)], "item_id long, text string")).count() == 0

@@ -8,13 +8,15 @@ item to any part of the text. Whole texts are searched, in no pieces.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.llm.common import rows_of
+from trajlake.llm.common import folder, fresh_folder, publish, rows_of
+from trajlake.llm.tokens import slices
 
 RATE = 0.08
 #: Characters of benchmark items that one automaton holds, and that the driver sends at once; a larger benchmark is matched in blocks.
@@ -107,27 +109,52 @@ class Matcher:
         return out
 
 
+def _blocks(items: DataFrame, item_key: str, item_text: str, block_chars: int) -> list[str]:
+    """The normal items in files of the shared folder, of at most ``block_chars`` characters each (a longer item is a file); the driver holds one at a time."""
+    spark = items.sparkSession
+    to, names, own, size = fresh_folder(spark, "items"), [], [], 0
+    rows = items.select(F.col(item_key).cast("long").alias("i"), F.col(item_text).alias("x")).where(F.col(item_text).isNotNull())
+
+    def close() -> None:
+        names.append(publish(to, f"block-{len(names):05d}", json.dumps(own).encode()))
+
+    for r in rows.toLocalIterator():
+        text = normal(r["x"])
+        if own and size + len(text) > block_chars:
+            close()
+            own, size = [], 0
+        own.append((r["i"], text))
+        size += len(text)
+    if own:
+        close()
+    return names
+
+
+def _matcher(path: str, rate: float) -> Matcher:
+    store, name = folder(path)
+    with store.open_input_stream(name) as f:
+        return Matcher([(i, t) for i, t in json.loads(f.read())], rate)
+
+
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id, distance, match_end (in the normal text): each item that a text has within its error budget, and the least distance.
 
-    Null and empty texts and items match nothing; repeated rows match each. The items are sent to the workers in blocks of at
-    most ``block_chars`` characters (a longer item is a block), each block in its own scan of the texts.
+    Null and empty texts and items match nothing; repeated rows match each. The items go to the shared folder in blocks of at
+    most ``block_chars`` characters (a longer item is a block), each block is matched in its own scan of the texts.
     """
-    sizes = items.where(F.col(item_text).isNotNull()).select(F.col(item_key).cast("long").alias("i"), F.col(item_text).alias("x"))
-    total = sizes.agg(F.sum(F.length("x"))).first()[0] or 0
-    blocks = max(1, -(-total // block_chars))
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
     out = None
-    for b in range(blocks):
-        own = [(r["i"], normal(r["x"])) for r in sizes.where(F.pmod(F.xxhash64("i", "x"), F.lit(blocks)) == b).collect()]
-        found = rows.mapInArrow(_scan(own, rate), FOUND)
+    for path in _blocks(items, item_key, item_text, block_chars) or [None]:
+        found = rows.mapInArrow(_scan(path, rate), FOUND)
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _scan(items: list[tuple[int, str]], rate: float):
+def _scan(path: str | None, rate: float):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items, rate)
+        if path is None:
+            return
+        matcher = _matcher(path, rate)
         for batch in batches:
             rows = [(k, *f) for k, t in rows_of(batch, ["k", "t"]) for f in matcher.find(normal(t))]
             columns = list(zip(*rows, strict=True)) or [()] * 4
@@ -137,9 +164,23 @@ def _scan(items: list[tuple[int, str]], rate: float):
     return scan
 
 
-def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", **how) -> DataFrame:
-    """The rows whose key has no leak; rows with a null key stay."""
-    from trajlake.llm.common import stage
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows whose text has no item within its error budget, with all their columns.
+
+    Each row is judged by its own text, whatever its key; null and empty texts stay. One pass, in which blocks of items follow one another.
+    """
+
+    def sieve(path: str):
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            matcher = _matcher(path, rate)
+            for batch in batches:
+                own = batch.schema.get_field_index("__text")
+                good = [not matcher.find(normal(t)) for part in slices(batch, "__text") for t in part.column(own).to_pylist()]
+                yield batch.filter(pa.array(good, pa.bool_()))
+
+        return keep
 
-    bad = stage(leaks(docs, items, key, **how).select(F.col("doc_id").alias(key)).where(F.col(key).isNotNull()).distinct(), "leaks")
-    return docs.join(bad, key, "left_anti").select(*docs.columns)
+    out = docs.withColumn("__text", F.col(text).cast("string"))
+    for path in _blocks(items, item_key, item_text, block_chars):
+        out = out.mapInArrow(sieve(path), out.schema)
+    return out.select(*docs.columns)
