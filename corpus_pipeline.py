@@ -13,15 +13,10 @@ from trajlake.llm import decontam, idfiles, langid, mixing, neardup
 from trajlake.llm.common import stage
 from trajlake.llm.queries import tokenizer_path
 
-#: A document stays if some language has at least this share of the positive scores; of four languages none has less than a quarter.
-MIN_SCORE = 0.3
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the labelled languages. Texts that are null or have no letter go, and so do those that no language fits better than the rest."""
-    model = langid.fit(docs)
-    found = langid.predict(docs, model, names=("__language", "__score"))
-    return found.where((F.col("__language") != "und") & (F.col("__score") >= MIN_SCORE)).select(*docs.columns)
+    """Documents in one of the labelled languages. Texts that are null or have no letter go, and so do those that are like none of the texts learnt from."""
+    found = langid.predict(docs, langid.fit(docs), names=("__language", "__score"), reject=True)
+    return found.where(F.col("__language") != "und").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
