@@ -3,21 +3,23 @@ starts at more than one place of the corpus; all bytes that such strings cover a
 
 Places to index are chosen by content. Of the ``length - GRAM + 1`` grams in a window of ``length`` bytes, the one with the least hash (the
 leftmost of equals) is the window's anchor, so equal windows have their anchors at equal offsets, and each anchor stands for a run of
-windows. Anchors are dealt to tasks by their gram, those with a gram that the corpus has once are left out, and a task
-keeps its anchors as suffixes in a family of suffix arrays:
+windows, whose bytes are its segment. A segment that the corpus has twice (same gram, same place in it, same bytes by a 64-bit fingerprint besides the
+gram's) is repeated in all its windows; exact copies, however many, come down to one segment each. Segments of a gram that has several different ones
+are dealt to tasks by gram, and a task keeps them in a family of suffix arrays:
 
-* a new batch gets its suffix array, the order of the suffixes that begin at its anchors;
-* a merge scan against itself and each existing level finds the runs of suffixes that agree on the gram, and there the windows
-  that agree on all ``length`` bytes, offset by offset;
+* a new batch gets its suffix array: the order of the bytes from the anchors on, with the common-prefix lengths of neighbours;
+* a merge scan against itself and each existing level meets suffixes with a common gram. With R bytes in common from the anchors on (the least
+  common-prefix length between the two) and L bytes before them, the windows that begin length - R to L bytes before the anchor are the same;
 * levels whose sizes have come equal (within a factor of two) merge into one, so an anchor is merged log(n) times.
 
-A gram with more than ``HOT`` anchors isn't gathered in one task: its windows' fingerprints are counted by partial sums
-over the cluster instead, and repeated ones are joined back. Fingerprints have 64 bits besides those of the gram, or 128.
+All that a task compares are bytes. A gram with more than ``HOT`` different segments is more than a task should hold: the fingerprints of its
+windows (128 bits) are counted by partial sums over the cluster, which gives the same windows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.llm.common import U64, fan_out, mix64, rows_of, stage
+from trajlake.llm.common import U64, fan_out, key_filter, mix64, rows_of, split_by, stage
 
 LENGTH, GRAM = 400, 64
-#: Anchors of one gram beyond which they are counted over the cluster; anchors of a task's share, about.
-HOT, SHARE = 192, 40_000
+#: Different segments of one gram beyond which their windows are counted over the cluster; segments of a task's share, about; of a batch.
+HOT, SHARE, BATCH = 1024, 20_000, 8_192
+#: Pairs whose bytes are compared at once.
+PAIRS = 1 << 14
 #: Bytes of a text whose anchors are found at once.
 PIECE = 1 << 19
 _P, _Q = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
@@ -83,63 +87,116 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
+def segment_prints(data: np.ndarray, first: np.ndarray, end: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """A 64-bit fingerprint of data[first:end] and the anchor's place in it, by the prefix sums of ``fingerprints``."""
+    p, q = _power(_P, len(data)), _power(pow(_P, -1, 1 << 64), len(data))
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(data) + 1, U64)
+        np.cumsum(_TABLES["bytes"][data] * p[: len(data)], out=sums[1:])
+        h = mix64((sums[end] - sums[first]) * q[first])
+        return mix64(h + (end - first).astype(U64) * U64(_Q) + (shift.astype(U64) << U64(20))).view(np.int64)
+
+
+def _common(x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many bytes the rows of two tables have in common from the start, at most ``most``."""
+    out = np.empty(len(x), np.int64)
+    for at in range(0, len(x), PAIRS):
+        own = slice(at, at + PAIRS)
+        differ = x[own] != y[own]
+        out[own] = np.where(differ.any(1), differ.argmax(1), x.shape[1])
+    return np.minimum(out, most)
+
+
 class Level:
-    """Anchors in the order of their suffixes, with the fingerprints of their windows and what is known to be repeated."""
+    """A suffix array: anchors in the order of their suffixes, as byte tables right (from the anchor on) and left (backwards from it), and what is known to be
+    repeated: found[i, d] is the window that begins d bytes before anchor i."""
+
+    NAMES = ("right", "size", "left", "shift", "low", "found", "row")
 
-    def __init__(self, suffix: list[bytes], prints: list[np.ndarray], found: list[np.ndarray], row: list[int], gram: int) -> None:
-        order = sorted(range(len(suffix)), key=suffix.__getitem__)
-        self.suffix, self.prints, self.found, self.row = ([x[i] for i in order] for x in (suffix, prints, found, row))
-        grams = [x[:gram] for x in self.suffix]
-        self.start = [i for i in range(len(grams)) if not i or grams[i] != grams[i - 1]]
-        self.end = [*self.start[1:], len(grams)][: len(self.start)]
-        self.heads = [grams[i] for i in self.start]
+    def __init__(self, right: np.ndarray, size: np.ndarray, left: np.ndarray, shift: np.ndarray, low: np.ndarray, found: np.ndarray, row: np.ndarray) -> None:
+        self.right, self.size, self.left, self.shift, self.low, self.found, self.row = right, size, left, shift, low, found, row
+        self.keys = np.ascontiguousarray(right).view(f"S{right.shape[1]}").ravel()
+
+    @classmethod
+    def of(cls, segments: list[bytes], shift: np.ndarray, row: np.ndarray, length: int, gram: int) -> Level:
+        reach = length - gram + 1
+        right = np.frombuffer(b"".join(s[d : d + length].ljust(length, b"\0") for s, d in zip(segments, shift.tolist(), strict=True)), np.uint8).reshape(-1, length)
+        left = np.frombuffer(b"".join(s[max(0, d - reach) : d][::-1].ljust(reach, b"\0") for s, d in zip(segments, shift.tolist(), strict=True)), np.uint8).reshape(-1, reach)
+        size = np.array([len(s) for s in segments], np.int64) - shift
+        order = np.argsort(np.ascontiguousarray(right).view(f"S{length}").ravel(), kind="stable")
+        # The last window of a segment begins ``low`` bytes before the anchor.
+        return cls(right[order], np.minimum(size, length)[order], left[order], shift[order], (length - size)[order], np.zeros((len(order), reach), bool), row[order])
 
     def __len__(self) -> int:
         return len(self.row)
 
+    def to_bytes(self) -> bytes:
+        out = io.BytesIO()
+        np.savez_compressed(out, **{n: getattr(self, n) for n in self.NAMES})
+        return out.getvalue()
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> Level:
+        with np.load(io.BytesIO(data)) as own:
+            return cls(*(own[n] for n in cls.NAMES))
+
+
+def merge(a: Level, b: Level) -> tuple[Level, np.ndarray]:
+    """The suffix array of two, by a merge of the two orders, and which anchors come from the second."""
+    place = np.searchsorted(a.keys, b.keys, "right") + np.arange(len(b))
+    second = np.zeros(len(a) + len(b), bool)
+    second[place] = True
+    parts = []
+    for n in Level.NAMES:
+        x, y = getattr(a, n), getattr(b, n)
+        both = np.empty((len(second), *x.shape[1:]), x.dtype)
+        both[~second], both[second] = x, y
+        parts.append(both)
+    return Level(*parts), second
+
 
-def merge_scan(a: Level, b: Level) -> None:
-    """Marks in both levels (which may be the same one) the windows that two different anchors share.
+def scan(level: Level, length: int, gram: int, second: np.ndarray | None = None) -> None:
+    """Marks the windows that two different anchors of the level share; with ``second``, only pairs of one anchor from each part are compared.
 
-    Runs of equal grams meet by a merge of the two sorted rows of grams.
+    Suffixes that are k places apart in the array have the least of the k common-prefix lengths between them in common, so R for all
+    pairs of a gram comes from those of neighbours; L is compared byte by byte.
     """
-    pairs: list[tuple[Level, int]] = []
-    group: list[int] = []
-    if a is b:
-        for g, (s, e) in enumerate(zip(a.start, a.end, strict=True)):
-            if e - s > 1:
-                pairs += [(a, i) for i in range(s, e)]
-                group += [g] * (e - s)
-    else:
-        i = j = 0
-        while i < len(a.heads) and j < len(b.heads):
-            if a.heads[i] < b.heads[j]:
-                i += 1
-            elif b.heads[j] < a.heads[i]:
-                j += 1
-            else:
-                own = [(a, k) for k in range(a.start[i], a.end[i])] + [(b, k) for k in range(b.start[j], b.end[j])]
-                pairs += own
-                group += [i] * len(own)
-                i, j = i + 1, j + 1
-    if not pairs:
+    n = len(level)
+    if n < 2:
         return
-    prints = [level.prints[k] for level, k in pairs]
-    with np.errstate(over="ignore"):
-        run = np.repeat(np.array(group, U64), [len(f) for f in prints])
-        flat = mix64(np.concatenate(prints) + run * U64(_P))
-    order = np.argsort(flat)
-    s = flat[order]
-    same = s[1:] == s[:-1]
-    twin = np.zeros(len(s), bool)
-    twin[1:] = same
-    twin[:-1] |= same
-    hit = np.zeros(len(flat), bool)
-    hit[order] = twin
-    at = 0
-    for (level, k), f in zip(pairs, prints, strict=True):
-        level.found[k] |= hit[at : at + len(f)]
-        at += len(f)
+    near = _common(level.right[1:], level.right[:-1], np.minimum(level.size[1:], level.size[:-1]))
+    i = np.flatnonzero(near >= gram)
+    common, k = near[i], 1
+    marks = np.zeros((n, level.found.shape[1] + 1), np.int32)
+    while len(i):
+        j = i + k
+        ask = np.arange(len(i)) if second is None else np.flatnonzero(second[i] != second[j])
+        if len(ask):
+            x, y, r = i[ask], j[ask], common[ask]
+            # A pair with too few bytes on both sides has no window in common.
+            fit = r + np.minimum(level.shift[x], level.shift[y]) >= length
+            x, y, r = x[fit], y[fit], r[fit]
+            back = _common_rows(level.left, x, y, np.minimum(level.shift[x], level.shift[y]))
+            for own in (x, y):
+                lo, hi = np.maximum(length - r, level.low[own]), np.minimum(back, level.shift[own])
+                good = lo <= hi
+                np.add.at(marks, (own[good], np.maximum(lo[good], 0)), 1)
+                np.add.at(marks, (own[good], hi[good] + 1), -1)
+        k += 1
+        go = np.flatnonzero(i + k < n)
+        i, common = i[go], common[go]
+        common = np.minimum(common, near[i + k - 1])
+        go = common >= gram
+        i, common = i[go], common[go]
+    level.found |= np.cumsum(marks, 1)[:, :-1] > 0
+
+
+def _common_rows(table: np.ndarray, x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:
+    out = np.empty(len(x), np.int64)
+    for at in range(0, len(x), PAIRS):
+        own = slice(at, at + PAIRS)
+        out[own] = _common(table[x[own]], table[y[own]], most[own])
+    return out
 
 
 class Family:
@@ -150,30 +207,32 @@ class Family:
 
     def add(self, segments: list[bytes], shift: np.ndarray, row: np.ndarray) -> None:
         """A batch of anchors: a segment has all windows of an anchor's run, and the anchor's gram begins ``shift`` bytes into it."""
-        sizes = np.array([len(s) for s in segments])
-        start = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-        windows = sizes - self.length + 1
-        first = np.concatenate(([0], np.cumsum(windows)))
-        within = np.arange(first[-1]) - np.repeat(first[:-1], windows)
-        f = fingerprints(np.frombuffer(b"".join(segments), np.uint8), self.length)[np.repeat(start, windows) + within]
-        # Equal windows have their anchor at one offset, so the offset goes into the fingerprint.
-        with np.errstate(over="ignore"):
-            f = mix64(f + (np.repeat(shift, windows) - within).astype(U64) * U64(_Q))
-        cuts = first[1:-1]
-        suffix = [s[d : d + self.gram + 32] for s, d in zip(segments, shift.tolist(), strict=True)]
-        new = Level(suffix, np.split(f, cuts), np.split(np.zeros(len(f), bool), cuts), row.tolist(), self.gram)
-        merge_scan(new, new)
-        for level in self.levels:
-            merge_scan(level, new)
+        new = Level.of(segments, np.asarray(shift, np.int64), np.asarray(row, np.int64), self.length, self.gram)
+        scan(new, self.length, self.gram)
+        for k, level in enumerate(self.levels):
+            both, second = merge(level, new)
+            scan(both, self.length, self.gram, second)
+            level.found, new.found = both.found[~second], both.found[second]
+            self.levels[k] = level
         self.levels.append(new)
         while len(self.levels) > 1 and len(self.levels[-2]) < 2 * len(self.levels[-1]):
             b, a = self.levels.pop(), self.levels.pop()
-            self.levels.append(Level(a.suffix + b.suffix, a.prints + b.prints, a.found + b.found, a.row + b.row, self.gram))
+            self.levels.append(merge(a, b)[0])
 
     def result(self) -> Iterator[tuple[int, np.ndarray]]:
-        """The number of each anchor's row and its windows that are repeated."""
+        """The number of each anchor's row and its windows that are repeated, from the first of its segment on."""
         for level in self.levels:
-            yield from zip(level.row, level.found, strict=True)
+            for row, low, shift, found in zip(level.row.tolist(), level.low.tolist(), level.shift.tolist(), level.found, strict=True):
+                yield row, found[max(low, 0) : shift + 1][::-1]
+
+    def save(self) -> list[bytes]:
+        return [level.to_bytes() for level in self.levels]
+
+    @classmethod
+    def load(cls, levels: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Family:
+        own = cls(length, gram)
+        own.levels = [Level.from_bytes(x) for x in levels]
+        return own
 
 
 def _runs(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,85 +240,123 @@ def _runs(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2] - 1
 
 
+def _bytes(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
+
+
 def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """From (doc_id, text, print): the texts that have an anchor in common with any text, and (doc_id, print, first, last): runs of
+    """From (rid, text), where rid stands for a text: the texts that have an anchor in common with any text, and (rid, first, last): runs of
     windows, by their first bytes, that are repeated."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = ([], [], [])
-            for d, p, t in rows_of(batch, ["doc_id", "print", "text"]):
-                key = anchors(np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8), length, gram)[0]
-                for column, x in zip(out, (key, np.full(len(key), d if d is not None else 0), np.full(len(key), p)), strict=True):
+            out = ([], [], [], [], [], [])
+            for r, t in rows_of(batch, ["rid", "text"]):
+                data = np.frombuffer(_bytes(t), np.uint8)
+                key, place, first, last = anchors(data, length, gram)
+                for column, x in zip(out, (key, segment_prints(data, first, last + length, place - first), np.full(len(key), r), first, last, place - first), strict=True):
                     column.append(x)
             if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in out], ["key", "doc_id", "print"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(k)) for x, k in zip(out, (np.int64,) * 3 + (np.int32,) * 3, strict=True)], ["key", "seg", "rid", "first", "last", "shift"])
 
     long = docs.where(F.octet_length("text") >= length)
-    all_ = stage(long.mapInArrow(find, "key long, doc_id long, print long"), "anchors")
-    often = all_.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key", (F.col("n") > hot).alias("hot"))
-    asked = all_.join(often, "key").groupBy("doc_id", "print").agg(F.collect_set(F.struct("key", "hot")).alias("keys"))
-    texts = stage(_once(long, asked), "texts")
-
-    def segments(only_hot: bool):
-        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for d, p, t, keys in rows_of(batch, ["doc_id", "print", "text", "keys"], 32):
-                    wanted = np.array([k["key"] for k in keys if k["hot"] == only_hot], np.int64)
-                    if not len(wanted):
-                        continue
-                    data = t.encode("utf-8", "surrogatepass")
-                    key, place, first, last = anchors(np.frombuffer(data, np.uint8), length, gram)
-                    keep = np.flatnonzero(np.isin(key, wanted))
-                    if not len(keep):
-                        continue
-                    first, last = first[keep], last[keep]
-                    if only_hot:
-                        whole = np.frombuffer(data, np.uint8)
-                        f, g = fingerprints(whole, length), fingerprints(whole, length, _Q)
-                        at = np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last, strict=True)])
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), d)), pa.array(np.full(len(at), p)), pa.array(at), pa.array(f[at].view(np.int64)), pa.array(g[at].view(np.int64))], ["doc_id", "print", "at", "f", "g"])
-                    else:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(key[keep]), pa.array(np.full(len(keep), d)), pa.array(np.full(len(keep), p)), pa.array(first), pa.array(place[keep] - first), pa.array([data[a : b + length] for a, b in zip(first, last, strict=True)], pa.binary())],
-                            ["key", "doc_id", "print", "first", "shift", "segment"],
-                        )
-
-        return cut
+    all_ = stage(long.mapInArrow(find, "key long, seg long, rid long, first int, last int, shift int"), "anchors")
+    one = F.min(F.struct("rid", "first", "last", "shift")).alias("at")
+    segs = stage(all_.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("n"), one), "segments")
+    keys = segs.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key", (F.col("m") > hot).alias("hot"))
+    copied = stage(all_.join(segs.where("n > 1").select("key", "seg"), ["key", "seg"]).select("rid", "first", "last"), "copied")
+    several = stage(segs.join(keys, "key").select("at.rid", "key", "hot", "n", "at.first", "at.last", "at.shift"), "several")
+    asked = stage(copied.select("rid").union(several.select("rid")).distinct(), "asked")
+    some, _ = split_by(long, "rid", key_filter(asked, "rid"))
+    texts = stage(some.join(asked, "rid", "left_semi").dropDuplicates(["rid"]), "texts")
+    cuts = several.groupBy("rid").agg(F.collect_list(F.struct("key", "hot", "n", "first", "last", "shift")).alias("cuts"))
+    marked = texts.join(cuts, "rid")
+
+    def cold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r, t, own in rows_of(batch, ["rid", "text", "cuts"], 32):
+                data, own = _bytes(t), [c for c in own if not c["hot"]]
+                if own:
+                    yield pa.RecordBatch.from_pydict({
+                        "key": pa.array([c["key"] for c in own], pa.int64()), "rid": pa.array([r] * len(own), pa.int64()), "n": pa.array([c["n"] for c in own], pa.int64()),
+                        "first": pa.array([c["first"] for c in own], pa.int32()), "shift": pa.array([c["shift"] for c in own], pa.int32()),
+                        "segment": pa.array([data[c["first"] : c["last"] + length] for c in own], pa.binary())})
+
+    def popular(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r, t, own in rows_of(batch, ["rid", "text", "cuts"], 32):
+                runs = [(c["first"], c["last"]) for c in own if c["hot"]]
+                if not runs:
+                    continue
+                whole = np.frombuffer(_bytes(t), np.uint8)
+                f, g = fingerprints(whole, length), fingerprints(whole, length, _Q)
+                at = np.concatenate([np.arange(a, b + 1) for a, b in runs])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), r)), pa.array(at.astype(np.int32)), pa.array(f[at].view(np.int64)), pa.array(g[at].view(np.int64))], ["rid", "at", "f", "g"])
 
     def family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, refs, base = Family(length, gram), [], 0
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            levels.add(batch.column("segment").to_pylist(), batch.column("shift").to_numpy(), np.arange(base, base + n))
-            refs.append([batch.column(c).to_numpy() for c in ("doc_id", "print", "first")])
-            base += n
+        for whole in batches:
+            for start in range(0, whole.num_rows, BATCH):
+                batch = whole.slice(start, BATCH)
+                levels.add(batch.column("segment").to_pylist(), batch.column("shift").to_numpy(), np.arange(base, base + batch.num_rows))
+                refs.append([batch.column(c).to_numpy() for c in ("rid", "first", "n")])
+                base += batch.num_rows
         if not refs:
             return
-        doc, prints, first = (np.concatenate(x) for x in zip(*refs, strict=True))
-        rows: tuple[list, list, list, list] = ([], [], [], [])
+        rid, first, n = (np.concatenate(x) for x in zip(*refs, strict=True))
+        rows: tuple[list, list, list] = ([], [], [])
         for row, hit in levels.result():
-            for a, b in zip(*_runs(hit), strict=True):
-                for column, x in zip(rows, (doc[row], prints[row], first[row] + a, first[row] + b), strict=True):
-                    column.append(x)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], ["doc_id", "print", "first", "last"])
-
-    few = stage(texts.mapInArrow(segments(False), "key long, doc_id long, print long, first long, shift long, segment binary"), "segments")
+            if n[row] == 1 and hit.any():  # of a segment that the corpus has more often all windows are known
+                for a, b in zip(*_runs(hit), strict=True):
+                    for column, x in zip(rows, (rid[row], first[row] + a, first[row] + b), strict=True):
+                        column.append(x)
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(c, k)) for c, k in zip(rows, (np.int64, np.int32, np.int32), strict=True)], ["rid", "first", "last"])
+
+    runs = "rid long, first int, last int"
+    few = stage(marked.mapInArrow(cold, "key long, rid long, n long, first int, shift int, segment binary"), "cold")
     parts = max(fan_out(docs.sparkSession), -(-few.count() // SHARE))
-    cold = few.repartition(parts, "key").mapInArrow(family, "doc_id long, print long, first long, last long")
-    windows = stage(texts.where(F.exists("keys", lambda k: k["hot"])).mapInArrow(segments(True), "doc_id long, print long, at long, f long, g long"), "windows")
+    met = few.repartition(parts, "key").mapInArrow(family, runs)
+    windows = stage(marked.where(F.exists("cuts", lambda c: c["hot"])).mapInArrow(popular, "rid long, at int, f long, g long"), "windows")
     again = windows.groupBy("f", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f", "g")
     # A table of its own, so that the join on fingerprints stands alone in its stage and AQE can split what is skewed.
-    hits = stage(windows.join(again, ["f", "g"]).select("doc_id", "print", F.col("at").alias("first")), "hits")
-    return texts, cold.unionByName(hits.withColumn("last", F.col("first")))
+    hits = stage(windows.join(again, ["f", "g"]).select("rid", F.col("at").alias("first"), F.col("at").alias("last")), "hits")
+    return texts, copied.unionByName(met).unionByName(hits)
+
 
+def _merged(runs: DataFrame, length: int) -> DataFrame:
+    """rid, begin, end: the bytes that runs of windows cover, as maximal spans in order; a task holds a batch of runs."""
 
-def _once(long: DataFrame, asked: DataFrame) -> DataFrame:
-    """A text for each (doc_id, print) that has repeated anchors; a null doc_id counts as 0 here, texts are told apart by their prints."""
-    rows = long.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "print", "text")
-    return rows.join(asked, ["doc_id", "print"])
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[int, int, int] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rid, begin = batch.column("rid").to_numpy(), batch.column("first").to_numpy().astype(np.int64)
+            end = batch.column("last").to_numpy().astype(np.int64) + length
+            if held is not None:
+                rid, begin, end = np.append(held[0], rid), np.append(held[1], begin), np.append(held[2], end)
+            group = np.cumsum(np.append(0, rid[1:] != rid[:-1]))
+            # The furthest end so far in each text; ends stay below 2^40.
+            far = np.maximum.accumulate(end + (group << 40)) - (group << 40)
+            new = np.append(True, (rid[1:] != rid[:-1]) | (begin[1:] > far[:-1]))
+            at = np.flatnonzero(new)
+            last = np.append(at[1:], len(rid)) - 1
+            spans = (rid[at], begin[at], far[last])
+            held = tuple(int(x[-1]) for x in spans)
+            yield pa.RecordBatch.from_arrays([pa.array(x[:-1]) for x in spans], ["rid", "begin", "end"])
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in held], ["rid", "begin", "end"])
+
+    return runs.repartition("rid").sortWithinPartitions("rid", "first").mapInArrow(join, "rid long, begin long, end long")
+
+
+def repeated_spans(docs: DataFrame, key: str, text: str, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """The rows as (doc_id, rid, text), where rid stands for key and text, and the texts with repeats as (rid, text, spans), spans in bytes, end exclusive."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(key).cast("long"), t).alias("rid"), t.alias("text"))
+    texts, windows = repeated_windows(rows.select("rid", "text"), length, gram, hot)
+    spans = _merged(windows, length).groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("spans"))
+    return rows, texts.join(spans, "rid")
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -269,34 +366,22 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     the same text too; strings are judged on the input. Rows that repeat a text repeat all its strings. What is left may
     cut a character in two.
     """
-    t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), t.alias("text"), F.xxhash64(t).alias("print"))
-    texts, windows = repeated_windows(rows, length, gram, hot)
-    spans = windows.groupBy("doc_id", "print").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs"))
+    rows, each = repeated_spans(docs, key, text, length, gram, hot)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [])
-            for d, p, text_, runs in rows_of(batch, ["doc_id", "print", "text", "runs"], 32):
-                data = text_.encode("utf-8", "surrogatepass")
-                merged: list[list[int]] = []
-                for r in runs:
-                    a, b = r["first"], r["last"] + length
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], b)
-                    else:
-                        merged.append([a, b])
-                digest, at = hashlib.sha256(), 0
-                for a, b in merged:
-                    digest.update(data[at:a])
-                    at = b
+            out: tuple[list, ...] = ([], [], [], [])
+            for r, text_, spans in rows_of(batch, ["rid", "text", "spans"], 32):
+                data, digest, at = _bytes(text_), hashlib.sha256(), 0
+                for s in spans:
+                    digest.update(data[at : s["begin"]])
+                    at = s["end"]
                 digest.update(data[at:])
-                for column, x in zip(out, (d, p, sum(b - a for a, b in merged), len(merged), digest.hexdigest()), strict=True):
+                for column, x in zip(out, (r, sum(s["end"] - s["begin"] for s in spans), len(spans), digest.hexdigest()), strict=True):
                     column.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.string())], ["d", "p", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["rid", "n_removed", "n_spans", "kept"])
 
-    each = texts.select("doc_id", "print", "text").dropDuplicates(["doc_id", "print"]).join(spans, ["doc_id", "print"])
-    done = each.mapInArrow(cut, "d long, p long, n_removed long, n_spans long, kept string")
-    narrow = rows.select("doc_id", "print", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
+    done = each.mapInArrow(cut, "rid long, n_removed long, n_spans long, kept string")
+    narrow = rows.select("doc_id", "rid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-    return narrow.join(done, (F.coalesce("doc_id", F.lit(0)) == F.col("d")) & (F.col("print") == F.col("p")), "left").select("doc_id", "n_bytes", zero("n_removed"), zero("n_spans"), F.coalesce("kept", "sha").alias("kept_sha256"))
+    return narrow.join(done, "rid", "left").select("doc_id", "n_bytes", zero("n_removed"), zero("n_spans"), F.coalesce("kept", "sha").alias("kept_sha256"))
