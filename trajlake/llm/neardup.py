@@ -6,11 +6,10 @@ candidate clusters: any two classes that share a bucket are in one, so links are
 sets.
 
 * A cluster of at most ``SMALL`` classes goes to one task, which counts all common shingles by matrix products.
-* In a larger one stars go on: the member that shares buckets with most others is a hub, and all members that no hub has are held against it; this is a
-  row per member, and a skewed join that AQE can split. Rounds go on while a hub takes a ``GAIN``-th of what is left.
-* What is outside of the cluster's largest component then meets members of other components, and only those that share a bucket with it: whole signatures first,
-  block by block, then the full sets of the pairs whose signatures agree in at least ``AGREE`` of their values. At the threshold of 80 of 100 a pair of
-  sets agrees in less with a probability of 1 in 10^9.
+* In a larger one stars go on: the member that shares buckets with most others is a hub, and all members are held against it; this is a row per member, and
+  a skewed join that AQE can split. The next hub is one that no hub has taken, as long as hubs take a fair share of what is left.
+* What is outside of the cluster's largest component then meets all of the cluster, in blocks of sets; a block returns a spanning forest of its
+  links, never its pairs.
 
 So every link between texts that share a bucket counts, whatever the size of its group. With 32 bands of 5 values, two texts
 at the threshold share none with a probability of 3 in a million. Texts are fetched by a filter of fixed size, so that only rows
@@ -32,10 +31,10 @@ from trajlake.llm.components import components
 from trajlake.llm.shingles import OnePermutation, set_key, shingle_set
 
 BANDS, ROWS = 32, 5
-#: Classes of a cluster that one task compares; signatures of a block.
-SMALL, BLOCK = 128, 1024
-#: Hubs go on while one takes this share of the members left; share of a signature's values that must agree, as a part of the least similarity.
-GAIN, AGREE = 0.05, 0.75
+#: Classes of a cluster that one task compares; sets of a block.
+SMALL, BLOCK = 128, 256
+#: Hubs go on until ``LOW`` of them in a row have taken less than this share of the members left.
+GAIN, LOW = 0.05, 2
 #: Distinct shingles counted by one matrix product.
 COLUMNS = 1 << 14
 
@@ -159,79 +158,58 @@ def _linked_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 
-def _hub_links(sets: DataFrame, members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
-    """a, b: the members (cls, cluster) linked with the hub of their cluster. One row per member is all that is compared."""
+def _hub_links(sets: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
+    """a, b: the members linked with the hub of their cluster. One row per member is all that is compared."""
     hub_sets = hubs.join(sets.select(F.col("cls").alias("hub"), F.col("shingles").alias("hub_set")), "hub").select("cluster", "hub", "hub_set")
-    rows = members.select("cls").join(sets, "cls").join(hub_sets, "cluster").select(F.col("cls").alias("a"), F.col("hub").alias("b"), F.col("shingles").alias("x"), F.col("hub_set").alias("y"))
+    rows = sets.join(hub_sets, "cluster").select(F.col("cls").alias("a"), F.col("hub").alias("b"), F.col("shingles").alias("x"), F.col("hub_set").alias("y"))
     return rows.mapInArrow(lambda batches: _linked_rows(batches, percent), "a binary, b binary")
 
 
-def _bucket_links(sets: DataFrame, labels: DataFrame, rest: DataFrame, percent: int, bands: int, rows: int) -> DataFrame:
-    """a, b: links of the rest with members of other components (cls, root) that are in one of their buckets."""
-    least = int(AGREE * percent * bands * rows / 100)
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        oph = OnePermutation(bands, rows)
-        for batch in batches:
-            for cls, root, outside, x in rows_of(batch, ["cls", "root", "outside", "shingles"], 64):
-                s = np.frombuffer(x, U64)
-                sig = (oph.signature(s) & U64(0xFF)).astype(np.uint8).tobytes()
-                b = oph.buckets(s)
-                n = len(b)
-                yield pa.RecordBatch.from_arrays([pa.array(b), pa.array([cls] * n, pa.binary()), pa.array([root] * n, pa.binary()), pa.array([outside] * n), pa.array([len(s)] * n, pa.int64()), pa.array([sig] * n, pa.binary())], ["bucket", "cls", "root", "outside", "n", "sig"])
-
-    own = sets.join(labels, "cls").join(rest.select("cls", F.lit(True).alias("outside")), "cls", "left").select("cls", "root", F.coalesce("outside", F.lit(False)).alias("outside"), "shingles")
-    signed = stage(own.mapInArrow(sign, "bucket long, cls binary, root binary, outside boolean, n long, sig binary"), "signed")
-    # Buckets with a member outside and two components; one row per bucket.
-    shape = signed.groupBy("bucket").agg(F.count(F.lit(1)).alias("all"), F.count_if("outside").alias("out"), F.min("root").alias("low"), F.max("root").alias("high")).where("out > 0 and low <> high")
-    shape = shape.select("bucket", F.ceil(F.col("out") / BLOCK).cast("long").alias("parts"), F.ceil(F.col("all") / BLOCK).cast("long").alias("all_parts"))
-    placed = signed.join(shape, "bucket")
+def _block_links(sets: DataFrame, rest: DataFrame, percent: int) -> DataFrame:
+    """a, b: links of the rest (cls, cluster) with all members of their clusters, block by block; a block returns a forest, not its pairs."""
+    counts = rest.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    all_counts = sets.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("all_parts"))
+    shape = counts.join(all_counts, "cluster")
     part = lambda n: F.pmod(F.xxhash64("cls"), n)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    names = ["bucket", "i", "j", "cls", "root", "n", "sig"]
+    left = sets.join(rest, ["cls", "cluster"]).join(shape, "cluster").select("cluster", part(F.col("parts")).alias("i"), every("all_parts").alias("j"), "cls", "shingles")
+    right = sets.join(shape, "cluster").select("cluster", every("parts").alias("i"), part(F.col("all_parts")).alias("j"), "cls", "shingles")
+
+    def links(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        s, t = _unpack(x["shingles"]), _unpack(y["shingles"])
+        if not s or not t:
+            return pd.DataFrame({"a": [], "b": []})
+        hit = linked(common_counts(s, t), np.array([len(v) for v in s]), np.array([len(v) for v in t]), percent)
+        n = len(s)
+        square = np.zeros((n + len(t), n + len(t)), bool)
+        square[:n, n:], square[n:, :n] = hit, hit.T
+        names = [*x["cls"], *y["cls"]]
+        found = [(names[i], names[r]) for i, r in forest(square) if names[i] != names[r]]
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    keys = ["cluster", "i", "j"]
     # New names for the same columns: both sides come from one table.
-    left = placed.where("outside").select("bucket", part(F.col("parts")).alias("i"), every("all_parts").alias("j"), "cls", "root", "n", "sig").toDF(*names)
-    right = placed.select("bucket", every("parts").alias("i"), part(F.col("all_parts")).alias("j"), "cls", "root", "n", "sig").toDF(*names)
+    left, right = left.toDF(*keys, "cls", "shingles"), right.toDF(*keys, "cls", "shingles")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(links, "a binary, b binary")
 
-    def near(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        a, b = [], []
-        if len(x) and len(y):
-            sig = np.frombuffer(b"".join(y["sig"]), np.uint8).reshape(len(y), -1)
-            n, root, cls = y["n"].to_numpy(), y["root"].to_numpy(), y["cls"].to_numpy()
-            for c, r, m, s in zip(x["cls"], x["root"], x["n"], x["sig"], strict=True):
-                same = np.count_nonzero(sig == np.frombuffer(s, np.uint8), axis=1)
-                fit = (same >= least) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (root != r)
-                for other in cls[fit]:
-                    a.append(min(c, other))
-                    b.append(max(c, other))
-        return pd.DataFrame({"a": a, "b": b})
-
-    keys = ["bucket", "i", "j"]
-    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(near, "a binary, b binary").distinct()
-    x = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
-    y = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
-    both = stage(pairs, "pairs").join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return both.mapInArrow(lambda batches: _linked_rows(batches, percent), "a binary, b binary")
-
-
-def _large(large: DataFrame, popular: DataFrame, percent: int, bands: int, rows: int) -> DataFrame:
+
+def _large(large: DataFrame, popular: DataFrame, percent: int) -> DataFrame:
     """a, b: links that hold the components of large clusters (cls, cluster, shingles; popular: cls, met) together."""
     left = stage(large.select("cls", "cluster").join(popular, "cls"), "left")
-    edges, n = None, left.count()
-    while n:
+    edges, n, low = None, left.count(), 0
+    while n and low < LOW:
         hubs = stage(left.groupBy("cluster").agg(F.expr("max_by(cls, struct(met, cls))").alias("hub")), "hubs")
-        found = stage(_hub_links(large, left, hubs, percent), "links")
+        found = stage(_hub_links(large, hubs, percent), "links")
         edges = found if edges is None else edges.unionByName(found)
         gone = found.select(F.col("a").alias("cls")).union(hubs.select("hub"))
         left = stage(left.join(gone.distinct(), "cls", "left_anti"), "left")
         before, n = n, left.count()
-        if before - n < GAIN * before:
-            break
+        low = low + 1 if before - n < GAIN * before else 0
     parts = components(edges, "a", "b")
     at = stage(large.select("cls", "cluster").join(parts, parts["node"] == F.col("cls"), "left").select("cls", "cluster", F.coalesce("root", "cls").alias("root")), "labels")
     biggest = at.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("cluster").agg(F.expr("max_by(root, struct(n, root))").alias("main"))
-    rest = stage(at.join(biggest, "cluster").where("root <> main").select("cls"), "rest")
-    return edges.unionByName(_bucket_links(large, at.select("cls", "root"), rest, percent, bands, rows))
+    rest = stage(at.join(biggest, "cluster").where("root <> main").select("cls", "cluster"), "rest")
+    return edges.unionByName(_block_links(large, rest, percent))
 
 
 def grouped(docs: DataFrame, key: str, text: str, width: int, percent: int, bands: int, rows: int) -> DataFrame:
@@ -249,7 +227,7 @@ def grouped(docs: DataFrame, key: str, text: str, width: int, percent: int, band
     if many.limit(1).count():
         large = stage(sets.join(many, "cluster", "left_semi").dropDuplicates(["cls"]), "large")
         popular = found.groupBy("cls").agg(F.sum("m").alias("met"))
-        edges = edges.unionByName(stage(_large(large, popular, percent, bands, rows), "links"))
+        edges = edges.unionByName(stage(_large(large, popular, percent), "links"))
     roots = components(edges, "a", "b").select(F.col("node").alias("cls"), "root")
     return stage(given.select("doc_id", "rid", "n", "cls").join(roots, "cls", "left").select("doc_id", "rid", "n", F.coalesce("root", "cls").alias("root")), "groups")
 
