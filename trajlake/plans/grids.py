@@ -69,13 +69,13 @@ def nearest_free(spark, sf_dir):
 
 @query(
     "sight_lines",
-    f"""WITH {CELLS}, p AS (SELECT event_id, CAST(event_id % 64 AS INTEGER) AS r0, CAST(event_id * 3 % 64 AS INTEGER) AS c0, CAST(event_id * 5 % 64 AS INTEGER) AS r1, CAST(event_id * 7 % 64 AS INTEGER) AS c1 FROM events WHERE event_id < 2000),
+    f"""WITH {CELLS}, p AS (SELECT event_id, CAST(event_id % 64 AS INTEGER) AS r0, CAST(event_id * 3 % 64 AS INTEGER) AS c0, CAST(event_id * 5 % 64 AS INTEGER) AS r1, CAST(event_id * 7 % 64 AS INTEGER) AS c1 FROM events),
 n AS (SELECT *, greatest(abs(r1 - r0), abs(c1 - c0), 1) AS n FROM p),
 q AS (SELECT event_id, CAST(floor(r0 + (r1 - r0) * i / n + 0.5) AS INTEGER) AS row, CAST(floor(c0 + (c1 - c0) * i / n + 0.5) AS INTEGER) AS col FROM n, range(0, 64) t(i) WHERE i <= n)
 SELECT event_id, bool_and(coalesce(free, false)) AS clear FROM q LEFT JOIN cells USING (row, col) GROUP BY event_id""",
 )
 def sight_lines(spark, sf_dir):
-    """Lines of sight between a pair of cells for each event. The SQL still has the first 2,000 events only."""
+    """Lines of sight between a pair of cells for each event."""
     e = F.col("event_id")
     p = table(spark, sf_dir, "events").select("event_id", (e % 64).cast("int").alias("r0"), (e * 3 % 64).cast("int").alias("c0"), (e * 5 % 64).cast("int").alias("r1"), (e * 7 % 64).cast("int").alias("c1"))
     return R.sight_lines(p, cells(spark), "event_id")
@@ -84,13 +84,13 @@ def sight_lines(spark, sf_dir):
 @query(
     "sector_risk",
     f"""WITH {CELLS}, {_DIST}, f AS (SELECT event_id, row AS r0, col AS c0, CASE event_id % 2 WHEN 0 THEN 1.0::DOUBLE ELSE 0 END AS nx, CASE event_id % 2 WHEN 0 THEN 0.0::DOUBLE ELSE 1 END AS ny
-  FROM (SELECT event_id, CAST(event_id * 7 % 66 AS INTEGER) AS row, CAST(event_id * 11 % 67 AS INTEGER) AS col FROM events WHERE event_id < 1000)),
+  FROM (SELECT event_id, CAST(event_id * 7 % 66 AS INTEGER) AS row, CAST(event_id * 11 % 67 AS INTEGER) AS col FROM events)),
 h AS (SELECT event_id, sum(1 / (dist * dist + 1e-6)) AS risk FROM f JOIN dists ON ((col - c0) * 0.25::DOUBLE) ** 2 + ((row - r0) * 0.25::DOUBLE) ** 2 <= 2.25
   AND (col - c0) * 0.25::DOUBLE * nx + (row - r0) * 0.25::DOUBLE * ny >= 0.5 * sqrt(((col - c0) * 0.25::DOUBLE) ** 2 + ((row - r0) * 0.25::DOUBLE) ** 2) GROUP BY event_id)
 SELECT event_id, coalesce(round(risk, 4), -1) AS risk FROM f LEFT JOIN h USING (event_id)""",
 )
 def sector_risk(spark, sf_dir):
-    """Risk before a face for each event; -1 stands for the infinite one. The SQL still has the first 1,000 events only."""
+    """Risk before a face for each event; -1 stands for the infinite one."""
     e = F.col("event_id")
     f = _places(spark, sf_dir).withColumns({"nx": F.when(e % 2 == 0, 1.0).otherwise(0.0), "ny": F.when(e % 2 == 0, 0.0).otherwise(1.0)})
     r = R.sector_risk(f, R.clearance(cells(spark), 6).withColumn("dist", F.col("dist")), "event_id", 1.5, 0.5, 0.25)
@@ -109,7 +109,7 @@ def world_to_pixel(spark, sf_dir):
 
 _FREE = "walk AS (SELECT row // 16 AS room, row, col FROM cells WHERE free)"
 _DRAWS = f"""{CELLS}, {_FREE}, ranked AS (SELECT *, row_number() OVER (PARTITION BY room ORDER BY row, col) - 1 AS rank FROM walk), sizes AS (SELECT room, count(*) AS size FROM walk GROUP BY room),
-draws AS (SELECT room, CAST(i AS INTEGER) AS draw_no, CAST(floor(CAST(('0x' || left(md5('1024|' || room || '|' || i), 8))::BIGINT AS DOUBLE) / 4294967296.0::DOUBLE * size) AS INTEGER) AS rank FROM sizes, range(0, 200) t(i)),
+draws AS (SELECT room, CAST(i AS INTEGER) AS draw_no, CAST(floor(CAST(('0x' || left(md5('1024|' || room || '|' || i), 8))::BIGINT AS DOUBLE) / 4294967296.0::DOUBLE * size) AS INTEGER) AS rank FROM sizes, range(0, 2000) t(i)),
 drawn AS (SELECT room, draw_no, row, col FROM draws JOIN ranked USING (room, rank))"""
 
 
@@ -120,7 +120,7 @@ def _draws(spark):
 
 @query("walkable_draws", f"WITH {_DRAWS} SELECT room, draw_no, row, col FROM drawn")
 def walkable_draws(spark, sf_dir):
-    """Draws with replacement of free cells in each room, 2,000 of them. The SQL here and of what follows from the draws still has 200."""
+    """Draws with replacement of free cells in each room, 2,000 of them."""
     return _draws(spark)
 
 
@@ -139,13 +139,13 @@ def room_medoids(spark, sf_dir):
     return S.medoid(p, "room", "draw_no")
 
 
-_RINGS = """t AS (SELECT id, i, CAST(('0x' || left(md5('1025r|' || id || '|' || i), 8))::BIGINT AS DOUBLE) / 4294967296.0::DOUBLE AS u, CAST(('0x' || left(md5('1025a|' || id || '|' || i), 8))::BIGINT AS DOUBLE) / 4294967296.0::DOUBLE AS v, max_x, (min_y + max_y) / 2 AS my FROM objects, range(0, 8) r(i)),
+_RINGS = """t AS (SELECT id, i, CAST(('0x' || left(md5('1025r|' || id || '|' || i), 8))::BIGINT AS DOUBLE) / 4294967296.0::DOUBLE AS u, CAST(('0x' || left(md5('1025a|' || id || '|' || i), 8))::BIGINT AS DOUBLE) / 4294967296.0::DOUBLE AS v, max_x, (min_y + max_y) / 2 AS my FROM objects, range(0, 1000) r(i)),
 p AS (SELECT id, i, max_x + sqrt(0.25 + u * 2.0) * cos((v * 2 - 1) * 0.5) AS x, my + sqrt(0.25 + u * 2.0) * sin((v * 2 - 1) * 0.5) AS y FROM t)"""
 
 
 @query("ring_points", f"WITH {OBJECTS}, {_RINGS} SELECT id, CAST(arg_min(i, i) FILTER (WHERE x < 15.0) AS INTEGER) AS try_no, round(arg_min(x, i) FILTER (WHERE x < 15.0), 6) AS x, round(arg_min(y, i) FILTER (WHERE x < 15.0), 6) AS y FROM p GROUP BY id HAVING count(*) FILTER (WHERE x < 15.0) > 0")
 def ring_points(spark, sf_dir):
-    """The first place before each object's face, of 1,000 tries, that is inside. The SQL still has eight tries."""
+    """The first place before each object's face, of 1,000 tries, that is inside."""
     o = objects(spark, sf_dir).select("id", F.col("max_x").alias("cx"), ((F.col("min_y") + F.col("max_y")) / 2).alias("cy"), F.lit(1.0).alias("nx"), F.lit(0.0).alias("ny"))
     p = S.ring_points(o, "id", 1000, 0.5, 1.5, 0.5, "1025").where("x < 15.0")
     return p.groupBy("id").agg(F.min(F.struct("try_no", "x", "y")).alias("m")).select("id", "m.try_no", F.round("m.x", 6).alias("x"), F.round("m.y", 6).alias("y"))
@@ -167,12 +167,12 @@ def cloud_boxes(spark, sf_dir):
 
 @query(
     "cloud_distances",
-    f"""WITH {_POINTS}, few AS (SELECT * FROM pts WHERE label < 3), pairs AS (SELECT DISTINCT a.vec_id AS a, a.vec_id + 1 AS b FROM few a),
-d AS (SELECT p.a, p.b, min((s.x - t.x) ** 2 + (s.y - t.y) ** 2 + (s.z - t.z) ** 2) AS d2 FROM pairs p JOIN few s ON s.vec_id = p.a JOIN few t ON t.vec_id = p.b GROUP BY p.a, p.b)
+    f"""WITH {_POINTS}, pairs AS (SELECT DISTINCT a.vec_id AS a, a.vec_id + 1 AS b FROM pts a),
+d AS (SELECT p.a, p.b, min((s.x - t.x) ** 2 + (s.y - t.y) ** 2 + (s.z - t.z) ** 2) AS d2 FROM pairs p JOIN pts s ON s.vec_id = p.a JOIN pts t ON t.vec_id = p.b GROUP BY p.a, p.b)
 SELECT a, b, round(sqrt(d2), 6) AS dist FROM d WHERE d2 <= 0.25 * 0.25""",
 )
 def cloud_distances(spark, sf_dir):
-    """Least distances of clouds with neighbouring numbers, up to a quarter of a metre. The SQL still has three of the ten labels only."""
+    """Least distances of clouds with neighbouring numbers, up to a quarter of a metre."""
     p = _points(spark, sf_dir)
     pairs = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("a"), (F.col("vec_id") + 1).alias("b")).distinct()
     return M.cloud_distances(p, pairs, "vec_id", 0.25).select("a", "b", F.round("dist", 6).alias("dist"))
