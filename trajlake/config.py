@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from trajlake.kernels.search import PlannerSettings
 from trajlake.operators.relations import Thresholds
 from trajlake.ports import CallLimits
@@ -33,3 +36,7 @@ class Run:
     planner: PlannerSettings = PlannerSettings()
     relations: Thresholds = Thresholds()
     calls: CallLimits = CallLimits()
+
+    def without_excluded(self, objects: DataFrame, scope: str) -> DataFrame:
+        """The objects whose scope isn't left out; a null scope stays."""
+        return objects.where(~F.coalesce(F.col(scope).isin(*self.excluded_scopes), F.lit(False))) if self.excluded_scopes else objects

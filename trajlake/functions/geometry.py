@@ -114,3 +114,111 @@ def side_faces(p: str = "") -> Column:
     xs = F.array(face(c("max", "x"), mid("y"), 1.0, 0.0), face(c("min", "x"), mid("y"), -1.0, 0.0))
     ys = F.array(face(mid("x"), c("max", "y"), 0.0, 1.0), face(mid("x"), c("min", "y"), 0.0, -1.0))
     return F.when((across_x >= across_y) | (F.greatest(across_x, across_y) < 1e-6), xs).otherwise(ys)
+
+
+def side_faces_yxz(p: str = "") -> Column:
+    """``side_faces`` of a box whose columns x and y hold the other axis first: measured in the swapped frame and given back in the box's own, lower face first."""
+    c = lambda m, x: F.col(f"{p}{m}_{x}")
+    mid = lambda x: (c("min", x) + c("max", x)) / 2
+    across_y = (c("max", "x") - c("min", "x")) * (c("max", "z") - c("min", "z"))
+    across_x = (c("max", "y") - c("min", "y")) * (c("max", "z") - c("min", "z"))
+    face = lambda cx, cy, nx, ny: F.struct(cx.alias("cx"), cy.alias("cy"), mid("z").alias("cz"), F.lit(nx).alias("nx"), F.lit(ny).alias("ny"))
+    ys = F.array(face(mid("x"), c("min", "y"), 0.0, -1.0), face(mid("x"), c("max", "y"), 0.0, 1.0))
+    xs = F.array(face(c("min", "x"), mid("y"), -1.0, 0.0), face(c("max", "x"), mid("y"), 1.0, 0.0))
+    return F.when((across_y >= across_x) | (F.greatest(across_x, across_y) < 1e-6), ys).otherwise(xs)
+
+
+def front_face(x: Column, y: Column, z: Column, p: str = "") -> Column:
+    """One face (cx, cy, cz, nx, ny, nz) of a box: of the pair of upright faces with the larger area that which looks away from (x, y, z), the
+    lower one if both or none do. Boxes without upright faces of any size give one of their largest pair, the ground pair too."""
+    c = lambda m, a: F.col(f"{p}{m}_{a}")
+    mid = {a: (c("min", a) + c("max", a)) / 2 for a in AXES}
+    size = {a: c("max", a) - c("min", a) for a in AXES}
+    at = dict(zip(AXES, (x, y, z), strict=True))
+    area = {"x": size["y"] * size["z"], "y": size["x"] * size["z"], "z": size["x"] * size["y"]}
+
+    def face(axis: str) -> Column:
+        one = lambda m, s: F.struct(*((c(m, a) if a == axis else mid[a]).alias(f"c{a}") for a in AXES), *(F.lit(s if a == axis else 0.0).alias(f"n{a}") for a in AXES))
+        # The lower face's normal is minus the axis; the point lies behind it if it lies above the face.
+        return F.when(at[axis] > c("min", axis), one("min", -1.0)).otherwise(one("max", 1.0))
+
+    upright = F.when(area["x"] >= area["y"], face("x")).otherwise(face("y"))
+    any_ = F.when((area["y"] >= area["z"]) & (area["y"] >= area["x"]), face("y")).when(area["z"] >= area["x"], face("z")).otherwise(face("x"))
+    return F.when(F.greatest(area["x"], area["y"]) < 1e-6, any_).otherwise(upright)
+
+
+def rotation_to(o: tuple[Column, ...], a: tuple[Column, ...], b: tuple[Column, ...]) -> Column:
+    """Rows of the rotation matrix that turns direction ``o`` to the direction from a to b, about the normal of both; the identity where a and b
+    are one point or the directions agree. Opposite directions turn half a circle about a normal of ``o``."""
+    unit = lambda v, n: [x / F.nullif(n, F.lit(0.0)) for x in v]
+    norm = lambda v: F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2])
+    cross = lambda p, q: [p[1] * q[2] - p[2] * q[1], p[2] * q[0] - p[0] * q[2], p[0] * q[1] - p[1] * q[0]]
+    step = [q - p for p, q in zip(a, b, strict=True)]
+    v, w = unit(o, norm(o)), unit(step, norm(step))
+    d = v[0] * w[0] + v[1] * w[1] + v[2] * w[2]
+    k, flat = cross(v, w), F.abs(v[0]) > 1 - 1e-12
+    # About the normal k of length sin: I + [k] + [k]^2 / (1 + cos).
+    about = lambda k, s, t: [[F.lit(float(i == j)) + s * e + t * (k[i] * k[j] - (kk if i == j else F.lit(0.0))) for j, e in enumerate(row)] for kk in [k[0] * k[0] + k[1] * k[1] + k[2] * k[2]] for i, row in enumerate([[F.lit(0.0), -k[2], k[1]], [k[2], F.lit(0.0), -k[0]], [-k[1], k[0], F.lit(0.0)]])]
+    side = [F.when(flat, p).otherwise(q) for p, q in zip(cross(v, [F.lit(0.0), F.lit(1.0), F.lit(0.0)]), cross(v, [F.lit(1.0), F.lit(0.0), F.lit(0.0)]), strict=True)]
+    half = about(unit(side, norm(side)), F.lit(0.0), F.lit(2.0))
+    turn = about(k, F.lit(1.0), 1 / F.nullif(1 + d, F.lit(0.0)))
+    same = (norm(step) < 1e-6) | (F.abs(d - 1) <= 1e-5)
+    rows = lambda m: F.array(*(F.array(*r) for r in m))
+    one = [[F.lit(float(i == j)) for j in range(3)] for i in range(3)]
+    return F.when(same, rows(one)).when(F.abs(d + 1) <= 1e-5, rows(half)).otherwise(rows(turn))
+
+
+def quaternion_matrix(q: Column) -> Column:
+    """Rows of the rotation matrix of a unit quaternion [w, x, y, z]."""
+    w, x, y, z = (F.get(q, F.lit(i)) for i in range(4))
+    return F.array(
+        F.array(1 - 2 * (y * y + z * z), 2 * (x * y - w * z), 2 * (x * z + w * y)),
+        F.array(2 * (x * y + w * z), 1 - 2 * (x * x + z * z), 2 * (y * z - w * x)),
+        F.array(2 * (x * z - w * y), 2 * (y * z + w * x), 1 - 2 * (x * x + y * y)),
+    )
+
+
+def euler_quaternion(roll: Column, pitch: Column, yaw: Column) -> Column:
+    """[w, x, y, z] of a roll about x, then a pitch about y, then a yaw about z, all about fixed axes."""
+    zero = F.lit(0.0)
+    about_x = F.array(F.cos(roll / 2), F.sin(roll / 2), zero, zero)
+    about_y = F.array(F.cos(pitch / 2), zero, F.sin(pitch / 2), zero)
+    return hamilton(yaw_quaternion(yaw), hamilton(about_y, about_x))
+
+
+def quaternion_euler(q: Column) -> Column:
+    """Struct (roll, pitch, yaw) of a unit quaternion, the inverse of ``euler_quaternion`` for pitches within a quarter circle."""
+    w, x, y, z = (F.get(q, F.lit(i)) for i in range(4))
+    sine = F.greatest(F.least(2 * (w * y - z * x), F.lit(1.0)), F.lit(-1.0))
+    return F.struct(F.atan2(2 * (w * x + y * z), 1 - 2 * (x * x + y * y)).alias("roll"), F.asin(sine).alias("pitch"), F.atan2(2 * (w * z + x * y), 1 - 2 * (y * y + z * z)).alias("yaw"))
+
+
+def matrix_quaternion(m: Column) -> Column:
+    """The unit quaternion with w >= 0 of a rotation matrix (rows)."""
+    g = lambda i, j: F.get(F.get(m, F.lit(i)), F.lit(j))
+    root = lambda v: F.sqrt(F.greatest(v, F.lit(0.0))) / 2
+    sign = lambda v, s: F.when(s < 0, -v).otherwise(v)
+    xx, yy, zz = g(0, 0), g(1, 1), g(2, 2)
+    return F.array(root(1 + xx + yy + zz), sign(root(1 + xx - yy - zz), g(2, 1) - g(1, 2)), sign(root(1 - xx + yy - zz), g(0, 2) - g(2, 0)), sign(root(1 - xx - yy + zz), g(1, 0) - g(0, 1)))
+
+
+def pose_matrix(q: Column, x: Column, y: Column, z: Column) -> Column:
+    """The four rows of a homogeneous pose from a quaternion and a place."""
+    m = quaternion_matrix(q)
+    rows = [F.concat(F.get(m, F.lit(i)), F.array(t)) for i, t in enumerate((x, y, z))]
+    return F.array(*rows, F.array(*(F.lit(v) for v in (0.0, 0.0, 0.0, 1.0))))
+
+
+def matrix_pose(m: Column) -> Column:
+    """Struct (q, x, y, z) of a homogeneous pose: the inverse of ``pose_matrix`` up to the quaternion's sign."""
+    at = lambda i: F.get(F.get(m, F.lit(i)), F.lit(3))
+    return F.struct(matrix_quaternion(m).alias("q"), at(0).alias("x"), at(1).alias("y"), at(2).alias("z"))
+
+
+def segment_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+    """The distance of a point to a segment."""
+    ux, uy = bx - ax, by - ay
+    t = F.greatest(F.least(((px - ax) * ux + (py - ay) * uy) / F.nullif(ux * ux + uy * uy, F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
+    t = F.coalesce(t, F.lit(0.0))
+    dx, dy = px - (ax + t * ux), py - (ay + t * uy)
+    return F.sqrt(dx * dx + dy * dy)
