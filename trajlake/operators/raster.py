@@ -1,10 +1,15 @@
-"""Occupancy rasters in long form: cells (row, col, free). Neighbourhoods are joins with small offset tables."""
+"""Occupancy rasters in long form: cells (row, col, free). Neighbourhoods are joins with small offset tables.
+
+``by`` names the columns that tell rasters apart, such as a scene; they are in every key, so all rasters are worked on at once and never mix.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trajlake.storage import materialize
+
 # The offsets (dy, dx) of the footprint that a path's cells are tested on; it isn't symmetric.
 FOOTPRINT = ((0, 0), (2, 0), (0, 1), (-2, 0), (0, -2), (1, 1), (-1, 1), (-1, -1), (1, -1))
 
@@ -20,31 +25,31 @@ def kernel(size: int) -> tuple[tuple[int, int], ...]:
     return tuple((r, c) for r in range(low, high + 1) for c in range(low, high + 1))
 
 
-def binarise(values: DataFrame) -> DataFrame:
+def binarise(values: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """row, col, free from raw cell values: 1 is free, all else (unknown too) an obstacle."""
-    return values.select("row", "col", (F.col("value") == 1).alias("free"))
+    return values.select(*by, "row", "col", (F.col("value") == 1).alias("free"))
 
 
-def dilate(cells: DataFrame, size: int, times: int = 1) -> DataFrame:
+def dilate(cells: DataFrame, size: int, times: int = 1, by: tuple[str, ...] = ()) -> DataFrame:
     """The raster with its obstacles spread by a square kernel, so many times. Cells outside count for nothing."""
     k = offsets(cells.sparkSession, kernel(size))
     for _ in range(times):
-        hit = cells.where(~F.col("free")).join(k).select((F.col("row") + F.col("dr")).alias("row"), (F.col("col") + F.col("dc")).alias("col")).distinct()
-        cells = cells.join(hit.withColumn("hit", F.lit(True)), ["row", "col"], "left").select("row", "col", (F.col("free") & F.col("hit").isNull()).alias("free"))
+        hit = cells.where(~F.col("free")).join(k).select(*by, (F.col("row") + F.col("dr")).alias("row"), (F.col("col") + F.col("dc")).alias("col")).distinct()
+        cells = cells.join(hit.withColumn("hit", F.lit(True)), [*by, "row", "col"], "left").select(*by, "row", "col", (F.col("free") & F.col("hit").isNull()).alias("free"))
     return cells
 
 
-def clearance(cells: DataFrame, most: int) -> DataFrame:
+def clearance(cells: DataFrame, most: int, by: tuple[str, ...] = ()) -> DataFrame:
     """row, col, dist of free cells to the nearest obstacle, exact up to ``most`` cells; beyond that null. Obstacles reach a fixed number of cells each."""
     ring = tuple((r, c) for r in range(-most, most + 1) for c in range(-most, most + 1) if r * r + c * c <= most * most)
-    near = cells.where(~F.col("free")).join(offsets(cells.sparkSession, ring)).select((F.col("row") + F.col("dr")).alias("row"), (F.col("col") + F.col("dc")).alias("col"), F.sqrt((F.col("dr") * F.col("dr") + F.col("dc") * F.col("dc")).cast("double")).alias("d"))
-    return cells.where("free").join(near.groupBy("row", "col").agg(F.min("d").alias("dist")), ["row", "col"], "left").select("row", "col", "dist")
+    near = cells.where(~F.col("free")).join(offsets(cells.sparkSession, ring)).select(*by, (F.col("row") + F.col("dr")).alias("row"), (F.col("col") + F.col("dc")).alias("col"), F.sqrt((F.col("dr") * F.col("dr") + F.col("dc") * F.col("dc")).cast("double")).alias("d"))
+    return cells.where("free").join(near.groupBy(*by, "row", "col").agg(F.min("d").alias("dist")), [*by, "row", "col"], "left").select(*by, "row", "col", "dist")
 
 
-def footprint_free(places: DataFrame, cells: DataFrame, keys: list[str], shape: tuple[tuple[int, int], ...] = FOOTPRINT) -> DataFrame:
+def footprint_free(places: DataFrame, cells: DataFrame, keys: list[str], shape: tuple[tuple[int, int], ...] = FOOTPRINT, by: tuple[str, ...] = ()) -> DataFrame:
     """keys, clear: whether all cells of the footprint around a place are inside the raster and free."""
-    p = places.join(offsets(places.sparkSession, shape)).select(*keys, (F.col("row") + F.col("dr")).alias("row"), (F.col("col") + F.col("dc")).alias("col"))
-    return p.join(cells, ["row", "col"], "left").groupBy(*keys).agg(F.bool_and(F.coalesce("free", F.lit(False))).alias("clear"))
+    p = places.join(offsets(places.sparkSession, shape)).select(*by, *keys, (F.col("row") + F.col("dr")).alias("row"), (F.col("col") + F.col("dc")).alias("col"))
+    return p.join(cells, [*by, "row", "col"], "left").groupBy(*by, *keys).agg(F.bool_and(F.coalesce("free", F.lit(False))).alias("clear"))
 
 
 def in_sector(dx: Column, dy: Column, nx: Column, ny: Column, radius: float, half_arc_cos: float) -> Column:
@@ -53,28 +58,59 @@ def in_sector(dx: Column, dy: Column, nx: Column, ny: Column, radius: float, hal
     return (d2 <= radius * radius) & (dx * nx + dy * ny >= half_arc_cos * F.sqrt(d2))
 
 
-def sector_risk(faces: DataFrame, dists: DataFrame, key: str, radius: float, half_arc_cos: float, cell: float) -> DataFrame:
-    """key, risk: sum of 1 / (d^2 + 1e-6) over the free cells before a face (row, col, nx, ny); infinite where there is none.
+def sector_cells(faces: DataFrame, cells: DataFrame, key: str, radius: float, half_arc_cos: float, cell: float, by: tuple[str, ...] = ()) -> DataFrame:
+    """The cells (with all their columns) in the sector before each face (key, row, col, nx, ny), with the key.
 
     Cells meet faces by an equi-join on squares as wide as the radius, each face in the nine about it.
     """
     n = int(radius / cell) + 1
-    f = faces.select(key, F.col("row").alias("r0"), F.col("col").alias("c0"), "nx", "ny")
+    f = faces.select(*by, key, F.col("row").alias("r0"), F.col("col").alias("c0"), "nx", "ny")
     f = f.withColumn("br", F.explode(F.sequence(F.floor(F.col("r0") / n) - 1, F.floor(F.col("r0") / n) + 1))).withColumn("bc", F.explode(F.sequence(F.floor(F.col("c0") / n) - 1, F.floor(F.col("c0") / n) + 1)))
-    c = dists.select("row", "col", "dist", F.floor(F.col("row") / n).alias("br"), F.floor(F.col("col") / n).alias("bc"))
+    c = cells.withColumns({"br": F.floor(F.col("row") / n), "bc": F.floor(F.col("col") / n)})
     dx, dy = (F.col("col") - F.col("c0")) * cell, (F.col("row") - F.col("r0")) * cell
-    hit = f.join(c, ["br", "bc"]).where(in_sector(dx, dy, F.col("nx"), F.col("ny"), radius, half_arc_cos))
-    risk = hit.groupBy(key).agg(F.sum(1 / (F.col("dist") * F.col("dist") + 1e-6)).alias("risk"))
-    return faces.select(key).join(risk, key, "left").select(key, F.coalesce("risk", F.lit(float("inf"))).alias("risk"))
-
-
-def nearest_free(points: DataFrame, cells: DataFrame, key: str, most: int) -> DataFrame:
-    """key, row, col of the free cell with the least Chebyshev distance (ties: row, then col) within ``most`` cells; points (key, row, col) outside the raster are left out."""
-    inside = points.join(cells.select("row", "col"), ["row", "col"], "left_semi")
-    box = tuple((r, c) for r in range(-most, most + 1) for c in range(-most, most + 1))
-    around = inside.join(offsets(points.sparkSession, box)).select(key, (F.col("row") + F.col("dr")).alias("row"), (F.col("col") + F.col("dc")).alias("col"), F.greatest(F.abs("dr"), F.abs("dc")).alias("d"))
-    best = around.join(cells.where("free"), ["row", "col"]).groupBy(key).agg(F.min(F.struct("d", "row", "col")).alias("m"))
-    return best.select(key, "m.row", "m.col", "m.d")
+    return f.join(c, [*by, "br", "bc"]).where(in_sector(dx, dy, F.col("nx"), F.col("ny"), radius, half_arc_cos)).select(key, *cells.columns)
+
+
+def sector_risk(faces: DataFrame, dists: DataFrame, key: str, radius: float, half_arc_cos: float, cell: float, by: tuple[str, ...] = ()) -> DataFrame:
+    """key, risk: sum of 1 / (d^2 + 1e-6) over the free cells before a face (row, col, nx, ny); infinite where there is none."""
+    hit = sector_cells(faces, dists, key, radius, half_arc_cos, cell, by)
+    risk = hit.groupBy(*by, key).agg(F.sum(1 / (F.col("dist") * F.col("dist") + 1e-6)).alias("risk"))
+    return faces.select(*by, key).join(risk, [*by, key], "left").select(*by, key, F.coalesce("risk", F.lit(float("inf"))).alias("risk"))
+
+
+def _nearest(points: DataFrame, cells: DataFrame, targets: DataFrame, key: str, by: tuple[str, ...], far) -> DataFrame:
+    """by, key, row, col, d of the target cell with the least distance ``far(dr, dc)`` (ties: row, then col) of each point (key, row, col) inside the raster;
+    nulls where its raster has no target. Points and targets meet in squares as wide as the reach, which is doubled twice until all have one, so
+    a round costs what is left."""
+    inside = points.select(*by, key, "row", "col").join(cells.select(*by, "row", "col"), [*by, "row", "col"], "left_semi")
+    wide = cells.agg(F.greatest(F.max("row") - F.min("row"), F.max("col") - F.min("col"))).first()[0]
+    left, out, reach = materialize(inside, "near"), None, 4
+    while wide is not None:
+        square = lambda c: F.floor(F.col(c) / reach)  # noqa: B023, E731
+        p = left.select(*by, key, F.col("row").alias("r0"), F.col("col").alias("c0"))
+        for b, c in (("br", "r0"), ("bc", "c0")):
+            p = p.withColumn(b, F.explode(F.sequence(square(c) - 1, square(c) + 1)))
+        t = targets.select(*by, "row", "col", square("row").alias("br"), square("col").alias("bc"))
+        met = p.join(t, [*by, "br", "bc"]).withColumn("d", far(F.col("row") - F.col("r0"), F.col("col") - F.col("c0"))).where(F.col("d") <= reach)
+        found = materialize(met.groupBy(*by, key).agg(F.min(F.struct("d", "row", "col")).alias("m")).select(*by, key, "m.row", "m.col", "m.d"), "near")
+        out = found if out is None else out.unionByName(found)
+        left = materialize(left.join(found.select(*by, key), [*by, key], "left_anti"), "near")
+        if reach > 2 * wide or not left.limit(1).count():
+            break
+        reach *= 4
+    none = left.select(*by, key, *(F.lit(None).cast("int").alias(c) for c in ("row", "col", "d")))
+    return none if out is None else out.unionByName(none)
+
+
+def nearest_free(points: DataFrame, cells: DataFrame, key: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """key, row, col, d of the free cell with the least Chebyshev distance (ties: row, then col), however far; nulls where a raster has no free cell. Points outside the raster are left out."""
+    return _nearest(points, cells, cells.where("free"), key, by, lambda dr, dc: F.greatest(F.abs(dr), F.abs(dc)))
+
+
+def nearest_clear(points: DataFrame, cells: DataFrame, key: str, threshold: float = 5.0, by: tuple[str, ...] = ()) -> DataFrame:
+    """key, row, col, d of the nearest (Euclid; ties: row, then col) free cell whose distance to all obstacles is above a threshold; nulls where there is none."""
+    clear = clearance(cells, int(threshold), by).where(F.col("dist").isNull() | (F.col("dist") > threshold))
+    return _nearest(points, cells, materialize(clear, "clear"), key, by, lambda dr, dc: F.sqrt((dr * dr + dc * dc).cast("double")))
 
 
 def nearest_on_axis(values: DataFrame, axis: DataFrame, value: str, key: str) -> DataFrame:
@@ -86,9 +122,9 @@ def nearest_on_axis(values: DataFrame, axis: DataFrame, value: str, key: str) ->
     return j.select(key, best["idx"].alias("idx"))
 
 
-def sight_lines(pairs: DataFrame, cells: DataFrame, key: str) -> DataFrame:
+def sight_lines(pairs: DataFrame, cells: DataFrame, key: str, by: tuple[str, ...] = ()) -> DataFrame:
     """key, clear: whether the cells of evenly spaced points on the line (r0, c0) to (r1, c1) are all inside and free."""
     n = F.greatest(F.abs(F.col("r1") - F.col("r0")), F.abs(F.col("c1") - F.col("c0")), F.lit(1))
     p = pairs.withColumn("n", n).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n"))))
     at = lambda a, b: F.floor(F.col(a) + (F.col(b) - F.col(a)) * F.col("i") / F.col("n") + 0.5).cast("int")
-    return p.select(key, at("r0", "r1").alias("row"), at("c0", "c1").alias("col")).join(cells, ["row", "col"], "left").groupBy(key).agg(F.bool_and(F.coalesce("free", F.lit(False))).alias("clear"))
+    return p.select(*by, key, at("r0", "r1").alias("row"), at("c0", "c1").alias("col")).join(cells, [*by, "row", "col"], "left").groupBy(*by, key).agg(F.bool_and(F.coalesce("free", F.lit(False))).alias("clear"))

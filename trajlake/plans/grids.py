@@ -60,11 +60,59 @@ def footprint_clear(spark, sf_dir):
 
 @query(
     "nearest_free",
-    f"""WITH {CELLS}, {_PLACES}, c AS (SELECT p.event_id, c.row, c.col, greatest(abs(c.row - p.row), abs(c.col - p.col)) AS d FROM places p JOIN cells c ON abs(c.row - p.row) <= 2 AND abs(c.col - p.col) <= 2 AND c.free WHERE p.row < 64 AND p.col < 64),
+    f"""WITH {CELLS}, {_PLACES}, c AS (SELECT p.event_id, c.row, c.col, greatest(abs(c.row - p.row), abs(c.col - p.col)) AS d FROM places p JOIN cells c ON c.free WHERE p.row < 64 AND p.col < 64),
 r AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY d, row, col) AS n FROM c) SELECT event_id, row, col, d FROM r WHERE n = 1""",
 )
 def nearest_free(spark, sf_dir):
-    return R.nearest_free(_places(spark, sf_dir), cells(spark), "event_id", 2)
+    return R.nearest_free(_places(spark, sf_dir), cells(spark), "event_id")
+
+
+_WIDE = """wide AS (SELECT scene, CAST(i // 64 AS INTEGER) AS row, CAST(i % 64 AS INTEGER) AS col, NOT ((i // 64) % (scene + 20) = 4 OR (i % 64) % (scene + 24) = scene) AS free FROM range(4096) t(i), range(3) s(scene)),
+spots AS (SELECT event_id, event_id % 3 AS scene, CAST(event_id * 7 % 64 AS INTEGER) AS row, CAST(event_id * 11 % 64 AS INTEGER) AS col FROM events)"""
+
+
+def _wide(spark):
+    """Three scenes of 64 x 64 cells, each with walls of its own."""
+    c = cells(spark).select("row", "col").join(F.broadcast(spark.range(3).select(F.col("id").alias("scene"))))
+    return c.withColumn("free", ~((F.col("row") % (F.col("scene") + 20) == 4) | (F.col("col") % (F.col("scene") + 24) == F.col("scene"))))
+
+
+def _spots(spark, sf_dir):
+    e = F.col("event_id")
+    return table(spark, sf_dir, "events").select("event_id", (e % 3).alias("scene"), (e * 7 % 64).cast("int").alias("row"), (e * 11 % 64).cast("int").alias("col"))
+
+
+@query(
+    "nearest_clear",
+    f"""WITH {_WIDE}, bad AS (SELECT DISTINCT c.scene, c.row, c.col FROM wide c JOIN wide o ON c.scene = o.scene AND NOT o.free AND (c.row - o.row) ** 2 + (c.col - o.col) ** 2 <= 25),
+good AS (SELECT * FROM wide WHERE free AND (scene, row, col) NOT IN (SELECT (scene, row, col) FROM bad)), kinds AS (SELECT DISTINCT scene, row, col FROM spots),
+r AS (SELECT k.scene, k.row AS r0, k.col AS c0, g.row, g.col, sqrt((g.row - k.row) ** 2 + (g.col - k.col) ** 2) AS d, row_number() OVER (PARTITION BY k.scene, k.row, k.col ORDER BY (g.row - k.row) ** 2 + (g.col - k.col) ** 2, g.row, g.col) AS n FROM kinds k JOIN good g USING (scene))
+SELECT s.scene, s.event_id, r.row, r.col, round(r.d, 6) AS d FROM spots s JOIN r ON r.scene = s.scene AND r.r0 = s.row AND r.c0 = s.col AND r.n = 1""",
+)
+def nearest_clear(spark, sf_dir):
+    """The nearest cell of the same scene that is more than five cells from all obstacles."""
+    return R.nearest_clear(_spots(spark, sf_dir), _wide(spark), "event_id", 5, ("scene",)).withColumn("d", F.round("d", 6))
+
+
+@query(
+    "sector_cells",
+    f"""WITH {_WIDE} SELECT event_id, c.scene, c.row, c.col FROM (SELECT *, CASE event_id % 2 WHEN 0 THEN 1.0::DOUBLE ELSE 0 END AS nx, CASE event_id % 2 WHEN 0 THEN 0.0::DOUBLE ELSE 1 END AS ny FROM spots) f JOIN wide c ON f.scene = c.scene
+  AND ((c.col - f.col) * 0.25::DOUBLE) ** 2 + ((c.row - f.row) * 0.25::DOUBLE) ** 2 <= 1.0 AND (c.col - f.col) * 0.25::DOUBLE * nx + (c.row - f.row) * 0.25::DOUBLE * ny >= 0.5 * sqrt(((c.col - f.col) * 0.25::DOUBLE) ** 2 + ((c.row - f.row) * 0.25::DOUBLE) ** 2) AND c.free""",
+)
+def sector_cells(spark, sf_dir):
+    """The free cells that a face looks at, scene by scene."""
+    e = F.col("event_id")
+    f = _spots(spark, sf_dir).withColumns({"nx": F.when(e % 2 == 0, 1.0).otherwise(0.0), "ny": F.when(e % 2 == 0, 0.0).otherwise(1.0)})
+    return R.sector_cells(f, _wide(spark).where("free").select("scene", "row", "col"), "event_id", 1.0, 0.5, 0.25, ("scene",))
+
+
+@query(
+    "scene_dilation",
+    f"""WITH {_WIDE}, {_K4.join(['k4 AS (SELECT * FROM ', ' k(dr, dc))'])} SELECT scene, row, col, free AND (scene, row, col) NOT IN (SELECT (scene, row + dr, col + dc) FROM wide, k4 WHERE NOT free) AS free FROM wide""",
+)
+def scene_dilation(spark, sf_dir):
+    """Obstacles of several scenes spread at once."""
+    return R.dilate(_wide(spark), 4, 1, ("scene",))
 
 
 @query(
