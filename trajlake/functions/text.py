@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,8 +25,8 @@ NAME_FIXES = {
     "doorsil": "doorsill",
     "doorsill": "doorsill",
 }
-# A relation as a finite phrase and as a participle; all relations that aren't here are prepositions.
-RELATION_VERBS = {"contain": ("contains", "containing")}
+# Relations that are prepositions; all others are verbs.
+PREPOSITIONS = ("above", "below", "in", "near", "on", "under", "out of", "next to", "by", "in front of", "behind", "to the right of", "to the left of", "with")
 
 
 def instance_id(path: Column) -> Column:
@@ -98,3 +99,60 @@ def room_of(scope: Column) -> Column:
 
 def episode_id(scene: Column, goal: Column, start: Column) -> Column:
     return F.concat_ws("_", scene, goal.cast("string"), start.cast("string"))
+
+
+def is_preposition(rel: Column) -> Column:
+    """Whether a relation, in any case, is one of the closed list."""
+    return F.lower(rel).isin(*PREPOSITIONS)
+
+
+def third_person(verb: Column) -> Column:
+    """A verb's form with he, she or it, by its ending: carries, touches, holds."""
+    return (
+        F.when(verb.rlike("[^aeiou]y$"), F.concat(F.left(verb, F.length(verb) - 1), F.lit("ies")))
+        .when(verb.rlike("(s|x|z|ch|sh|o)$"), F.concat(verb, F.lit("es")))
+        .otherwise(F.concat(verb, F.lit("s")))
+    )
+
+
+def participle(verb: Column) -> Column:
+    """A verb's form in -ing, by its ending: lying, facing, containing. Short stems that double their last letter aren't told from others."""
+    return (
+        F.when(verb.rlike("ie$"), F.concat(F.left(verb, F.length(verb) - 2), F.lit("ying")))
+        .when(verb.rlike("[^eoy]e$"), F.concat(F.left(verb, F.length(verb) - 1), F.lit("ing")))
+        .otherwise(F.concat(verb, F.lit("ing")))
+    )
+
+
+def segmenter(words: list[str]):
+    """A function for ``clean_name``: splits each run of letters into the fewest words of a list (ties: the longer word first).
+
+    A run that the list can't make up stays whole. The list goes to the workers with the function; it is a dictionary of some thousand words.
+    """
+    known, longest = frozenset(words), max(map(len, words), default=0)
+
+    def cut(run: str) -> str:
+        best: list[tuple[int, list[str]] | None] = [None] * len(run) + [(0, [])]
+        for i in range(len(run) - 1, -1, -1):
+            for j in range(min(len(run), i + longest), i, -1):
+                rest = best[j]
+                if rest is not None and run[i:j] in known and (best[i] is None or rest[0] + 1 < best[i][0]):
+                    best[i] = (rest[0] + 1, [run[i:j], *rest[1]])
+        return " ".join(best[0][1]) if best[0] is not None else run
+
+    @F.pandas_udf("string")
+    def split(names: pd.Series) -> pd.Series:
+        return names.map(lambda t: None if t is None else " ".join(cut(w) for w in t.replace("-", " ").split()))
+
+    return split
+
+
+def action_file(path: Column) -> tuple[Column, Column]:
+    """The action file of a path file, and the name to try where that isn't there."""
+    other = F.replace(F.replace(path, F.lit("/npy/"), F.lit("/actions/")), F.lit(".npy"), F.lit(".json"))
+    return F.replace(other, F.lit("path"), F.lit("actions")), other
+
+
+def goal_image(source: Column, goal: Column) -> Column:
+    """Where a goal's image lies, beside the file that names the goal."""
+    return F.concat(F.regexp_replace(source, "/[^/]*$", ""), F.lit("/ref/goal_"), goal.cast("string"), F.lit(".png"))

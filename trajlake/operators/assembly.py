@@ -26,7 +26,7 @@ def assemble(candidates: DataFrame, actions: DataFrame, paths: DataFrame, frames
         .when(text.isNull(), F.concat(F.lit("missing_"), "split_type"))
     )
     done = F.coalesce("marked", F.lit(False))
-    return j.select("traj", "goal", "start", "split_type", F.col("n_path").alias("n_steps"), text.alias("instruction"), reason.alias("reason"), F.when(done, "success").otherwise("unknown").alias("finish_status"), F.when(done, None).otherwise("no success marker").alias("fail_reason"))
+    return j.select("traj", "goal", "start", "split_type", F.col("n_path").alias("n_steps"), text.alias("instruction"), reason.alias("reason"), F.when(done, "success").otherwise("unknown").alias("finish_status"), F.when(done, None).otherwise("unknown").alias("fail_reason"))
 
 
 def split_quarantine(assembled: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajlake.functions.text import RELATION_VERBS, clean_name
+from trajlake.functions.text import clean_name, is_preposition, participle, third_person
 
 # Verbs of two words that stay together before a pronoun.
 INSEPARABLE = ("talk to", "wave at", "sit at", "sit in", "sit on", "connect to", "play with")
@@ -49,11 +49,8 @@ def verb_with_pronoun(verb: Column, noun: Column) -> Column:
 
 
 def relation_phrases(rel: Column) -> tuple[Column, Column]:
-    """A relation as a finite phrase and as a participle."""
-    verb, part = F.concat(F.lit("is "), rel), rel
-    for k, (v, p) in RELATION_VERBS.items():
-        verb, part = F.when(rel == k, v).otherwise(verb), F.when(rel == k, p).otherwise(part)
-    return verb, part
+    """A relation as a finite phrase and as a participle: 'is near' and 'near', 'contains' and 'containing'."""
+    return F.when(is_preposition(rel), F.concat(F.lit("is "), rel)).otherwise(third_person(rel)), F.when(is_preposition(rel), rel).otherwise(participle(rel))
 
 
 def instructions(goals: DataFrame, words: DataFrame, seed: str = "42", templates: tuple[str, ...] = TEMPLATES) -> DataFrame:
@@ -84,6 +81,12 @@ def instructions(goals: DataFrame, words: DataFrame, seed: str = "42", templates
     return g.select("goal_id", F.col("e.idx").alias("idx"), text.alias("instruction"))
 
 
+def one_instruction(goals: DataFrame, words: DataFrame, seed: str = "42", templates: tuple[str, ...] = TEMPLATES) -> DataFrame:
+    """goal_id, idx, instruction: each goal in one template, drawn by its id: the older form, which makes a single sentence."""
+    drawn = choose(F.array(*(F.lit(i) for i in range(len(templates)))), seed + "t", F.col("goal_id").cast("string"))
+    return instructions(goals, words, seed, templates).where(F.col("idx") == drawn)
+
+
 def prompt(parts: Column, caption: Column, frame: str) -> Column:
     """A prompt with its lines and caption in the slots {lines} and {caption}."""
     return F.replace(F.replace(F.lit(frame), F.lit("{lines}"), F.array_join(parts, "\n")), F.lit("{caption}"), caption)

@@ -33,7 +33,7 @@ def _assembled(spark, sf_dir):
     return A.assemble(cand, n.select("traj", F.col("n").alias("n_actions")), n.where("traj % 11 <> 0").select("traj", F.col("n").alias("n_path")), frames, fine, coarse, o.where(k % 3 == 0).select(k.alias("traj")))
 
 
-@query("episodes", f"WITH {_PARTS} SELECT traj, goal, start, split_type, n_path AS n_steps, instruction, CASE WHEN marked THEN 'success' ELSE 'unknown' END AS finish_status, CASE WHEN NOT marked THEN 'no success marker' END AS fail_reason FROM assembled WHERE reason IS NULL")
+@query("episodes", f"WITH {_PARTS} SELECT traj, goal, start, split_type, n_path AS n_steps, instruction, CASE WHEN marked THEN 'success' ELSE 'unknown' END AS finish_status, CASE WHEN NOT marked THEN 'unknown' END AS fail_reason FROM assembled WHERE reason IS NULL")
 def episodes(spark, sf_dir):
     return A.split_quarantine(_assembled(spark, sf_dir))[0]
 

@@ -8,7 +8,7 @@ from trajlake.functions import text as X
 from trajlake.operators import instructions as I
 from trajlake.operators import sampling as S
 from trajlake.operators.ranking import places
-from trajlake.plans.catalog import query, table
+from trajlake.plans.catalog import ORACLES, query, table
 from trajlake.sources.testbed import OBJECTS, objects
 
 _NAMES = "SELECT p_partkey AS k, replace(p_name, ' ', '_') || '_' || lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') || '/m' AS id FROM part"
@@ -120,6 +120,50 @@ def goal_instructions(spark, sf_dir):
     return I.instructions(goals, I.vocabulary(spark, VERBS))
 
 
+@query("one_instruction", ORACLES["goal_instructions"] + " WHERE idx = CAST(('0x' || left(md5('42t|' || goal_id), 8))::BIGINT % 10 AS INTEGER)")
+def one_instruction(spark, sf_dir):
+    """One drawn sentence for each goal."""
+    k = F.col("p_partkey")
+    goals = table(spark, sf_dir, "part").select(k.alias("goal_id"), F.split_part("p_name", F.lit(" "), F.lit(2)).alias("target"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("reference"), F.when(k % 3 == 0, "contain").when(k % 3 == 1, "near").otherwise("above").alias("relation"), F.col("p_type").alias("room"))
+    return I.one_instruction(goals, I.vocabulary(spark, VERBS))
+
+
+_VERBS = ("contain", "carry", "touch", "face", "lie", "near", "Next to", "play", "fix", "see", "hold")
+_RELS = f"r AS (SELECT event_id, [{', '.join(repr(v) for v in _VERBS)}][event_id % {len(_VERBS)} + 1] AS rel FROM events)"
+
+
+@query(
+    "relation_phrases",
+    f"""WITH {_RELS} SELECT event_id, CASE WHEN lower(rel) IN ('near', 'next to') THEN 'is ' || rel ELSE CASE rel WHEN 'contain' THEN 'contains' WHEN 'carry' THEN 'carries' WHEN 'touch' THEN 'touches' WHEN 'face' THEN 'faces' WHEN 'lie' THEN 'lies' WHEN 'play' THEN 'plays' WHEN 'fix' THEN 'fixes' WHEN 'see' THEN 'sees' ELSE 'holds' END END AS verb,
+  CASE WHEN lower(rel) IN ('near', 'next to') THEN rel ELSE CASE rel WHEN 'face' THEN 'facing' WHEN 'lie' THEN 'lying' ELSE rel || 'ing' END END AS part FROM r""",
+)
+def relation_phrases(spark, sf_dir):
+    """Prepositions and inflected verbs."""
+    rel = F.get(F.array(*(F.lit(v) for v in _VERBS)), (F.col("event_id") % len(_VERBS)).cast("int"))
+    verb, part = I.relation_phrases(F.col("rel"))
+    return table(spark, sf_dir, "events").select("event_id", rel.alias("rel")).select("event_id", verb.alias("verb"), part.alias("part"))
+
+
+@query("segmented_names", "SELECT p_partkey, p_name AS name FROM part")
+def segmented_names(spark, sf_dir):
+    """Names whose words were run together, cut again by a dictionary of the words that names have."""
+    p = table(spark, sf_dir, "part")
+    words = [r["w"] for r in p.select(F.explode(F.split("p_name", " ")).alias("w")).distinct().collect()]
+    return p.select("p_partkey", X.clean_name(F.replace("p_name", F.lit(" "), F.lit("")), X.segmenter(words)).alias("name"))
+
+
+@query(
+    "file_names",
+    """WITH f AS (SELECT event_id, '/data/s' || user_id || '/npy/path_' || event_id || '_2.npy' AS p FROM events)
+SELECT event_id, replace(replace(replace(p, '/npy/', '/actions/'), '.npy', '.json'), 'path', 'actions') AS actions, replace(replace(p, '/npy/', '/actions/'), '.npy', '.json') AS other, regexp_replace(p, '/[^/]*$', '') || '/ref/goal_' || event_id || '.png' AS image FROM f""",
+)
+def file_names(spark, sf_dir):
+    """Files that belong to path files, by their names."""
+    e = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("/data/s"), F.col("user_id").cast("string"), F.lit("/npy/path_"), F.col("event_id").cast("string"), F.lit("_2.npy")).alias("p"))
+    one, other = X.action_file(F.col("p"))
+    return e.select("event_id", one.alias("actions"), other.alias("other"), X.goal_image(F.col("p"), F.col("event_id")).alias("image"))
+
+
 @query("prompts", "SELECT conv_id, 'Lines:' || chr(10) || string_agg(role, chr(10) ORDER BY turn) || chr(10) || 'Caption: c' || conv_id AS prompt FROM conversations GROUP BY conv_id")
 def prompts(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("t"))
