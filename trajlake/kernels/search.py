@@ -56,7 +56,7 @@ def plan_poses(world: World, start: tuple[float, float, int], goal: tuple[float,
 
     A* over poses; a pose's key is its rounded place and its heading modulo a full circle, so that both sides of the cut at half a
     circle are one heading. Of equal priorities the pose found first goes first, so runs agree. If the goal itself isn't reached within the
-    limit of expansions, the nearest pose counts if it lies within ``partial_reach``.
+    limit of expansions, the nearest pose counts if it lies within ``partial_reach``. A start or a goal in collision has no path.
     """
     turns, rad = 360 // s.degrees, math.radians(s.degrees)
     place = lambda x, y, k: (round(x / s.grain), round(y / s.grain), k % turns)
@@ -69,7 +69,7 @@ def plan_poses(world: World, start: tuple[float, float, int], goal: tuple[float,
         return d + s.turn_weight * abs(off)
 
     x, y, k = start
-    if not world.at(x, y, s.footprint):
+    if not world.at(x, y, s.footprint) or not world.at(*goal, s.goal_footprint):
         return None
     came: dict[tuple, tuple | None] = {place(*start): None}
     pose: dict[tuple, tuple[float, float, int]] = {place(*start): (x, y, k % turns)}
@@ -171,3 +171,19 @@ def follow(path: np.ndarray, forward: float = 0.25, degrees: float = 15.0) -> li
                 if math.hypot(tx - x, ty - y) > d:  # passed it
                     break
     return [*actions, STOP]
+
+
+def plan_pixels(world: World, start: tuple[int, int], goal: tuple[int, int], heading: float = 0.0, s: PlannerSettings = PlannerSettings()) -> tuple[np.ndarray, np.ndarray] | None:
+    """``plan_poses`` between cells (row, col), from a heading in degrees: an array of x, y, yaw in radians, and the actions."""
+    at = lambda c: (world.x0 + c[1] * world.cell, world.y0 + c[0] * world.cell)
+    found = plan_poses(world, (*at(start), round(heading / s.degrees)), at(goal), s)
+    if found is None:
+        return None
+    poses = np.array([(x, y, math.radians(k * s.degrees)) for x, y, k in found[0]])
+    return poses, np.array(found[1])
+
+
+def grid_path_xy(free: np.ndarray, start: tuple[int, int], goal: tuple[int, int]) -> np.ndarray:
+    """``grid_path`` between points (x, y), as an array of x, y; empty where the goal isn't reached."""
+    cells = grid_path(free, start[::-1], goal[::-1])
+    return np.array([c[::-1] for c in cells]) if cells and cells[-1] == goal[::-1] else np.zeros((0, 2), int)

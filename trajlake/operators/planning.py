@@ -89,7 +89,8 @@ def hull_shares(pairs: DataFrame, points: DataFrame, key: str) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "share": [P.share_inside(np.stack(x), np.stack(y)) for x, y in zip(pdf["pa"], pdf["pb"], strict=True)]})
 
-    return j.select("a", "b", "pa", "pb").mapInPandas(run, "a long, b long, share double")
+    kind = points.schema[key].dataType.simpleString()
+    return j.select("a", "b", "pa", "pb").mapInPandas(run, f"a {kind}, b {kind}, share double")
 
 
 def representative_points(points: DataFrame, group: str, k: int = 5) -> DataFrame:

@@ -107,6 +107,27 @@ def relations(boxes: DataFrame, order: str = "key") -> DataFrame:
     return r.select(F.col("a_scene").alias("scene"), F.col("a_room").alias("room"), F.col("a_id").alias("a"), F.col("b_id").alias("b"), F.col(f"a_{order}").alias("a_order"), F.col(f"b_{order}").alias("b_order"), "a_category", "b_category", "dist", "r.rel_a", "r.rel_b")
 
 
+def cloud_relations(boxes: DataFrame, points: DataFrame, order: str = "key", t: Thresholds = Thresholds()) -> DataFrame:
+    """``relations`` decided on clouds (id, x, y, z): the distance is that of the nearest points, and inside is a share of points in the other's hull.
+
+    Boxes only prune: clouds can't be nearer than their boxes, so pairs whose boxes are out of reach are never asked, and hulls are
+    made only for pairs of clouds that touch and whose boxes overlap from above and on.
+    """
+    from trajlake.operators.meshes import cloud_distances
+    from trajlake.operators.planning import hull_shares
+
+    pairs = materialize(measure(close_pairs(boxes, order=order, max_distance=t.close)).drop("dist", "in_a", "in_b"), "pairs")
+    ids = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    near = cloud_distances(points, ids, "id", t.close).select(F.col("a").alias("a_id"), F.col("b").alias("b_id"), "dist")
+    m = materialize(pairs.join(near, ["a_id", "b_id"]), "measured")
+    ask = m.where((F.col("dist") < t.touching) & (F.col("flat.iou") >= t.near_iou)).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    one = hull_shares(ask, points, "id").select(F.col("a").alias("a_id"), F.col("b").alias("b_id"), F.col("share").alias("in_a"))
+    two = hull_shares(ask.select(F.col("b").alias("a"), F.col("a").alias("b")), points, "id").select(F.col("b").alias("a_id"), F.col("a").alias("b_id"), F.col("share").alias("in_b"))
+    m = m.join(one, ["a_id", "b_id"], "left").join(two, ["a_id", "b_id"], "left").fillna(0.0, ["in_a", "in_b"])
+    r = m.select("a_scene", "a_room", "a_id", "b_id", f"a_{order}", f"b_{order}", "a_category", "b_category", "dist", classify(t).alias("r"))
+    return r.select(F.col("a_scene").alias("scene"), F.col("a_room").alias("room"), F.col("a_id").alias("a"), F.col("b_id").alias("b"), F.col(f"a_{order}").alias("a_order"), F.col(f"b_{order}").alias("b_order"), "a_category", "b_category", "dist", "r.rel_a", "r.rel_b")
+
+
 def edges(pairs: DataFrame) -> DataFrame:
     """Both directions of the pairs that have a relation: src's entry for dst holds what dst is to src."""
     has = pairs.where("rel_a is not null")

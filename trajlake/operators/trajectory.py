@@ -140,6 +140,44 @@ def densify(steps: DataFrame, part: float) -> DataFrame:
     return cut.unionByName(s.where("nx is null").select("traj", "step", F.lit(0).alias("sub"), "x", "y"))
 
 
+def densify_every(steps: DataFrame, every: float) -> DataFrame:
+    """A point each ``every`` along every leg, counted from its start; of the given points only the first and the last stay, as ends. Legs of no length give none."""
+    w = along()
+    s = steps.withColumns({"nx": F.lead("x").over(w), "ny": F.lead("y").over(w), "first": F.lag("x").over(w).isNull()})
+    leg = F.sqrt((F.col("nx") - F.col("x")) * (F.col("nx") - F.col("x")) + (F.col("ny") - F.col("y")) * (F.col("ny") - F.col("y")))
+    s = s.withColumn("leg", leg)
+    n = F.floor(F.col("leg") / every).cast("int")
+    inner = s.where((F.col("leg") > 0) & (n >= 1)).select("traj", "step", F.explode(F.sequence(F.lit(1), n)).alias("sub"), "x", "y", "nx", "ny", "leg")
+    part = F.col("sub") * every / F.col("leg")
+    inner = inner.select("traj", "step", "sub", *((F.col(c) + (F.col(f"n{c}") - F.col(c)) * part).alias(c) for c in ("x", "y")))
+    last = s.where("nx is null").select("traj", "step", F.when(F.col("first"), 1).otherwise(0).alias("sub"), "x", "y")
+    return inner.unionByName(s.where("first").select("traj", "step", F.lit(0).alias("sub"), "x", "y")).unionByName(last)
+
+
+def through_door(steps: DataFrame, segments: DataFrame) -> DataFrame:
+    """traj, line, path: for each door line of a path's scene that it meets, its start, the middle of the line and its end; other paths as they are, with a null line."""
+    ends = steps.groupBy("traj").agg(F.min_by(F.array("x", "y"), "step").alias("a"), F.max_by(F.array("x", "y"), "step").alias("b"), F.array_sort(F.collect_list(F.struct("step", "x", "y"))).alias("p"))
+    hit = crossings(steps, segments).select("traj", "line", F.array((F.col("x1") + F.col("x2")) / 2, (F.col("y1") + F.col("y2")) / 2).alias("q")).distinct()
+    whole = F.transform("p", lambda v: F.array(v["x"], v["y"]))
+    return ends.join(hit, "traj", "left").select("traj", "line", F.when(F.col("q").isNull(), whole).otherwise(F.array("a", "q", "b")).alias("path"))
+
+
+def line_cells(legs: DataFrame, keys: list[str], spacing: int = 1) -> DataFrame:
+    """keys, i, row, col: the cells of lines (r0, c0) to (r1, c1), one for each unit of the longer direction, halves rounded towards the end, every ``spacing``-th of them."""
+    n = F.greatest(F.abs(F.col("r1") - F.col("r0")), F.abs(F.col("c1") - F.col("c0")))
+    p = legs.withColumn("n", n).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n"), F.lit(spacing))))
+    go = lambda a, b: F.col(a) + F.signum(F.col(b) - F.col(a)).cast("int") * F.coalesce(F.floor((2 * F.col("i") * F.abs(F.col(b) - F.col(a)) + F.col("n")) / F.nullif(2 * F.col("n"), F.lit(0))), F.lit(0)).cast("int")
+    return p.select(*keys, "i", go("r0", "r1").alias("row"), go("c0", "c1").alias("col"))
+
+
+def raster_path(steps: DataFrame, spacing: int = 1) -> DataFrame:
+    """traj, step, i, row, col: a path in cells (x: column, y: row, both rounded), each leg by its line's every ``spacing``-th cell; legs after the first leave out their first cell."""
+    w = along()
+    at = lambda c: F.floor(F.col(c) + 0.5).cast("int")
+    s = steps.select("traj", "step", at("y").alias("r0"), at("x").alias("c0"), F.lead(at("y")).over(w).alias("r1"), F.lead(at("x")).over(w).alias("c1"), F.lag("x").over(w).isNull().alias("first"))
+    return line_cells(s.where("r1 is not null"), ["traj", "step", "first"], spacing).where(F.col("first") | (F.col("i") > 0)).drop("first")
+
+
 def crossings(steps: DataFrame, segments: DataFrame) -> DataFrame:
     """traj, step, line: legs of a path that meet a segment (line, x1, y1, x2, y2). Segments are door lines of a scene, a small list per scene."""
     from trajlake.functions.geometry import segments_intersect

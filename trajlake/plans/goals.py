@@ -238,4 +238,27 @@ def type_goals(spark, sf_dir):
     return U.type_descriptions(U.mutual_goals(_edges(spark, sf_dir)), ["misty_anvil", "hot_bolt"])
 
 
-_ = R
+# Each object as 27 points: the corners and middles of its box.
+_LATTICE = """pts AS (SELECT id, min_x + (max_x - min_x) * i / 2 AS x, min_y + (max_y - min_y) * j / 2 AS y, min_z + (max_z - min_z) * k / 2 AS z FROM objects, range(0, 3) a(i), range(0, 3) b(j), range(0, 3) c(k))"""
+
+
+@query(
+    "cloud_relations",
+    "WITH "
+    + PAIRS.replace("measured AS (", f"""{_LATTICE},
+met AS (SELECT p.a, p.b, sqrt(min((s.x - t.x) ** 2 + (s.y - t.y) ** 2 + (s.z - t.z) ** 2)) AS dist FROM paired p JOIN pts s ON s.id = p.a JOIN pts t ON t.id = p.b WHERE p.dist <= 0.5 GROUP BY p.a, p.b),
+hulls AS (SELECT m.a, m.b, avg(CASE WHEN s.x BETWEEN o.min_x AND o.max_x AND s.y BETWEEN o.min_y AND o.max_y AND s.z BETWEEN o.min_z AND o.max_z THEN 1.0 ELSE 0.0 END) AS share
+  FROM (SELECT a, b FROM met UNION ALL SELECT b, a FROM met) m JOIN pts s ON s.id = m.a JOIN objects o ON o.id = m.b GROUP BY m.a, m.b),
+clouds AS (SELECT p.* EXCLUDE (dist), m.dist, h.share AS share_a, g.share AS share_b FROM paired p JOIN met m ON p.a = m.a AND p.b = m.b JOIN hulls h ON h.a = p.a AND h.b = p.b JOIN hulls g ON g.a = p.b AND g.b = p.a),
+measured AS (""").replace("ox * oy * oz / (area_a * ha) AS in_a, ox * oy * oz / (area_b * hb) AS in_b", "share_a AS in_a, share_b AS in_b").replace("FROM paired WHERE dist <= 0.5)", "FROM clouds WHERE dist <= 0.5)")
+    + " SELECT room, a, b, round(dist, 6) AS dist, rel_a, rel_b FROM pairs WHERE rel_a <> ''",
+)
+def cloud_relations(spark, sf_dir):
+    """Relations decided on clouds and their hulls."""
+    o = objects(spark, sf_dir)
+    third = F.array(F.lit(0.0), F.lit(0.5), F.lit(1.0))
+    p = o
+    for x in "xyz":
+        p = p.withColumn("t", F.explode(third)).withColumn(x, F.col(f"min_{x}") + (F.col(f"max_{x}") - F.col(f"min_{x}")) * F.col("t"))
+    r = R.cloud_relations(o, p.select("id", "x", "y", "z"))
+    return r.where("rel_a is not null").select("room", "a", "b", F.round("dist", 6).alias("dist"), "rel_a", "rel_b")

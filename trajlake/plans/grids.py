@@ -239,10 +239,20 @@ def fan_triangles(spark, sf_dir):
     return e.select("vec_id", (F.col("k") + 1).alias("k"), *(F.round(F.get("t", F.lit(j)).cast("double"), 6).alias(n) for j, n in enumerate("abc")))
 
 
-@query("surface_samples")
+@query(
+    "surface_samples",
+    f"""WITH {_POINTS}, tri AS (SELECT a.vec_id AS mesh, CAST(b.i - 1 AS INTEGER) AS tri, a.x AS ax, a.y AS ay, a.z AS az, b.x AS bx, b.y AS b_y, b.z AS bz, c.x AS cx, c.y AS cy, c.z AS cz FROM pts a JOIN pts b ON a.vec_id = b.vec_id AND a.i = 0 AND b.i BETWEEN 1 AND 19 JOIN pts c ON c.vec_id = b.vec_id AND c.i = b.i + 1),
+d AS (SELECT *, bx - ax AS ux, b_y - ay AS uy, bz - az AS uz, cx - ax AS vx, cy - ay AS vy, cz - az AS vz FROM tri),
+r AS (SELECT *, sqrt((uy * vz - uz * vy) * (uy * vz - uz * vy) + (uz * vx - ux * vz) * (uz * vx - ux * vz) + (ux * vy - uy * vx) * (ux * vy - uy * vx)) / 2 AS area FROM d),
+w AS (SELECT *, sum(area) OVER (PARTITION BY mesh ORDER BY tri ROWS UNBOUNDED PRECEDING) AS "end", sum(area) OVER (PARTITION BY mesh) AS total FROM r),
+f AS (SELECT *, CAST(ceil(("end" - area) / total * 7000 - 0.5) AS BIGINT) AS first, CAST(ceil("end" / total * 7000 - 0.5) AS BIGINT) - 1 AS last FROM w WHERE total > 0),
+s AS (SELECT *, unnest(range(first, last + 1)) AS i FROM f WHERE last >= first),
+t AS (SELECT *, sqrt(CAST(('0x' || left(md5('42u|' || mesh || '|' || i), 8))::BIGINT AS DOUBLE) / 4294967296.0::DOUBLE) AS su, CAST(('0x' || left(md5('42v|' || mesh || '|' || i), 8))::BIGINT AS DOUBLE) / 4294967296.0::DOUBLE AS sv FROM s)
+SELECT mesh, tri, i, round((1 - su) * ax + su * (1 - sv) * bx + su * sv * cx, 6) + 0 AS x, round((1 - su) * ay + su * (1 - sv) * b_y + su * sv * cy, 6) + 0 AS y, round((1 - su) * az + su * (1 - sv) * bz + su * sv * cz, 6) + 0 AS z FROM t""",
+)
 def surface_samples(spark, sf_dir):
     """Points on fans of each vector's points."""
     p = _points(spark, sf_dir)
     t = p.groupBy("vec_id").agg(F.array_sort(F.collect_list(F.struct("i", "x", "y", "z"))).alias("v"))
     t = t.select("vec_id", F.posexplode(M.fan_triangles("v")).alias("tri", "t")).select(F.col("vec_id").alias("mesh"), "tri", *(F.get("t", F.lit(j)).alias(n) for j, n in enumerate("abc")))
-    return M.surface_samples(t, "mesh", 7000)
+    return M.surface_samples(t, "mesh", 7000).select("mesh", "tri", "i", *((F.round(c, 6) + 0).alias(c) for c in "xyz"))

@@ -12,7 +12,53 @@ from trajlake.kernels import shapes as P
 from trajlake.operators import planning as L
 from trajlake.plans.catalog import query, table
 from trajlake.plans.grids import _draws, _points
-from trajlake.sources.testbed import OBJECTS, cells, objects, steps
+from trajlake.operators import trajectory as T
+from trajlake.plans.trajectories import CROSS, _lines
+from trajlake.sources.testbed import CELLS, OBJECTS, STEPS, cells, objects, steps
+
+
+def _rounded(paths):
+    return paths.select("traj", "step", *((F.round(c, 6) + 0).alias(c) for c in ("x", "y")))
+
+
+_LINE = """p AS (SELECT c_custkey AS key, CAST(c_custkey * 3 % 64 AS INTEGER) AS r0, CAST(c_custkey * 5 % 64 AS INTEGER) AS c0, CAST(c_custkey * 7 % 64 AS INTEGER) AS r1, CAST(c_custkey * 11 % 64 AS INTEGER) AS c1 FROM customer),
+n AS (SELECT *, greatest(abs(r1 - r0), abs(c1 - c0)) AS n FROM p),
+l AS (SELECT key, CAST(i AS INTEGER) AS i, CAST(r0 + sign(r1 - r0) * CASE WHEN n = 0 THEN 0 ELSE (2 * i * abs(r1 - r0) + n) // (2 * n) END AS INTEGER) AS row, CAST(c0 + sign(c1 - c0) * CASE WHEN n = 0 THEN 0 ELSE (2 * i * abs(c1 - c0) + n) // (2 * n) END AS INTEGER) AS col FROM n, range(0, 64) t(i) WHERE i <= n)"""
+
+
+def _gaussian_sql(sigma: float) -> str:
+    r = int(4.0 * sigma + 0.5)
+    w = [math.exp(-0.5 * (k / sigma) ** 2) for k in range(-r, r + 1)]
+    rows = ", ".join(f"({k - r}, {v / sum(w)!r}::DOUBLE)" for k, v in enumerate(w))
+    return f"""WITH {STEPS}, c AS (SELECT *, count(*) OVER (PARTITION BY traj) AS n FROM steps), g AS (SELECT traj, step, n, w, ((step + k) % (2 * n) + 2 * n) % (2 * n) AS m FROM c, (VALUES {rows}) v(k, w))
+SELECT g.traj, g.step, round(sum(w * s.x), 6) + 0 AS x, round(sum(w * s.y), 6) + 0 AS y FROM g JOIN steps s ON s.traj = g.traj AND s.step = CASE WHEN m < n THEN m ELSE 2 * n - 1 - m END GROUP BY g.traj, g.step"""
+
+
+def _polynomial_sql(window: int = 21, order: int = 3) -> str:
+    """The hat matrices of all odd windows, by their rule."""
+    import numpy as np
+
+    rows = []
+    for w in range(order + 2 if order % 2 else order + 1, window + 1, 2):
+        a = np.vander(np.arange(-(w // 2), w // 2 + 1), order + 1, increasing=True).astype(float)
+        rows += [f"({w}, {i}, {j}, {float(v)!r}::DOUBLE)" for i, r in enumerate(a @ np.linalg.pinv(a)) for j, v in enumerate(r)]
+    return f"""WITH {STEPS}, hat AS (SELECT * FROM (VALUES {", ".join(rows)}) v(w, i, j, v)), c AS (SELECT *, count(*) OVER (PARTITION BY traj) AS n FROM steps),
+b AS (SELECT *, least({window}, CASE WHEN n % 2 = 1 THEN n ELSE n - 1 END) AS w FROM c), s0 AS (SELECT *, least(greatest(step - w // 2, 0), n - w) AS s FROM b)
+SELECT s0.traj, s0.step, round(sum(h.v * p.x), 6) + 0 AS x, round(sum(h.v * p.y), 6) + 0 AS y FROM s0 JOIN hat h ON h.w = s0.w AND h.i = s0.step - s0.s JOIN steps p ON p.traj = s0.traj AND p.step = s0.s + h.j GROUP BY s0.traj, s0.step
+UNION ALL SELECT traj, step, x, y FROM b WHERE w <= {order}"""
+
+
+_SPLINE = f"""WITH {STEPS}, c AS (SELECT *, count(*) OVER w AS n, lead(x) OVER v AS nx, lag(x) OVER v AS px, lead(y) OVER v AS ny, lag(y) OVER v AS py FROM steps WINDOW w AS (PARTITION BY traj), v AS (PARTITION BY traj ORDER BY step)),
+g AS (SELECT *, CASE WHEN px IS NULL THEN nx - x WHEN nx IS NULL THEN x - px ELSE (nx - px) / 2 END AS mx, CASE WHEN py IS NULL THEN ny - y WHEN ny IS NULL THEN y - py ELSE (ny - py) / 2 END AS my FROM c),
+k AS (SELECT traj, n, k, CAST(k AS DOUBLE) * (CAST(n - 1 AS DOUBLE) / (4 * n - 1)) AS t FROM (SELECT DISTINCT traj, n FROM c WHERE n >= 3), range(0, 100000) r(k) WHERE k < 4 * n),
+u AS (SELECT *, least(CAST(floor(t) AS BIGINT), n - 2) AS i FROM k), h AS (SELECT *, t - i AS u FROM u),
+f AS (SELECT *, 2 * u ** 3 - 3 * u ** 2 + 1 AS h00, u ** 3 - 2 * u ** 2 + u AS h10, -2 * u ** 3 + 3 * u ** 2 AS h01, u ** 3 - u ** 2 AS h11 FROM h)
+SELECT f.traj, f.k AS step, round(h00 * a.x + h10 * a.mx + h01 * b.x + h11 * b.mx, 6) + 0 AS x, round(h00 * a.y + h10 * a.my + h01 * b.y + h11 * b.my, 6) + 0 AS y FROM f JOIN g a ON a.traj = f.traj AND a.step = f.i JOIN g b ON b.traj = f.traj AND b.step = f.i + 1
+UNION ALL SELECT traj, step, x, y FROM c WHERE n < 3"""
+
+_SNAPPED = f"""WITH RECURSIVE {STEPS.replace("steps AS (", "steps AS MATERIALIZED (")}, q AS (SELECT traj, step, x, y FROM steps WHERE step = 0
+UNION ALL SELECT s.traj, s.step, CASE WHEN abs(abs(s.x - q.x) - 0.25) <= 1e-6 THEN q.x ELSE s.x END, CASE WHEN abs(abs(s.y - q.y) - 0.25) <= 1e-6 THEN q.y ELSE s.y END FROM q JOIN steps s ON s.traj = q.traj AND s.step = q.step + 1)
+SELECT traj, step, x, y FROM q"""
 
 
 def _world(spark) -> K.World:
@@ -37,7 +83,11 @@ def grid_paths(spark, sf_dir):
     return L.grid_paths(p.repartition(4 * spark.sparkContext.defaultParallelism), L.raster_array(cells(spark)))
 
 
-@query("lines")
+@query(
+    "lines",
+    f"""WITH {CELLS}, {_LINE}, bad AS (SELECT c.row, c.col, bool_or(NOT coalesce(o.free, false)) AS hit FROM cells c CROSS JOIN (SELECT a AS dr, b AS dc FROM range(-1, 2) x(a), range(-1, 2) y(b)) LEFT JOIN cells o ON o.row = c.row + dr AND o.col = c.col + dc GROUP BY c.row, c.col)
+SELECT key, i, row, col, bool_or(hit) OVER (PARTITION BY key) AS blocked FROM l JOIN bad USING (row, col)""",
+)
 def lines(spark, sf_dir):
     k = F.col("c_custkey")
     at = lambda m: (k * m % 64).cast("int")
@@ -55,19 +105,69 @@ def simplified_paths(spark, sf_dir):
     return L.per_path(steps(spark, sf_dir), lambda p: P.simplify(P.drop_collinear(p), 0.3))
 
 
-@query("gaussian_paths")
+@query("gaussian_paths", _gaussian_sql(2.0))
 def gaussian_paths(spark, sf_dir):
-    return L.per_path(steps(spark, sf_dir), lambda p: P.gaussian_smooth(p, 2.0))
+    return _rounded(L.per_path(steps(spark, sf_dir), lambda p: P.gaussian_smooth(p, 2.0)))
 
 
-@query("polynomial_paths")
+@query("polynomial_paths", _polynomial_sql())
 def polynomial_paths(spark, sf_dir):
-    return L.per_path(steps(spark, sf_dir), P.polynomial_smooth)
+    return _rounded(L.per_path(steps(spark, sf_dir), P.polynomial_smooth))
 
 
-@query("spline_paths")
+@query("spline_paths", _SPLINE)
 def spline_paths(spark, sf_dir):
-    return L.per_path(steps(spark, sf_dir), lambda p: P.spline(p, 4 * len(p)))
+    return _rounded(L.per_path(steps(spark, sf_dir), lambda p: P.spline(p, 4 * len(p))))
+
+
+@query("bspline_paths")
+def bspline_paths(spark, sf_dir):
+    return _rounded(L.per_path(steps(spark, sf_dir), P.bspline_smooth))
+
+
+@query("tidy_paths")
+def tidy_paths(spark, sf_dir):
+    """The whole pipeline for found paths, laid over the raster in cells; its forms are tested with free rasters against their parts."""
+    free = L.raster_array(cells(spark))
+    s = steps(spark, sf_dir).withColumns({"x": F.col("x") * 4 + 32, "y": F.col("y") * 4 + 32})
+    return L.per_path(s, lambda p: P.tidy(p, free, "cells"))
+
+
+@query(
+    "densify_every",
+    f"""WITH {STEPS}, l AS (SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny, sqrt((lead(x) OVER w - x) ** 2 + (lead(y) OVER w - y) ** 2) AS leg FROM steps WINDOW w AS (PARTITION BY traj ORDER BY step))
+SELECT traj, step, CAST(i AS INTEGER) AS sub, round(x + (nx - x) * (i * 0.1::DOUBLE / leg), 6) + 0 AS x, round(y + (ny - y) * (i * 0.1::DOUBLE / leg), 6) + 0 AS y FROM l, range(1, 10) r(i) WHERE leg > 0 AND i <= floor(leg / 0.1::DOUBLE)
+UNION ALL SELECT traj, step, 0, x, y FROM l WHERE step = 0 UNION ALL SELECT traj, step, CASE WHEN step = 0 THEN 1 ELSE 0 END, x, y FROM l WHERE nx IS NULL""",
+)
+def densify_every(spark, sf_dir):
+    """A point each tenth of a metre along every leg."""
+    return T.densify_every(steps(spark, sf_dir), 0.1).select("traj", "step", "sub", *((F.round(c, 6) + 0).alias(c) for c in ("x", "y")))
+
+
+@query(
+    "raster_paths",
+    f"""WITH {STEPS}, l AS (SELECT traj, step, CAST(floor(y * 16 + 0.5) AS BIGINT) AS r0, CAST(floor(x * 16 + 0.5) AS BIGINT) AS c0, CAST(floor(lead(y) OVER w * 16 + 0.5) AS BIGINT) AS r1, CAST(floor(lead(x) OVER w * 16 + 0.5) AS BIGINT) AS c1 FROM steps WINDOW w AS (PARTITION BY traj ORDER BY step)),
+n AS (SELECT *, greatest(abs(r1 - r0), abs(c1 - c0)) AS n FROM l WHERE r1 IS NOT NULL)
+SELECT traj, step, CAST(i AS INTEGER) AS i, CAST(r0 + sign(r1 - r0) * CASE WHEN n = 0 THEN 0 ELSE (2 * i * abs(r1 - r0) + n) // (2 * n) END AS INTEGER) AS row, CAST(c0 + sign(c1 - c0) * CASE WHEN n = 0 THEN 0 ELSE (2 * i * abs(c1 - c0) + n) // (2 * n) END AS INTEGER) AS col
+FROM n, range(0, 64, 2) t(i) WHERE i <= n AND (step = 0 OR i > 0)""",
+)
+def raster_paths(spark, sf_dir):
+    """Paths as every second cell of their lines."""
+    return T.raster_path(steps(spark, sf_dir).withColumns({"x": F.col("x") * 16, "y": F.col("y") * 16}), 2)
+
+
+@query(
+    "paths_through_doors",
+    f"""WITH {CROSS}, met AS (SELECT DISTINCT traj, line, (rx + sx) / 2 AS qx, (ry + sy) / 2 AS qy FROM hits), ends AS (SELECT traj, arg_min(x, step) AS ax, arg_min(y, step) AS ay, arg_max(x, step) AS bx, arg_max(y, step) AS by, count(*) AS n FROM steps GROUP BY traj)
+SELECT e.traj, m.line, CASE WHEN m.line IS NULL THEN e.n ELSE 3 END AS n, e.ax, e.ay, m.qx, m.qy, e.bx, e.by FROM ends e LEFT JOIN met m USING (traj)""",
+)
+def paths_through_doors(spark, sf_dir):
+    """Paths cut down to start, door and end for each door line that they meet."""
+    p = T.through_door(steps(spark, sf_dir), _lines(spark))
+    at = lambda i, k: F.get(F.get("path", i), F.lit(k))
+    last = F.size("path") - 1
+    door = lambda k: F.when(F.col("line").isNotNull(), at(F.lit(1), k))
+    return p.select("traj", "line", F.size("path").cast("long").alias("n"), at(F.lit(0), 0).alias("ax"), at(F.lit(0), 1).alias("ay"), door(0).alias("qx"), door(1).alias("qy"), at(last, 0).alias("bx"), at(last, 1).alias("by"))
 
 
 @query("safe_paths")
@@ -78,7 +178,7 @@ def safe_paths(spark, sf_dir):
     return L.per_path(s, lambda p: P.safe_smooth(p, free, 2.0))
 
 
-@query("snapped_paths")
+@query("snapped_paths", _SNAPPED)
 def snapped_paths(spark, sf_dir):
     return L.per_path(steps(spark, sf_dir), lambda p: P.snap_jitters(p, (0.25,)))
 
