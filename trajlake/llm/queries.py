@@ -91,8 +91,8 @@ def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of all vectors for every twentieth vec_id, by inner product."""
     from trajlake.llm import onebit
 
-    index, mean, turn = onebit.encode(_read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
-    return onebit.search(index, index.where("vec_id % 20 = 0"), mean, turn, k=20)
+    index, space = onebit.encode(_read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return onebit.search(index, index.where("vec_id % 20 = 0"), space, k=20)
 
 
 @query("op3_warc_bundles", oracles.WARC)
