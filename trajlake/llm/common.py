@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import posixpath
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +92,22 @@ def publish(uri: str, name: str, data: bytes) -> str:
     return f"{uri}/{name}"
 
 
+def lean(f: Callable) -> Callable:
+    """A function for mapInArrow that gives its memory back when a task ends. Workers are used again by later stages, and what allocators
+    keep for themselves would add up over a pipeline."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from f(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def rows_of(batch: pa.RecordBatch, names: list[str], step: int = 256) -> Iterator[tuple]:
     """The rows of a batch as Python tuples, a few at a time."""
     for at in range(0, batch.num_rows, step):

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.llm.common import folder, fresh_folder, publish, rows_of
+from trajlake.llm.common import folder, fresh_folder, lean, publish, rows_of
 from trajlake.llm.tokens import slices
 
 RATE = 0.08
@@ -145,7 +145,7 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
     out = None
     for path in _blocks(items, item_key, item_text, block_chars) or [None]:
-        found = rows.mapInArrow(_scan(path, rate), FOUND)
+        found = rows.mapInArrow(lean(_scan(path, rate)), FOUND)
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -174,13 +174,12 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str =
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = _matcher(path, rate)
             for batch in batches:
-                own = batch.schema.get_field_index("__text")
-                good = [not matcher.find(normal(t)) for part in slices(batch, "__text") for t in part.column(own).to_pylist()]
+                good = [not matcher.find(normal(t)) for part in slices(batch, text) for t in part.column(text).to_pylist()]
                 yield batch.filter(pa.array(good, pa.bool_()))
 
         return keep
 
-    out = docs.withColumn("__text", F.col(text).cast("string"))
+    out = docs
     for path in _blocks(items, item_key, item_text, block_chars):
-        out = out.mapInArrow(sieve(path), out.schema)
-    return out.select(*docs.columns)
+        out = out.mapInArrow(lean(sieve(path)), out.schema)
+    return out

@@ -293,7 +293,7 @@ def encode(ids: np.ndarray, table: Table | None = None, block: int = BLOCK) -> l
         group, s = np.divmod(x, GROUP)
         at = (model.row + group) * (GROUP + 1) + s
         flat = model.sums.reshape(-1)
-        before = model.before[group, model.lane].astype(np.int64)
+        before = model.before.take(group * model.n + model.lane).astype(np.int64)
         unit = _quotient(((1 << _TOTAL) - b1) << 16, model.total)
         start = b1 + ((before + flat[at]) * unit >> 16)
         end = b1 + ((before + flat[at + 1]) * unit >> 16)
@@ -352,7 +352,7 @@ def decode(blocks: list[tuple[int, int, bytes]], table: Table) -> list[np.ndarra
             c = np.minimum(_quotient((np.maximum(v - b1, 0) + 1 << 16) - 1, unit), model.total - 1).astype(np.uint16)
             group = np.add.reduce((upper <= c).view(np.uint8), 0, dtype=np.uint8).astype(np.int64)
             row = model.row + group
-            before = model.before[group, model.lane]
+            before = model.before.take(group * live + model.lane)
             below = model.sums.take(row, 0) <= (c - before)[:, None]
             s = np.bitwise_count(below.view(np.uint64)).sum(1, dtype=np.int64) - 1
             at = row * (GROUP + 1) + s

@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trajlake.llm import idcoder
-from trajlake.llm.common import fan_out, folder, fresh_folder, publish, rows_of, stage
+from trajlake.llm.common import fan_out, folder, fresh_folder, lean, publish, rows_of, stage
 from trajlake.llm.tokens import encoder, slices
 
 MAGIC = b"TLIDS2\r\n"
-#: A file closes after the document that reaches this many ids.
-FILE_IDS = 7_000_000
+#: Ids of a file, about: a task holds up to twice as many, so that its last files are halves of what is left and none is small.
+FILE_IDS = 3_500_000
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long"
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -68,7 +68,7 @@ def unpack(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 def write_ids(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int, file_ids: int = FILE_IDS, block: int = idcoder.BLOCK) -> DataFrame:
     """Encodes the texts (null: empty) in ascending key order, null keys first, appends ``end_id`` to each, and writes the files.
 
-    Returns the manifest. Rows with equal keys keep all their rows, ordered by text. Executors hold one file's ids at a time;
+    Returns the manifest. Rows with equal keys keep all their rows, ordered by text. A task holds the ids of two files at most;
     a repeated attempt writes files of its own, and the manifest names those of the attempt that Spark has committed.
     """
     spark = docs.sparkSession
@@ -77,36 +77,34 @@ def write_ids(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int,
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         coder = encoder(tokenizer)
-        keys, counts, parts, held = [], [], [], 0
-
-        def close() -> pa.RecordBatch:
-            data = pack(keys, np.concatenate(counts), np.concatenate(parts), block)
-            path = publish(to, f"part-{part:05d}-{seq:05d}", data)
-            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [path], "n_docs": [len(keys)], "n_tokens": [held]})
+        keys: list[int | None] = []
+        size, ids = np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+        def close(most: int) -> pa.RecordBatch:
+            """A file of the first documents, up to that which reaches ``most`` ids."""
+            nonlocal keys, size, ids, seq
+            n = min(int(np.searchsorted(np.cumsum(size), most)) + 1, len(size))
+            own = int(size[:n].sum())
+            path = publish(to, f"part-{part:05d}-{seq:05d}", pack(keys[:n], size[:n], ids[:own], block))
+            row = pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [path], "n_docs": [n], "n_tokens": [own]})
+            keys, size, ids, seq = keys[n:], size[n:], ids[own:].copy(), seq + 1
+            return row
 
         for batch in batches:
             for some in slices(batch, "t"):
-                ids, size = coder.encode_batch(some.column("t"))
-                ids, size = np.insert(ids, np.cumsum(size), end_id), size + 1
-                ends = np.cumsum(size)
-                own, at = some.column("k").to_pylist(), 0
-                while at < len(own):
-                    begin = int(ends[at] - size[at])
-                    # To the document that fills the file, or all.
-                    stop = min(int(np.searchsorted(ends, begin + file_ids - held)) + 1, len(own))
-                    keys += own[at:stop]
-                    counts.append(size[at:stop])
-                    parts.append(ids[begin : ends[stop - 1]])
-                    held += int(ends[stop - 1]) - begin
-                    at = stop
-                    if held >= file_ids:
-                        yield close()
-                        keys, counts, parts, held, seq = [], [], [], 0, seq + 1
-        if keys:
-            yield close()
+                new, n = coder.encode_batch(some.column("t"))
+                keys += some.column("k").to_pylist()
+                ids = np.concatenate((ids, np.insert(new, np.cumsum(n), end_id)))
+                size = np.concatenate((size, n + 1))
+                while len(ids) >= 2 * file_ids:
+                    yield close(file_ids)
+        if len(ids) > file_ids:
+            yield close(len(ids) // 2)
+        while keys:
+            yield close(len(ids))
 
     ordered = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).repartitionByRange("k").sortWithinPartitions("k", "t")
-    return stage(ordered.mapInArrow(write, MANIFEST), "manifest")
+    return stage(ordered.mapInArrow(lean(write), MANIFEST), "manifest")
 
 
 def read_ids(manifest: DataFrame) -> DataFrame:
@@ -131,4 +129,4 @@ def read_ids(manifest: DataFrame) -> DataFrame:
                 crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(ends - counts, ends, strict=True)]
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(keys, pa.int64()), "start": pa.array(start + ends - counts), "n_tokens": pa.array(counts), "ids_crc32": pa.array(crcs, pa.int64())})
 
-    return placed.mapInArrow(read, DOCS)
+    return placed.mapInArrow(lean(read), DOCS)

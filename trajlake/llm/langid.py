@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from trajlake.llm.common import rows_of
+from trajlake.llm.common import lean, rows_of
 
 #: Places of the hashed spectrum.
 BITS = 1 << 15
@@ -98,7 +98,7 @@ def _sample(docs: DataFrame, text: str, label: str, per_label: int, seed: int) -
                     seen.add((k, x))
                     yield pa.RecordBatch.from_pydict({"l": [k], "h": [x], "bits": [np.packbits(row).tobytes()]})
 
-    packed = some.mapInArrow(pack, "l string, h long, bits binary").groupBy("l", "h").agg(F.first("bits").alias("bits"))
+    packed = some.mapInArrow(lean(pack), "l string, h long, bits binary").groupBy("l", "h").agg(F.first("bits").alias("bits"))
     ranked = packed.groupBy("l").agg(F.expr(f"slice(array_sort(collect_list(struct(h, bits))), 1, {per_label})").alias("x"))
     return sorted((r["l"], bytes(x["bits"])) for r in ranked.collect() for x in r["x"])
 
@@ -146,7 +146,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str,
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
                 p = np.zeros((batch.num_rows, BITS), np.uint8)
-                texts = batch.column(batch.num_columns - 1).to_pylist()
+                texts = batch.column(text).to_pylist()
                 found = np.array([spectrum(t, row) for t, row in zip(texts, p, strict=True)], bool)
                 found_names, scores = np.full(len(texts), "und", object), np.zeros(len(texts))
                 if labels and found.any():
@@ -160,8 +160,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str,
                     if reject:
                         none = np.flatnonzero(found)[top < floor]
                         found_names[none], scores[none] = "und", 0
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found_names, pa.string()), pa.array(scores)], names=[*kept, *names])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found_names, pa.string()), pa.array(scores)], names=[*kept, *names])
 
     given = docs.select(*kept)
     schema = StructType([*given.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
-    return given.withColumn("__text", F.col(text)).mapInArrow(score, schema)
+    return given.mapInArrow(lean(score), schema)

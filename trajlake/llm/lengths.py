@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trajlake.llm.common import lean
 from trajlake.llm.tokens import encoder, slices
 
 #: Lengths of a block whose suffix sums are made together.
@@ -30,7 +31,7 @@ def length_histogram(docs: DataFrame, text: str, tokenizer: str) -> DataFrame:
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array(np.fromiter(x, np.int64)) for x in (seen.keys(), seen.values())], ["length", "n"])
 
-    return docs.select(F.col(text).alias("t")).mapInArrow(count, "length long, n long").groupBy("length").agg(F.sum("n").alias("n_docs"))
+    return docs.select(F.col(text).alias("t")).mapInArrow(lean(count), "length long, n long").groupBy("length").agg(F.sum("n").alias("n_docs"))
 
 
 def context_table(histogram: DataFrame) -> DataFrame:

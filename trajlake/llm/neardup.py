@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.llm.common import U64, key_filter, rows_of, split_by, stage
+from trajlake.llm.common import U64, key_filter, lean, rows_of, split_by, stage
 from trajlake.llm.components import components
 from trajlake.llm.shingles import OnePermutation, set_key, shingle_set
 
@@ -108,7 +108,7 @@ def classes(docs: DataFrame, key: str, text: str, width: int, bands: int, rows:
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(out, kinds, strict=True)], ["doc_id", "rid", "cls", "n", "buckets"])
 
-    return stage(_rows(docs, key, text).mapInArrow(sign, "doc_id long, rid long, cls binary, n long, buckets array<long>"), "classes")
+    return stage(_rows(docs, key, text).mapInArrow(lean(sign), "doc_id long, rid long, cls binary, n long, buckets array<long>"), "classes")
 
 
 def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame, width: int) -> DataFrame:
@@ -126,7 +126,7 @@ def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame, width: int) -
 
     some, _ = split_by(_rows(docs, key, text).select("rid", "t"), "rid", key_filter(wanted, "rid"))
     found = some.join(wanted, "rid").select("cls", "cluster", "t")
-    return stage(found.mapInArrow(make, "cls binary, cluster binary, shingles binary"), "sets")
+    return stage(found.mapInArrow(lean(make), "cls binary, cluster binary, shingles binary"), "sets")
 
 
 def _unpack(column: pd.Series) -> list[np.ndarray]:
@@ -162,7 +162,7 @@ def _hub_links(sets: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
     """a, b: the members linked with the hub of their cluster. One row per member is all that is compared."""
     hub_sets = hubs.join(sets.select(F.col("cls").alias("hub"), F.col("shingles").alias("hub_set")), "hub").select("cluster", "hub", "hub_set")
     rows = sets.join(hub_sets, "cluster").select(F.col("cls").alias("a"), F.col("hub").alias("b"), F.col("shingles").alias("x"), F.col("hub_set").alias("y"))
-    return rows.mapInArrow(lambda batches: _linked_rows(batches, percent), "a binary, b binary")
+    return rows.mapInArrow(lean(lambda batches: _linked_rows(batches, percent)), "a binary, b binary")
 
 
 def _block_links(sets: DataFrame, rest: DataFrame, percent: int) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trajlake.llm.common import stage
+from trajlake.llm.common import lean, stage
 
 #: Queries of a block, vectors of a block, vectors of a cell, about, and the most cells.
 QUERY_BLOCK, VECTOR_BLOCK, CELL, MOST_CELLS = 2048, 8192, 1024, 1024
@@ -109,7 +109,7 @@ def encode(vectors: DataFrame, key: str, vector: str, seed: int = 3, cell: int =
         if n:
             yield pa.RecordBatch.from_pydict({"i": pa.array(range(dim), pa.int32()), "s": total, "n": [n] * dim})
 
-    found = rows.mapInArrow(sums, "i int, s double, n long").groupBy("i").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect() if dim else []
+    found = rows.mapInArrow(lean(sums), "i int, s double, n long").groupBy("i").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect() if dim else []
     mean, n = np.zeros(dim), 0
     for r in found:
         mean[r["i"]], n = r["s"] / r["n"], r["n"]
@@ -127,7 +127,7 @@ def encode(vectors: DataFrame, key: str, vector: str, seed: int = 3, cell: int =
     # Hashes below a bound keep somewhat more than the sample; the exact cut follows on that bounded rest.
     share = min(1.0, (1.3 * SAMPLE + 200) / max(n, 1))
     hashed = rows.withColumn("h", F.xxhash64("rid", F.lit(seed))).where((F.col("h").cast("double") + 2.0**63) / 2.0**64 <= share)
-    drawn = hashed.mapInArrow(draw, "h long, rid long, v binary").orderBy("h").limit(SAMPLE).collect() if n else []
+    drawn = hashed.mapInArrow(lean(draw), "h long, rid long, v binary").orderBy("h").limit(SAMPLE).collect() if n else []
     sample = np.frombuffer(b"".join(r["v"] for r in drawn), np.float64).reshape(-1, dim) if drawn else np.zeros((0, dim))
     c = centroids(sample, max(1, min(MOST_CELLS, n // cell, len(sample) // 8)), seed) if len(sample) else np.zeros((0, dim))
     rest = sample - c[_nearest_centroid(sample, c)] if len(sample) else sample
@@ -145,7 +145,7 @@ def encode(vectors: DataFrame, key: str, vector: str, seed: int = 3, cell: int =
                 batch.column("rid").take(pa.array(at)), batch.column("vec_id").take(pa.array(at)), pa.array([v.tobytes() for v in x], pa.binary()), pa.array([w.tobytes() for w in pack(r > 0)], pa.binary()),
                 pa.array(length.astype(np.float32)), pa.array(fit.astype(np.float32)), pa.array(_nearest_centroid(x, c).astype(np.int32))], ["rid", "vec_id", "v", "code", "length", "fit", "cell"])
 
-    return stage(rows.mapInArrow(code, INDEX), "codes"), space
+    return stage(rows.mapInArrow(lean(code), INDEX), "codes"), space
 
 
 def estimates(q: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, float]:
@@ -212,7 +212,7 @@ def _probes(queries: DataFrame, space: Space, k: int, reach: float, exact: bool)
                 own = batch.take(pa.array(i))
                 yield pa.RecordBatch.from_arrays([*(own.column(n) for n in ("rid", "vec_id", "v")), pa.array(cell.astype(np.int32))], ["rid", "vec_id", "v", "cell"])
 
-    return stage(queries.select("rid", "vec_id", "v").mapInArrow(ask, "rid long, vec_id long, v binary, cell int"), "probes")
+    return stage(queries.select("rid", "vec_id", "v").mapInArrow(lean(ask), "rid long, vec_id long, v binary, cell int"), "probes")
 
 
 def search(index: DataFrame, queries: DataFrame, space: Space, k: int = 20, query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK, eps: float = EPS, reach: float = REACH, exact: bool = False) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.llm.common import U64, fan_out, key_filter, mix64, rows_of, split_by, stage
+from trajlake.llm.common import U64, fan_out, key_filter, lean, mix64, rows_of, split_by, stage
 
 LENGTH, GRAM = 400, 64
 #: Different segments of one gram beyond which their windows are counted over the cluster; segments of a task's share, about; of a batch.
@@ -260,7 +260,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(k)) for x, k in zip(out, (np.int64,) * 3 + (np.int32,) * 3, strict=True)], ["key", "seg", "rid", "first", "last", "shift"])
 
     long = docs.where(F.octet_length("text") >= length)
-    all_ = stage(long.mapInArrow(find, "key long, seg long, rid long, first int, last int, shift int"), "anchors")
+    all_ = stage(long.mapInArrow(lean(find), "key long, seg long, rid long, first int, last int, shift int"), "anchors")
     one = F.min(F.struct("rid", "first", "last", "shift")).alias("at")
     segs = stage(all_.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("n"), one), "segments")
     keys = segs.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key", (F.col("m") > hot).alias("hot"))
@@ -313,10 +313,10 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
         yield pa.RecordBatch.from_arrays([pa.array(np.array(c, k)) for c, k in zip(rows, (np.int64, np.int32, np.int32), strict=True)], ["rid", "first", "last"])
 
     runs = "rid long, first int, last int"
-    few = stage(marked.mapInArrow(cold, "key long, rid long, n long, first int, shift int, segment binary"), "cold")
+    few = stage(marked.mapInArrow(lean(cold), "key long, rid long, n long, first int, shift int, segment binary"), "cold")
     parts = max(fan_out(docs.sparkSession), -(-few.count() // SHARE))
-    met = few.repartition(parts, "key").mapInArrow(family, runs)
-    windows = stage(marked.where(F.exists("cuts", lambda c: c["hot"])).mapInArrow(popular, "rid long, at int, f long, g long"), "windows")
+    met = few.repartition(parts, "key").mapInArrow(lean(family), runs)
+    windows = stage(marked.where(F.exists("cuts", lambda c: c["hot"])).mapInArrow(lean(popular), "rid long, at int, f long, g long"), "windows")
     again = windows.groupBy("f", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f", "g")
     # A table of its own, so that the join on fingerprints stands alone in its stage and AQE can split what is skewed.
     hits = stage(windows.join(again, ["f", "g"]).select("rid", F.col("at").alias("first"), F.col("at").alias("last")), "hits")
@@ -347,7 +347,7 @@ def _merged(runs: DataFrame, length: int) -> DataFrame:
         if held is not None:
             yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in held], ["rid", "begin", "end"])
 
-    return runs.repartition("rid").sortWithinPartitions("rid", "first").mapInArrow(join, "rid long, begin long, end long")
+    return runs.repartition("rid").sortWithinPartitions("rid", "first").mapInArrow(lean(join), "rid long, begin long, end long")
 
 
 def repeated_spans(docs: DataFrame, key: str, text: str, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
@@ -381,7 +381,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                     column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["rid", "n_removed", "n_spans", "kept"])
 
-    done = each.mapInArrow(cut, "rid long, n_removed long, n_spans long, kept string")
+    done = each.mapInArrow(lean(cut), "rid long, n_removed long, n_spans long, kept string")
     narrow = rows.select("doc_id", "rid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     return narrow.join(done, "rid", "left").select("doc_id", "n_bytes", zero("n_removed"), zero("n_spans"), F.coalesce("kept", "sha").alias("kept_sha256"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks that a worker remembers, about 150 bytes each; bytes of text split at once; words in a library call.
-CACHE, SLICE, CALL = 300_000, 1 << 23, 2_000
+CACHE, SLICE, CALL = 300_000, 1 << 22, 2_000
 
 #: Outside of this the fast path is not taken: Latin letters to U+024F without the dotted capital I, general punctuation, the euro sign.
 _SURE = "\t\n\x0b\x0c\r -~ -įı-ɏ‐-‧€"
@@ -72,8 +72,7 @@ class ChunkEncoder:
         if self.fast:
             special = [re.escape(x["content"]) for x in form.get("added_tokens") or []]
             self._unsure = "|".join([f"[^{_SURE}]", *special])
-            self._words = Tokenizer.from_file(path)
-            self._words.normalizer = None
+            self._words = Tokenizer(self._library.model)  # which both share
             self._words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
             vocab = self._words.get_vocab()
             self._ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -135,7 +134,8 @@ class ChunkEncoder:
 
     def _split(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Sure texts without nulls."""
-        lists = pc.utf8_split_whitespace(texts)
+        # A no-break space, the one other white space of sure texts, stays in its chunk, which then goes to the library whole.
+        lists = pc.ascii_split_whitespace(texts)
         numbered = lists.flatten().dictionary_encode()
         ids, sizes = self._table(numbered.dictionary)
         of = numbered.indices.to_numpy(zero_copy_only=False)

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.llm.common import fan_out, folder, fresh_folder, publish, rows_of, stage
+from trajlake.llm.common import fan_out, folder, fresh_folder, lean, publish, rows_of, stage
 
 #: Plain bytes after which a frame and a bundle close.
 FRAME_BYTES, BUNDLE_BYTES = 1 << 18, 1 << 24
@@ -186,7 +186,7 @@ def write_bundles(marked: DataFrame, frame_bytes: int = FRAME_BYTES, bundle_byte
         if rows:
             yield close()
 
-    return stage(marked.select("page_id", "url", "payload", "digest", "first", "revisit").mapInArrow(write, INDEX), "warc-index")
+    return stage(marked.select("page_id", "url", "payload", "digest", "first", "revisit").mapInArrow(lean(write), INDEX), "warc-index")
 
 
 def read_bundles(index: DataFrame) -> DataFrame:
@@ -206,7 +206,7 @@ def read_bundles(index: DataFrame) -> DataFrame:
                         yield _record_batch(rows)
 
     # By ranges: the optimizer would drop a second hash by bundle after distinct, and the few rows would end up in one task.
-    return index.select("bundle").distinct().repartitionByRange(fan_out(index.sparkSession), "bundle").mapInArrow(read, RECORDS)
+    return index.select("bundle").distinct().repartitionByRange(fan_out(index.sparkSession), "bundle").mapInArrow(lean(read), RECORDS)
 
 
 def fetch(index: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -222,7 +222,7 @@ def fetch(index: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
     wanted = index.join(ids.select(F.col(key).alias("page_id")).distinct(), "page_id", "left_semi")
     frames = wanted.groupBy("bundle", "frame").agg(F.collect_list("frame_offset").alias("places"))
-    return frames.repartitionByRange(fan_out(index.sparkSession), "bundle", "frame").mapInArrow(read, RECORDS)
+    return frames.repartitionByRange(fan_out(index.sparkSession), "bundle", "frame").mapInArrow(lean(read), RECORDS)
 
 
 def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
