@@ -1,4 +1,6 @@
-"""Shared folder, stage tables and small helpers of the training-data operators."""
+"""Stage tables, filters of fixed size and small helpers of the training-data operators."""
+
+# fresh_folder is for those who write files of their own.
 
 from __future__ import annotations
 
@@ -6,7 +8,6 @@ import contextlib
 import ctypes
 import gc
 import posixpath
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -16,34 +17,12 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-U64 = np.uint64
-
-_OWN: dict[str, str] = {}
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; where it is unset (tests), one of our own."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="trajlake-")
-    return _OWN[app]
+from trajlake.storage import fresh_folder, materialize
 
+U64 = np.uint64
 
-def fresh_folder(spark: SparkSession, what: str) -> str:
-    """A URI below the shared folder that nobody has used."""
-    return f"{shared_root(spark)}/{what}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, what: str) -> DataFrame:
-    """Writes a table to the shared folder and reads it back: cuts the lineage so that a lost executor costs no earlier stage."""
-    spark = df.sparkSession
-    path = fresh_folder(spark, what)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+#: Writes a table to the shared folder and reads it back: cuts the lineage so that a lost executor costs no earlier stage.
+stage = materialize
 
 #: Words of 64 bits of a filter: what is broadcast is never more than so many rows of 16 bytes.
 FILTER_WORDS = 1 << 18
