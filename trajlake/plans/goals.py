@@ -262,3 +262,33 @@ def cloud_relations(spark, sf_dir):
         p = p.withColumn("t", F.explode(third)).withColumn(x, F.col(f"min_{x}") + (F.col(f"max_{x}") - F.col(f"min_{x}")) * F.col("t"))
     r = R.cloud_relations(o, p.select("id", "x", "y", "z"))
     return r.where("rel_a is not null").select("room", "a", "b", F.round("dist", 6).alias("dist"), "rel_a", "rel_b")
+
+
+_TREE = """parts AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 11 = 0 THEN 'Base' ELSE 'room' || p_partkey % 5 END AS scope, split_part(p_name, ' ', 2) AS category, 'i' || p_partkey AS instance,
+  CASE WHEN p_partkey % 13 = 0 THEN 'SM_Dummy' ELSE 'mesh' END AS leaf FROM part),
+verts AS (SELECT k, scope, category, instance, CAST(i AS DOUBLE) AS x, CAST((k * i) % 7 AS DOUBLE) AS y, CAST(k % 5 AS DOUBLE) AS z FROM parts, range(0, 4) t(i) WHERE scope <> 'Base' AND leaf <> 'SM_Dummy'),
+world AS (SELECT k, scope, category, instance, -(2 * y + k % 8) + 1 AS x, 2 * x + 3 AS y, 2 * z + 0.5 AS z FROM verts)"""
+
+
+@query(
+    "instance_boxes",
+    f"""WITH {_TREE} SELECT scope, category, instance, min(x) AS min_x, min(y) AS min_y, min(z) AS min_z, max(x) AS max_x, max(y) AS max_y, max(z) AS max_z,
+  (min(x) + max(x)) / 2 AS pos_x, (min(y) + max(y)) / 2 AS pos_y, (min(z) + max(z)) / 2 AS pos_z FROM world GROUP BY scope, category, instance""",
+)
+def instance_boxes(spark, sf_dir):
+    """Boxes of the instances of a scene tree: scopes turned a quarter and moved, instances scaled and moved, some scopes and meshes left out."""
+    from trajlake.operators import meshes as W
+
+    k = F.col("p_partkey")
+    scope = F.when(k % 11 == 0, "Base").otherwise(F.concat(F.lit("room"), (k % 5).cast("string")))
+    mat = lambda *rows: F.array(*(F.array(*(F.lit(v).cast("double") if not hasattr(v, "cast") else v.cast("double") for v in r)) for r in rows))
+    p = table(spark, sf_dir, "part").select(k.alias("k"), scope.alias("scope"), F.split_part("p_name", F.lit(" "), F.lit(2)).alias("category"), F.concat(F.lit("i"), k.cast("string")).alias("instance"), F.when(k % 13 == 0, "SM_Dummy").otherwise("mesh").alias("leaf"))
+    turned = mat((0, -1, 0, 1), (1, 0, 0, 3), (0, 0, 1, 0.5), (0, 0, 0, 1))
+    moved = mat((2, 0, 0, 0), (0, 2, 0, F.col("k") % 8), (0, 0, 2, 0), (0, 0, 0, 1))
+    path = lambda *c: F.concat(*(x for n in c for x in (F.lit("/"), F.col(n))))
+    none = F.lit(None).cast("array<struct<x:double,y:double,z:double>>")
+    verts = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.struct(i.cast("double").alias("x"), ((F.col("k") * i) % 7).cast("double").alias("y"), (F.col("k") % 5).cast("double").alias("z")))
+    scopes = p.select(F.lit("s").alias("scene"), path("scope").alias("path")).distinct().select("scene", "path", turned.alias("matrix"), none.alias("vertices"))
+    instances = p.select(F.lit("s").alias("scene"), path("scope", "category", "instance").alias("path"), moved.alias("matrix"), none.alias("vertices"))
+    leaves = p.select(F.lit("s").alias("scene"), path("scope", "category", "instance", "leaf").alias("path"), F.lit(None).cast("array<array<double>>").alias("matrix"), verts.alias("vertices"))
+    return W.instance_boxes(W.world_meshes(scopes.unionByName(instances).unionByName(leaves))).drop("scene")

@@ -90,3 +90,49 @@ def styles(answers: DataFrame, key: str) -> DataFrame:
     a = answers.select(key, s.alias("s"))
     whole = F.col("s.formal").isNotNull() & F.col("s.natural").isNotNull() & F.col("s.casual").isNotNull()
     return a.select(key, *(F.when(whole, F.col(f"s.{c}")).alias(c) for c in ("formal", "natural", "casual")))
+
+
+class TreeScenes:
+    """Scenes as small trees of boxes that depend on the scene's name alone: one room, one category, three instances."""
+
+    def meshes(self, scene: str) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+        seed = int.from_bytes(hashlib.md5(scene.encode()).digest()[:8], "big")
+        rng = np.random.default_rng(seed)
+        corners = np.array([(x, y, z) for x in (0.0, 1.0) for y in (0.0, 1.0) for z in (0.0, 1.0)])
+        faces = np.array([(0, 1, 3, 2), (4, 6, 7, 5), (0, 4, 5, 1), (2, 3, 7, 6), (0, 2, 6, 4), (1, 5, 7, 3)])
+        for i in range(3):
+            yield f"/room_0/box/box_{i:04d}/mesh", corners * rng.uniform(0.5, 2, 3) + rng.uniform(0, 8, 3), faces
+
+
+def scene_nodes(scenes: DataFrame, reader: Callable[[], SceneReader]) -> DataFrame:
+    """scene, path, matrix (null), vertices of all meshes that a reader has of each scene: what ``meshes.world_meshes`` takes. A scene is one task's work."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        port = reader()
+        for pdf in batches:
+            for s in pdf["scene"]:
+                rows = [(s, path, None, [{"x": float(x), "y": float(y), "z": float(z)} for x, y, z in v]) for path, v, _ in port.meshes(s)]
+                yield pd.DataFrame(rows, columns=["scene", "path", "matrix", "vertices"])
+
+    return scenes.select("scene").distinct().mapInPandas(read, "scene string, path string, matrix array<array<double>>, vertices array<struct<x:double,y:double,z:double>>")
+
+
+def capture(poses: DataFrame, key: str, renderer: Callable[[], Renderer], size: int = 224, timeout_s: float = 1200.0) -> DataFrame:
+    """key, rgb (PNG), depth (NPY, metres), error of each pose (key, scene, x, y, yaw). A capture that fails or takes too long has an error, so its task stays open."""
+    from trajlake.run import with_timeout
+    from trajlake.sources.arrays import npy_bytes, png_bytes
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        port = renderer()
+        for pdf in batches:
+            rows = []
+            for r in pdf.itertuples(index=False):
+                try:
+                    rgb, depth = with_timeout(lambda: port.capture(r.scene, (r.x, r.y, r.yaw), size), timeout_s)  # noqa: B023
+                    rows.append((getattr(r, key), png_bytes(rgb), npy_bytes(depth), None))
+                except Exception as e:  # the port may fail in any way; the row says how
+                    rows.append((getattr(r, key), None, None, f"{type(e).__name__}: {e}"[:500]))
+            yield pd.DataFrame(rows, columns=[key, "rgb", "depth", "error"])
+
+    kind = poses.schema[key].dataType.simpleString()
+    return poses.select(key, "scene", "x", "y", "yaw").mapInPandas(run, f"{key} {kind}, rgb binary, depth binary, error string")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import io
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,3 +126,48 @@ def resize(a: np.ndarray, h: int, w: int) -> np.ndarray:
     rows = x[r0] * (1 - fr) + x[r1] * fr
     fc = fc.reshape(1, -1, *[1] * (a.ndim - 2))
     return rows[:, c0] * (1 - fc) + rows[:, c1] * fc
+
+
+def read_images(spark: SparkSession, path: str, mode: str = "RGB", pattern: str = "*.png") -> DataFrame:
+    """path, h, w, bands, pixels (rows of 8-bit values), error of all images below a folder, as RGB, BGR or L (grey by the usual weights). Damaged files have an error and no pixels."""
+    if mode not in ("RGB", "BGR", "L"):
+        raise ValueError(f"no mode {mode}")
+
+    def decode(batches):
+        for pdf in batches:
+            rows = []
+            for name, data in zip(pdf["path"], pdf["content"], strict=True):
+                try:
+                    a = png_pixels(bytes(data))
+                    rgb = np.repeat(a[:, :, None], 3, 2) if a.ndim == 2 else a[:, :, :3]
+                    a = rgb if mode == "RGB" else rgb[:, :, ::-1] if mode == "BGR" else ((rgb.astype(np.int64) @ np.array([19595, 38470, 7471]) + 0x8000) >> 16).astype(np.uint8)[:, :, None]
+                    rows.append((name, *a.shape, np.ascontiguousarray(a).tobytes(), None))
+                except ValueError as e:
+                    rows.append((name, None, None, None, None, str(e)))
+            out = pd.DataFrame(rows, columns=["path", "h", "w", "bands", "pixels", "error"])
+            yield out.astype({c: "Int32" for c in ("h", "w", "bands")})
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    return files.select("path", "content").mapInPandas(decode, "path string, h int, w int, bands int, pixels binary, error string")
+
+
+def write_arrays(rows: DataFrame, folder: str) -> DataFrame:
+    """Writes each row's array (name, shape, data: doubles) as an NPY file in a folder that all machines share, and returns name and path once it is there whole."""
+
+    def write(batches):
+        from pyarrow import fs as pafs
+
+        store, base = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
+        store.create_dir(base, recursive=True)
+        for pdf in batches:
+            done = []
+            for name, shape, data in zip(pdf["name"], pdf["shape"], pdf["data"], strict=True):
+                place = f"{base}/{name}.npy"
+                other = f"{place}.{uuid.uuid4().hex}"
+                with store.open_output_stream(other) as f:
+                    f.write(npy_bytes(np.asarray(data, float).reshape(tuple(int(n) for n in shape))))
+                store.move(other, place)
+                done.append((name, place))
+            yield pd.DataFrame(done, columns=["name", "path"])
+
+    return rows.select("name", "shape", "data").mapInPandas(write, "name string, path string")

@@ -51,3 +51,9 @@ def room_document(objects: DataFrame, rooms: DataFrame, wrapped: bool = False) -
     one: Column = F.array("id") if wrapped else F.col("id")
     g = objects.groupBy("room").agg(F.array_sort(F.collect_list(one)).alias("ids"))
     return rooms.select("room").distinct().join(g, "room", "left").select("room", F.coalesce("ids", F.array().cast(g.schema["ids"].dataType)).alias("ids"))
+
+
+def append_errors(quarantine: DataFrame, path: str) -> None:
+    """Adds quarantined rows to a log of text lines, one each: all columns by name."""
+    line = F.concat_ws("; ", *(F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in quarantine.columns))
+    quarantine.select(line.alias("value")).write.mode("append").text(path)
