@@ -49,45 +49,51 @@ def close_pairs(boxes: DataFrame, keys: tuple[str, ...] = ("scene", "room"), ord
     return pairs.withColumn("dist", G.box_distance("a_", "b_")).where(F.col("dist") <= max_distance).drop("a_cx", "a_cy", "b_cx", "b_cy")
 
 
-def box_inside() -> tuple[Column, Column]:
-    """Shares of the boxes' volumes that lie in the other box: the box form of the hull test."""
-    c = lambda p, m, x: F.col(f"{p}{m}_{x}")
-    vol = lambda p: (c(p, "max", "x") - c(p, "min", "x")) * (c(p, "max", "y") - c(p, "min", "y")) * (c(p, "max", "z") - c(p, "min", "z"))
-    o = [G.overlap(c("a_", "min", x), c("a_", "max", x), c("b_", "min", x), c("b_", "max", x)) for x in G.AXES]
-    inter = o[0] * o[1] * o[2]
-    share = lambda p: F.coalesce(inter / F.nullif(vol(p), F.lit(0.0)), F.lit(0.0))
-    return share("a_"), share("b_")
-
-
-def measure(pairs: DataFrame) -> DataFrame:
-    """What the decision chain needs of each close pair, in one flat layer: gaps, ground overlaps (plain and widened), inside shares."""
-    up, down = F.col("b_min_z") - F.col("a_max_z"), F.col("a_min_z") - F.col("b_max_z")
-    flat = G.iou_2d("a_", "b_")
-    in_a, in_b = box_inside()
-    m = pairs.withColumns({"gap_up": up, "gap_down": down, "flat": flat, "in_a": in_a, "in_b": in_b})
-    wide = 0.15 * F.greatest("gap_up", "gap_down", F.lit(0.0))
-    grown = m.withColumn("wide", wide)
-    g = lambda lo_a, hi_a, lo_b, hi_b: G.overlap(F.col(lo_a) - F.col("wide"), F.col(hi_a) + F.col("wide"), F.col(lo_b) - F.col("wide"), F.col(hi_b) + F.col("wide"))
-    inter = g("a_min_x", "a_max_x", "b_min_x", "b_max_x") * g("a_min_y", "a_max_y", "b_min_y", "b_max_y")
-    area = lambda p: (F.col(f"{p}max_x") - F.col(f"{p}min_x") + 2 * F.col("wide")) * (F.col(f"{p}max_y") - F.col(f"{p}min_y") + 2 * F.col("wide"))
-    best = inter / F.nullif(F.least(area("a_"), area("b_")), F.lit(0.0))
-    return grown.withColumn("wide_ratio", F.coalesce(best, F.lit(0.0)))
+#: What is kept of a measured pair besides its numbers.
+NAMES = ("scene", "room", "id", "category")
+
+
+def measure(pairs: DataFrame, order: str = "key") -> DataFrame:
+    """What the decision chain needs of each close pair, in one narrow row: names, gaps, height difference, ground overlaps (plain and widened), inside shares.
+
+    Each layer names what the next one uses more than once, so that nothing is worked out twice and no box is carried along.
+    """
+    c = F.col
+    side = lambda p, x: (c(f"{p}max_{x}") - c(f"{p}min_{x}")).alias(f"{p}{x}")
+    both = lambda x: G.overlap(c(f"a_min_{x}"), c(f"a_max_{x}"), c(f"b_min_{x}"), c(f"b_max_{x}")).alias(f"o{x}")
+    names = [F.col(n) for n in (*(f"{p}{n}" for p in ("a_", "b_") for n in NAMES), f"a_{order}", f"b_{order}", "dist")]
+    up, down = c("b_min_z") - c("a_max_z"), c("a_min_z") - c("b_max_z")
+    # How far one box reaches over the other along an axis, below 0 where they are apart: widening both by w adds 2 w.
+    reach = lambda x: (F.least(c(f"a_max_{x}"), c(f"b_max_{x}")) - F.greatest(c(f"a_min_{x}"), c(f"b_min_{x}"))).alias(f"r{x}")
+    m = pairs.select(*names, *(side(p, x) for p in ("a_", "b_") for x in G.AXES), *(both(x) for x in G.AXES), reach("x"), reach("y"), up.alias("gap_up"), down.alias("gap_down"), ((c("a_min_z") + c("a_max_z")) / 2 - (c("b_min_z") + c("b_max_z")) / 2).alias("centre"))
+    m = m.withColumns({"area_a": c("a_x") * c("a_y"), "area_b": c("b_x") * c("b_y"), "inter": c("ox") * c("oy"), "wide": 0.15 * F.greatest("gap_up", "gap_down", F.lit(0.0))})
+    safe = (c("area_a") > 0) & (c("area_b") > 0)
+    part = lambda n, d: F.when(safe, n / F.nullif(d, F.lit(0.0))).otherwise(0.0)
+    share = lambda p: F.coalesce(c("inter") * c("oz") / F.nullif(c(f"area_{p}") * c(f"{p}_z"), F.lit(0.0)), F.lit(0.0))
+    more = lambda x: F.greatest(c(f"r{x}") + 2 * c("wide"), F.lit(0.0))
+    area = lambda p: (c(f"{p}_x") + 2 * c("wide")) * (c(f"{p}_y") + 2 * c("wide"))
+    return m.select(
+        *names, "gap_up", "gap_down", "centre",
+        part(c("inter"), c("area_a") + c("area_b") - c("inter")).alias("iou"), part(c("inter"), c("area_a")).alias("ratio_a"), part(c("inter"), c("area_b")).alias("ratio_b"),
+        part(c("area_a"), c("area_b")).alias("area_ratio_ab"), part(c("area_b"), c("area_a")).alias("area_ratio_ba"), share("a").alias("in_a"), share("b").alias("in_b"),
+        F.coalesce(more("x") * more("y") / F.nullif(F.least(area("a"), area("b")), F.lit(0.0)), F.lit(0.0)).alias("wide_ratio"),
+    )
 
 
 def classify(t: Thresholds = Thresholds()) -> Column:
     """Struct (rel_a, rel_b): what a is to b and b to a, or nulls. The first rule that holds decides."""
     rel = lambda a, b: F.struct(F.lit(a).alias("rel_a"), F.lit(b).alias("rel_b"))
     c, touch = F.col, F.col("dist") < t.touching
-    centre = (c("a_min_z") + c("a_max_z")) / 2 - (c("b_min_z") + c("b_max_z")) / 2
+    centre = c("centre")
     over = c("wide_ratio") > t.vertical_overlap
-    a_on_b = (c("flat.ratio_a") > t.supported_overlap) & (F.abs("gap_down") <= t.touching) & (c("flat.area_ratio_ab") < t.supporting_area) & (centre > t.centre)
-    b_on_a = (c("flat.ratio_b") > t.supported_overlap) & (F.abs("gap_up") <= t.touching) & (c("flat.area_ratio_ba") < t.supporting_area) & (-centre > t.centre)
+    a_on_b = (c("ratio_a") > t.supported_overlap) & (F.abs("gap_down") <= t.touching) & (c("area_ratio_ab") < t.supporting_area) & (centre > t.centre)
+    b_on_a = (c("ratio_b") > t.supported_overlap) & (F.abs("gap_up") <= t.touching) & (c("area_ratio_ba") < t.supporting_area) & (-centre > t.centre)
     none = F.struct(F.lit(None).cast("string").alias("rel_a"), F.lit(None).cast("string").alias("rel_b"))
     return (
         F.when(c("dist") > t.close, none)
         .when((c("gap_up") > t.vertical_gap) & over, rel("below", "above"))
         .when((c("gap_down") > t.vertical_gap) & over, rel("above", "below"))
-        .when(c("flat.iou") < t.near_iou, rel("near", "near"))
+        .when(c("iou") < t.near_iou, rel("near", "near"))
         .when(touch & (c("in_a") > t.inside), rel("in", "contain"))
         .when(touch & (c("in_b") > t.inside), rel("contain", "in"))
         .when(touch & a_on_b, rel("on", "below"))
@@ -97,12 +103,8 @@ def classify(t: Thresholds = Thresholds()) -> Column:
 
 
 def relations(boxes: DataFrame, order: str = "key") -> DataFrame:
-    """One row per unordered pair of a room within reach: scene, room, a, b, a_category, b_category, dist, rel_a, rel_b (null where no rule holds).
-
-    The measured layer is a written table: the chain refers to its columns many times, and planning it in one piece with
-    what follows grows out of hand.
-    """
-    m = materialize(measure(close_pairs(boxes, order=order)), "pairs")
+    """One row per unordered pair of a room within reach: scene, room, a, b, a_category, b_category, dist, rel_a, rel_b (null where no rule holds)."""
+    m = measure(close_pairs(boxes, order=order), order)
     r = m.select("a_scene", "a_room", "a_id", "b_id", f"a_{order}", f"b_{order}", "a_category", "b_category", "dist", classify().alias("r"))
     return r.select(F.col("a_scene").alias("scene"), F.col("a_room").alias("room"), F.col("a_id").alias("a"), F.col("b_id").alias("b"), F.col(f"a_{order}").alias("a_order"), F.col(f"b_{order}").alias("b_order"), "a_category", "b_category", "dist", "r.rel_a", "r.rel_b")
 
@@ -116,11 +118,11 @@ def cloud_relations(boxes: DataFrame, points: DataFrame, order: str = "key", t:
     from trajlake.operators.meshes import cloud_distances
     from trajlake.operators.planning import hull_shares
 
-    pairs = materialize(measure(close_pairs(boxes, order=order, max_distance=t.close)).drop("dist", "in_a", "in_b"), "pairs")
+    pairs = materialize(measure(close_pairs(boxes, order=order, max_distance=t.close), order).drop("dist", "in_a", "in_b"), "pairs")
     ids = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
     near = cloud_distances(points, ids, "id", t.close).select(F.col("a").alias("a_id"), F.col("b").alias("b_id"), "dist")
     m = materialize(pairs.join(near, ["a_id", "b_id"]), "measured")
-    ask = m.where((F.col("dist") < t.touching) & (F.col("flat.iou") >= t.near_iou)).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    ask = m.where((F.col("dist") < t.touching) & (F.col("iou") >= t.near_iou)).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
     one = hull_shares(ask, points, "id").select(F.col("a").alias("a_id"), F.col("b").alias("b_id"), F.col("share").alias("in_a"))
     two = hull_shares(ask.select(F.col("b").alias("a"), F.col("a").alias("b")), points, "id").select(F.col("b").alias("a_id"), F.col("a").alias("b_id"), F.col("share").alias("in_b"))
     m = m.join(one, ["a_id", "b_id"], "left").join(two, ["a_id", "b_id"], "left").fillna(0.0, ["in_a", "in_b"])

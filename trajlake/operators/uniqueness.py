@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trajlake.functions.text import object_type
+from trajlake.storage import materialize
 
 
 def coarse(category: Column) -> Column:
@@ -69,8 +70,9 @@ def mutual_goals(edges: DataFrame, deny_sources: list[str] = (), deny_targets: l
     Unique forward and (``both``) unique in reverse; with ``both`` false, those that are unique forward only. One direction of a pair
     is kept: that whose source comes first in a seeded order of ids. ``goals.in_order`` puts those of kind relational first.
     """
-    u = unique_edges(edges).where("kind is not null").where(~denied(F.col("src"), list(deny_sources)) & ~denied(F.col("dst"), list(deny_targets)))
-    back = unique_edges(edges).select("scene", F.col("src").alias("dst"), F.col("dst").alias("src"), F.col("rel").alias("back_rel"), F.col("kind").alias("back_kind"))
+    counted = materialize(unique_edges(edges).select("scene", "src", "dst", "rel", "kind"), "kinds")
+    u = counted.where("kind is not null").where(~denied(F.col("src"), list(deny_sources)) & ~denied(F.col("dst"), list(deny_targets)))
+    back = counted.select("scene", F.col("src").alias("dst"), F.col("dst").alias("src"), F.col("rel").alias("back_rel"), F.col("kind").alias("back_kind"))
     j = u.join(back, ["scene", "src", "dst"]).where(F.col("back_kind").isNotNull() if both else F.col("back_kind").isNull())
     rank = F.md5(F.concat(F.lit(seed + "|"), "src"))
     w = Window.partitionBy("scene", F.least("src", "dst"), F.greatest("src", "dst")).orderBy(rank, "src", "dst")
