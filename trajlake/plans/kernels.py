@@ -11,7 +11,7 @@ from trajlake.kernels import search as K
 from trajlake.kernels import shapes as P
 from trajlake.operators import planning as L
 from trajlake.plans.catalog import query, table
-from trajlake.plans.grids import _draws, _points
+from trajlake.plans.grids import _POINTS, _draws, _points
 from trajlake.operators import trajectory as T
 from trajlake.plans.trajectories import CROSS, _lines
 from trajlake.sources.testbed import CELLS, OBJECTS, STEPS, cells, objects, steps
@@ -56,6 +56,39 @@ f AS (SELECT *, 2 * u ** 3 - 3 * u ** 2 + 1 AS h00, u ** 3 - 2 * u ** 2 + u AS h
 SELECT f.traj, f.k AS step, round(h00 * a.x + h10 * a.mx + h01 * b.x + h11 * b.mx, 6) + 0 AS x, round(h00 * a.y + h10 * a.my + h01 * b.y + h11 * b.my, 6) + 0 AS y FROM f JOIN g a ON a.traj = f.traj AND a.step = f.i JOIN g b ON b.traj = f.traj AND b.step = f.i + 1
 UNION ALL SELECT traj, step, x, y FROM c WHERE n < 3"""
 
+_SIMPLE = f"""WITH RECURSIVE {STEPS.replace("steps AS (", "steps AS MATERIALIZED (")}, c AS MATERIALIZED (SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM steps WINDOW w AS (PARTITION BY traj ORDER BY step)),
+k AS (SELECT traj, step, x, y, true AS kept, x AS lx, y AS ly FROM c WHERE step = 0
+  UNION ALL SELECT traj, step, x, y, kept, CASE WHEN kept THEN x ELSE lx END, CASE WHEN kept THEN y ELSE ly END FROM (
+    SELECT c.traj, c.step, c.x, c.y, k.lx, k.ly, c.nx IS NULL OR coalesce(((c.x - k.lx) * (c.nx - c.x) + (c.y - k.ly) * (c.ny - c.y)) / nullif(sqrt((c.x - k.lx) ** 2 + (c.y - k.ly) ** 2) * sqrt((c.nx - c.x) ** 2 + (c.ny - c.y) ** 2), 0) < 1 - 1e-6, false) AS kept
+    FROM k JOIN c ON c.traj = k.traj AND c.step = k.step + 1)),
+small AS (SELECT traj FROM c GROUP BY traj HAVING count(*) < 3),
+p AS MATERIALIZED (SELECT traj, row_number() OVER (PARTITION BY traj ORDER BY step) - 1 AS i, x, y FROM (SELECT traj, step, x, y FROM k WHERE kept UNION SELECT traj, step, x, y FROM c WHERE traj IN (SELECT traj FROM small))),
+t AS (SELECT traj, CAST(0 AS BIGINT) AS a, max(i) AS b FROM p GROUP BY traj
+  UNION ALL SELECT traj, CASE side WHEN 0 THEN a ELSE far END, CASE side WHEN 0 THEN far ELSE b END FROM (
+    SELECT t.traj, t.a, t.b, f.far FROM t, LATERAL (SELECT min(i) FILTER (WHERE d = top) AS far, any_value(top) AS top FROM (SELECT i, d, max(d) OVER () AS top FROM (
+      SELECT m.i, CASE WHEN n > 0 THEN abs((m.x - u.x) * (v.y - u.y) - (m.y - u.y) * (v.x - u.x)) / n ELSE sqrt((m.x - u.x) ** 2 + (m.y - u.y) ** 2) END AS d
+      FROM p m, (SELECT * FROM p WHERE p.traj = t.traj AND p.i = t.a) u, (SELECT * FROM p WHERE p.traj = t.traj AND p.i = t.b) v, LATERAL (SELECT sqrt((v.x - u.x) ** 2 + (v.y - u.y) ** 2) AS n) WHERE m.traj = t.traj AND m.i > t.a AND m.i < t.b))) f WHERE f.top > 0.3), range(0, 2) s(side)),
+e AS (SELECT traj, a AS i FROM t UNION SELECT traj, b FROM t)
+SELECT traj, row_number() OVER (PARTITION BY traj ORDER BY i) - 1 AS step, x, y FROM e JOIN p USING (traj, i)"""
+
+_FOLLOW = f"""WITH RECURSIVE {STEPS.replace("steps AS (", "steps AS MATERIALIZED (")},
+go AS (SELECT s.traj, CAST(1 AS BIGINT) AS goal, CAST(0 AS BIGINT) AS n, -1 AS action, s.x, s.y, atan2(q.y - s.y, q.x - s.x) AS heading FROM steps s JOIN steps q ON q.traj = s.traj AND s.step = 0 AND q.step = 1
+  UNION ALL SELECT traj, CASE WHEN near OR (NOT turns AND sqrt((tx - fx) ** 2 + (ty - fy) ** 2) > d) THEN goal + 1 ELSE goal END, CASE WHEN near THEN n ELSE n + 1 END, CASE WHEN near THEN -1 WHEN turns THEN CASE WHEN off > 0 THEN 2 ELSE 3 END ELSE 1 END,
+    CASE WHEN near OR turns THEN x ELSE fx END, CASE WHEN near OR turns THEN y ELSE fy END, CASE WHEN turns AND NOT near THEN heading + CASE WHEN off > 0 THEN radians(15) ELSE -radians(15) END ELSE heading END
+  FROM (SELECT *, d < 0.125 AS near, abs(off) > radians(15) / 2 AS turns, x + 0.25 * cos(heading) AS fx, y + 0.25 * sin(heading) AS fy FROM (
+    SELECT g.*, s.x AS tx, s.y AS ty, sqrt((s.x - g.x) ** 2 + (s.y - g.y) ** 2) AS d, (atan2(s.y - g.y, s.x - g.x) - g.heading + pi()) - 2 * pi() * floor((atan2(s.y - g.y, s.x - g.x) - g.heading + pi()) / (2 * pi())) - pi() AS off FROM go g JOIN steps s ON s.traj = g.traj AND s.step = g.goal))),
+done AS (SELECT traj, n - 1 AS i, action FROM go WHERE action > 0)
+SELECT traj, i, action FROM done UNION ALL SELECT s.traj, coalesce(max(i) + 1, 0), 0 FROM (SELECT DISTINCT traj FROM steps) s LEFT JOIN done USING (traj) GROUP BY s.traj"""
+
+_HULLS = f"""WITH {_POINTS}, d AS MATERIALIZED (SELECT DISTINCT vec_id, x, y, z FROM pts), o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY x, y, z) AS k FROM d),
+n AS (SELECT a.vec_id, a.k AS k1, b.k AS k2, c.k AS k3, a.x AS px, a.y AS py, a.z AS pz, (b.y - a.y) * (c.z - a.z) - (b.z - a.z) * (c.y - a.y) AS nx, (b.z - a.z) * (c.x - a.x) - (b.x - a.x) * (c.z - a.z) AS ny, (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) AS nz
+  FROM o a JOIN o b ON a.vec_id = b.vec_id AND a.k < b.k JOIN o c ON c.vec_id = b.vec_id AND b.k < c.k),
+s AS (SELECT n.vec_id, k1, k2, k3, any_value(px) AS px, any_value(py) AS py, any_value(pz) AS pz, any_value(nx) AS nx, any_value(ny) AS ny, any_value(nz) AS nz, min(nx * (q.x - px) + ny * (q.y - py) + nz * (q.z - pz)) AS lo, max(nx * (q.x - px) + ny * (q.y - py) + nz * (q.z - pz)) AS hi
+  FROM n JOIN o q ON q.vec_id = n.vec_id GROUP BY n.vec_id, k1, k2, k3),
+f AS MATERIALIZED (SELECT *, CASE WHEN lo >= 0 THEN -1 ELSE 1 END AS side FROM s WHERE (lo >= 0) <> (hi <= 0)),
+r AS (SELECT p.vec_id AS a, p.vec_id + 1 AS b, p.i, max(side * (nx * (p.x - px) + ny * (p.y - py) + nz * (p.z - pz))) AS out FROM pts p LEFT JOIN f ON f.vec_id = p.vec_id + 1 WHERE p.vec_id + 1 IN (SELECT vec_id FROM pts) GROUP BY p.vec_id, p.i)
+SELECT a, b, avg(CASE WHEN out <= 0 THEN 1.0::DOUBLE ELSE 0 END) AS share FROM r GROUP BY a, b"""
+
 _SNAPPED = f"""WITH RECURSIVE {STEPS.replace("steps AS (", "steps AS MATERIALIZED (")}, q AS (SELECT traj, step, x, y FROM steps WHERE step = 0
 UNION ALL SELECT s.traj, s.step, CASE WHEN abs(abs(s.x - q.x) - 0.25) <= 1e-6 THEN q.x ELSE s.x END, CASE WHEN abs(abs(s.y - q.y) - 0.25) <= 1e-6 THEN q.y ELSE s.y END FROM q JOIN steps s ON s.traj = q.traj AND s.step = q.step + 1)
 SELECT traj, step, x, y FROM q"""
@@ -65,6 +98,16 @@ def _world(spark) -> K.World:
     return K.World(L.raster_array(cells(spark)), 0.0, 0.0, 0.25)
 
 
+@query(
+    "clear_cells",
+    f"""WITH {CELLS} SELECT c.row, c.col, c.free AND NOT coalesce(bool_or(NOT o.free), false) AS clear FROM cells c LEFT JOIN cells o ON abs(o.row - c.row) <= 1 AND abs(o.col - c.col) <= 1 GROUP BY c.row, c.col, c.free""",
+)
+def clear_cells(spark, sf_dir):
+    """Cells that the planner may enter with a footprint of one cell about it."""
+    w = _world(spark)
+    return cells(spark).select("row", "col").mapInPandas(lambda batches: (p.assign(clear=w.clear(1)[p["row"], p["col"]]) for p in batches), "row int, col int, clear boolean")
+
+
 @query("planned_paths")
 def planned_paths(spark, sf_dir):
     """Paths of poses for each nation's goal from a few starts."""
@@ -95,12 +138,12 @@ def lines(spark, sf_dir):
     return L.line_table(p, L.raster_array(cells(spark)), 1)
 
 
-@query("discrete_actions")
+@query("discrete_actions", _FOLLOW)
 def discrete_actions(spark, sf_dir):
     return L.discrete_actions(steps(spark, sf_dir))
 
 
-@query("simplified_paths")
+@query("simplified_paths", _SIMPLE)
 def simplified_paths(spark, sf_dir):
     return L.per_path(steps(spark, sf_dir), lambda p: P.simplify(P.drop_collinear(p), 0.3))
 
@@ -183,7 +226,7 @@ def snapped_paths(spark, sf_dir):
     return L.per_path(steps(spark, sf_dir), lambda p: P.snap_jitters(p, (0.25,)))
 
 
-@query("hull_shares")
+@query("hull_shares", _HULLS)
 def hull_shares(spark, sf_dir):
     p = _points(spark, sf_dir)
     pairs = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("a")).distinct().withColumn("b", F.col("a") + 1)
