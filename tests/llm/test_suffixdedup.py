@@ -45,6 +45,37 @@ def test_agrees_with_brute_force(spark, hot, seed):
     assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got] == brute(t, 60)
 
 
+def brute_passages(texts: list[str | None], words: int) -> list[int]:
+    split = [(t or "").encode().lower().split() for t in texts]  # bytes: only A-Z have a lower case
+    holders: dict[tuple, set] = {}
+    for n, w in enumerate(split):
+        for i in range(len(w) - words + 1):
+            holders.setdefault(tuple(w[i : i + words]), set()).add(n)
+    out = []
+    for w in split:
+        gone = [False] * len(w)
+        for i in range(len(w) - words + 1):
+            if len(holders[tuple(w[i : i + words])]) > 1:
+                gone[i : i + words] = [True] * words
+        out.append(sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1])))
+    return out
+
+
+@pytest.mark.parametrize("hot", [1024, 0, 2])
+def test_passages_in_several_documents_against_brute_force(spark, hot):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(hot)
+    prose = lambda n: " ".join("".join(rng.choices("abcdé", k=rng.randrange(1, 6))) for _ in range(n))
+    shared = [prose(n) for n in (8, 9, 10, 11, 12, 25, 60)]
+    own = [prose(30) + " la la" * 20 for _ in range(4)]  # repeats inside a document alone
+    texts = [None, "", *own, *(f"{prose(rng.randrange(0, 20))} {rng.choice(shared)}  {prose(rng.randrange(0, 20))}\n{rng.choice(shared).upper()}" for _ in range(40)), own[0].split(" la")[0] + " end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = S._rows(docs, "doc_id", "text").join(S.shared_passages(docs, "doc_id", "text", 10, 3, hot), "rid", "left").select("doc_id", F.coalesce("n_passages", F.lit(0)).alias("n")).orderBy("doc_id").collect()
+    want = brute_passages(texts, 10)
+    assert [r["n"] for r in got] == want and sum(want) > 20
+
+
 def test_empty_null_keys_and_repeated_rows(spark):
     schema = "doc_id long, text string"
     assert S.remove_repeats(spark.createDataFrame([], schema)).count() == 0

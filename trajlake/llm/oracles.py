@@ -19,7 +19,7 @@ near AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, near.b FROM reach JOIN near ON reach.r = near.a)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept FROM s JOIN reach USING (doc_id) GROUP BY doc_id, s"""
 
-REPEATS = """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+REPEATS = rf"""WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
 p AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS k FROM (SELECT doc_id, h, unnest(range(0, n - 399)) AS i FROM d)),
 hit AS (SELECT doc_id, i FROM p WHERE k IN (SELECT k FROM p GROUP BY k HAVING count(*) > 1)),
 isle AS (SELECT doc_id, i, sum(CASE WHEN i - before > 400 OR before IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS g
@@ -27,7 +27,11 @@ isle AS (SELECT doc_id, i, sum(CASE WHEN i - before > 400 OR before IS NULL THEN
 span AS (SELECT doc_id, g, min(i) AS a, max(i) + 400 AS b FROM isle GROUP BY doc_id, g),
 cut AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS beg FROM span),
 kept AS (SELECT doc_id, string_agg(substr(h, 2 * beg + 1, 2 * (a - beg)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS h, sum(b - a) AS removed, count(*) AS spans FROM cut JOIN d USING (doc_id) GROUP BY doc_id)
-SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+q AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 50], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 49)) AS i FROM w)),
+found AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM q WHERE k IN (SELECT k FROM q GROUP BY k HAVING count(DISTINCT doc_id) > 1)),
+passages AS (SELECT doc_id, count_if(before IS NULL OR i - before > 51) AS n_passages FROM found GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256, CAST(coalesce(n_passages, 0) AS BIGINT) AS n_passages FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN passages USING (doc_id)"""
 
 _KINDS = [
     ("assign", r"""(?i:(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+))"""),

@@ -12,7 +12,7 @@ are dealt to tasks by gram, and a task keeps them in a family of suffix arrays:
   common-prefix length between the two) and L bytes before them, the windows that begin length - R to L bytes before the anchor are the same;
 * levels whose sizes have come equal (within a factor of two) merge into one, so an anchor is merged log(n) times.
 
-All that a task compares are bytes. A gram with more than ``HOT`` different segments is more than a task should hold: the fingerprints of its
+All that a task compares are symbols: bytes of texts, or words of them as 32-bit hashes, for passages that stand in several documents. A gram with more than ``HOT`` different segments is more than a task should hold: the fingerprints of its
 windows (128 bits) are counted by partial sums over the cluster, which gives the same windows.
 """
 
@@ -28,8 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trajlake.llm.common import U64, fan_out, key_filter, lean, mix64, rows_of, split_by, stage
+from trajlake.llm.shingles import word_hashes
 
 LENGTH, GRAM = 400, 64
+#: Words in a row that make a passage, and words of a gram of it.
+WORDS, WORD_GRAM = 51, 8
 #: Different segments of one gram beyond which their windows are counted over the cluster; segments of a task's share, about; of a batch.
 HOT, SHARE, BATCH = 1024, 20_000, 8_192
 #: Pairs whose bytes are compared at once.
@@ -50,17 +53,24 @@ def _power(base: int, n: int) -> np.ndarray:
     return got
 
 
+def _values(data: np.ndarray) -> np.ndarray:
+    """A 64-bit value for each symbol."""
+    if data.dtype != np.uint8:
+        return mix64(data.astype(U64) + U64(1))
+    if "bytes" not in _TABLES:
+        _TABLES["bytes"] = np.random.default_rng(9).integers(1, 1 << 63, 256).astype(U64)
+    return _TABLES["bytes"][data]
+
+
 def fingerprints(data: np.ndarray, width: int, base: int = _P) -> np.ndarray:
-    """A 64-bit fingerprint of each string of ``width`` bytes, by prefix sums of a polynomial."""
+    """A 64-bit fingerprint of each string of ``width`` symbols, by prefix sums of a polynomial."""
     n = len(data) - width + 1
     if n <= 0:
         return np.zeros(0, U64)
     p, q = _power(base, len(data)), _power(pow(base, -1, 1 << 64), len(data))
-    if "bytes" not in _TABLES:
-        _TABLES["bytes"] = np.random.default_rng(9).integers(1, 1 << 63, 256).astype(U64)
     with np.errstate(over="ignore"):
         sums = np.zeros(len(data) + 1, U64)
-        np.cumsum(_TABLES["bytes"][data] * p[: len(data)], out=sums[1:])
+        np.cumsum(_values(data) * p[: len(data)], out=sums[1:])
         return mix64((sums[width:] - sums[:n]) * q[:n])
 
 
@@ -92,7 +102,7 @@ def segment_prints(data: np.ndarray, first: np.ndarray, end: np.ndarray, shift:
     p, q = _power(_P, len(data)), _power(pow(_P, -1, 1 << 64), len(data))
     with np.errstate(over="ignore"):
         sums = np.zeros(len(data) + 1, U64)
-        np.cumsum(_TABLES["bytes"][data] * p[: len(data)], out=sums[1:])
+        np.cumsum(_values(data) * p[: len(data)], out=sums[1:])
         h = mix64((sums[end] - sums[first]) * q[first])
         return mix64(h + (end - first).astype(U64) * U64(_Q) + (shift.astype(U64) << U64(20))).view(np.int64)
 
@@ -111,21 +121,25 @@ class Level:
     """A suffix array: anchors in the order of their suffixes, as byte tables right (from the anchor on) and left (backwards from it), and what is known to be
     repeated: found[i, d] is the window that begins d bytes before anchor i."""
 
-    NAMES = ("right", "size", "left", "shift", "low", "found", "row")
+    NAMES = ("right", "size", "left", "shift", "low", "found", "row", "doc")
 
-    def __init__(self, right: np.ndarray, size: np.ndarray, left: np.ndarray, shift: np.ndarray, low: np.ndarray, found: np.ndarray, row: np.ndarray) -> None:
-        self.right, self.size, self.left, self.shift, self.low, self.found, self.row = right, size, left, shift, low, found, row
-        self.keys = np.ascontiguousarray(right).view(f"S{right.shape[1]}").ravel()
+    def __init__(self, right: np.ndarray, size: np.ndarray, left: np.ndarray, shift: np.ndarray, low: np.ndarray, found: np.ndarray, row: np.ndarray, doc: np.ndarray) -> None:
+        self.right, self.size, self.left, self.shift, self.low, self.found, self.row, self.doc = right, size, left, shift, low, found, row, doc
+        self.keys = np.ascontiguousarray(right).view(f"S{right.shape[1] * right.itemsize}").ravel()
 
     @classmethod
-    def of(cls, segments: list[bytes], shift: np.ndarray, row: np.ndarray, length: int, gram: int) -> Level:
-        reach = length - gram + 1
-        right = np.frombuffer(b"".join(s[d : d + length].ljust(length, b"\0") for s, d in zip(segments, shift.tolist(), strict=True)), np.uint8).reshape(-1, length)
-        left = np.frombuffer(b"".join(s[max(0, d - reach) : d][::-1].ljust(reach, b"\0") for s, d in zip(segments, shift.tolist(), strict=True)), np.uint8).reshape(-1, reach)
+    def of(cls, segments: list[np.ndarray], shift: np.ndarray, row: np.ndarray, doc: np.ndarray, length: int, gram: int) -> Level:
+        reach, kind = length - gram + 1, segments[0].dtype if segments else np.uint8
+        right, left = np.zeros((len(segments), length), kind), np.zeros((len(segments), reach), kind)
+        for i, (s, d) in enumerate(zip(segments, shift.tolist(), strict=True)):
+            own = s[d : d + length]
+            right[i, : len(own)] = own
+            own = s[max(0, d - reach) : d][::-1]
+            left[i, : len(own)] = own
         size = np.array([len(s) for s in segments], np.int64) - shift
-        order = np.argsort(np.ascontiguousarray(right).view(f"S{length}").ravel(), kind="stable")
-        # The last window of a segment begins ``low`` bytes before the anchor.
-        return cls(right[order], np.minimum(size, length)[order], left[order], shift[order], (length - size)[order], np.zeros((len(order), reach), bool), row[order])
+        order = np.argsort(right.view(f"S{length * right.itemsize}").ravel(), kind="stable")
+        # The last window of a segment begins ``low`` symbols before the anchor.
+        return cls(right[order], np.minimum(size, length)[order], left[order], shift[order], (length - size)[order], np.zeros((len(order), reach), bool), row[order], doc[order])
 
     def __len__(self) -> int:
         return len(self.row)
@@ -155,8 +169,9 @@ def merge(a: Level, b: Level) -> tuple[Level, np.ndarray]:
     return Level(*parts), second
 
 
-def scan(level: Level, length: int, gram: int, second: np.ndarray | None = None) -> None:
-    """Marks the windows that two different anchors of the level share; with ``second``, only pairs of one anchor from each part are compared.
+def scan(level: Level, length: int, gram: int, second: np.ndarray | None = None, across: bool = False) -> None:
+    """Marks the windows that two different anchors of the level share; with ``second``, only pairs of one anchor from each part are compared, with
+    ``across``, only those of two documents (-1: of several).
 
     Suffixes that are k places apart in the array have the least of the k common-prefix lengths between them in common, so R for all
     pairs of a gram comes from those of neighbours; L is compared byte by byte.
@@ -175,6 +190,8 @@ def scan(level: Level, length: int, gram: int, second: np.ndarray | None = None)
             x, y, r = i[ask], j[ask], common[ask]
             # A pair with too few bytes on both sides has no window in common.
             fit = r + np.minimum(level.shift[x], level.shift[y]) >= length
+            if across:
+                fit &= (level.doc[x] != level.doc[y]) | (level.doc[x] == -1)
             x, y, r = x[fit], y[fit], r[fit]
             back = _common_rows(level.left, x, y, np.minimum(level.shift[x], level.shift[y]))
             for own in (x, y):
@@ -202,16 +219,17 @@ def _common_rows(table: np.ndarray, x: np.ndarray, y: np.ndarray, most: np.ndarr
 class Family:
     """The logarithmic family: levels of falling size, at most one of each power of two."""
 
-    def __init__(self, length: int = LENGTH, gram: int = GRAM) -> None:
-        self.length, self.gram, self.levels = length, gram, []
+    def __init__(self, length: int = LENGTH, gram: int = GRAM, across: bool = False) -> None:
+        self.length, self.gram, self.across, self.levels = length, gram, across, []
 
-    def add(self, segments: list[bytes], shift: np.ndarray, row: np.ndarray) -> None:
-        """A batch of anchors: a segment has all windows of an anchor's run, and the anchor's gram begins ``shift`` bytes into it."""
-        new = Level.of(segments, np.asarray(shift, np.int64), np.asarray(row, np.int64), self.length, self.gram)
-        scan(new, self.length, self.gram)
+    def add(self, segments: list[bytes], shift: np.ndarray, row: np.ndarray, doc: np.ndarray | None = None, kind: type = np.uint8) -> None:
+        """A batch of anchors: a segment has all windows of an anchor's run, and the anchor's gram begins ``shift`` symbols into it."""
+        own = np.arange(len(segments)) if doc is None else np.asarray(doc, np.int64)
+        new = Level.of([np.frombuffer(s, kind) for s in segments], np.asarray(shift, np.int64), np.asarray(row, np.int64), own, self.length, self.gram)
+        scan(new, self.length, self.gram, None, self.across)
         for k, level in enumerate(self.levels):
             both, second = merge(level, new)
-            scan(both, self.length, self.gram, second)
+            scan(both, self.length, self.gram, second, self.across)
             level.found, new.found = both.found[~second], both.found[second]
             self.levels[k] = level
         self.levels.append(new)
@@ -240,84 +258,86 @@ def _runs(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2] - 1
 
 
-def _bytes(text: str) -> bytes:
-    return text.encode("utf-8", "surrogatepass")
-
-
-def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """From (rid, text), where rid stands for a text: the texts that have an anchor in common with any text, and (rid, first, last): runs of
-    windows, by their first bytes, that are repeated."""
+def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, kind: type = np.uint8, across: bool = False) -> tuple[DataFrame, DataFrame]:
+    """From (rid, data), where rid stands for a row's data, symbols of a kind: the data of those that have an anchor in common with any, and (rid, first, last): runs of
+    windows, by their first symbols, that are repeated; with ``across``, in another row."""
+    unit = np.dtype(kind).itemsize
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = ([], [], [], [], [], [])
-            for r, t in rows_of(batch, ["rid", "text"]):
-                data = np.frombuffer(_bytes(t), np.uint8)
+            for r, t in rows_of(batch, ["rid", "data"]):
+                data = np.frombuffer(t, kind)
                 key, place, first, last = anchors(data, length, gram)
                 for column, x in zip(out, (key, segment_prints(data, first, last + length, place - first), np.full(len(key), r), first, last, place - first), strict=True):
                     column.append(x)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(k)) for x, k in zip(out, (np.int64,) * 3 + (np.int32,) * 3, strict=True)], ["key", "seg", "rid", "first", "last", "shift"])
 
-    long = docs.where(F.octet_length("text") >= length)
+    long = docs.where(F.octet_length("data") >= length * unit)
     all_ = stage(long.mapInArrow(lean(find), "key long, seg long, rid long, first int, last int, shift int"), "anchors")
     one = F.min(F.struct("rid", "first", "last", "shift")).alias("at")
-    segs = stage(all_.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("n"), one), "segments")
+    known = (F.min("rid") != F.max("rid")) if across else (F.count(F.lit(1)) > 1)
+    segs = stage(all_.groupBy("key", "seg").agg(known.alias("known"), one), "segments")
     keys = segs.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key", (F.col("m") > hot).alias("hot"))
-    copied = stage(all_.join(segs.where("n > 1").select("key", "seg"), ["key", "seg"]).select("rid", "first", "last"), "copied")
-    several = stage(segs.join(keys, "key").select("at.rid", "key", "hot", "n", "at.first", "at.last", "at.shift"), "several")
+    copied = stage(all_.join(segs.where("known").select("key", "seg"), ["key", "seg"]).select("rid", "first", "last"), "copied")
+    several = stage(segs.join(keys, "key").select("at.rid", "key", "hot", "known", "at.first", "at.last", "at.shift"), "several")
     asked = stage(copied.select("rid").union(several.select("rid")).distinct(), "asked")
     some, _ = split_by(long, "rid", key_filter(asked, "rid"))
     texts = stage(some.join(asked, "rid", "left_semi").dropDuplicates(["rid"]), "texts")
-    cuts = several.groupBy("rid").agg(F.collect_list(F.struct("key", "hot", "n", "first", "last", "shift")).alias("cuts"))
+    cuts = several.groupBy("rid").agg(F.collect_list(F.struct("key", "hot", "known", "first", "last", "shift")).alias("cuts"))
     marked = texts.join(cuts, "rid")
 
     def cold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r, t, own in rows_of(batch, ["rid", "text", "cuts"], 32):
-                data, own = _bytes(t), [c for c in own if not c["hot"]]
+            for r, t, own in rows_of(batch, ["rid", "data", "cuts"], 32):
+                own = [c for c in own if not c["hot"]]
                 if own:
                     yield pa.RecordBatch.from_pydict({
-                        "key": pa.array([c["key"] for c in own], pa.int64()), "rid": pa.array([r] * len(own), pa.int64()), "n": pa.array([c["n"] for c in own], pa.int64()),
+                        "key": pa.array([c["key"] for c in own], pa.int64()), "rid": pa.array([r] * len(own), pa.int64()), "known": pa.array([c["known"] for c in own], pa.bool_()),
                         "first": pa.array([c["first"] for c in own], pa.int32()), "shift": pa.array([c["shift"] for c in own], pa.int32()),
-                        "segment": pa.array([data[c["first"] : c["last"] + length] for c in own], pa.binary())})
+                        "segment": pa.array([t[c["first"] * unit : (c["last"] + length) * unit] for c in own], pa.binary())})
 
     def popular(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r, t, own in rows_of(batch, ["rid", "text", "cuts"], 32):
-                runs = [(c["first"], c["last"]) for c in own if c["hot"]]
+            for r, t, own in rows_of(batch, ["rid", "data", "cuts"], 32):
+                runs = [(c["first"], c["last"], c["known"]) for c in own if c["hot"]]
                 if not runs:
                     continue
-                whole = np.frombuffer(_bytes(t), np.uint8)
+                whole = np.frombuffer(t, kind)
                 f, g = fingerprints(whole, length), fingerprints(whole, length, _Q)
-                at = np.concatenate([np.arange(a, b + 1) for a, b in runs])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), r)), pa.array(at.astype(np.int32)), pa.array(f[at].view(np.int64)), pa.array(g[at].view(np.int64))], ["rid", "at", "f", "g"])
+                at = np.concatenate([np.arange(a, b + 1) for a, b, _ in runs])
+                known = np.repeat([k for _, _, k in runs], [b - a + 1 for a, b, _ in runs])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), r)), pa.array(at.astype(np.int32)), pa.array(f[at].view(np.int64)), pa.array(g[at].view(np.int64)), pa.array(known)], ["rid", "at", "f", "g", "known"])
 
     def family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels, refs, base = Family(length, gram), [], 0
+        levels, refs, base = Family(length, gram, across), [], 0
         for whole in batches:
             for start in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(start, BATCH)
-                levels.add(batch.column("segment").to_pylist(), batch.column("shift").to_numpy(), np.arange(base, base + batch.num_rows))
-                refs.append([batch.column(c).to_numpy() for c in ("rid", "first", "n")])
+                known = batch.column("known").to_numpy(zero_copy_only=False)
+                doc = np.where(known, -1, batch.column("rid").to_numpy()) if across else None
+                levels.add(batch.column("segment").to_pylist(), batch.column("shift").to_numpy(), np.arange(base, base + batch.num_rows), doc, kind)
+                refs.append([batch.column("rid").to_numpy(), batch.column("first").to_numpy(), known])
                 base += batch.num_rows
         if not refs:
             return
-        rid, first, n = (np.concatenate(x) for x in zip(*refs, strict=True))
+        rid, first, known = (np.concatenate(x) for x in zip(*refs, strict=True))
         rows: tuple[list, list, list] = ([], [], [])
         for row, hit in levels.result():
-            if n[row] == 1 and hit.any():  # of a segment that the corpus has more often all windows are known
+            if not known[row] and hit.any():  # of a segment that the corpus has more often all windows are known
                 for a, b in zip(*_runs(hit), strict=True):
                     for column, x in zip(rows, (rid[row], first[row] + a, first[row] + b), strict=True):
                         column.append(x)
         yield pa.RecordBatch.from_arrays([pa.array(np.array(c, k)) for c, k in zip(rows, (np.int64, np.int32, np.int32), strict=True)], ["rid", "first", "last"])
 
     runs = "rid long, first int, last int"
-    few = stage(marked.mapInArrow(lean(cold), "key long, rid long, n long, first int, shift int, segment binary"), "cold")
+    few = stage(marked.mapInArrow(lean(cold), "key long, rid long, known boolean, first int, shift int, segment binary"), "cold")
     parts = max(fan_out(docs.sparkSession), -(-few.count() // SHARE))
     met = few.repartition(parts, "key").mapInArrow(lean(family), runs)
-    windows = stage(marked.where(F.exists("cuts", lambda c: c["hot"])).mapInArrow(lean(popular), "rid long, at int, f long, g long"), "windows")
-    again = windows.groupBy("f", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f", "g")
+    windows = stage(marked.where(F.exists("cuts", lambda c: c["hot"])).mapInArrow(lean(popular), "rid long, at int, f long, g long, known boolean"), "windows")
+    twice = F.max("known") | ((F.min("rid") != F.max("rid")) if across else (F.count(F.lit(1)) > 1))
+    again = windows.groupBy("f", "g").agg(twice.alias("twice")).where("twice").select("f", "g")
     # A table of its own, so that the join on fingerprints stands alone in its stage and AQE can split what is skewed.
     hits = stage(windows.join(again, ["f", "g"]).select("rid", F.col("at").alias("first"), F.col("at").alias("last")), "hits")
     return texts, copied.unionByName(met).unionByName(hits)
@@ -350,29 +370,51 @@ def _merged(runs: DataFrame, length: int) -> DataFrame:
     return runs.repartition("rid").sortWithinPartitions("rid", "first").mapInArrow(lean(join), "rid long, begin long, end long")
 
 
-def repeated_spans(docs: DataFrame, key: str, text: str, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """The rows as (doc_id, rid, text), where rid stands for key and text, and the texts with repeats as (rid, text, spans), spans in bytes, end exclusive."""
+def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc_id, rid and text (null: empty); rid stands for key and text."""
     t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(key).cast("long"), t).alias("rid"), t.alias("text"))
-    texts, windows = repeated_windows(rows.select("rid", "text"), length, gram, hot)
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(key).cast("long"), t).alias("rid"), t.alias("text"))
+
+
+def repeated_spans(docs: DataFrame, key: str, text: str, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """The rows as (doc_id, rid, text), and the texts with repeats as (rid, data, spans): UTF-8 bytes, and spans in them, end exclusive."""
+    rows = _rows(docs, key, text)
+    texts, windows = repeated_windows(rows.select("rid", F.col("text").cast("binary").alias("data")), length, gram, hot)
     spans = _merged(windows, length).groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("spans"))
     return rows, texts.join(spans, "rid")
 
 
+def shared_passages(docs: DataFrame, key: str, text: str, words: int = WORDS, gram: int = WORD_GRAM, hot: int = HOT) -> DataFrame:
+    """rid, n_passages: the maximal runs of words of a text that are covered by ``words`` words in a row which another row has too; texts without any have no row.
+
+    Words are runs of other characters than white space, with A-Z in lower case, and are told apart by 32 bits each: a passage of many words by that many times as much.
+    """
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                yield pa.RecordBatch.from_arrays([part.column("rid"), pa.array([(word_hashes(t) >> U64(32)).astype("<u4").tobytes() for t in part.column("text").to_pylist()], pa.binary())], ["rid", "data"])
+
+    long = _rows(docs, key, text).where(F.octet_length("text") >= 2 * words - 1).select("rid", "text")
+    _, windows = repeated_windows(long.mapInArrow(lean(hashed), "rid long, data binary"), words, gram, hot, np.uint32, True)
+    return _merged(windows, words).groupBy("rid").agg(F.count(F.lit(1)).alias("n_passages"))
+
+
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, one row for each input row.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passages, one row for each input row.
 
     Texts are their UTF-8 bytes, null is empty. A byte goes if a string of ``length`` bytes that covers it starts anywhere else, in
     the same text too; strings are judged on the input. Rows that repeat a text repeat all its strings. What is left may
-    cut a character in two.
+    cut a character in two. Nothing is removed for n_passages: it counts the passages of more than 50 words that another row has too, whatever their length in bytes.
     """
     rows, each = repeated_spans(docs, key, text, length, gram, hot)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [])
-            for r, text_, spans in rows_of(batch, ["rid", "text", "spans"], 32):
-                data, digest, at = _bytes(text_), hashlib.sha256(), 0
+            for r, data, spans in rows_of(batch, ["rid", "data", "spans"], 32):
+                digest, at = hashlib.sha256(), 0
                 for s in spans:
                     digest.update(data[at : s["begin"]])
                     at = s["end"]
@@ -384,4 +426,6 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     done = each.mapInArrow(lean(cut), "rid long, n_removed long, n_spans long, kept string")
     narrow = rows.select("doc_id", "rid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-    return narrow.join(done, "rid", "left").select("doc_id", "n_bytes", zero("n_removed"), zero("n_spans"), F.coalesce("kept", "sha").alias("kept_sha256"))
+    passages = shared_passages(docs, key, text, hot=hot)
+    both = narrow.join(done, "rid", "left").join(passages, "rid", "left")
+    return both.select("doc_id", "n_bytes", zero("n_removed"), zero("n_spans"), F.coalesce("kept", "sha").alias("kept_sha256"), zero("n_passages"))
