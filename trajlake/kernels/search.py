@@ -162,7 +162,7 @@ def follow(path: np.ndarray, forward: float = 0.25, degrees: float = 15.0) -> li
             if d < forward / 2:
                 break
             off = (math.atan2(ty - y, tx - x) - heading + math.pi) % (2 * math.pi) - math.pi
-            if abs(off) > turn / 2:
+            if abs(off) > turn / 2 + 1e-9:  # a point exactly half a turn aside would be turned to and fro
                 actions.append(LEFT if off > 0 else RIGHT)
                 heading += math.copysign(turn, off)
             else:

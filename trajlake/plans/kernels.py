@@ -75,7 +75,7 @@ _FOLLOW = f"""WITH RECURSIVE {STEPS.replace("steps AS (", "steps AS MATERIALIZED
 go AS (SELECT s.traj, CAST(1 AS BIGINT) AS goal, CAST(0 AS BIGINT) AS n, -1 AS action, s.x, s.y, atan2(q.y - s.y, q.x - s.x) AS heading FROM steps s JOIN steps q ON q.traj = s.traj AND s.step = 0 AND q.step = 1
   UNION ALL SELECT traj, CASE WHEN near OR (NOT turns AND sqrt((tx - fx) ** 2 + (ty - fy) ** 2) > d) THEN goal + 1 ELSE goal END, CASE WHEN near THEN n ELSE n + 1 END, CASE WHEN near THEN -1 WHEN turns THEN CASE WHEN off > 0 THEN 2 ELSE 3 END ELSE 1 END,
     CASE WHEN near OR turns THEN x ELSE fx END, CASE WHEN near OR turns THEN y ELSE fy END, CASE WHEN turns AND NOT near THEN heading + CASE WHEN off > 0 THEN radians(15) ELSE -radians(15) END ELSE heading END
-  FROM (SELECT *, d < 0.125 AS near, abs(off) > radians(15) / 2 AS turns, x + 0.25 * cos(heading) AS fx, y + 0.25 * sin(heading) AS fy FROM (
+  FROM (SELECT *, d < 0.125 AS near, abs(off) > radians(15) / 2 + 1e-9 AS turns, x + 0.25 * cos(heading) AS fx, y + 0.25 * sin(heading) AS fy FROM (
     SELECT g.*, s.x AS tx, s.y AS ty, sqrt((s.x - g.x) ** 2 + (s.y - g.y) ** 2) AS d, (atan2(s.y - g.y, s.x - g.x) - g.heading + pi()) - 2 * pi() * floor((atan2(s.y - g.y, s.x - g.x) - g.heading + pi()) / (2 * pi())) - pi() AS off FROM go g JOIN steps s ON s.traj = g.traj AND s.step = g.goal))),
 done AS (SELECT traj, n - 1 AS i, action FROM go WHERE action > 0)
 SELECT traj, i, action FROM done UNION ALL SELECT s.traj, coalesce(max(i) + 1, 0), 0 FROM (SELECT DISTINCT traj FROM steps) s LEFT JOIN done USING (traj) GROUP BY s.traj"""
