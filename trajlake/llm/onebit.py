@@ -8,8 +8,9 @@ product and a bound of its error; those whose upper bound reaches what the best
 original vectors, in double precision.
 
 Vectors belong to the nearest of a few centroids, which are fitted on a sample of at most ``SAMPLE`` vectors (all vectors are in
-the index). A query goes to the cells that may hold one of its best: those where the product with the centroid and ``REACH`` standard
-deviations of the products inside the cell reach the ``k``-th best product in the sample, which is certain. Each vector is in one
+the index). A query goes to its ``FIRST`` most promising cells; the ``k``-th best product there, or in the sample, is certain. Then it goes
+to all other cells that may hold one of its best: those where the product with the centroid and ``REACH`` standard
+deviations of the products inside the cell reach what is certain, and only products that do so come back. Each vector is in one
 cell, so nothing grows with the square of the table but the products that are asked for; large cells and cells of many queries
 are cut into blocks. ``exact=True`` sends every query to every cell.
 """
@@ -30,8 +31,8 @@ from trajlake.llm.common import lean, stage
 
 #: Queries of a block, vectors of a block, vectors of a cell, about, and the most cells.
 QUERY_BLOCK, VECTOR_BLOCK, CELL, MOST_CELLS = 2048, 8192, 1024, 1024
-#: Vectors that centroids and certain scores come from.
-SAMPLE = 8192
+#: Vectors that centroids and the first certain scores come from; cells that a query sees first.
+SAMPLE, FIRST = 8192, 4
 #: Width of the error bound of an estimate and of the products in a cell, in standard deviations.
 EPS, REACH = 2.5, 3.5
 _STEP, _PLANES = 128, 4
@@ -177,6 +178,7 @@ def best_of_block(queries: pd.DataFrame, block: pd.DataFrame, space: Space, k: i
     spread = length * np.sqrt(np.maximum(1 - fit * fit, 0)) / fit * (eps / np.sqrt(max(dim - 1, 1)))
     ids, rids, own = block["vec_id"].to_numpy(), block["rid"].to_numpy(), queries["rid"].to_numpy()
     turned, centre, norms = q @ space.turn.T, q @ mean, np.sqrt((q * q).sum(1))
+    sure = queries["sure"].to_numpy()
     out = []
     for j in range(len(q)):
         guess, cut = estimates(turned[j], words)
@@ -188,15 +190,25 @@ def best_of_block(queries: pd.DataFrame, block: pd.DataFrame, space: Space, k: i
         exact = x[first] @ q[j]
         exact[np.isneginf(row[first])] = -np.inf
         least = np.partition(exact, len(exact) - k)[len(exact) - k] if len(exact) >= k else -np.inf
+        least = max(least, sure[j])
         some = np.flatnonzero((row + wide >= least) & ~np.isneginf(row))
         exact = x[some] @ q[j]
+        some, exact = some[exact >= sure[j]], exact[exact >= sure[j]]
         order = np.lexsort((ids[some], -exact))[:k]
         out.append((some[order], exact[order]))
     return out
 
 
+_ASKED = "rid long, vec_id long, v binary, sure double, cell int, bound double, place int"
+
+
+def _lower(score: np.ndarray) -> np.ndarray:
+    """A little less, so that sums in another order don't fall below."""
+    return score - 1e-9 * (1 + np.abs(score))
+
+
 def _probes(queries: DataFrame, space: Space, k: int, reach: float, exact: bool) -> DataFrame:
-    """rid, vec_id, v, cell: each query with every cell that may hold one of its best."""
+    """Each query with every cell that may hold one of its best: what is certain from the sample, the cell's bound, and its place among the query's cells."""
     dim, c = len(space.mean), space.centroids
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,25 +219,25 @@ def _probes(queries: DataFrame, space: Space, k: int, reach: float, exact: bool)
                 bound = q @ c.T + reach * np.sqrt(np.maximum(((q @ space.spread) * q).sum(1), 0))[:, None]
                 score = q @ space.sample.T
                 score[batch.column("rid").to_numpy()[:, None] == space.rids[None, :]] = -np.inf
-                sure = np.partition(score, -k, axis=1)[:, -k] if score.shape[1] >= k and not exact else np.full(len(q), -np.inf)
-                i, cell = np.nonzero((bound >= sure[:, None]) | (np.arange(len(c))[None, :] == bound.argmax(1)[:, None]))
+                sure = np.full(len(q), -np.inf)
+                if score.shape[1] >= k and not exact:
+                    sure = np.partition(score, -k, axis=1)[:, -k]
+                    sure = np.where(np.isneginf(sure), sure, _lower(sure))
+                place = (-bound).argsort(1, kind="stable").argsort(1, kind="stable")
+                i, cell = np.nonzero((bound >= sure[:, None]) | (place < FIRST))
                 own = batch.take(pa.array(i))
-                yield pa.RecordBatch.from_arrays([*(own.column(n) for n in ("rid", "vec_id", "v")), pa.array(cell.astype(np.int32))], ["rid", "vec_id", "v", "cell"])
+                yield pa.RecordBatch.from_arrays([*(own.column(n) for n in ("rid", "vec_id", "v")), pa.array(sure[i]), pa.array(cell.astype(np.int32)), pa.array(bound[i, cell]), pa.array(place[i, cell].astype(np.int32))], ["rid", "vec_id", "v", "sure", "cell", "bound", "place"])
 
-    return stage(queries.select("rid", "vec_id", "v").mapInArrow(lean(ask), "rid long, vec_id long, v binary, cell int"), "probes")
+    return stage(queries.select("rid", "vec_id", "v").mapInArrow(lean(ask), _ASKED), "probes")
 
 
-def search(index: DataFrame, queries: DataFrame, space: Space, k: int = 20, query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK, eps: float = EPS, reach: float = REACH, exact: bool = False) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: each query row's ``k`` best of all other rows of the index, ties to the smaller vec_id.
-
-    ``queries`` are rows of the index. A row per cell goes to the driver's small tables, at most ``MOST_CELLS``.
-    """
-    asked = _probes(queries, space, k, reach, exact)
+def _best(index: DataFrame, asked: DataFrame, space: Space, k: int, query_block: int, vector_block: int, eps: float) -> DataFrame:
+    """query (rid), query_id, vec_id, score: the best ``k`` of each asked cell's blocks that reach what is certain."""
     blocks = lambda t, size, name: t.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
     shape = F.broadcast(blocks(asked, query_block, "qs").join(blocks(index, vector_block, "vs"), "cell"))
     part = lambda n, salt: F.pmod(F.xxhash64("rid", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = asked.join(shape, "cell").select("rid", "vec_id", "v", "cell", part("qs", 1).alias("a"), every("vs").alias("b"))
+    left = asked.join(shape, "cell").select("rid", "vec_id", "v", "sure", "cell", part("qs", 1).alias("a"), every("vs").alias("b"))
     right = index.join(shape, "cell").select("rid", "vec_id", "v", "code", "length", "fit", "cell", every("qs").alias("a"), part("vs", 2).alias("b"))
 
     def near(q: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
@@ -236,6 +248,24 @@ def search(index: DataFrame, queries: DataFrame, space: Space, k: int = 20, quer
         return pd.DataFrame({"query": np.repeat(q["rid"].to_numpy(), sizes), "query_id": np.repeat(q["vec_id"].to_numpy(), sizes), "vec_id": np.concatenate([ids[p] for p, _ in found]), "score": np.concatenate([s for _, s in found])})
 
     keys = ["cell", "a", "b"]
-    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(near, "query long, query_id long, vec_id long, score double")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(near, "query long, query_id long, vec_id long, score double")
+
+
+def _ranked(best: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def search(index: DataFrame, queries: DataFrame, space: Space, k: int = 20, query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK, eps: float = EPS, reach: float = REACH, exact: bool = False) -> DataFrame:
+    """query_id, rank (from 1), vec_id, score: each query row's ``k`` best of all other rows of the index, ties to the smaller vec_id.
+
+    ``queries`` are rows of the index. What is broadcast is a row for each cell, at most ``MOST_CELLS``.
+    """
+    asked = _probes(queries, space, k, reach, exact)
+    how = (space, k, query_block, vector_block, eps)
+    first = stage(_ranked(_best(index, asked.where(F.col("place") < FIRST), *how), k), "first")
+    sure = first.where(F.col("rank") == k).select(F.col("query").alias("rid"), (F.col("score") - 1e-9 * (1 + F.abs("score"))).alias("found"))
+    rest = asked.where(F.col("place") >= FIRST).join(sure, "rid", "left").withColumn("sure", F.greatest("sure", F.coalesce("found", F.lit(float("-inf")))))
+    rest = rest if exact else rest.where(F.col("bound") >= F.col("sure"))
+    more = _best(index, stage(rest.drop("found"), "rest"), *how)
+    return _ranked(first.drop("rank").unionByName(more), k).select("query_id", "rank", "vec_id", "score")
