@@ -13,7 +13,7 @@ are dealt to tasks by gram, and a task keeps them in a family of suffix arrays:
 * levels whose sizes have come equal (within a factor of two) merge into one, so an anchor is merged log(n) times.
 
 All that a task compares are symbols: bytes of texts, or words of them as 32-bit hashes, for passages that stand in several documents. A gram with more than ``HOT`` different segments is more than a task should hold: the fingerprints of its
-windows (128 bits) are counted by partial sums over the cluster, which gives the same windows.
+windows (64 bits besides the gram's) are counted by partial sums over the cluster, blocks of windows first, which gives the same windows.
 """
 
 from __future__ import annotations
@@ -258,6 +258,17 @@ def _runs(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2] - 1
 
 
+def _found_anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, list[list[int]], np.ndarray, np.ndarray]:
+    """key, seg, firsts, windows - 1, shift of a text's different segments: equal ones of one text are one, with all their places."""
+    key, place, first, last = anchors(data, length, gram)
+    seg = segment_prints(data, first, last + length, place - first)
+    order = np.lexsort((first, seg, key))
+    key, seg, first, last, place = (x[order] for x in (key, seg, first, last, place))
+    new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (seg[1:] != seg[:-1]))[: len(key)])
+    firsts = [x.tolist() for x in np.split(first, new[1:])] if len(key) else []
+    return key[new], seg[new], firsts, (last - first)[new], (place - first)[new]
+
+
 def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, kind: type = np.uint8, across: bool = False) -> tuple[DataFrame, DataFrame]:
     """From (rid, data), where rid stands for a row's data, symbols of a kind: the data of those that have an anchor in common with any, and (rid, first, last): runs of
     windows, by their first symbols, that are repeated; with ``across``, in another row."""
@@ -267,25 +278,27 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
         for batch in batches:
             out = ([], [], [], [], [], [])
             for r, t in rows_of(batch, ["rid", "data"]):
-                data = np.frombuffer(t, kind)
-                key, place, first, last = anchors(data, length, gram)
-                for column, x in zip(out, (key, segment_prints(data, first, last + length, place - first), np.full(len(key), r), first, last, place - first), strict=True):
+                key, seg, firsts, more, shift = _found_anchors(np.frombuffer(t, kind), length, gram)
+                for column, x in zip(out, (key, seg, np.full(len(key), r), firsts, more, shift), strict=True):
                     column.append(x)
             if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(k)) for x, k in zip(out, (np.int64,) * 3 + (np.int32,) * 3, strict=True)], ["key", "seg", "rid", "first", "last", "shift"])
+                flat = [x for own in out[3] for x in own]
+                columns = [pa.array(np.concatenate(x).astype(k)) for x, k in zip((*out[:3], *out[4:]), (np.int64,) * 3 + (np.int32,) * 2, strict=True)]
+                yield pa.RecordBatch.from_arrays([*columns[:3], pa.array(flat, pa.list_(pa.int32())), *columns[3:]], ["key", "seg", "rid", "firsts", "more", "shift"])
 
     long = docs.where(F.octet_length("data") >= length * unit)
-    all_ = stage(long.mapInArrow(lean(find), "key long, seg long, rid long, first int, last int, shift int"), "anchors")
-    one = F.min(F.struct("rid", "first", "last", "shift")).alias("at")
-    known = (F.min("rid") != F.max("rid")) if across else (F.count(F.lit(1)) > 1)
-    segs = stage(all_.groupBy("key", "seg").agg(known.alias("known"), one), "segments")
+    all_ = stage(long.mapInArrow(lean(find), "key long, seg long, rid long, firsts array<int>, more int, shift int"), "anchors")
+    # Each row has a segment once, with all its places, so a second row means another document.
+    known = (F.count(F.lit(1)) if across else F.sum(F.size("firsts"))) > 1
+    segs = stage(all_.groupBy("key", "seg").agg(known.alias("known"), F.min(F.struct("rid", "firsts", "more", "shift")).alias("at")), "segments")
     keys = segs.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key", (F.col("m") > hot).alias("hot"))
-    copied = stage(all_.join(segs.where("known").select("key", "seg"), ["key", "seg"]).select("rid", "first", "last"), "copied")
-    several = stage(segs.join(keys, "key").select("at.rid", "key", "hot", "known", "at.first", "at.last", "at.shift"), "several")
+    copied = all_.join(segs.where("known").select("key", "seg"), ["key", "seg"]).select("rid", F.explode("firsts").alias("first"), "more")
+    copied = stage(copied.select("rid", "first", (F.col("first") + F.col("more")).alias("last")), "copied")
+    several = stage(segs.join(keys, "key").select("at.rid", "key", "hot", "known", "at.firsts", "at.more", "at.shift"), "several")
     asked = stage(copied.select("rid").union(several.select("rid")).distinct(), "asked")
     some, _ = split_by(long, "rid", key_filter(asked, "rid"))
     texts = stage(some.join(asked, "rid", "left_semi").dropDuplicates(["rid"]), "texts")
-    cuts = several.groupBy("rid").agg(F.collect_list(F.struct("key", "hot", "known", "first", "last", "shift")).alias("cuts"))
+    cuts = several.groupBy("rid").agg(F.collect_list(F.struct("key", "hot", "known", "firsts", "more", "shift")).alias("cuts"))
     marked = texts.join(cuts, "rid")
 
     def cold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,52 +308,85 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
                 if own:
                     yield pa.RecordBatch.from_pydict({
                         "key": pa.array([c["key"] for c in own], pa.int64()), "rid": pa.array([r] * len(own), pa.int64()), "known": pa.array([c["known"] for c in own], pa.bool_()),
-                        "first": pa.array([c["first"] for c in own], pa.int32()), "shift": pa.array([c["shift"] for c in own], pa.int32()),
-                        "segment": pa.array([t[c["first"] * unit : (c["last"] + length) * unit] for c in own], pa.binary())})
-
-    def popular(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r, t, own in rows_of(batch, ["rid", "data", "cuts"], 32):
-                runs = [(c["first"], c["last"], c["known"]) for c in own if c["hot"]]
-                if not runs:
-                    continue
-                whole = np.frombuffer(t, kind)
-                f, g = fingerprints(whole, length), fingerprints(whole, length, _Q)
-                at = np.concatenate([np.arange(a, b + 1) for a, b, _ in runs])
-                known = np.repeat([k for _, _, k in runs], [b - a + 1 for a, b, _ in runs])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), r)), pa.array(at.astype(np.int32)), pa.array(f[at].view(np.int64)), pa.array(g[at].view(np.int64)), pa.array(known)], ["rid", "at", "f", "g", "known"])
+                        "firsts": pa.array([c["firsts"] for c in own], pa.list_(pa.int32())), "shift": pa.array([c["shift"] for c in own], pa.int32()),
+                        "segment": pa.array([t[c["firsts"][0] * unit : (c["firsts"][0] + c["more"] + length) * unit] for c in own], pa.binary())})
 
     def family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels, refs, base = Family(length, gram, across), [], 0
+        levels, rid, firsts, known = Family(length, gram, across), [], [], []
         for whole in batches:
             for start in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(start, BATCH)
-                known = batch.column("known").to_numpy(zero_copy_only=False)
-                doc = np.where(known, -1, batch.column("rid").to_numpy()) if across else None
-                levels.add(batch.column("segment").to_pylist(), batch.column("shift").to_numpy(), np.arange(base, base + batch.num_rows), doc, kind)
-                refs.append([batch.column("rid").to_numpy(), batch.column("first").to_numpy(), known])
-                base += batch.num_rows
-        if not refs:
-            return
-        rid, first, known = (np.concatenate(x) for x in zip(*refs, strict=True))
+                own, doc = batch.column("known").to_pylist(), batch.column("rid").to_numpy()
+                levels.add(batch.column("segment").to_pylist(), batch.column("shift").to_numpy(), np.arange(len(rid), len(rid) + len(own)), np.where(own, -1, doc) if across else None, kind)
+                rid += doc.tolist()
+                firsts += batch.column("firsts").to_pylist()
+                known += own
         rows: tuple[list, list, list] = ([], [], [])
         for row, hit in levels.result():
             if not known[row] and hit.any():  # of a segment that the corpus has more often all windows are known
                 for a, b in zip(*_runs(hit), strict=True):
-                    for column, x in zip(rows, (rid[row], first[row] + a, first[row] + b), strict=True):
-                        column.append(x)
+                    for first in firsts[row]:
+                        for column, x in zip(rows, (rid[row], first + a, first + b), strict=True):
+                            column.append(x)
         yield pa.RecordBatch.from_arrays([pa.array(np.array(c, k)) for c, k in zip(rows, (np.int64, np.int32, np.int32), strict=True)], ["rid", "first", "last"])
 
-    runs = "rid long, first int, last int"
-    few = stage(marked.mapInArrow(lean(cold), "key long, rid long, known boolean, first int, shift int, segment binary"), "cold")
+    few = stage(marked.mapInArrow(lean(cold), "key long, rid long, known boolean, firsts array<int>, shift int, segment binary"), "cold")
     parts = max(fan_out(docs.sparkSession), -(-few.count() // SHARE))
-    met = few.repartition(parts, "key").mapInArrow(lean(family), runs)
-    windows = stage(marked.where(F.exists("cuts", lambda c: c["hot"])).mapInArrow(lean(popular), "rid long, at int, f long, g long, known boolean"), "windows")
+    met = few.repartition(parts, "key").mapInArrow(lean(family), "rid long, first int, last int")
+    return texts, copied.unionByName(met).unionByName(_hot_windows(texts, several.where("hot"), length, gram, kind, across))
+
+
+def _hot_windows(texts: DataFrame, several: DataFrame, length: int, gram: int, kind: type, across: bool) -> DataFrame:
+    """rid, first, last: repeated windows of grams with too many different segments for a task, by fingerprints that are counted over the cluster.
+
+    The windows of a segment go in blocks by their offset to the anchor. A block whose whole string is repeated has all its windows repeated; one whose core,
+    which all windows of the block hold, no other whole string has, has none. Single windows are counted only for what is left: where a passage begins or ends,
+    a block for each segment.
+    """
+    side = max(2, int(np.sqrt(length - gram + 1)))
+    lists = several.groupBy("rid").agg(F.collect_list(F.struct("key", "known", "firsts", "more", "shift")).alias("cuts"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r, t, own in rows_of(batch, ["rid", "data", "cuts"], 32):
+                data, rows = np.frombuffer(t, kind), []
+                for c in own:
+                    # Offsets of the run's windows to the anchor, in blocks.
+                    low, high = c["shift"] - c["more"], c["shift"]
+                    for first in c["firsts"]:
+                        a = first + c["shift"]
+                        for b in range(low // side, high // side + 1):
+                            d0, d1 = max(b * side, low), min(b * side + side - 1, high)
+                            rows.append((c["key"], c["known"], a - d1, a - d0, d1, a - b * side, a - (b * side + side - 1) + length, b))
+                key, known, w0, w1, d1, begin, end, block = (np.array(x) for x in zip(*rows, strict=True))
+                union = segment_prints(data, w0, w1 + length, d1)
+                core = segment_prints(data, begin, end, block)
+                names = ["key", "rid", "known", "first", "last", "union", "core"]
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array([r] * len(key), pa.int64()), pa.array(known, pa.bool_()), pa.array(w0.astype(np.int32)), pa.array(w1.astype(np.int32)), pa.array(union), pa.array(core)], names)
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r, t, own in rows_of(batch, ["rid", "data", "cuts"], 32):
+                data = np.frombuffer(t, kind)
+                at = np.concatenate([np.arange(c["first"], c["last"] + 1) for c in own])
+                of = np.repeat(np.arange(len(own)), [c["last"] - c["first"] + 1 for c in own])
+                f = segment_prints(data, at, at + length, np.zeros(len(at), np.int64))
+                key, known = np.array([c["key"] for c in own], np.int64)[of], np.array([c["known"] for c in own], bool)[of]
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array([r] * len(at), pa.int64()), pa.array(at.astype(np.int32)), pa.array(f), pa.array(known)], ["key", "rid", "at", "f", "known"])
+
     twice = F.max("known") | ((F.min("rid") != F.max("rid")) if across else (F.count(F.lit(1)) > 1))
-    again = windows.groupBy("f", "g").agg(twice.alias("twice")).where("twice").select("f", "g")
+    blocks = stage(texts.join(lists, "rid").mapInArrow(lean(cut), "key long, rid long, known boolean, first int, last int, union long, core long"), "blocks")
+    unions = stage(blocks.groupBy("key", "core", "union").agg(twice.alias("done"), F.min(F.struct("rid", "first", "last")).alias("at")), "unions")
+    done = stage(blocks.join(unions.where("done").select("key", "union"), ["key", "union"]).select("rid", "first", "last"), "done")
+    open_ = stage(unions.groupBy("key", "core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "core"), "open")
+    one = unions.where("done").join(open_, ["key", "core"]).select("key", "at.rid", "at.first", "at.last", F.lit(True).alias("known"))
+    rest = blocks.join(unions.where("not done").select("key", "union"), ["key", "union"]).join(open_, ["key", "core"]).select("key", "rid", "first", "last", F.lit(False).alias("known"))
+    again = one.unionByName(rest).groupBy("rid").agg(F.collect_list(F.struct("key", "first", "last", "known")).alias("cuts"))
+    single = stage(texts.join(again, "rid").mapInArrow(lean(windows), "key long, rid long, at int, f long, known boolean"), "windows")
+    hit = single.groupBy("key", "f").agg(twice.alias("twice")).where("twice").select("key", "f")
     # A table of its own, so that the join on fingerprints stands alone in its stage and AQE can split what is skewed.
-    hits = stage(windows.join(again, ["f", "g"]).select("rid", F.col("at").alias("first"), F.col("at").alias("last")), "hits")
-    return texts, copied.unionByName(met).unionByName(hits)
+    hits = stage(single.join(hit, ["key", "f"]).select("rid", F.col("at").alias("first"), F.col("at").alias("last")), "hits")
+    return done.unionByName(hits)
 
 
 def _merged(runs: DataFrame, length: int) -> DataFrame:
