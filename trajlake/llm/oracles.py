@@ -26,7 +26,7 @@ isle AS (SELECT doc_id, i, sum(CASE WHEN i - before > 400 OR before IS NULL THEN
   FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM hit)),
 span AS (SELECT doc_id, g, min(i) AS a, max(i) + 400 AS b FROM isle GROUP BY doc_id, g),
 cut AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS beg FROM span),
-kept AS (SELECT doc_id, string_agg(substr(h, 2 * beg + 1, 2 * (a - beg)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS h, sum(b - a) AS removed, count(*) AS spans FROM cut JOIN d USING (doc_id) GROUP BY doc_id)
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * beg + 1, 2 * (a - beg)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS h, sum(b - a) AS removed, count(*) AS spans FROM cut JOIN d USING (doc_id) GROUP BY doc_id),
 w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 q AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 50], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 49)) AS i FROM w)),
 found AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM q WHERE k IN (SELECT k FROM q GROUP BY k HAVING count(DISTINCT doc_id) > 1)),
