@@ -168,8 +168,17 @@ def rotation_to(o: tuple[Column, ...], a: tuple[Column, ...], b: tuple[Column, .
     return F.when(same, rows(one)).when(F.abs(d + 1) <= 1e-5, rows(half)).otherwise(rows(turn))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def quaternion_matrix(q: Column) -> Column:
     """Rows of the rotation matrix of a unit quaternion [w, x, y, z]."""
+    return let(q, _matrix)
+
+
+def _matrix(q: Column) -> Column:
     w, x, y, z = (F.get(q, F.lit(i)) for i in range(4))
     return F.array(
         F.array(1 - 2 * (y * y + z * z), 2 * (x * y - w * z), 2 * (x * z + w * y)),
@@ -188,6 +197,10 @@ def euler_quaternion(roll: Column, pitch: Column, yaw: Column) -> Column:
 
 def quaternion_euler(q: Column) -> Column:
     """Struct (roll, pitch, yaw) of a unit quaternion, the inverse of ``euler_quaternion`` for pitches within a quarter circle."""
+    return let(q, _euler)
+
+
+def _euler(q: Column) -> Column:
     w, x, y, z = (F.get(q, F.lit(i)) for i in range(4))
     sine = F.greatest(F.least(2 * (w * y - z * x), F.lit(1.0)), F.lit(-1.0))
     return F.struct(F.atan2(2 * (w * x + y * z), 1 - 2 * (x * x + y * y)).alias("roll"), F.asin(sine).alias("pitch"), F.atan2(2 * (w * z + x * y), 1 - 2 * (y * y + z * z)).alias("yaw"))
@@ -195,6 +208,10 @@ def quaternion_euler(q: Column) -> Column:
 
 def matrix_quaternion(m: Column) -> Column:
     """The unit quaternion with w >= 0 of a rotation matrix (rows)."""
+    return let(m, _quaternion)
+
+
+def _quaternion(m: Column) -> Column:
     g = lambda i, j: F.get(F.get(m, F.lit(i)), F.lit(j))
     root = lambda v: F.sqrt(F.greatest(v, F.lit(0.0))) / 2
     sign = lambda v, s: F.when(s < 0, -v).otherwise(v)
@@ -204,15 +221,14 @@ def matrix_quaternion(m: Column) -> Column:
 
 def pose_matrix(q: Column, x: Column, y: Column, z: Column) -> Column:
     """The four rows of a homogeneous pose from a quaternion and a place."""
-    m = quaternion_matrix(q)
-    rows = [F.concat(F.get(m, F.lit(i)), F.array(t)) for i, t in enumerate((x, y, z))]
-    return F.array(*rows, F.array(*(F.lit(v) for v in (0.0, 0.0, 0.0, 1.0))))
+    last = F.array(*(F.lit(v) for v in (0.0, 0.0, 0.0, 1.0)))
+    return let(quaternion_matrix(q), lambda m: F.array(*(F.concat(F.get(m, F.lit(i)), F.array(t)) for i, t in enumerate((x, y, z))), last))
 
 
 def matrix_pose(m: Column) -> Column:
     """Struct (q, x, y, z) of a homogeneous pose: the inverse of ``pose_matrix`` up to the quaternion's sign."""
-    at = lambda i: F.get(F.get(m, F.lit(i)), F.lit(3))
-    return F.struct(matrix_quaternion(m).alias("q"), at(0).alias("x"), at(1).alias("y"), at(2).alias("z"))
+    at = lambda m, i: F.get(F.get(m, F.lit(i)), F.lit(3))
+    return let(m, lambda m: F.struct(_quaternion(m).alias("q"), at(m, 0).alias("x"), at(m, 1).alias("y"), at(m, 2).alias("z")))
 
 
 def segment_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
