@@ -152,6 +152,20 @@ def test_facades_and_goals_in_collision():
     assert len(search.grid_path_xy(free, (0, 0), (19, 19))) == 0
 
 
+def test_goals_of_many_scenes_are_planned_as_those_of_one(spark):
+    from trajlake.operators import planning
+
+    rows = {"s": [(r, c, c != 10 or r == 3) for r in range(16) for c in range(20)], "t": [(r, c, True) for r in range(12) for c in range(30)]}
+    cells = spark.createDataFrame([(s, *x) for s, own in rows.items() for x in own], "scene string, row int, col int, free boolean")
+    starts = spark.createDataFrame([(s, g, o, 0.5 + o * 0.25, 0.75, 3.5 + g * 0.25, 1.5) for s in rows for g in range(2) for o in range(3)], "scene string, goal long, order long, sx double, sy double, gx double, gy double")
+    got = planning.plan_scenes(starts, planning.raster_blobs(cells), 0.0, 0.0, 0.25, keep=2)
+    for s in rows:
+        free = planning.raster_array(cells.where(F.col("scene") == s).drop("scene"))
+        want = planning.plan_goals(starts.where(F.col("scene") == s).drop("scene"), search.World(free, 0.0, 0.0, 0.25), keep=2)
+        own = sorted(map(tuple, got.where(F.col("scene") == s).drop("scene").collect()))
+        assert own == sorted(map(tuple, want.collect())) and len({r[:2] for r in own}) == 4
+
+
 def test_rasters_without_targets_and_words_with_signs(spark):
     cells = spark.createDataFrame([("s", r, c, r == 0 and c == 9) for r in range(3) for c in range(10)] + [("t", r, c, False) for r in range(3) for c in range(3)], "scene string, row int, col int, free boolean")
     points = spark.createDataFrame([("s", 1, 2, 0), ("t", 2, 1, 1), ("s", 3, 50, 50)], "scene string, k long, row int, col int")

@@ -27,6 +27,50 @@ def raster_array(cells: DataFrame) -> np.ndarray:
     return free
 
 
+def raster_blobs(cells: DataFrame, by: str = "scene") -> DataFrame:
+    """by, h, w, bits: each scene's raster as one packed blob (rows of its cells in order), made where the cells are; no raster goes to the driver."""
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        free = np.zeros((int(pdf["row"].max()) + 1, int(pdf["col"].max()) + 1), bool)
+        own = pdf[pdf["free"]]
+        free[own["row"], own["col"]] = True
+        return pd.DataFrame({by: [pdf[by].iloc[0]], "h": [free.shape[0]], "w": [free.shape[1]], "bits": [np.packbits(free).tobytes()]})
+
+    kind = cells.schema[by].dataType.simpleString()
+    return cells.select(by, "row", "col", "free").groupBy(by).applyInPandas(pack, f"{by} {kind}, h int, w int, bits binary")
+
+
+def unpack_raster(h: int, w: int, bits: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(bits, np.uint8), count=h * w).reshape(h, w).astype(bool)
+
+
+def plan_scenes(starts: DataFrame, blobs: DataFrame, x0: float, y0: float, cell: float, settings: K.PlannerSettings = K.PlannerSettings(), attempts: int = 51, keep: int = 5, by: str = "scene") -> DataFrame:
+    """``plan_goals`` for the goals of many scenes: by, goal, start_no, step, x, y, action. A goal is a task's work; it comes with its scene's blob, on the row of its
+    first start alone. Scenes without a raster have no paths."""
+    from pyspark.sql import Window
+
+    first = F.row_number().over(Window.partitionBy(by, "goal").orderBy("order")) == 1
+    rows = starts.withColumn("first", first).join(blobs, by)
+    rows = rows.select(by, "goal", "order", "sx", "sy", "gx", "gy", "h", "w", F.when(F.col("first"), F.col("bits")).alias("bits"))
+
+    def plan(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = pdf.sort_values("order")
+        bits = next(b for b in own["bits"] if b is not None)
+        world = K.World(unpack_raster(int(own["h"].iloc[0]), int(own["w"].iloc[0]), bits), x0, y0, cell)
+        out, won = [], 0
+        for r in own.head(attempts).itertuples():
+            if won == keep:
+                break
+            found = K.plan_poses(world, (r.sx, r.sy, 0), (r.gx, r.gy), settings)
+            if found:
+                won += 1
+                out += [(getattr(r, by), r.goal, r.order, i, x, y, a) for i, ((x, y, _), a) in enumerate(zip(*found, strict=True))]
+        return pd.DataFrame(out, columns=[by, "goal", "start_no", "step", "x", "y", "action"])
+
+    kind = starts.schema[by].dataType.simpleString()
+    return rows.groupBy(by, "goal").applyInPandas(plan, f"{by} {kind}, goal long, start_no long, step long, x double, y double, action int")
+
+
 def plan_goals(starts: DataFrame, world: K.World, settings: K.PlannerSettings = K.PlannerSettings(), attempts: int = 51, keep: int = 5) -> DataFrame:
     """goal, start_no, step, x, y, action: for each goal (goal, order, sx, sy, gx, gy) the first ``keep`` paths among its first ``attempts`` starts in order."""
 
