@@ -1,7 +1,5 @@
 """Stage tables, filters of fixed size and small helpers of the training-data operators."""
 
-# fresh_folder is for those who write files of their own.
-
 from __future__ import annotations
 
 import contextlib
@@ -17,7 +15,8 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajlake.storage import fresh_folder, materialize
+from trajlake.storage import fresh_folder as fresh_folder
+from trajlake.storage import materialize
 
 U64 = np.uint64
 
