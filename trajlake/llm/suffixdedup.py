@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -269,16 +269,26 @@ def _found_anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray
     return key[new], seg[new], firsts, (last - first)[new], (place - first)[new]
 
 
-def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, kind: type = np.uint8, across: bool = False) -> tuple[DataFrame, DataFrame]:
-    """From (rid, data), where rid stands for a row's data, symbols of a kind: the data of those that have an anchor in common with any, and (rid, first, last): runs of
+def utf8(text: str) -> np.ndarray:
+    """A text's bytes as symbols."""
+    return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+
+
+def words_of(text: str) -> np.ndarray:
+    """A text's words as symbols of 32 bits."""
+    return (word_hashes(text) >> U64(32)).astype(np.uint32)
+
+
+def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, symbols: Callable[[str], np.ndarray] = utf8, across: bool = False) -> tuple[DataFrame, DataFrame]:
+    """From (rid, text), where rid stands for a row and its text: the texts that have an anchor in common with any, and (rid, first, last): runs of
     windows, by their first symbols, that are repeated; with ``across``, in another row."""
-    unit = np.dtype(kind).itemsize
+    kind = symbols("a").dtype
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = ([], [], [], [], [], [])
-            for r, t in rows_of(batch, ["rid", "data"]):
-                key, seg, firsts, more, shift = _found_anchors(np.frombuffer(t, kind), length, gram)
+            for r, t in rows_of(batch, ["rid", "text"]):
+                key, seg, firsts, more, shift = _found_anchors(symbols(t), length, gram)
                 for column, x in zip(out, (key, seg, np.full(len(key), r), firsts, more, shift), strict=True):
                     column.append(x)
             if out[0]:
@@ -286,7 +296,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
                 columns = [pa.array(np.concatenate(x).astype(k)) for x, k in zip((*out[:3], *out[4:]), (np.int64,) * 3 + (np.int32,) * 2, strict=True)]
                 yield pa.RecordBatch.from_arrays([*columns[:3], pa.array(flat, pa.list_(pa.int32())), *columns[3:]], ["key", "seg", "rid", "firsts", "more", "shift"])
 
-    long = docs.where(F.octet_length("data") >= length * unit)
+    long = docs.where(F.octet_length("text") >= length)
     all_ = stage(long.mapInArrow(lean(find), "key long, seg long, rid long, firsts array<int>, more int, shift int"), "anchors")
     # Each row has a segment once, with all its places, so a second row means another document.
     known = (F.count(F.lit(1)) if across else F.sum(F.size("firsts"))) > 1
@@ -303,13 +313,14 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
 
     def cold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r, t, own in rows_of(batch, ["rid", "data", "cuts"], 32):
+            for r, t, own in rows_of(batch, ["rid", "text", "cuts"], 32):
                 own = [c for c in own if not c["hot"]]
                 if own:
+                    data = symbols(t)
                     yield pa.RecordBatch.from_pydict({
                         "key": pa.array([c["key"] for c in own], pa.int64()), "rid": pa.array([r] * len(own), pa.int64()), "known": pa.array([c["known"] for c in own], pa.bool_()),
                         "firsts": pa.array([c["firsts"] for c in own], pa.list_(pa.int32())), "shift": pa.array([c["shift"] for c in own], pa.int32()),
-                        "segment": pa.array([t[c["firsts"][0] * unit : (c["firsts"][0] + c["more"] + length) * unit] for c in own], pa.binary())})
+                        "segment": pa.array([data[c["firsts"][0] : c["firsts"][0] + c["more"] + length].tobytes() for c in own], pa.binary())})
 
     def family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, rid, firsts, known = Family(length, gram, across), [], [], []
@@ -333,10 +344,10 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
     few = stage(marked.mapInArrow(lean(cold), "key long, rid long, known boolean, firsts array<int>, shift int, segment binary"), "cold")
     parts = max(fan_out(docs.sparkSession), -(-few.count() // SHARE))
     met = few.repartition(parts, "key").mapInArrow(lean(family), "rid long, first int, last int")
-    return texts, copied.unionByName(met).unionByName(_hot_windows(texts, several.where("hot"), length, gram, kind, across))
+    return texts, copied.unionByName(met).unionByName(_hot_windows(texts, several.where("hot"), length, gram, symbols, across))
 
 
-def _hot_windows(texts: DataFrame, several: DataFrame, length: int, gram: int, kind: type, across: bool) -> DataFrame:
+def _hot_windows(texts: DataFrame, several: DataFrame, length: int, gram: int, symbols: Callable[[str], np.ndarray], across: bool) -> DataFrame:
     """rid, first, last: repeated windows of grams with too many different segments for a task, by fingerprints that are counted over the cluster.
 
     The windows of a segment go in blocks by their offset to the anchor. A block whose whole string is repeated has all its windows repeated; one whose core,
@@ -348,8 +359,8 @@ def _hot_windows(texts: DataFrame, several: DataFrame, length: int, gram: int, k
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r, t, own in rows_of(batch, ["rid", "data", "cuts"], 32):
-                data, rows = np.frombuffer(t, kind), []
+            for r, t, own in rows_of(batch, ["rid", "text", "cuts"], 32):
+                data, rows = symbols(t), []
                 for c in own:
                     # Offsets of the run's windows to the anchor, in blocks.
                     low, high = c["shift"] - c["more"], c["shift"]
@@ -366,8 +377,8 @@ def _hot_windows(texts: DataFrame, several: DataFrame, length: int, gram: int, k
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r, t, own in rows_of(batch, ["rid", "data", "cuts"], 32):
-                data = np.frombuffer(t, kind)
+            for r, t, own in rows_of(batch, ["rid", "text", "cuts"], 32):
+                data = symbols(t)
                 at = np.concatenate([np.arange(c["first"], c["last"] + 1) for c in own])
                 of = np.repeat(np.arange(len(own)), [c["last"] - c["first"] + 1 for c in own])
                 f = segment_prints(data, at, at + length, np.zeros(len(at), np.int64))
@@ -423,9 +434,9 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, key: str, text: str, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """The rows as (doc_id, rid, text), and the texts with repeats as (rid, data, spans): UTF-8 bytes, and spans in them, end exclusive."""
+    """The rows as (doc_id, rid, text), and the texts with repeats as (rid, text, spans): spans in the UTF-8 bytes, end exclusive."""
     rows = _rows(docs, key, text)
-    texts, windows = repeated_windows(rows.select("rid", F.col("text").cast("binary").alias("data")), length, gram, hot)
+    texts, windows = repeated_windows(rows.select("rid", "text"), length, gram, hot)
     spans = _merged(windows, length).groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("spans"))
     return rows, texts.join(spans, "rid")
 
@@ -435,15 +446,7 @@ def shared_passages(docs: DataFrame, key: str, text: str, words: int = WORDS, gr
 
     Words are runs of other characters than white space, with A-Z in lower case, and are told apart by 32 bits each: a passage of many words by that many times as much.
     """
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                yield pa.RecordBatch.from_arrays([part.column("rid"), pa.array([(word_hashes(t) >> U64(32)).astype("<u4").tobytes() for t in part.column("text").to_pylist()], pa.binary())], ["rid", "data"])
-
-    long = _rows(docs, key, text).where(F.octet_length("text") >= 2 * words - 1).select("rid", "text")
-    _, windows = repeated_windows(long.mapInArrow(lean(hashed), "rid long, data binary"), words, gram, hot, np.uint32, True)
+    _, windows = repeated_windows(_rows(docs, key, text).select("rid", "text"), words, gram, hot, words_of, True)
     return _merged(windows, words).groupBy("rid").agg(F.count(F.lit(1)).alias("n_passages"))
 
 
@@ -459,8 +462,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [])
-            for r, data, spans in rows_of(batch, ["rid", "data", "spans"], 32):
-                digest, at = hashlib.sha256(), 0
+            for r, t, spans in rows_of(batch, ["rid", "text", "spans"], 32):
+                data, digest, at = utf8(t).tobytes(), hashlib.sha256(), 0
                 for s in spans:
                     digest.update(data[at : s["begin"]])
                     at = s["end"]
