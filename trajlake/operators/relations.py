@@ -103,8 +103,11 @@ def classify(t: Thresholds = Thresholds()) -> Column:
 
 
 def relations(boxes: DataFrame, order: str = "key") -> DataFrame:
-    """One row per unordered pair of a room within reach: scene, room, a, b, a_category, b_category, dist, rel_a, rel_b (null where no rule holds)."""
-    m = measure(close_pairs(boxes, order=order), order)
+    """One row per unordered pair of a room within reach: scene, room, a, b, a_category, b_category, dist, rel_a, rel_b (null where no rule holds).
+
+    The measured layer is a written table: a filter on the relations would else be pushed into the join, with the whole chain worked out for each candidate of a cell.
+    """
+    m = materialize(measure(close_pairs(boxes, order=order), order), "pairs")
     r = m.select("a_scene", "a_room", "a_id", "b_id", f"a_{order}", f"b_{order}", "a_category", "b_category", "dist", classify().alias("r"))
     return r.select(F.col("a_scene").alias("scene"), F.col("a_room").alias("room"), F.col("a_id").alias("a"), F.col("b_id").alias("b"), F.col(f"a_{order}").alias("a_order"), F.col(f"b_{order}").alias("b_order"), "a_category", "b_category", "dist", "r.rel_a", "r.rel_b")
 
