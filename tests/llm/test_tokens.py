@@ -59,6 +59,31 @@ def test_more_ids_than_ranks_of_their_own():
     assert (np.concatenate(idcoder.decode(idcoder.encode(a, table), table)) == a).all()
 
 
+def test_many_blocks_take_no_more_memory_than_the_lanes():
+    import tracemalloc
+
+    a = np.random.default_rng(5).integers(0, 5000, 8000 * 32).astype("<u4")
+    table = idcoder.Table.of(a)
+    peaks = []
+    for work in (lambda: idcoder.encode(a, table, 32), lambda: idcoder.decode(blocks, table)):
+        tracemalloc.start()
+        got = work()
+        peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+        tracemalloc.stop()
+        blocks = got if len(peaks) == 1 else blocks
+    assert (np.concatenate(got) == a).all()
+    assert max(peaks) < 100  # 25 KB for each of 8,000 blocks would be 200
+
+
+def test_lanes_do_not_show_in_the_code(monkeypatch):
+    a = np.random.default_rng(6).zipf(1.2, 9_000) % 6_000
+    table = idcoder.Table.of(a)
+    whole = idcoder.encode(a, table, 256)
+    monkeypatch.setattr(idcoder, "LANES", 7)
+    assert idcoder.encode(a, table, 256) == whole
+    assert (np.concatenate(idcoder.decode(whole, table)) == a).all()
+
+
 def test_files_are_smaller_than_counts_alone_would_make_them():
     """Whole files of sf0.01 stay below the entropy of their own ids' counts, which no coder without contexts or adaptation can."""
     import pyarrow.parquet as pq

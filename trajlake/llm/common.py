@@ -78,14 +78,19 @@ def lean(f: Callable) -> Callable:
         try:
             yield from f(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # only glibc has it
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return run
 
 
+def give_back() -> None:
+    """Returns what allocators keep for themselves to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def rows_of(batch: pa.RecordBatch, names: list[str], step: int = 256) -> Iterator[tuple]:
     """The rows of a batch as Python tuples, a few at a time."""
     for at in range(0, batch.num_rows, step):

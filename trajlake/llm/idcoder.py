@@ -10,7 +10,7 @@ beyond ``DENSE`` share one rank and are told apart by their counts. Each block p
 How often a lead of each size has held is counted by block, orders 1 and 2 apart, and these shares are the weights that mix the three into one
 distribution for each id: w2 on order 2's leader, w1 on order 1's, and the rest over all ranks by order 0's counts. A range coder codes the id's
 interval. Every id is learnt: leaders at once, counts and shares after every ``STEP`` ids by all of them. Blocks share no state but the
-table, so NumPy works on all blocks of a file in step, and any block can be decoded alone.
+table, so NumPy works on up to ``LANES`` blocks in step, and any block can be decoded alone. What ``LANES`` is doesn't show in the code.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ import numpy as np
 
 #: Ids in a block, and between two updates of its counts; most ids in a block, so that sums of counts stay below 2^16.
 BLOCK, STEP, MOST = 2048, 32, 4096
+#: Most blocks that are coded side by side, of up to 25 KB of state each: 50 MB, however large the file.
+LANES = 2048
 #: Ranks of a group, which a row of 32 sums stands for; most ranks of their own.
 GROUP = 31
 DENSE = 4000
@@ -107,24 +109,26 @@ class _Model:
         self.table, self.groups = table, table.groups
         self.ranks = self.groups * GROUP
         self.sums = np.tile(table.start.reshape(-1), n).reshape(n * self.groups, GROUP + 1)
+        self.lines = self.sums.view(f"V{2 * GROUP + 2}")[:, 0]
+        self.before = np.tile(np.concatenate(([0], np.cumsum(table.start[:, GROUP]))).astype(np.uint16)[:, None], n)
         self.total = table.total
         self.t1 = np.zeros(n * self.ranks, np.uint16)
         self.t2 = np.zeros(n * _SLOTS, np.uint32)
         self.hits1, self.hits2 = np.tile(_START1, n), np.tile(_START2, n)
         self.tries1, self.tries2 = np.tile(_TRIES, n), np.tile(_TRIES, n)
         self.shrink(n)
-        self.refresh()
 
     def shrink(self, n: int) -> None:
+        """From now on the first ``n`` blocks alone."""
         self.n = n
         self.lane = np.arange(n)
         self.lane1, self.lane2, self.lane4, self.row = (self.lane * w for w in (self.ranks, _SLOTS, 4, self.groups))
+        self.before = np.ascontiguousarray(self.before[:, :n])
+        self.old, self.add = np.empty((2, n, GROUP + 1), np.uint16)
+        self.refresh()
 
     def refresh(self) -> None:
-        """Group sums and weights, from counts."""
-        own = self.sums[: self.n * self.groups, GROUP].reshape(self.n, self.groups).T
-        self.before = np.zeros((self.groups + 1, self.n), np.uint16)
-        np.cumsum(own, 0, dtype=np.uint16, out=self.before[1:])
+        """Weights, from counts."""
         n = 4 * self.n
         self.share2 = np.minimum((self.hits2[:n] << _TOTAL) // self.tries2[:n], (1 << _TOTAL) - (1 << _TOTAL) // _MOST2)
         self.share1 = np.minimum((self.hits1[:n] << 16) // self.tries1[:n], (1 << 16) - (1 << 16) // _MOST1)
@@ -135,34 +139,61 @@ class _Model:
 
     def weights(self, v1: np.ndarray, v2: np.ndarray, fits: np.ndarray) -> tuple[np.ndarray, ...]:
         """q2, q1, lead 2, lead 1, end of order 2's interval, end of order 1's."""
-        v2 = v2.astype(np.int64)
-        q1, q2 = (v1 >> 2).astype(np.int64), (v2 >> 2) & 0xFFF
-        c2 = (v2 & 3) * fits
+        low = v2.astype(np.uint16)
+        q1, q2 = v1 >> 2, low >> 2 & 0xFFF
+        c2 = (low & 3).astype(np.uint8) * fits
         # Where both orders lead to one rank, order 1 has nothing to add.
-        c1 = (v1 & 3) * ((q1 != q2) | (c2 == 0))
-        b2 = self.share2[self.lane4 + c2]
-        b1 = b2 + (((1 << _TOTAL) - b2) * self.share1[self.lane4 + c1] >> 16)
+        c1 = (v1 & 3).astype(np.uint8) * ((q1 != q2) | (c2 == 0))
+        b2 = self.share2.take(self.lane4 + c2, mode="clip")
+        b1 = (1 << _TOTAL) - b2
+        b1 *= self.share1.take(self.lane4 + c1, mode="clip")
+        b1 >>= 16
+        b1 += b2
         return q2, q1, c2, c1, b2, b1
 
     def lead(self, x: np.ndarray, i1: np.ndarray, v1: np.ndarray, i2: np.ndarray, v2: np.ndarray, check: np.ndarray, fits: np.ndarray) -> None:
         """Learns who leads: a leader that has come again gains, another that came makes it lose, and takes its place at a lead of 1."""
-        new = x * 4 + 1
-        self.t1[i1] = np.where((v1 ^ new) < 4, np.minimum(v1 + 1, new + 2), np.where(v1 & 2, v1 - 1, new))
+        new = (x << 2) + 1
+        same = (v1 ^ new) < 4
+        to = np.where(same, np.minimum(v1 + 1, new + 2), v1 - 1)
+        np.copyto(to, new, where=((v1 & 2) == 0) & ~same)
+        self.t1[i1] = to
         new = check << 14 | new
-        self.t2[i2] = np.where((v2 ^ new) < 4, np.minimum(v2 + 1, new + 2), np.where((v2 & 2).astype(bool) & fits, v2 - 1, new))
+        same = (v2 ^ new) < 4
+        to = np.where(same, np.minimum(v2 + 1, new + 2), v2 - 1)
+        np.copyto(to, new, where=(((v2 & 2) == 0) | ~fits) & ~same)
+        self.t2[i2] = to
 
     def count(self, x: np.ndarray, c2: np.ndarray, hit2: np.ndarray, c1: np.ndarray, hit1: np.ndarray) -> None:
         """Learns a step's ids (one row for each of STEP) and which leads have held."""
         size = 4 * self.n
-        group, place = np.divmod(x, GROUP)
+        group = x // GROUP
+        place = x - group * GROUP
+        new = self.old.view(self.lines.dtype)[:, 0]
         for g, s in zip(group + self.row, place, strict=True):
-            self.sums[g] = self.sums.take(g, 0) + _ADD.take(s, 0)
+            self.sums.take(g, 0, out=self.old, mode="clip")
+            _ADD.take(s, 0, out=self.add, mode="clip")
+            self.old += self.add
+            self.lines[g] = new
+        group *= self.n
+        group += self.lane
+        more = (np.bincount(group.ravel(), minlength=self.groups * self.n) * GAIN).astype(np.uint16).reshape(self.groups, self.n)
+        run = np.zeros(self.n, np.uint16)
+        for m, b in zip(more, self.before[1:], strict=True):
+            run += m
+            b += run
         at2, at1 = self.lane4 + c2, self.lane4 + c1
-        self.tries2[:size] += np.bincount(at2.ravel(), minlength=size)
-        self.hits2[:size] += np.bincount(at2[hit2], minlength=size)
-        asked = ~hit2
-        self.tries1[:size] += np.bincount(at1[asked], minlength=size)
-        self.hits1[:size] += np.bincount(at1[hit1], minlength=size)
+        at2 *= 2
+        at2 += hit2
+        at1 *= 4
+        at1 += hit1
+        at1 += hit2.view(np.uint8) * 2  # not asked
+        held = np.bincount(at2.ravel(), minlength=2 * size).reshape(size, 2)
+        self.tries2[:size] += held[:, 0] + held[:, 1]
+        self.hits2[:size] += held[:, 1]
+        held = np.bincount(at1.ravel(), minlength=4 * size).reshape(size, 4)
+        self.tries1[:size] += held[:, 0] + held[:, 1]
+        self.hits1[:size] += held[:, 1]
         # A lead of 0 predicts nothing.
         self.hits1[:size:4] = self.hits2[:size:4] = 0
         self.total += GAIN * len(x)
@@ -174,42 +205,47 @@ class _Writer:
         self.low, self.range = np.zeros(n, np.int64), np.full(n, 1 << _LOW)
         self.out, self.at = np.zeros((n, words), np.int32), np.zeros(n, np.int64)
 
-    def _word(self, k: np.ndarray) -> None:
-        low, at = self.low[k], self.at[k]
-        if at.size and at.max() >= self.out.shape[1]:
-            self.out = np.concatenate((self.out, np.zeros_like(self.out)), 1)
-        self.out[k, at] = low >> _LEAST
-        self.at[k] = at + 1
-        self.low[k] = (low << 16) & _MASK
+    def room(self, words: int) -> None:
+        """Makes sure that each block has place for so many more words."""
+        most = int(self.at.max()) + words
+        if most > self.out.shape[1]:
+            self.out = np.concatenate((self.out, np.zeros((len(self.out), max(128, most - self.out.shape[1])), np.int32)), 1)
+        self.flat, self.begin = self.out.reshape(-1), np.arange(len(self.out)) * self.out.shape[1]
 
     def code(self, start: np.ndarray, width: np.ndarray, r: np.ndarray, k: np.ndarray | slice) -> None:
-        """Codes [start, start + width) in units of ``r`` on the blocks k, which are different ones."""
-        low = self.low[k] + start * r
-        self.range[k] = width * r
-        over = np.flatnonzero(low > _MASK)
-        self.low[k] = low & _MASK
+        """Codes [start, start + width) in units of ``r`` on the blocks k, which are different ones: two words each at most."""
+        low, at = self.low[k] + start * r, self.begin[k] + self.at[k]
+        range_ = width * r
+        over = (low > _MASK).nonzero()[0]
         if over.size:  # words may pass 16 bits; carries run left at the end
-            over = over if isinstance(k, slice) else k[over]
-            self.out[over, self.at[over] - 1] += 1
+            self.flat[at[over] - 1] += 1
+            low &= _MASK
         while True:
-            small = np.flatnonzero(self.range[k] < 1 << _LEAST)
-            if not small.size:
-                return
-            small = small if isinstance(k, slice) else k[small]
-            self._word(small)
-            self.range[small] <<= 16
+            small = range_ < 1 << _LEAST
+            if not small.any():
+                break
+            # All blocks write the word that would go out next; where none goes out, it will be written over.
+            self.flat[at] = low >> _LEAST
+            at += small
+            shift = small.view(np.uint8) * np.uint8(16)
+            low <<= shift
+            low &= _MASK
+            range_ <<= shift
+        self.low[k], self.range[k], self.at[k] = low, range_, at - self.begin[k]
 
     def close(self) -> list[bytes]:
-        for _ in range(_LOW // 16):
-            self._word(np.arange(len(self.low)))
+        self.room(_LOW // 16 + 1)
+        for shift in range(_LOW - 16, -1, -16):
+            self.flat[self.begin + self.at] = self.low >> shift & 0xFFFF
+            self.at += 1
+        self.flat[self.begin + self.at] = 0
         out = self.out
-        while True:
-            over = out >> 16
-            if not over.any():
-                break
+        over = out >> 16
+        while over.any():
             out &= 0xFFFF
             out[:, :-1] += over[:, 1:]
-        return [row[:n].astype("<u2").tobytes() for row, n in zip(out, self.at, strict=True)]
+            over = out >> 16
+        return [row[:n].astype("<u2").tobytes() for row, n in zip(out, self.at.tolist(), strict=True)]
 
 
 class _Reader:
@@ -228,17 +264,18 @@ class _Reader:
             self.at += 1
 
     def take(self, start: np.ndarray, width: np.ndarray, r: np.ndarray, k: np.ndarray | slice) -> None:
-        self.value[k] -= start * r
-        self.range[k] = width * r
+        value, at = self.value[k] - start * r, self.at[k]
+        range_ = width * r
         while True:
-            small = np.flatnonzero(self.range[k] < 1 << _LEAST)
-            if not small.size:
-                return
-            small = small if isinstance(k, slice) else k[small]
-            at = self.at[small]
-            self.value[small] = self.value[small] << 16 | self.words[at]
-            self.range[small] <<= 16
-            self.at[small] = np.minimum(at + 1, (small + 1) * self.width - 1)
+            small = range_ < 1 << _LEAST
+            if not small.any():
+                break
+            shift = small.view(np.uint8) * np.uint8(16)
+            value <<= shift
+            value |= self.words.take(at, mode="clip") * small
+            range_ <<= shift
+            at = at + small
+        self.value[k], self.range[k], self.at[k] = value, range_, at
 
 
 def _padded(n: int) -> int:
@@ -253,10 +290,17 @@ def encode(ids: np.ndarray, table: Table | None = None, block: int = BLOCK) -> l
     ids = np.ascontiguousarray(ids, "<u4")
     if not 0 < block <= MOST:
         raise ValueError(f"a block has 1 to {MOST} ids")
-    n = -(-len(ids) // block)
-    if n == 0:
-        return []
     table = table or Table.of(ids)
+    n = -(-len(ids) // block)
+    blocks = []
+    for part in np.array_split(np.arange(n), -(-n // LANES)) if n else []:
+        blocks += _encode(ids[part[0] * block : (part[-1] + 1) * block], table, block)
+    return blocks
+
+
+def _encode(ids: np.ndarray, table: Table, block: int) -> list[tuple[int, int, bytes]]:
+    """Blocks side by side."""
+    n = -(-len(ids) // block)
     places = table.places(ids)
     full = _padded(block)
     last = _padded(len(ids) - (n - 1) * block)
@@ -264,7 +308,6 @@ def encode(ids: np.ndarray, table: Table | None = None, block: int = BLOCK) -> l
     whole = (n - 1) * block
     steps[:-1, :block] = places[:whole].reshape(n - 1, block)
     steps[-1, : len(ids) - whole] = places[whole:]
-    steps = np.ascontiguousarray(steps.T)
     del places
     model, out = _Model(table, n), _Writer(n, block // 2 + 64)
     x1, x2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -272,9 +315,9 @@ def encode(ids: np.ndarray, table: Table | None = None, block: int = BLOCK) -> l
     for t in range(0, full if n > 1 else last, STEP):
         if t == last and n > 1:
             model.shrink(n - 1)
-            model.refresh()
             k, x1, x2 = slice(0, n - 1), x1[:-1], x2[:-1]
-        place = steps[t : t + STEP, k]
+        out.room(4 * STEP)
+        place = np.ascontiguousarray(steps[k, t : t + STEP].T)
         x = np.minimum(place, table.own).astype(np.int64)
         past1 = np.concatenate((x1[None], x[:-1]))
         past2 = np.concatenate((x2[None], past1[:-1]))
@@ -284,24 +327,35 @@ def encode(ids: np.ndarray, table: Table | None = None, block: int = BLOCK) -> l
         v1, v2, fits = np.empty(x.shape, np.uint16), np.empty(x.shape, np.uint32), np.empty(x.shape, bool)
         narrow = x.astype(np.uint16)
         for j in range(STEP):
-            v1[j], v2[j] = model.t1[i1[j]], model.t2[i2[j]]
-            fits[j] = v2[j] >> 14 == check[j]
+            model.t1.take(i1[j], out=v1[j], mode="clip")
+            model.t2.take(i2[j], out=v2[j], mode="clip")
+            np.equal(v2[j] >> 14, check[j], out=fits[j])
             model.lead(narrow[j], i1[j], v1[j], i2[j], v2[j], check[j], fits[j])
         q2, q1, c2, c1, b2, b1 = model.weights(v1, v2, fits)
-        hit2 = (q2 == x) & (c2 > 0)
-        hit1 = (q1 == x) & (c1 > 0) & ~hit2
-        group, s = np.divmod(x, GROUP)
-        at = (model.row + group) * (GROUP + 1) + s
+        hit2 = (q2 == narrow) & (c2 > 0)
+        hit1 = (q1 == narrow) & (c1 > 0) & ~hit2
+        group = x // GROUP
+        at = (model.row + group) * (GROUP + 1) + (x - group * GROUP)
         flat = model.sums.reshape(-1)
-        before = model.before.take(group * model.n + model.lane).astype(np.int64)
+        group *= model.n
+        group += model.lane
+        before = model.before.reshape(-1).take(group, mode="clip")
         unit = _quotient(((1 << _TOTAL) - b1) << 16, model.total)
-        start = b1 + ((before + flat[at]) * unit >> 16)
-        end = b1 + ((before + flat[at + 1]) * unit >> 16)
-        start = np.where(hit2, 0, np.where(hit1, b2, start))
-        width = np.where(hit2, b2, np.where(hit1, b1, end)) - start
+        start = (before + flat.take(at, mode="clip")) * unit
+        start >>= 16
+        start += b1
+        at += 1
+        end = (before + flat.take(at, mode="clip")) * unit
+        end >>= 16
+        end += b1
+        np.copyto(start, b2, where=hit1)
+        np.copyto(start, 0, where=hit2)
+        np.copyto(end, b1, where=hit1)
+        np.copyto(end, b2, where=hit2)
+        end -= start
         rare = x == DENSE - 1 if len(table.rare) > 1 else None
         for j in range(STEP):
-            out.code(start[j], width[j], out.range[k] >> _TOTAL, k)
+            out.code(start[j], end[j], out.range[k] >> _TOTAL, k)
             if rare is not None and rare[j].any():
                 own = np.flatnonzero(rare[j])
                 p = place[j, own] - table.own
@@ -317,54 +371,90 @@ def encode(ids: np.ndarray, table: Table | None = None, block: int = BLOCK) -> l
 
 def decode(blocks: list[tuple[int, int, bytes]], table: Table) -> list[np.ndarray]:
     """The ids of each block; ValueError if a checksum doesn't hold."""
-    if not blocks:
-        return []
     order = sorted(range(len(blocks)), key=lambda b: -blocks[b][0])
-    sizes = np.array([_padded(blocks[b][0]) for b in order])
-    model, source = _Model(table, len(blocks)), _Reader([blocks[b][2] for b in order])
-    got = np.zeros((int(sizes[0]), len(blocks)), np.int32)
+    out: list[np.ndarray] = [None] * len(blocks)  # type: ignore[list-item]
+    values = table.ids.astype("<u4")
+    for part in np.array_split(np.arange(len(blocks)), -(-len(blocks) // LANES)) if blocks else []:
+        own = order[part[0] : part[-1] + 1]
+        for b, places in zip(own, _decode([blocks[b] for b in own], table), strict=True):
+            ids = values[np.minimum(places[: blocks[b][0]], len(values) - 1)]
+            if zlib.crc32(blocks[b][2], zlib.crc32(ids.tobytes())) != blocks[b][1]:
+                raise ValueError(f"the checksum of block {b} doesn't hold")
+            out[b] = ids
+    return out
+
+
+def _decode(blocks: list[tuple[int, int, bytes]], table: Table) -> np.ndarray:
+    """A row of places in the table for each of some blocks side by side, none longer than the one before."""
+    sizes = np.array([_padded(n) for n, _, _ in blocks])
+    model, source = _Model(table, len(blocks)), _Reader([code for _, _, code in blocks])
+    got = np.zeros((len(blocks), int(sizes[0])), np.int32)
     x1, x2 = np.zeros(len(blocks), np.int64), np.zeros(len(blocks), np.int64)
-    live = len(blocks)
+    live = 0
     for t in range(0, int(sizes[0]), STEP):
         now = int(np.searchsorted(-sizes, -t, "left"))  # blocks with more than t ids
-        if now < live:
+        if now != live:
             live = now
             model.shrink(live)
-            model.refresh()
             x1, x2 = x1[:live], x2[:live]
+            lane32 = np.arange(live) * (GROUP + 1)
+            rows, below, reach = np.empty((live, GROUP + 1), np.uint16), np.empty((live, GROUP + 1), bool), np.empty((model.groups, live), bool)
+            words = below.view(np.uint64)
         k = slice(0, live)
         shape = (STEP, live)
-        x, c2, c1 = np.empty(shape, np.int64), np.empty(shape, np.int8), np.empty(shape, np.int8)
-        hit2, hit1 = np.empty(shape, bool), np.empty(shape, bool)
-        upper, flat = model.before[1:], model.sums.reshape(-1)
+        x, c2, c1 = np.empty(shape, np.int64), np.empty(shape, np.uint8), np.empty(shape, np.uint8)
+        hit2, hit1, place = np.empty(shape, bool), np.empty(shape, bool), np.empty(shape, np.int32)
+        upper = model.before[1:]
         for j in range(STEP):
             i1 = model.lane1 + x1
             pair = model.pair(x2, x1)
             i2, check = model.lane2 + (pair >> _CHECK_BITS), (pair & (1 << _CHECK_BITS) - 1).astype(np.uint32)
-            v1, v2 = model.t1[i1], model.t2[i2]
+            v1, v2 = model.t1.take(i1, mode="clip"), model.t2.take(i2, mode="clip")
             fits = v2 >> 14 == check
             q2, q1, c2[j], c1[j], b2, b1 = model.weights(v1, v2, fits)
             r = source.range[k] >> _TOTAL
             v = np.minimum(_quotient(source.value[k], r), (1 << _TOTAL) - 1)
-            np.less(v, b2, out=hit2[j])
-            np.logical_and(v < b1, ~hit2[j], out=hit1[j])
+            is2 = np.less(v, b2, out=hit2[j])
+            is1 = np.greater(v < b1, is2, out=hit1[j])
             unit = _quotient(((1 << _TOTAL) - b1) << 16, model.total)
-            c = np.minimum(_quotient((np.maximum(v - b1, 0) + 1 << 16) - 1, unit), model.total - 1).astype(np.uint16)
-            group = np.add.reduce((upper <= c).view(np.uint8), 0, dtype=np.uint8).astype(np.int64)
-            row = model.row + group
-            before = model.before.take(group * live + model.lane)
-            below = model.sums.take(row, 0) <= (c - before)[:, None]
-            s = np.bitwise_count(below.view(np.uint64)).sum(1, dtype=np.int64) - 1
-            at = row * (GROUP + 1) + s
+            v -= b1
+            np.maximum(v, 0, out=v)
+            v += 1
+            v <<= 16
+            v -= 1
+            c = np.minimum(_quotient(v, unit), model.total - 1).astype(np.uint16)
+            np.less_equal(upper, c, out=reach)
+            group = np.add.reduce(reach.view(np.uint8), 0, dtype=np.uint8).astype(np.int64)
+            before = model.before.reshape(-1).take(group * live + model.lane, mode="clip")
+            model.sums.take(model.row + group, 0, out=rows, mode="clip")
+            np.less_equal(rows, (c - before)[:, None], out=below)
+            # How many of a row: the sum of its bytes, which is at most GROUP + 1.
+            s = words[:, 0] + words[:, 1]
+            s += words[:, 2]
+            s += words[:, 3]
+            s *= 0x0101010101010101
+            s >>= 56
+            s = s.view(np.int64) - 1
+            at = lane32 + s
             before = before.astype(np.int64)
-            start = b1 + ((before + flat[at]) * unit >> 16)
-            end = b1 + ((before + flat[at + 1]) * unit >> 16)
-            start = np.where(hit2[j], 0, np.where(hit1[j], b2, start))
-            width = np.where(hit2[j], b2, np.where(hit1[j], b1, end)) - start
-            source.take(start, width, r, k)
-            own = np.where(hit2[j], q2, np.where(hit1[j], q1, group * GROUP + s))
-            x[j] = own
-            got[t + j, k] = own
+            start = (before + rows.reshape(-1).take(at, mode="clip")) * unit
+            start >>= 16
+            start += b1
+            at += 1
+            end = (before + rows.reshape(-1).take(at, mode="clip")) * unit
+            end >>= 16
+            end += b1
+            np.copyto(start, b2, where=is1)
+            np.copyto(start, 0, where=is2)
+            np.copyto(end, b1, where=is1)
+            np.copyto(end, b2, where=is2)
+            end -= start
+            source.take(start, end, r, k)
+            group *= GROUP
+            own = np.add(group, s, out=x[j])
+            np.copyto(own, q1, where=is1)
+            np.copyto(own, q2, where=is2)
+            place[j] = own
             if len(table.rare) > 1:
                 few = np.flatnonzero(own == DENSE - 1)
                 if few.size:
@@ -372,15 +462,9 @@ def decode(blocks: list[tuple[int, int, bytes]], table: Table) -> list[np.ndarra
                     v = np.minimum(source.value[few] // r, table.rare[-1] - 1)
                     p = np.searchsorted(table.rare, v, "right") - 1
                     source.take(table.rare[p], table.rare[p + 1] - table.rare[p], r, few)
-                    got[t + j, few] = table.own + p
+                    place[j, few] = table.own + p
             model.lead(own.astype(np.uint16), i1, v1, i2, v2, check, fits)
             x1, x2 = own, x1
         model.count(x, c2, hit2, c1, hit1)
-    out: list[np.ndarray] = [None] * len(blocks)  # type: ignore[list-item]
-    values = table.ids.astype("<u4")
-    for place, b in enumerate(order):
-        ids = values[np.minimum(got[: blocks[b][0], place], len(values) - 1)]
-        if zlib.crc32(blocks[b][2], zlib.crc32(ids.tobytes())) != blocks[b][1]:
-            raise ValueError(f"the checksum of block {b} doesn't hold")
-        out[b] = ids
-    return out
+        got[k, t : t + STEP] = place.T
+    return got

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trajlake.llm import idcoder
-from trajlake.llm.common import fan_out, folder, fresh_folder, lean, publish, rows_of, stage
+from trajlake.llm.common import fan_out, folder, fresh_folder, give_back, lean, publish, rows_of, stage
 from trajlake.llm.tokens import encoder, slices
 
 MAGIC = b"TLIDS2\r\n"
@@ -85,6 +85,7 @@ def write_ids(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int,
             nonlocal keys, size, ids, seq
             n = min(int(np.searchsorted(np.cumsum(size), most)) + 1, len(size))
             own = int(size[:n].sum())
+            give_back()  # what texts have taken, before the coder takes its own
             path = publish(to, f"part-{part:05d}-{seq:05d}", pack(keys[:n], size[:n], ids[:own], block))
             row = pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [path], "n_docs": [n], "n_tokens": [own]})
             keys, size, ids, seq = keys[n:], size[n:], ids[own:].copy(), seq + 1

@@ -3,8 +3,8 @@
 The fast way is taken only for the one form of tokenizer that it is proved for, which is read from the file: text composed, white space made one
 space, lower case, pieces that are runs of letters, single digits, runs of other marks or English endings, and byte-level merges whose last piece of a word ends
 in ``</w>``. There the ids of a text are those of its chunks between white space in a row. Arrow splits a batch of texts and numbers its distinct chunks; a worker
-remembers chunks (at most ``CACHE``, then it starts anew); new words of letters alone go to the library together, and the ends of words among the ids
-part them again. Texts with characters whose case, composition or white-space rules might differ between the libraries, and those with a special token's
+remembers words and other pieces of chunks in Arrow and NumPy arrays (beyond ``CACHE``, only those of its last batch); new words of letters alone go to the library
+together, and the ends of words among the ids part them again. Texts with characters whose case, composition or white-space rules might differ between the libraries, and those with a special token's
 string, go to the library whole; so do all texts under a tokenizer file of any other form.
 """
 
@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks that a worker remembers, about 150 bytes each; bytes of text split at once; words in a library call.
+#: Pieces that a worker remembers, about 50 bytes each; bytes of text split at once; words in a library call.
 CACHE, SLICE, CALL = 300_000, 1 << 22, 2_000
 
 #: Outside of this the fast path is not taken: Latin letters to U+024F without the dotted capital I, general punctuation, the euro sign.
@@ -49,12 +49,21 @@ def _is_word_bpe(form: dict) -> bool:
     )
 
 
-def _gather(ids: np.ndarray, sizes: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """The ids of the pieces ``of``, in a row; piece i has sizes[i] of the ids."""
+def _gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """The values of the pieces ``of``, in a row; piece i has sizes[i] of them from starts[i] on."""
     size = sizes[of]
-    at = np.repeat(((np.cumsum(sizes) - sizes)[of] - np.cumsum(size) + size).astype(np.int32), size)
+    at = np.repeat((starts[of] - np.cumsum(size) + size).astype(np.int32), size)
     at += np.arange(len(at), dtype=np.int32)
-    return ids[at]
+    return values[at]
+
+
+def _last_bytes(texts: pa.StringArray, sizes: np.ndarray) -> pa.StringArray:
+    """The last sizes[i] bytes of each text, which are letters of their own."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    own = _gather(data, offsets[1:] - sizes, sizes, np.arange(len(texts)))
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(own))
 
 
 class ChunkEncoder:
@@ -68,7 +77,9 @@ class ChunkEncoder:
         with open(path, encoding="utf-8") as f:
             form = json.load(f)
         self.fast = _is_word_bpe(form)
-        self._known: dict[str, bytes] = {}
+        # The pieces known, first the empty one, and where their ids are in a row of ids.
+        self._known = pa.array([""], pa.string())
+        self._start, self._size, self._ids = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, "<u4")
         if self.fast:
             special = [re.escape(x["content"]) for x in form.get("added_tokens") or []]
             self._unsure = "|".join([f"[^{_SURE}]", *special])
@@ -81,56 +92,58 @@ class ChunkEncoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_words(self, words: list[str]) -> None:
-        """Words of lower-case letters: many in one call; each ends with the one id that ends a word."""
-        for at in range(0, len(words), CALL):
-            own = words[at : at + CALL]
-            ids = np.array(self._words.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, "<u4")
-            ends = (4 * np.flatnonzero(self._ends[ids]) + 4).tolist()
-            if len(ends) != len(own):
-                self._known.update(zip(own, self.whole(own), strict=True))
-                continue
-            data, begin = ids.tobytes(), 0
-            for w, end in zip(own, ends, strict=True):
-                self._known[w] = data[begin:end]
-                begin = end
+    def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of lower-case letters in a row, and how many each has: many in one call; each ends with the one id that ends a word."""
+        ids = np.array(self._words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        if len(ends) == len(words):
+            return ids, np.diff(ends, prepend=0)
+        return self._of_others(words)
+
+    def _of_others(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        own = self.whole(pieces)
+        return np.frombuffer(b"".join(own), "<u4"), np.array([len(x) >> 2 for x in own], np.int64)
+
+    def _learn(self, new: pa.StringArray) -> None:
+        """Remembers more pieces, in their order."""
+        words = pc.utf8_is_alpha(new).to_numpy(zero_copy_only=False)
+        ids, size, at = [self._ids], np.zeros(len(new), np.int64), []
+        for some, learn, most in ((words, self._of_words, CALL), (~words, self._of_others, len(new))):
+            own = np.flatnonzero(some)
+            names = new.take(pa.array(own)).to_numpy(zero_copy_only=False).tolist()
+            for begin in range(0, len(own), most):
+                got, size[own[begin : begin + most]] = learn(names[begin : begin + most])
+                ids.append(got)
+            at.append(own)
+        order = np.concatenate(at)
+        start = np.empty(len(new), np.int64)
+        start[order] = len(self._ids) + np.cumsum(size[order]) - size[order]
+        self._ids, self._start, self._size = np.concatenate(ids), np.concatenate((self._start, start)), np.concatenate((self._size, size))
 
     def _table(self, chunks: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks in a row, and how many each has. A word and marks after it are two pieces for the tokenizer too."""
-        if len(self._known) > CACHE:
-            self._known.clear()
         lower = pc.utf8_lower(chunks)
         stems = pc.utf8_rtrim(lower, characters=_MARKS)
         alone = pc.utf8_is_alpha(stems)
         size, whole = pc.binary_length(stems).to_numpy(), pc.binary_length(lower).to_numpy()
-        alone_ = alone.to_numpy(zero_copy_only=False)
-        marked = np.flatnonzero(alone_ & (size < whole))
-        ends = [w[-n:] for w, n in zip(lower.take(pa.array(marked)).to_numpy(zero_copy_only=False), (whole - size)[marked].tolist(), strict=True)]
-        words = stems.filter(alone).dictionary_encode()
-        other = lower.filter(pc.invert(alone))
-        first, second = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
-        names = words.dictionary.to_numpy(zero_copy_only=False).tolist()
-        first[alone_] = words.indices.to_numpy(zero_copy_only=False) + 1
-        rest = dict.fromkeys(ends)
-        rest.update(dict.fromkeys(other.to_numpy(zero_copy_only=False).tolist()))
-        places = dict(zip(rest, range(len(names) + 1, len(names) + 1 + len(rest)), strict=True))
-        first[~alone_] = [places[x] for x in other.to_numpy(zero_copy_only=False).tolist()]
-        second[marked] = [places[x] for x in ends]
-        got = [b"", *map(self._known.get, names), *map(self._known.get, rest)]
-        new = [i for i, g in enumerate(got) if g is None]
-        if new:
-            cut = len(names)
-            self._learn_words([names[i - 1] for i in new if i <= cut])
-            left = list(rest)
-            left = [left[i - cut - 1] for i in new if i > cut]
-            self._known.update(zip(left, self.whole(left), strict=True))
-            get = self._known.__getitem__
-            left = iter(left)
-            for i in new:
-                got[i] = get(names[i - 1] if i <= cut else next(left))
-        sizes = np.fromiter(map(len, got), np.int64, len(got)) >> 2
-        both = np.stack((first, second), 1)
-        return _gather(np.frombuffer(b"".join(got), "<u4"), sizes, both.ravel()), sizes[both].sum(1)
+        marked = np.flatnonzero(alone.to_numpy(zero_copy_only=False) & (size < whole))
+        ends = _last_bytes(lower.take(pa.array(marked)), (whole - size)[marked])
+        known = len(self._known)
+        pieces = pa.concat_arrays([self._known, pc.if_else(alone, stems, lower), ends]).dictionary_encode()
+        self._known, of = pieces.dictionary, pieces.indices.to_numpy()[known:]
+        if len(self._known) > known:
+            self._learn(self._known.slice(known))
+        both = np.zeros((len(chunks), 2), np.int64)
+        both[:, 0] = of[: len(chunks)]
+        both[marked, 1] = of[len(chunks) :]
+        table = _gather(self._ids, self._start, self._size, both.ravel()), self._size[both].sum(1)
+        if len(self._known) > CACHE:
+            used = np.bincount(of, minlength=len(self._known)) > 0
+            used[0] = True
+            self._known, used = self._known.filter(pa.array(used)), np.flatnonzero(used)
+            self._ids, self._size = _gather(self._ids, self._start, self._size, used), self._size[used]
+            self._start = np.cumsum(self._size) - self._size
+        return table
 
     def _split(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Sure texts without nulls."""
@@ -141,7 +154,7 @@ class ChunkEncoder:
         of = numbered.indices.to_numpy(zero_copy_only=False)
         ends = np.concatenate(([0], np.cumsum(sizes[of])))
         offsets = lists.offsets.to_numpy()
-        return _gather(ids, sizes, of), np.diff(ends[offsets - offsets[0]])
+        return _gather(ids, np.cumsum(sizes) - sizes, sizes, of), np.diff(ends[offsets - offsets[0]])
 
     def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.string()), "")
