@@ -29,6 +29,21 @@ def test_a_full_cache_starts_anew(monkeypatch):
     assert all(coder.encode(t) == coder.whole([t])[0] for _ in range(3))
 
 
+def test_a_full_cache_keeps_what_the_last_batch_has(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokens, "CACHE", 5)
+    coder = tokens.ChunkEncoder(PATH)
+    first, last = pa.array(["alpha beta, gamma. delta 12 epsilon!"]), pa.array(["Zeta, eta; theta 7's iota (kappa) lambda..."])
+    coder.encode_batch(first)
+    ids, size = coder.encode_batch(last)
+    want = coder.whole(last.to_pylist())[0]
+    coder._library = coder._words = None  # no text goes there again
+    again, same = coder.encode_batch(last)
+    assert again.tobytes() == ids.tobytes() == want and same.tolist() == size.tolist() == [len(want) // 4]
+    assert len(coder._known) < 20  # and nothing of the first batch
+
+
 @pytest.mark.parametrize("ids", [[], [0], [7] * 900, list(range(3000)), [65535] * 50, [2**32 - 1, 2**32 - 2, 0, 70000] * 40, list(np.random.default_rng(0).integers(0, 49408, 5000)), list(np.tile(np.random.default_rng(1).integers(0, 300, 350), 9))])
 def test_coder_round_trip(ids):
     a = np.array(ids, np.uint32)

@@ -102,6 +102,17 @@ def _quotient(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a / b).astype(np.int64)
 
 
+def _led(v: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Leaders and leads ``v`` after ranks came that would lead by 1 as ``new``."""
+    lead = v & 3
+    same = (v ^ new) < 4
+    to = np.minimum(lead, 2)
+    to *= same
+    to += new
+    np.copyto(to, v - 1, where=(lead > 1) > same)
+    return to
+
+
 class _Model:
     """What ``n`` blocks have learnt."""
 
@@ -128,56 +139,58 @@ class _Model:
         self.refresh()
 
     def refresh(self) -> None:
-        """Weights, from counts."""
+        """Weights, from counts: for each block and each lead of orders 2 and 1, where their intervals end and what one of order 0's counts is worth."""
         n = 4 * self.n
-        self.share2 = np.minimum((self.hits2[:n] << _TOTAL) // self.tries2[:n], (1 << _TOTAL) - (1 << _TOTAL) // _MOST2)
-        self.share1 = np.minimum((self.hits1[:n] << 16) // self.tries1[:n], (1 << 16) - (1 << 16) // _MOST1)
-
-    def pair(self, x2: np.ndarray, x1: np.ndarray) -> np.ndarray:
-        """24 bits: a slot of order 2 and what tells the pair from others in it."""
-        return ((x2 << 12 | x1) * _ODD) & 0xFFFFFF
-
-    def weights(self, v1: np.ndarray, v2: np.ndarray, fits: np.ndarray) -> tuple[np.ndarray, ...]:
-        """q2, q1, lead 2, lead 1, end of order 2's interval, end of order 1's."""
+        share2 = np.minimum((self.hits2[:n] << _TOTAL) // self.tries2[:n], (1 << _TOTAL) - (1 << _TOTAL) // _MOST2).reshape(-1, 4, 1)
+        share1 = np.minimum((self.hits1[:n] << 16) // self.tries1[:n], (1 << 16) - (1 << 16) // _MOST1).reshape(-1, 1, 4)
+        end1 = ((1 << _TOTAL) - share2) * share1
+        end1 >>= 16
+        end1 += share2
+        self.end2, self.end1 = share2.ravel(), end1.ravel()
+        self.unit = _quotient(((1 << _TOTAL) - self.end1) << 16, self.total)
+
+    def pair(self, x2: np.ndarray, x1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """24 bits of a pair of ranks (32-bit numbers): a slot of order 2 and what tells the pair from others in it."""
+        pair = x2 << 12
+        pair |= x1
+        pair *= _ODD
+        pair &= 0xFFFFFF
+        return self.lane2 + (pair >> _CHECK_BITS), pair & (1 << _CHECK_BITS) - 1
+
+    def weights(self, v1: np.ndarray, v2: np.ndarray) -> tuple[np.ndarray, ...]:
+        """q2, q1, lead 2, lead 1, end of order 2's interval, end of order 1's, order 0's unit. v2 is 0 where the slot holds another pair."""
         low = v2.astype(np.uint16)
         q1, q2 = v1 >> 2, low >> 2 & 0xFFF
-        c2 = (low & 3).astype(np.uint8) * fits
+        c2 = (low & 3).astype(np.uint8)
         # Where both orders lead to one rank, order 1 has nothing to add.
-        c1 = (v1 & 3).astype(np.uint8) * ((q1 != q2) | (c2 == 0))
-        b2 = self.share2.take(self.lane4 + c2, mode="clip")
-        b1 = (1 << _TOTAL) - b2
-        b1 *= self.share1.take(self.lane4 + c1, mode="clip")
-        b1 >>= 16
-        b1 += b2
-        return q2, q1, c2, c1, b2, b1
-
-    def lead(self, x: np.ndarray, i1: np.ndarray, v1: np.ndarray, i2: np.ndarray, v2: np.ndarray, check: np.ndarray, fits: np.ndarray) -> None:
+        c1 = (v1 & 3).astype(np.uint8)
+        c1 *= (q1 != q2) | (c2 == 0)
+        at2 = self.lane4 + c2
+        at = at2 * 4
+        at += c1
+        return q2, q1, c2, c1, self.end2.take(at2, mode="clip"), self.end1.take(at, mode="clip"), self.unit.take(at, mode="clip")
+
+    def lead(self, x: np.ndarray, i1: np.ndarray, v1: np.ndarray, i2: np.ndarray, v2: np.ndarray, check: np.ndarray) -> None:
         """Learns who leads: a leader that has come again gains, another that came makes it lose, and takes its place at a lead of 1."""
-        new = (x << 2) + 1
-        same = (v1 ^ new) < 4
-        to = np.where(same, np.minimum(v1 + 1, new + 2), v1 - 1)
-        np.copyto(to, new, where=((v1 & 2) == 0) & ~same)
-        self.t1[i1] = to
-        new = check << 14 | new
-        same = (v2 ^ new) < 4
-        to = np.where(same, np.minimum(v2 + 1, new + 2), v2 - 1)
-        np.copyto(to, new, where=(((v2 & 2) == 0) | ~fits) & ~same)
-        self.t2[i2] = to
+        new = x << 2
+        new += 1
+        self.t1[i1] = _led(v1, new)
+        wide = check << 14
+        wide |= new
+        self.t2[i2] = _led(v2, wide)
 
     def count(self, x: np.ndarray, c2: np.ndarray, hit2: np.ndarray, c1: np.ndarray, hit1: np.ndarray) -> None:
         """Learns a step's ids (one row for each of STEP) and which leads have held."""
         size = 4 * self.n
         group = x // GROUP
-        place = x - group * GROUP
+        place = (x - group * GROUP).astype(np.int64)
         new = self.old.view(self.lines.dtype)[:, 0]
         for g, s in zip(group + self.row, place, strict=True):
             self.sums.take(g, 0, out=self.old, mode="clip")
             _ADD.take(s, 0, out=self.add, mode="clip")
             self.old += self.add
             self.lines[g] = new
-        group *= self.n
-        group += self.lane
-        more = (np.bincount(group.ravel(), minlength=self.groups * self.n) * GAIN).astype(np.uint16).reshape(self.groups, self.n)
+        more = (np.bincount((group * self.n + self.lane).ravel(), minlength=self.groups * self.n) * GAIN).astype(np.uint16).reshape(self.groups, self.n)
         run = np.zeros(self.n, np.uint16)
         for m, b in zip(more, self.before[1:], strict=True):
             run += m
@@ -203,19 +216,23 @@ class _Model:
 class _Writer:
     def __init__(self, n: int, words: int) -> None:
         self.low, self.range = np.zeros(n, np.int64), np.full(n, 1 << _LOW)
-        self.out, self.at = np.zeros((n, words), np.int32), np.zeros(n, np.int64)
+        self.out, self.begin = np.zeros((n, words), np.int32), np.arange(n) * words
+        self.at = self.begin.copy()
 
     def room(self, words: int) -> None:
         """Makes sure that each block has place for so many more words."""
-        most = int(self.at.max()) + words
+        most = int((self.at - self.begin).max()) + words
         if most > self.out.shape[1]:
             self.out = np.concatenate((self.out, np.zeros((len(self.out), max(128, most - self.out.shape[1])), np.int32)), 1)
-        self.flat, self.begin = self.out.reshape(-1), np.arange(len(self.out)) * self.out.shape[1]
+            self.at -= self.begin
+            self.begin = np.arange(len(self.out)) * self.out.shape[1]
+            self.at += self.begin
+        self.flat = self.out.reshape(-1)
 
     def code(self, start: np.ndarray, width: np.ndarray, r: np.ndarray, k: np.ndarray | slice) -> None:
         """Codes [start, start + width) in units of ``r`` on the blocks k, which are different ones: two words each at most."""
-        low, at = self.low[k] + start * r, self.begin[k] + self.at[k]
-        range_ = width * r
+        low, at, range_ = self.low[k], self.at[k], width * r  # of a slice, low and at are views
+        low += start * r
         over = (low > _MASK).nonzero()[0]
         if over.size:  # words may pass 16 bits; carries run left at the end
             self.flat[at[over] - 1] += 1
@@ -231,21 +248,23 @@ class _Writer:
             low <<= shift
             low &= _MASK
             range_ <<= shift
-        self.low[k], self.range[k], self.at[k] = low, range_, at - self.begin[k]
+        self.range[k] = range_
+        if not isinstance(k, slice):
+            self.low[k], self.at[k] = low, at
 
     def close(self) -> list[bytes]:
         self.room(_LOW // 16 + 1)
         for shift in range(_LOW - 16, -1, -16):
-            self.flat[self.begin + self.at] = self.low >> shift & 0xFFFF
+            self.flat[self.at] = self.low >> shift & 0xFFFF
             self.at += 1
-        self.flat[self.begin + self.at] = 0
+        self.flat[self.at] = 0
         out = self.out
         over = out >> 16
         while over.any():
             out &= 0xFFFF
             out[:, :-1] += over[:, 1:]
             over = out >> 16
-        return [row[:n].astype("<u2").tobytes() for row, n in zip(out, self.at.tolist(), strict=True)]
+        return [row[:n].astype("<u2").tobytes() for row, n in zip(out, (self.at - self.begin).tolist(), strict=True)]
 
 
 class _Reader:
@@ -264,8 +283,8 @@ class _Reader:
             self.at += 1
 
     def take(self, start: np.ndarray, width: np.ndarray, r: np.ndarray, k: np.ndarray | slice) -> None:
-        value, at = self.value[k] - start * r, self.at[k]
-        range_ = width * r
+        value, at, range_ = self.value[k], self.at[k], width * r  # of a slice, value and at are views
+        value -= start * r
         while True:
             small = range_ < 1 << _LEAST
             if not small.any():
@@ -274,8 +293,10 @@ class _Reader:
             value <<= shift
             value |= self.words.take(at, mode="clip") * small
             range_ <<= shift
-            at = at + small
-        self.value[k], self.range[k], self.at[k] = value, range_, at
+            at += small
+        self.range[k] = range_
+        if not isinstance(k, slice):
+            self.value[k], self.at[k] = value, at
 
 
 def _padded(n: int) -> int:
@@ -310,7 +331,7 @@ def _encode(ids: np.ndarray, table: Table, block: int) -> list[tuple[int, int, b
     steps[-1, : len(ids) - whole] = places[whole:]
     del places
     model, out = _Model(table, n), _Writer(n, block // 2 + 64)
-    x1, x2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    x1, x2 = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
     k = slice(0, n)
     for t in range(0, full if n > 1 else last, STEP):
         if t == last and n > 1:
@@ -318,29 +339,25 @@ def _encode(ids: np.ndarray, table: Table, block: int) -> list[tuple[int, int, b
             k, x1, x2 = slice(0, n - 1), x1[:-1], x2[:-1]
         out.room(4 * STEP)
         place = np.ascontiguousarray(steps[k, t : t + STEP].T)
-        x = np.minimum(place, table.own).astype(np.int64)
+        x = np.minimum(place, table.own).astype(np.uint32)
         past1 = np.concatenate((x1[None], x[:-1]))
         past2 = np.concatenate((x2[None], past1[:-1]))
         i1 = model.lane1 + past1
-        pair = model.pair(past2, past1)
-        i2, check = model.lane2 + (pair >> _CHECK_BITS), (pair & (1 << _CHECK_BITS) - 1).astype(np.uint32)
-        v1, v2, fits = np.empty(x.shape, np.uint16), np.empty(x.shape, np.uint32), np.empty(x.shape, bool)
+        i2, check = model.pair(past2, past1)
+        v1, v2 = np.empty(x.shape, np.uint16), np.empty(x.shape, np.uint32)
         narrow = x.astype(np.uint16)
         for j in range(STEP):
             model.t1.take(i1[j], out=v1[j], mode="clip")
             model.t2.take(i2[j], out=v2[j], mode="clip")
-            np.equal(v2[j] >> 14, check[j], out=fits[j])
-            model.lead(narrow[j], i1[j], v1[j], i2[j], v2[j], check[j], fits[j])
-        q2, q1, c2, c1, b2, b1 = model.weights(v1, v2, fits)
+            v2[j] *= v2[j] >> 14 == check[j]
+            model.lead(narrow[j], i1[j], v1[j], i2[j], v2[j], check[j])
+        q2, q1, c2, c1, b2, b1, unit = model.weights(v1, v2)
         hit2 = (q2 == narrow) & (c2 > 0)
         hit1 = (q1 == narrow) & (c1 > 0) & ~hit2
         group = x // GROUP
-        at = (model.row + group) * (GROUP + 1) + (x - group * GROUP)
+        at = model.row * (GROUP + 1) + (x + group)  # a row has one number more than ranks
         flat = model.sums.reshape(-1)
-        group *= model.n
-        group += model.lane
-        before = model.before.reshape(-1).take(group, mode="clip")
-        unit = _quotient(((1 << _TOTAL) - b1) << 16, model.total)
+        before = model.before.reshape(-1).take(group * model.n + model.lane, mode="clip")
         start = (before + flat.take(at, mode="clip")) * unit
         start >>= 16
         start += b1
@@ -389,7 +406,7 @@ def _decode(blocks: list[tuple[int, int, bytes]], table: Table) -> np.ndarray:
     sizes = np.array([_padded(n) for n, _, _ in blocks])
     model, source = _Model(table, len(blocks)), _Reader([code for _, _, code in blocks])
     got = np.zeros((len(blocks), int(sizes[0])), np.int32)
-    x1, x2 = np.zeros(len(blocks), np.int64), np.zeros(len(blocks), np.int64)
+    x1, x2 = np.zeros(len(blocks), np.uint32), np.zeros(len(blocks), np.uint32)
     live = 0
     for t in range(0, int(sizes[0]), STEP):
         now = int(np.searchsorted(-sizes, -t, "left"))  # blocks with more than t ids
@@ -402,21 +419,19 @@ def _decode(blocks: list[tuple[int, int, bytes]], table: Table) -> np.ndarray:
             words = below.view(np.uint64)
         k = slice(0, live)
         shape = (STEP, live)
-        x, c2, c1 = np.empty(shape, np.int64), np.empty(shape, np.uint8), np.empty(shape, np.uint8)
+        x, c2, c1 = np.empty(shape, np.uint32), np.empty(shape, np.uint8), np.empty(shape, np.uint8)
         hit2, hit1, place = np.empty(shape, bool), np.empty(shape, bool), np.empty(shape, np.int32)
         upper = model.before[1:]
         for j in range(STEP):
             i1 = model.lane1 + x1
-            pair = model.pair(x2, x1)
-            i2, check = model.lane2 + (pair >> _CHECK_BITS), (pair & (1 << _CHECK_BITS) - 1).astype(np.uint32)
+            i2, check = model.pair(x2, x1)
             v1, v2 = model.t1.take(i1, mode="clip"), model.t2.take(i2, mode="clip")
-            fits = v2 >> 14 == check
-            q2, q1, c2[j], c1[j], b2, b1 = model.weights(v1, v2, fits)
+            v2 *= v2 >> 14 == check
+            q2, q1, c2[j], c1[j], b2, b1, unit = model.weights(v1, v2)
             r = source.range[k] >> _TOTAL
             v = np.minimum(_quotient(source.value[k], r), (1 << _TOTAL) - 1)
             is2 = np.less(v, b2, out=hit2[j])
             is1 = np.greater(v < b1, is2, out=hit1[j])
-            unit = _quotient(((1 << _TOTAL) - b1) << 16, model.total)
             v -= b1
             np.maximum(v, 0, out=v)
             v += 1
@@ -451,10 +466,11 @@ def _decode(blocks: list[tuple[int, int, bytes]], table: Table) -> np.ndarray:
             end -= start
             source.take(start, end, r, k)
             group *= GROUP
-            own = np.add(group, s, out=x[j])
+            s += group
+            own = s.astype(np.uint16)
             np.copyto(own, q1, where=is1)
             np.copyto(own, q2, where=is2)
-            place[j] = own
+            x[j] = place[j] = own
             if len(table.rare) > 1:
                 few = np.flatnonzero(own == DENSE - 1)
                 if few.size:
@@ -463,8 +479,8 @@ def _decode(blocks: list[tuple[int, int, bytes]], table: Table) -> np.ndarray:
                     p = np.searchsorted(table.rare, v, "right") - 1
                     source.take(table.rare[p], table.rare[p + 1] - table.rare[p], r, few)
                     place[j, few] = table.own + p
-            model.lead(own.astype(np.uint16), i1, v1, i2, v2, check, fits)
-            x1, x2 = own, x1
+            model.lead(own, i1, v1, i2, v2, check)
+            x1, x2 = x[j], x1
         model.count(x, c2, hit2, c1, hit1)
         got[k, t : t + STEP] = place.T
     return got
