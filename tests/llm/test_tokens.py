@@ -95,6 +95,7 @@ def test_lanes_do_not_show_in_the_code(monkeypatch):
     table = idcoder.Table.of(a)
     whole = idcoder.encode(a, table, 256)
     monkeypatch.setattr(idcoder, "LANES", 7)
+    monkeypatch.setattr(idcoder, "READ_LANES", 5)
     assert idcoder.encode(a, table, 256) == whole
     assert (np.concatenate(idcoder.decode(whole, table)) == a).all()
 

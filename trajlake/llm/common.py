@@ -78,7 +78,6 @@ def lean(f: Callable) -> Callable:
         try:
             yield from f(batches)
         finally:
-            gc.collect()
             give_back()
 
     return run
@@ -86,6 +85,7 @@ def lean(f: Callable) -> Callable:
 
 def give_back() -> None:
     """Returns what allocators keep for themselves to the system."""
+    gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # only glibc has it
         ctypes.CDLL(None).malloc_trim(0)

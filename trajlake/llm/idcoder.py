@@ -10,7 +10,7 @@ beyond ``DENSE`` share one rank and are told apart by their counts. Each block p
 How often a lead of each size has held is counted by block, orders 1 and 2 apart, and these shares are the weights that mix the three into one
 distribution for each id: w2 on order 2's leader, w1 on order 1's, and the rest over all ranks by order 0's counts. A range coder codes the id's
 interval. Every id is learnt: leaders at once, counts and shares after every ``STEP`` ids by all of them. Blocks share no state but the
-table, so NumPy works on up to ``LANES`` blocks in step, and any block can be decoded alone. What ``LANES`` is doesn't show in the code.
+table, so NumPy works on up to ``LANES`` blocks in step (``READ_LANES`` when decoding), and any block can be decoded alone. How many doesn't show in the code.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ import numpy as np
 
 #: Ids in a block, and between two updates of its counts; most ids in a block, so that sums of counts stay below 2^16.
 BLOCK, STEP, MOST = 2048, 32, 4096
-#: Most blocks that are coded side by side, of up to 25 KB of state each: 50 MB, however large the file.
-LANES = 2048
+#: Most blocks that are encoded side by side, of up to 25 KB of state each, and decoded, when a worker holds no texts: 25 and 50 MB, however large the file.
+LANES, READ_LANES = 1024, 2048
 #: Ranks of a group, which a row of 32 sums stands for; most ranks of their own.
 GROUP = 31
 DENSE = 4000
@@ -391,7 +391,7 @@ def decode(blocks: list[tuple[int, int, bytes]], table: Table) -> list[np.ndarra
     order = sorted(range(len(blocks)), key=lambda b: -blocks[b][0])
     out: list[np.ndarray] = [None] * len(blocks)  # type: ignore[list-item]
     values = table.ids.astype("<u4")
-    for part in np.array_split(np.arange(len(blocks)), -(-len(blocks) // LANES)) if blocks else []:
+    for part in np.array_split(np.arange(len(blocks)), -(-len(blocks) // READ_LANES)) if blocks else []:
         own = order[part[0] : part[-1] + 1]
         for b, places in zip(own, _decode([blocks[b] for b in own], table), strict=True):
             ids = values[np.minimum(places[: blocks[b][0]], len(values) - 1)]
