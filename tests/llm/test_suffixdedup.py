@@ -76,6 +76,29 @@ def test_passages_in_several_documents_against_brute_force(spark, hot):
     assert [r["n"] for r in got] == want and sum(want) > 20
 
 
+def test_texts_are_read_and_handed_over_in_small_batches(spark, monkeypatch):
+    import pyarrow as pa
+
+    keys = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before, own, limits, sizes = [spark.conf.get(k) for k in keys], S.stage, {}, []
+
+    def measured(df, what):
+        limits[what] = [spark.conf.get(k) for k in keys]
+        if what == "anchors":  # as many texts as would be one batch of 32 MB
+            texts = spark.range(0, 8000, 1, 1).selectExpr("repeat('0123', 1000) AS text")
+            count = lambda batches: (pa.RecordBatch.from_pydict({"n": pa.array([b.nbytes], pa.int64())}) for b in batches)
+            sizes.extend(r["n"] for r in texts.mapInArrow(count, "n long").collect())
+        return own(df, what)
+
+    monkeypatch.setattr(S, "stage", measured)
+    t = texts(4)
+    got = S.remove_repeats(spark.createDataFrame(list(enumerate(t)), "doc_id long, text string"), length=60, gram=12).orderBy("doc_id").collect()
+    assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got] == brute(t, 60)
+    assert {"anchors", "texts", "cold", "blocks", "windows", "cut"} <= set(limits) and set(map(tuple, limits.values())) == {("2m", "512")}
+    assert sum(sizes) >= 2 * 32e6 and max(sizes) < 3e6
+    assert [spark.conf.get(k) for k in keys] == before
+
+
 def test_empty_null_keys_and_repeated_rows(spark):
     schema = "doc_id long, text string"
     assert S.remove_repeats(spark.createDataFrame([], schema)).count() == 0

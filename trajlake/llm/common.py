@@ -70,6 +70,23 @@ def publish(uri: str, name: str, data: bytes) -> str:
     return f"{uri}/{name}"
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is written meanwhile reads and hands texts to Python in batches of about 2 MB and 512 rows, not of 10,000 rows: an executor holds several copies of each."""
+    limits = {"spark.sql.execution.arrow.maxBytesPerBatch": "2m", "spark.sql.parquet.columnarReaderBatchSize": "512"}
+    before = {k: spark.conf.get(k, None) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def lean(f: Callable) -> Callable:
     """A function for mapInArrow that gives its memory back when a task ends. Workers are used again by later stages, and what allocators
     keep for themselves would add up over a pipeline."""

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.llm.common import U64, fan_out, key_filter, lean, mix64, rows_of, split_by, stage
+from trajlake.llm.common import U64, fan_out, key_filter, lean, mix64, rows_of, small_batches, split_by, stage
 from trajlake.llm.shingles import word_hashes
 
 LENGTH, GRAM = 400, 64
@@ -280,6 +280,12 @@ def words_of(text: str) -> np.ndarray:
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, symbols: Callable[[str], np.ndarray] = utf8, across: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``_windows``, whose tables are written with small batches."""
+    with small_batches(docs.sparkSession):
+        return _windows(docs, length, gram, hot, symbols, across)
+
+
+def _windows(docs: DataFrame, length: int, gram: int, hot: int, symbols: Callable[[str], np.ndarray], across: bool) -> tuple[DataFrame, DataFrame]:
     """From (rid, text), where rid stands for a row and its text: the texts that have an anchor in common with any, and (rid, first, last): runs of
     windows, by their first symbols, that are repeated; with ``across``, in another row."""
     kind = symbols("a").dtype
@@ -472,7 +478,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                     column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["rid", "n_removed", "n_spans", "kept"])
 
-    done = each.mapInArrow(lean(cut), "rid long, n_removed long, n_spans long, kept string")
+    with small_batches(docs.sparkSession):
+        done = stage(each.mapInArrow(lean(cut), "rid long, n_removed long, n_spans long, kept string"), "cut")
     narrow = rows.select("doc_id", "rid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     passages = shared_passages(docs, key, text, hot=hot)
