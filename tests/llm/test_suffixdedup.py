@@ -94,7 +94,7 @@ def test_texts_are_read_and_handed_over_in_small_batches(spark, monkeypatch):
     t = texts(4)
     got = S.remove_repeats(spark.createDataFrame(list(enumerate(t)), "doc_id long, text string"), length=60, gram=12).orderBy("doc_id").collect()
     assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got] == brute(t, 60)
-    assert {"anchors", "texts", "cold", "blocks", "windows", "cut"} <= set(limits) and set(map(tuple, limits.values())) == {("2m", "512")}
+    assert {"anchors", "texts", "cold", "blocks", "windows", "cut"} <= set(limits) and set(map(tuple, limits.values())) == {(str(1 << 21), "512")}
     assert sum(sizes) >= 2 * 32e6 and max(sizes) < 3e6
     assert [spark.conf.get(k) for k in keys] == before
 

@@ -153,6 +153,29 @@ def test_files_in_key_order(spark):
     assert idfiles.read_ids(idfiles.write_ids(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text", PATH, 2)).count() == 0
 
 
+def test_texts_come_in_batches_of_a_slice(spark, monkeypatch):
+    key, own, seen = "spark.sql.execution.arrow.maxBytesPerBatch", idfiles.stage, []
+    before = spark.conf.get(key)
+    monkeypatch.setattr(idfiles, "stage", lambda df, what: seen.append(spark.conf.get(key)) or own(df, what))
+    docs = spark.createDataFrame([(1, "one"), (2, "two words")], "doc_id long, text string")
+    assert idfiles.read_ids(idfiles.write_ids(docs, "doc_id", "text", PATH, 2)).count() == 2
+    assert seen == [str(tokens.SLICE)] and spark.conf.get(key) == before
+
+
+def test_words_reach_the_library_at_the_byte_level():
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    letters = [chr(c) for c in range(0x61, 0x250) if chr(c).isalpha() and chr(c).islower()]
+    level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    word = "".join(letters)
+    assert word.encode().decode("latin-1").translate(tokens._LEVEL) == level.pre_tokenize_str(word)[0][0]
+    coder, library = tokens.ChunkEncoder(PATH), Tokenizer.from_file(PATH)
+    words = [a + b for a in letters[::7] for b in letters]
+    ids, size = coder._of_words(words)
+    want = [e.ids for e in library.encode_batch(words, add_special_tokens=False)]
+    assert ids.tolist() == sum(want, []) and size.tolist() == list(map(len, want))
+
+
 def test_damaged_files_are_refused():
     data = bytearray(idfiles.pack([1, None], [2, 1], np.array([5, 6, 7], "<u4")))
     keys, counts, ids = idfiles.unpack(bytes(data))

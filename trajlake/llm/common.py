@@ -71,9 +71,9 @@ def publish(uri: str, name: str, data: bytes) -> str:
 
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """What is written meanwhile reads and hands texts to Python in batches of about 2 MB and 512 rows, not of 10,000 rows: an executor holds several copies of each."""
-    limits = {"spark.sql.execution.arrow.maxBytesPerBatch": "2m", "spark.sql.parquet.columnarReaderBatchSize": "512"}
+def small_batches(spark: SparkSession, size: int = 1 << 21) -> Iterator[None]:
+    """What is written meanwhile reads texts by 512 rows and hands them to Python in batches of about ``size`` bytes, not of 10,000 rows: an executor holds several copies of each."""
+    limits = {"spark.sql.execution.arrow.maxBytesPerBatch": str(size), "spark.sql.parquet.columnarReaderBatchSize": "512"}
     before = {k: spark.conf.get(k, None) for k in limits}
     try:
         for k, v in limits.items():

@@ -22,8 +22,9 @@ import numpy as np
 
 #: Ids in a block, and between two updates of its counts; most ids in a block, so that sums of counts stay below 2^16.
 BLOCK, STEP, MOST = 2048, 32, 4096
-#: Most blocks that are encoded side by side, of up to 25 KB of state each, and decoded, when a worker holds no texts: 25 and 50 MB, however large the file.
-LANES, READ_LANES = 1024, 2048
+#: Most blocks that are encoded side by side, of up to 25 KB of state each, and decoded, when a worker holds no texts: 50 and 77 MB, however large the file.
+#: The more there are, the less a NumPy call costs for each.
+LANES, READ_LANES = 2048, 3072
 #: Ranks of a group, which a row of 32 sums stands for; most ranks of their own.
 GROUP = 31
 DENSE = 4000

@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trajlake.llm import idcoder
-from trajlake.llm.common import fan_out, folder, fresh_folder, give_back, lean, publish, rows_of, stage
-from trajlake.llm.tokens import encoder, slices
+from trajlake.llm.common import fan_out, folder, fresh_folder, give_back, lean, publish, rows_of, small_batches, stage
+from trajlake.llm.tokens import SLICE, encoder, slices
 
 MAGIC = b"TLIDS2\r\n"
-#: Ids of a file, about: a task holds up to twice as many, so that its last files are halves of what is left and none is small.
-FILE_IDS = 3_500_000
+#: Ids of a file, about: a task holds up to twice as many, so that its last files are halves of what is left and none is small. A file's blocks are decoded in one go.
+FILE_IDS = idcoder.READ_LANES * idcoder.BLOCK
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long"
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -105,7 +105,8 @@ def write_ids(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int,
             yield close(len(ids))
 
     ordered = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).repartitionByRange("k").sortWithinPartitions("k", "t")
-    return stage(ordered.mapInArrow(lean(write), MANIFEST), "manifest")
+    with small_batches(spark, SLICE):
+        return stage(ordered.mapInArrow(lean(write), MANIFEST), "manifest")
 
 
 def read_ids(manifest: DataFrame) -> DataFrame:

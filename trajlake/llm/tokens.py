@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces that a worker remembers, about 50 bytes each; bytes of text split at once; words in a library call.
-CACHE, SLICE, CALL = 300_000, 1 << 22, 2_000
+CACHE, SLICE, CALL = 500_000, 1 << 23, 500
 
 #: Outside of this the fast path is not taken: Latin letters to U+024F without the dotted capital I, general punctuation, the euro sign.
 _SURE = "\t\n\x0b\x0c\r -~ -įı-ɏ‐-‧€"
@@ -28,6 +28,9 @@ _SURE = "\t\n\x0b\x0c\r -~ -įı-ɏ‐-‧€"
 _NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 #: Marks that may follow a word in a chunk; none begins an English ending.
 _MARKS = ".,;:!?&#$*)"
+#: The character that stands for each byte at the byte level: itself if it can be seen, else one from U+0100 on; the space parts words.
+_HIDDEN = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or b > 173)]
+_LEVEL = {b: chr(256 + k) for k, b in enumerate(_HIDDEN) if b != 32}
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
@@ -84,7 +87,7 @@ class ChunkEncoder:
             special = [re.escape(x["content"]) for x in form.get("added_tokens") or []]
             self._unsure = "|".join([f"[^{_SURE}]", *special])
             self._words = Tokenizer(self._library.model)  # which both share
-            self._words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            self._words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
             vocab = self._words.get_vocab()
             self._ends = np.zeros(max(vocab.values()) + 1, bool)
             self._ends[[i for s, i in vocab.items() if s.endswith("</w>")]] = True
@@ -93,8 +96,11 @@ class ChunkEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words of lower-case letters in a row, and how many each has: many in one call; each ends with the one id that ends a word."""
-        ids = np.array(self._words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        """Ids of words of lower-case letters in a row, and how many each has: many in one call, at the byte level; each ends with the one id that ends a word."""
+        line = " ".join(words)
+        if not line.isascii():
+            line = line.encode().decode("latin-1").translate(_LEVEL)
+        ids = np.array(self._words.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self._ends[ids]) + 1
         if len(ends) == len(words):
             return ids, np.diff(ends, prepend=0)
@@ -106,9 +112,9 @@ class ChunkEncoder:
 
     def _learn(self, new: pa.StringArray) -> None:
         """Remembers more pieces, in their order."""
-        words = pc.utf8_is_alpha(new).to_numpy(zero_copy_only=False)
+        words, ascii_ = (f(new).to_numpy(zero_copy_only=False) for f in (pc.utf8_is_alpha, pc.string_is_ascii))
         ids, size, at = [self._ids], np.zeros(len(new), np.int64), []
-        for some, learn, most in ((words, self._of_words, CALL), (~words, self._of_others, len(new))):
+        for some, learn, most in ((words & ascii_, self._of_words, CALL), (words & ~ascii_, self._of_words, CALL), (~words, self._of_others, len(new))):
             own = np.flatnonzero(some)
             names = new.take(pa.array(own)).to_numpy(zero_copy_only=False).tolist()
             for begin in range(0, len(own), most):
