@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trajlake.llm import decontam, idfiles, langid, mixing, neardup
-from trajlake.llm.common import stage
+from trajlake.llm.common import small_batches, stage
 from trajlake.llm.queries import tokenizer_path
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +21,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, 0.8): that with the smallest doc_id."""
-    return neardup.keep_one(docs, width=5, percent=80).select(*docs.columns)
+    with small_batches(spark):  # for the tables that it writes on the way
+        return neardup.keep_one(docs, width=5, percent=80).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

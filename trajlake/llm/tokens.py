@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces that a worker remembers, about 50 bytes each; bytes of text split at once; words in a library call.
-CACHE, SLICE, CALL = 500_000, 1 << 23, 500
+CACHE, SLICE, CALL = 500_000, 1 << 22, 500
 
 #: Outside of this the fast path is not taken: Latin letters to U+024F without the dotted capital I, general punctuation, the euro sign.
 _SURE = "\t\n\x0b\x0c\r -~ -įı-ɏ‐-‧€"
