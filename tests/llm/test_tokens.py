@@ -100,6 +100,19 @@ def test_lanes_do_not_show_in_the_code(monkeypatch):
     assert (np.concatenate(idcoder.decode(whole, table)) == a).all()
 
 
+def test_the_code_of_round_2_is_still_read_and_written():
+    n = np.arange(30_000)
+    a = (n**2 // 7 % 4001 * (n % 3 > 0) + n % 5 * 1100).astype("<u4")
+    blocks = idcoder.encode(a, None, 512)
+    assert zlib.crc32(b"".join(code for _, _, code in blocks)) == 2538298554
+    assert (np.concatenate(idcoder.decode(blocks, idcoder.Table.of(a))) == a).all()
+
+
+def test_rows_of_sums_are_cache_lines():
+    model = idcoder._Model(idcoder.Table.of(np.arange(3000)), 5)
+    assert model.lines.itemsize == 64 and model.lines.ctypes.data % 64 == 0
+
+
 def test_files_are_smaller_than_counts_alone_would_make_them():
     """Whole files of sf0.01 stay below the entropy of their own ids' counts, which no coder without contexts or adaptation can."""
     import pyarrow.parquet as pq
@@ -138,6 +151,30 @@ def test_many_small_mixtures_encode_as_the_library_does():
     parts = [tokens.ChunkEncoder(PATH).encode_batch(s.column("t"))[1] for s in tokens.slices(batch, "t", 1000)]
     assert len(parts) > 1 and np.concatenate(parts).tolist() == [2, 200_000 * len(Tokenizer.from_file(PATH).encode("Straße don't, ").ids), 0, 1]
 
+def test_words_known_are_looked_through_once_for_several_batches(monkeypatch):
+    import pyarrow as pa
+
+    coder, tables = tokens.ChunkEncoder(PATH), []
+    own = coder._table
+    monkeypatch.setattr(coder, "_table", lambda chunks: tables.append(len(chunks)) or own(chunks))
+    batches = [pa.array(x, pa.string()) for x in (TEXTS, [], ["the end"], [None, "", "日本語"], TEXTS[::-1], ["<|endoftext|>"])]
+    got = list(coder.encode_splits([coder.split(b) for b in batches]))
+    assert len(tables) == 1
+    for b, (ids, size) in zip(batches, got, strict=True):
+        want = coder.whole([t or "" for t in b.to_pylist()])
+        assert ids.tobytes() == b"".join(want) and size.tolist() == [len(w) >> 2 for w in want]
+
+
+@pytest.mark.parametrize("path", [PATH, tokenizer_path("byte_bpe_50k.json")])
+def test_groups_of_slices_do_not_show_in_the_files(spark, monkeypatch, path):
+    rows = [(i, "Some wörds, and " * (i % 9) + f"{i} 日本" * (i % 4 == 0)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    want = idfiles.read_ids(idfiles.write_ids(docs, "doc_id", "text", path, 2, file_ids=700)).orderBy("start").collect()
+    monkeypatch.setattr(idfiles, "SLICE", 64)  # batches and groups of a few texts
+    got = idfiles.read_ids(idfiles.write_ids(docs, "doc_id", "text", path, 2, file_ids=700)).orderBy("start").collect()
+    assert got == want and len(got) == 200
+
+
 def test_files_in_key_order(spark):
     rows = [(i * 7 % 50, f"text number {i} " * (i % 5), 0) for i in range(50)] + [(None, "no key", 1), (3, "again", 2), (99, None, 3)]
     manifest = idfiles.write_ids(spark.createDataFrame(rows, "doc_id long, text string, part int"), "doc_id", "text", PATH, 2, file_ids=60, block=16)

@@ -22,9 +22,9 @@ import numpy as np
 
 #: Ids in a block, and between two updates of its counts; most ids in a block, so that sums of counts stay below 2^16.
 BLOCK, STEP, MOST = 2048, 32, 4096
-#: Most blocks that are encoded side by side, of up to 25 KB of state each, and decoded, when a worker holds no texts: 50 and 77 MB, however large the file.
+#: Most blocks that are encoded side by side, of up to 25 KB of state each, and decoded, when a worker holds no texts: 50 and 90 MB, however large the file.
 #: The more there are, the less a NumPy call costs for each.
-LANES, READ_LANES = 2048, 3072
+LANES, READ_LANES = 2048, 3584
 #: Ranks of a group, which a row of 32 sums stands for; most ranks of their own.
 GROUP = 31
 DENSE = 4000
@@ -39,6 +39,14 @@ _SLOTS, _CHECK_BITS = 1 << _SLOT_BITS, 24 - _SLOT_BITS
 #: Where the shares of leads 1 to 3 that hold start: hits of 32 tries, for orders 1 and 2; the largest share, as 1 / (1 - share).
 _START1, _START2, _TRIES = np.array([0, 2, 10, 26]), np.array([0, 3, 20, 30]), np.array([1, 32, 32, 32])
 _MOST1, _MOST2 = 16, 64
+#: Numbers as arrays: on a few thousand blocks a NumPy call takes half as long again if it must convert a Python number.
+_U1, _U2, _U3, _U4 = (np.array(i, np.uint16) for i in (1, 2, 3, 4))
+_PAIR, _SCRAMBLE, _BITS, _CHECK, _SHIFT, _WIDE, _MATCH = (np.array(i, np.uint32) for i in (12, _ODD, 0xFFFFFF, (1 << _CHECK_BITS) - 1, _CHECK_BITS, 14, 1 << 14))
+_TOTAL_, _LEAST_, _FULL, _MASK_, _16 = (np.array(i) for i in (_TOTAL, _LEAST, 1 << _LEAST, _MASK, 16))
+_NONE, _ONE, _MOST_V = (np.array(i) for i in (0, 1, (1 << _TOTAL) - 1))
+_BYTE16, _GAIN = np.array(16, np.uint8), np.array(GAIN, np.uint16)
+#: Bytes of a cache line, and numbers by which rows of a power of two are longer, or all would lie in the same few cache lines.
+_LINE, _PAD = 64, 16
 
 
 @dataclass
@@ -103,24 +111,35 @@ def _quotient(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a / b).astype(np.int64)
 
 
-def _led(v: np.ndarray, new: np.ndarray) -> np.ndarray:
-    """Leaders and leads ``v`` after ranks came that would lead by 1 as ``new``."""
-    lead = v & 3
-    same = (v ^ new) < 4
-    to = np.minimum(lead, 2)
+def _led(v: np.ndarray, lead: np.ndarray, same: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Leaders and leads ``v`` after ranks came that would lead by 1 as ``new``; their leads, and where the leaders came."""
+    to = np.minimum(lead, _U2)
     to *= same
     to += new
-    np.copyto(to, v - 1, where=(lead > 1) > same)
+    np.putmask(to, (lead > _U1) > same, v - _U1)
     return to
 
 
+def _lines(rows: np.ndarray, n: int) -> np.ndarray:
+    """``n`` copies of some rows, from the begin of a cache line on: a row is one line then, not parts of two."""
+    raw = np.empty(n * rows.nbytes + _LINE, np.uint8)
+    at = -raw.ctypes.data % _LINE
+    out = raw[at : at + n * rows.nbytes].view(rows.dtype).reshape(n, *rows.shape)
+    out[:] = rows
+    return out.reshape(-1, rows.shape[-1])
+
+
+def _any(x: np.ndarray) -> bool:
+    return b"\1" in x.tobytes()  # a third of what any() takes
+
+
 class _Model:
     """What ``n`` blocks have learnt."""
 
     def __init__(self, table: Table, n: int) -> None:
         self.table, self.groups = table, table.groups
         self.ranks = self.groups * GROUP
-        self.sums = np.tile(table.start.reshape(-1), n).reshape(n * self.groups, GROUP + 1)
+        self.sums = _lines(table.start, n)
         self.lines = self.sums.view(f"V{2 * GROUP + 2}")[:, 0]
         self.before = np.tile(np.concatenate(([0], np.cumsum(table.start[:, GROUP]))).astype(np.uint16)[:, None], n)
         self.total = table.total
@@ -134,51 +153,57 @@ class _Model:
         """From now on the first ``n`` blocks alone."""
         self.n = n
         self.lane = np.arange(n)
-        self.lane1, self.lane2, self.lane4, self.row = (self.lane * w for w in (self.ranks, _SLOTS, 4, self.groups))
+        self.lane1, self.lane4, self.lane16, self.row = (self.lane * w for w in (self.ranks, 4, 16, self.groups))
+        self.lane2 = (self.lane * _SLOTS).astype(np.uint32)
         self.before = np.ascontiguousarray(self.before[:, :n])
         self.old, self.add = np.empty((2, n, GROUP + 1), np.uint16)
         self.refresh()
 
     def refresh(self) -> None:
-        """Weights, from counts: for each block and each lead of orders 2 and 1, where their intervals end and what one of order 0's counts is worth."""
+        """Weights, from counts: for each block and leads of orders 2 and 1, where their intervals end and what one of order 0's counts is worth."""
         n = 4 * self.n
         share2 = np.minimum((self.hits2[:n] << _TOTAL) // self.tries2[:n], (1 << _TOTAL) - (1 << _TOTAL) // _MOST2).reshape(-1, 4, 1)
         share1 = np.minimum((self.hits1[:n] << 16) // self.tries1[:n], (1 << 16) - (1 << 16) // _MOST1).reshape(-1, 1, 4)
         end1 = ((1 << _TOTAL) - share2) * share1
         end1 >>= 16
         end1 += share2
-        self.end2, self.end1 = share2.ravel(), end1.ravel()
+        self.end2, self.end1 = np.repeat(share2, 4), end1.ravel()
         self.unit = _quotient(((1 << _TOTAL) - self.end1) << 16, self.total)
 
     def pair(self, x2: np.ndarray, x1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """24 bits of a pair of ranks (32-bit numbers): a slot of order 2 and what tells the pair from others in it."""
-        pair = x2 << 12
+        """24 bits of a pair of ranks (32-bit numbers): a slot of order 2 and, above 14 bits, what tells the pair from others in it."""
+        pair = x2 << _PAIR
         pair |= x1
-        pair *= _ODD
-        pair &= 0xFFFFFF
-        return self.lane2 + (pair >> _CHECK_BITS), pair & (1 << _CHECK_BITS) - 1
-
-    def weights(self, v1: np.ndarray, v2: np.ndarray) -> tuple[np.ndarray, ...]:
-        """q2, q1, lead 2, lead 1, end of order 2's interval, end of order 1's, order 0's unit. v2 is 0 where the slot holds another pair."""
-        low = v2.astype(np.uint16)
-        q1, q2 = v1 >> 2, low >> 2 & 0xFFF
-        c2 = (low & 3).astype(np.uint8)
+        pair *= _SCRAMBLE
+        pair &= _BITS
+        check = pair & _CHECK
+        check <<= _WIDE
+        pair >>= _SHIFT
+        pair += self.lane2
+        return pair.astype(np.int64), check
+
+    def leaders(self, i1: np.ndarray, i2: np.ndarray, check: np.ndarray, v: np.ndarray) -> None:
+        """Leaders and leads of orders 1 and 2 into ``v``, 0 where the slot holds another pair."""
+        self.t1.take(i1, out=v[0], mode="clip")
+        wide = self.t2.take(i2, mode="clip")
+        wide ^= check
+        np.multiply(wide.astype(np.uint16), wide < _MATCH, out=v[1])
+
+    def weights(self, v: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Lead 2, lead 1, end of order 2's interval, end of order 1's, order 0's unit, from leaders and leads of orders 1 and 2."""
+        c1, c2 = lead[0].astype(np.uint8), lead[1].astype(np.uint8)
         # Where both orders lead to one rank, order 1 has nothing to add.
-        c1 = (v1 & 3).astype(np.uint8)
-        c1 *= (q1 != q2) | (c2 == 0)
-        at2 = self.lane4 + c2
-        at = at2 * 4
+        c1 *= ((v[0] ^ v[1]) > _U3) >= c2.astype(bool)
+        at = c2 << 2
         at += c1
-        return q2, q1, c2, c1, self.end2.take(at2, mode="clip"), self.end1.take(at, mode="clip"), self.unit.take(at, mode="clip")
+        at = self.lane16 + at
+        return c2, c1, self.end2.take(at, mode="clip"), self.end1.take(at, mode="clip"), self.unit.take(at, mode="clip")
 
-    def lead(self, x: np.ndarray, i1: np.ndarray, v1: np.ndarray, i2: np.ndarray, v2: np.ndarray, check: np.ndarray) -> None:
+    def lead(self, new: np.ndarray, i1: np.ndarray, i2: np.ndarray, check: np.ndarray, v: np.ndarray, lead: np.ndarray, same: np.ndarray) -> None:
         """Learns who leads: a leader that has come again gains, another that came makes it lose, and takes its place at a lead of 1."""
-        new = x << 2
-        new += 1
-        self.t1[i1] = _led(v1, new)
-        wide = check << 14
-        wide |= new
-        self.t2[i2] = _led(v2, wide)
+        to = _led(v, lead, same, new)
+        self.t1[i1] = to[0]
+        self.t2[i2] = check | to[1]
 
     def count(self, x: np.ndarray, c2: np.ndarray, hit2: np.ndarray, c1: np.ndarray, hit1: np.ndarray) -> None:
         """Learns a step's ids (one row for each of STEP) and which leads have held."""
@@ -186,14 +211,17 @@ class _Model:
         group = x // GROUP
         place = (x - group * GROUP).astype(np.int64)
         new = self.old.view(self.lines.dtype)[:, 0]
-        for g, s in zip(group + self.row, place, strict=True):
+        more = np.zeros(self.groups * self.n, np.uint16)
+        for g, s, at in zip(group + self.row, place, group * self.n + self.lane, strict=True):
             self.sums.take(g, 0, out=self.old, mode="clip")
             _ADD.take(s, 0, out=self.add, mode="clip")
             self.old += self.add
             self.lines[g] = new
-        more = (np.bincount((group * self.n + self.lane).ravel(), minlength=self.groups * self.n) * GAIN).astype(np.uint16).reshape(self.groups, self.n)
+            own = more.take(at, mode="clip")
+            own += _GAIN
+            more[at] = own
         run = np.zeros(self.n, np.uint16)
-        for m, b in zip(more, self.before[1:], strict=True):
+        for m, b in zip(more.reshape(self.groups, self.n), self.before[1:], strict=True):
             run += m
             b += run
         at2, at1 = self.lane4 + c2, self.lane4 + c1
@@ -234,20 +262,20 @@ class _Writer:
         """Codes [start, start + width) in units of ``r`` on the blocks k, which are different ones: two words each at most."""
         low, at, range_ = self.low[k], self.at[k], width * r  # of a slice, low and at are views
         low += start * r
-        over = (low > _MASK).nonzero()[0]
+        over = (low > _MASK_).nonzero()[0]
         if over.size:  # words may pass 16 bits; carries run left at the end
             self.flat[at[over] - 1] += 1
-            low &= _MASK
+            low &= _MASK_
         while True:
-            small = range_ < 1 << _LEAST
-            if not small.any():
+            small = range_ < _FULL
+            if not _any(small):
                 break
             # All blocks write the word that would go out next; where none goes out, it will be written over.
-            self.flat[at] = low >> _LEAST
+            self.flat[at] = low >> _LEAST_
             at += small
-            shift = small.view(np.uint8) * np.uint8(16)
+            shift = small.view(np.uint8) * _BYTE16
             low <<= shift
-            low &= _MASK
+            low &= _MASK_
             range_ <<= shift
         self.range[k] = range_
         if not isinstance(k, slice):
@@ -287,10 +315,10 @@ class _Reader:
         value, at, range_ = self.value[k], self.at[k], width * r  # of a slice, value and at are views
         value -= start * r
         while True:
-            small = range_ < 1 << _LEAST
-            if not small.any():
+            small = range_ < _FULL
+            if not _any(small):
                 break
-            shift = small.view(np.uint8) * np.uint8(16)
+            shift = small.view(np.uint8) * _BYTE16
             value <<= shift
             value |= self.words.take(at, mode="clip") * small
             range_ <<= shift
@@ -326,7 +354,7 @@ def _encode(ids: np.ndarray, table: Table, block: int) -> list[tuple[int, int, b
     places = table.places(ids)
     full = _padded(block)
     last = _padded(len(ids) - (n - 1) * block)
-    steps = np.zeros((n, full), np.int32)
+    steps = np.zeros((n, full + _PAD), np.int32)
     whole = (n - 1) * block
     steps[:-1, :block] = places[:whole].reshape(n - 1, block)
     steps[-1, : len(ids) - whole] = places[whole:]
@@ -345,35 +373,38 @@ def _encode(ids: np.ndarray, table: Table, block: int) -> list[tuple[int, int, b
         past2 = np.concatenate((x2[None], past1[:-1]))
         i1 = model.lane1 + past1
         i2, check = model.pair(past2, past1)
-        v1, v2 = np.empty(x.shape, np.uint16), np.empty(x.shape, np.uint32)
-        narrow = x.astype(np.uint16)
+        new = x.astype(np.uint16)
+        new <<= _U2
+        new += _U1
+        v, lead = np.empty((2, STEP, 2, model.n), np.uint16)
+        same = np.empty(v.shape, bool)
         for j in range(STEP):
-            model.t1.take(i1[j], out=v1[j], mode="clip")
-            model.t2.take(i2[j], out=v2[j], mode="clip")
-            v2[j] *= v2[j] >> 14 == check[j]
-            model.lead(narrow[j], i1[j], v1[j], i2[j], v2[j], check[j])
-        q2, q1, c2, c1, b2, b1, unit = model.weights(v1, v2)
-        hit2 = (q2 == narrow) & (c2 > 0)
-        hit1 = (q1 == narrow) & (c1 > 0) & ~hit2
+            model.leaders(i1[j], i2[j], check[j], v[j])
+            np.bitwise_and(v[j], _U3, out=lead[j])
+            np.less(v[j] ^ new[j], _U4, out=same[j])
+            model.lead(new[j], i1[j], i2[j], check[j], v[j], lead[j], same[j])
+        c2, c1, b2, b1, unit = model.weights(v.swapaxes(0, 1), lead.swapaxes(0, 1))
+        hit2 = same[:, 1] & (c2 > 0)
+        hit1 = same[:, 0] & (c1 > 0) & ~hit2
         group = x // GROUP
         at = model.row * (GROUP + 1) + (x + group)  # a row has one number more than ranks
         flat = model.sums.reshape(-1)
         before = model.before.reshape(-1).take(group * model.n + model.lane, mode="clip")
         start = (before + flat.take(at, mode="clip")) * unit
-        start >>= 16
+        start >>= _16
         start += b1
         at += 1
         end = (before + flat.take(at, mode="clip")) * unit
-        end >>= 16
+        end >>= _16
         end += b1
-        np.copyto(start, b2, where=hit1)
-        np.copyto(start, 0, where=hit2)
-        np.copyto(end, b1, where=hit1)
-        np.copyto(end, b2, where=hit2)
+        np.putmask(start, hit1, b2)
+        start *= ~hit2
+        np.putmask(end, hit1, b1)
+        np.putmask(end, hit2, b2)
         end -= start
         rare = x == DENSE - 1 if len(table.rare) > 1 else None
         for j in range(STEP):
-            out.code(start[j], end[j], out.range[k] >> _TOTAL, k)
+            out.code(start[j], end[j], out.range[k] >> _TOTAL_, k)
             if rare is not None and rare[j].any():
                 own = np.flatnonzero(rare[j])
                 p = place[j, own] - table.own
@@ -406,7 +437,7 @@ def _decode(blocks: list[tuple[int, int, bytes]], table: Table) -> np.ndarray:
     """A row of places in the table for each of some blocks side by side, none longer than the one before."""
     sizes = np.array([_padded(n) for n, _, _ in blocks])
     model, source = _Model(table, len(blocks)), _Reader([code for _, _, code in blocks])
-    got = np.zeros((len(blocks), int(sizes[0])), np.int32)
+    got = np.zeros((len(blocks), int(sizes[0]) + _PAD), np.int32)
     x1, x2 = np.zeros(len(blocks), np.uint32), np.zeros(len(blocks), np.uint32)
     live = 0
     for t in range(0, int(sizes[0]), STEP):
@@ -422,26 +453,27 @@ def _decode(blocks: list[tuple[int, int, bytes]], table: Table) -> np.ndarray:
         shape = (STEP, live)
         x, c2, c1 = np.empty(shape, np.uint32), np.empty(shape, np.uint8), np.empty(shape, np.uint8)
         hit2, hit1, place = np.empty(shape, bool), np.empty(shape, bool), np.empty(shape, np.int32)
-        upper = model.before[1:]
+        upper, leaders = model.before[1:], np.empty((2, live), np.uint16)
+        flat, lower = rows.reshape(-1), model.before.reshape(-1)
         for j in range(STEP):
             i1 = model.lane1 + x1
             i2, check = model.pair(x2, x1)
-            v1, v2 = model.t1.take(i1, mode="clip"), model.t2.take(i2, mode="clip")
-            v2 *= v2 >> 14 == check
-            q2, q1, c2[j], c1[j], b2, b1, unit = model.weights(v1, v2)
-            r = source.range[k] >> _TOTAL
-            v = np.minimum(_quotient(source.value[k], r), (1 << _TOTAL) - 1)
+            model.leaders(i1, i2, check, leaders)
+            lead = leaders & _U3
+            c2[j], c1[j], b2, b1, unit = model.weights(leaders, lead)
+            r = source.range[k] >> _TOTAL_
+            v = np.minimum(_quotient(source.value[k], r), _MOST_V)
             is2 = np.less(v, b2, out=hit2[j])
             is1 = np.greater(v < b1, is2, out=hit1[j])
             v -= b1
-            np.maximum(v, 0, out=v)
-            v += 1
-            v <<= 16
-            v -= 1
+            np.maximum(v, _NONE, out=v)
+            v += _ONE
+            v <<= _16
+            v -= _ONE
             c = np.minimum(_quotient(v, unit), model.total - 1).astype(np.uint16)
             np.less_equal(upper, c, out=reach)
             group = np.add.reduce(reach.view(np.uint8), 0, dtype=np.uint8).astype(np.int64)
-            before = model.before.reshape(-1).take(group * live + model.lane, mode="clip")
+            before = lower.take(group * live + model.lane, mode="clip")
             model.sums.take(model.row + group, 0, out=rows, mode="clip")
             np.less_equal(rows, (c - before)[:, None], out=below)
             # How many of a row: the sum of its bytes, which is at most GROUP + 1.
@@ -453,24 +485,25 @@ def _decode(blocks: list[tuple[int, int, bytes]], table: Table) -> np.ndarray:
             s = s.view(np.int64) - 1
             at = lane32 + s
             before = before.astype(np.int64)
-            start = (before + rows.reshape(-1).take(at, mode="clip")) * unit
-            start >>= 16
+            start = (before + flat.take(at, mode="clip")) * unit
+            start >>= _16
             start += b1
-            at += 1
-            end = (before + rows.reshape(-1).take(at, mode="clip")) * unit
-            end >>= 16
+            at += _ONE
+            end = (before + flat.take(at, mode="clip")) * unit
+            end >>= _16
             end += b1
-            np.copyto(start, b2, where=is1)
-            np.copyto(start, 0, where=is2)
-            np.copyto(end, b1, where=is1)
-            np.copyto(end, b2, where=is2)
+            np.putmask(start, is1, b2)
+            start *= ~is2
+            np.putmask(end, is1, b1)
+            np.putmask(end, is2, b2)
             end -= start
             source.take(start, end, r, k)
             group *= GROUP
             s += group
             own = s.astype(np.uint16)
-            np.copyto(own, q1, where=is1)
-            np.copyto(own, q2, where=is2)
+            ranks = leaders >> _U2
+            np.putmask(own, is1, ranks[0])
+            np.putmask(own, is2, ranks[1])
             x[j] = place[j] = own
             if len(table.rare) > 1:
                 few = np.flatnonzero(own == DENSE - 1)
@@ -480,7 +513,9 @@ def _decode(blocks: list[tuple[int, int, bytes]], table: Table) -> np.ndarray:
                     p = np.searchsorted(table.rare, v, "right") - 1
                     source.take(table.rare[p], table.rare[p + 1] - table.rare[p], r, few)
                     place[j, few] = table.own + p
-            model.lead(own, i1, v1, i2, v2, check)
+            own <<= _U2
+            own += _U1
+            model.lead(own, i1, i2, check, leaders, lead, (leaders ^ own) < _U4)
             x1, x2 = x[j], x1
         model.count(x, c2, hit2, c1, hit1)
         got[k, t : t + STEP] = place.T

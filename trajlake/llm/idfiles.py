@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from trajlake.llm import idcoder
 from trajlake.llm.common import fan_out, folder, fresh_folder, give_back, lean, publish, rows_of, small_batches, stage
-from trajlake.llm.tokens import SLICE, encoder, slices
+from trajlake.llm.tokens import GROUP, SLICE, encoder, slices
 
 MAGIC = b"TLIDS2\r\n"
 #: Ids of a file, about: a task holds up to twice as many, so that its last files are halves of what is left and none is small. A file's blocks are decoded in one go.
@@ -91,14 +91,26 @@ def write_ids(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int,
             keys, size, ids, seq = keys[n:], size[n:], ids[own:].copy(), seq + 1
             return row
 
-        for batch in batches:
-            for some in slices(batch, "t"):
-                new, n = coder.encode_batch(some.column("t"))
-                keys += some.column("k").to_pylist()
-                ids = np.concatenate((ids, np.insert(new, np.cumsum(n), end_id)))
-                size = np.concatenate((size, n + 1))
-                while len(ids) >= 2 * file_ids:
-                    yield close(file_ids)
+        def encoded() -> Iterator[tuple[list[int | None], tuple[np.ndarray, np.ndarray]]]:
+            """Keys, ids and how many each text has, of a slice each; the words known are looked through once for about ``GROUP`` of them."""
+            own, splits, held = [], [], 0
+            for batch in batches:
+                for some in slices(batch, "t"):
+                    own.append(some.column("k").to_pylist())
+                    splits.append(coder.split(some.column("t")))
+                    held += some.column("t").nbytes
+                    if held >= GROUP * SLICE:
+                        yield from zip(own, coder.encode_splits(splits), strict=True)
+                        own, splits, held = [], [], 0
+            if splits:
+                yield from zip(own, coder.encode_splits(splits), strict=True)
+
+        for own, (new, n) in encoded():
+            keys += own
+            ids = np.concatenate((ids, np.insert(new, np.cumsum(n), end_id)))
+            size = np.concatenate((size, n + 1))
+            while len(ids) >= 2 * file_ids:
+                yield close(file_ids)
         if len(ids) > file_ids:
             yield close(len(ids) // 2)
         while keys:

@@ -10,17 +10,19 @@ string, go to the library whole; so do all texts under a tokenizer file of any o
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces that a worker remembers, about 50 bytes each; bytes of text split at once; words in a library call.
-CACHE, SLICE, CALL = 500_000, 1 << 22, 500
+#: Pieces that a worker remembers, about 50 bytes each; bytes of text split at once; such splits for which they are looked through once; words in a library call.
+CACHE, SLICE, GROUP, CALL = 500_000, 1 << 22, 2, 500
 
 #: Outside of this the fast path is not taken: Latin letters to U+024F without the dotted capital I, general punctuation, the euro sign.
 _SURE = "\t\n\x0b\x0c\r -~ -įı-ɏ‐-‧€"
@@ -31,6 +33,7 @@ _MARKS = ".,;:!?&#$*)"
 #: The character that stands for each byte at the byte level: itself if it can be seen, else one from U+0100 on; the space parts words.
 _HIDDEN = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or b > 173)]
 _LEVEL = {b: chr(256 + k) for k, b in enumerate(_HIDDEN) if b != 32}
+_UNITS = np.array([ord(_LEVEL.get(b, chr(b))) for b in range(256)], "<u2")
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
@@ -69,6 +72,17 @@ def _last_bytes(texts: pa.StringArray, sizes: np.ndarray) -> pa.StringArray:
     return pa.StringArray.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(own))
 
 
+@dataclass
+class Split:
+    """A batch of texts: which go the fast way, the ids of the others as bytes, and of the first the distinct chunks, all chunks by number, and where each text's are."""
+
+    sure: np.ndarray
+    others: list[bytes]
+    chunks: pa.StringArray
+    of: np.ndarray
+    offsets: np.ndarray
+
+
 class ChunkEncoder:
     """``encode_batch`` gives the ids of an Arrow array of texts in a row, and how many each text has; null counts as empty."""
 
@@ -99,7 +113,7 @@ class ChunkEncoder:
         """Ids of words of lower-case letters in a row, and how many each has: many in one call, at the byte level; each ends with the one id that ends a word."""
         line = " ".join(words)
         if not line.isascii():
-            line = line.encode().decode("latin-1").translate(_LEVEL)
+            line = _UNITS[np.frombuffer(line.encode(), np.uint8)].tobytes().decode("utf-16-le")
         ids = np.array(self._words.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self._ends[ids]) + 1
         if len(ends) == len(words):
@@ -126,8 +140,8 @@ class ChunkEncoder:
         start[order] = len(self._ids) + np.cumsum(size[order]) - size[order]
         self._ids, self._start, self._size = np.concatenate(ids), np.concatenate((self._start, start)), np.concatenate((self._size, size))
 
-    def _table(self, chunks: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all chunks in a row, and how many each has. A word and marks after it are two pieces for the tokenizer too."""
+    def _table(self, chunks: pa.StringArray) -> tuple[np.ndarray, ...]:
+        """Ids of the pieces known in a row, where each piece's begin and how many it has, and the two pieces of each chunk. A word and marks after it are two for the tokenizer too."""
         lower = pc.utf8_lower(chunks)
         stems = pc.utf8_rtrim(lower, characters=_MARKS)
         alone = pc.utf8_is_alpha(stems)
@@ -135,14 +149,18 @@ class ChunkEncoder:
         marked = np.flatnonzero(alone.to_numpy(zero_copy_only=False) & (size < whole))
         ends = _last_bytes(lower.take(pa.array(marked)), (whole - size)[marked])
         known = len(self._known)
-        pieces = pa.concat_arrays([self._known, pc.if_else(alone, stems, lower), ends]).dictionary_encode()
+        words = pc.if_else(alone, stems, lower)
+        del lower, stems
+        pieces = pa.concat_arrays([self._known, words, ends])
+        del words, ends
+        pieces = pieces.dictionary_encode()
         self._known, of = pieces.dictionary, pieces.indices.to_numpy()[known:]
         if len(self._known) > known:
             self._learn(self._known.slice(known))
-        both = np.zeros((len(chunks), 2), np.int64)
+        both = np.zeros((len(chunks), 2), np.int32)
         both[:, 0] = of[: len(chunks)]
         both[marked, 1] = of[len(chunks) :]
-        table = _gather(self._ids, self._start, self._size, both.ravel()), self._size[both].sum(1)
+        table = self._ids, self._start, self._size, both
         if len(self._known) > CACHE:
             used = np.bincount(of, minlength=len(self._known)) > 0
             used[0] = True
@@ -151,32 +169,46 @@ class ChunkEncoder:
             self._start = np.cumsum(self._size) - self._size
         return table
 
-    def _split(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Sure texts without nulls."""
+    def _split(self, texts: pa.Array) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+        """Of sure texts without nulls."""
         # A no-break space, the one other white space of sure texts, stays in its chunk, which then goes to the library whole.
         lists = pc.ascii_split_whitespace(texts)
         numbered = lists.flatten().dictionary_encode()
-        ids, sizes = self._table(numbered.dictionary)
-        of = numbered.indices.to_numpy(zero_copy_only=False)
-        ends = np.concatenate(([0], np.cumsum(sizes[of])))
         offsets = lists.offsets.to_numpy()
-        return _gather(ids, np.cumsum(sizes) - sizes, sizes, of), np.diff(ends[offsets - offsets[0]])
+        return numbered.dictionary, numbered.indices.to_numpy(zero_copy_only=False), offsets - offsets[0]
 
-    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def split(self, texts: pa.Array) -> Split:
+        """Splits a batch of texts; what isn't for the fast way is encoded at once."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
-        if not self.fast:
-            parts = self.whole(texts.to_pylist())
-        else:
+        sure = np.zeros(len(texts), bool)
+        if self.fast:
             sure = pc.invert(pc.match_substring_regex(texts, self._unsure)).to_numpy(zero_copy_only=False)
-            if sure.all():
-                return self._split(texts)
-            ids, counts = self._split(texts.filter(pa.array(sure)))
-            ends = 4 * np.cumsum(counts)
-            data = ids.tobytes()
-            parts = np.empty(len(texts), object)
-            parts[sure] = [data[b - 4 * n : b] for b, n in zip(ends.tolist(), counts.tolist(), strict=True)]
-            parts[~sure] = self.whole(texts.filter(pa.array(~sure)).to_pylist())
-        return np.frombuffer(b"".join(parts), "<u4"), np.array([len(p) >> 2 for p in parts], np.int64)
+        if sure.all():
+            return Split(sure, [], *self._split(texts))
+        return Split(sure, self.whole(texts.filter(pa.array(~sure)).to_pylist()), *self._split(texts.filter(pa.array(sure))))
+
+    def encode_splits(self, splits: list[Split]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """What ``encode_batch`` gives for each of some batches; the words known are looked through once for all of them."""
+        ids, start, size, pieces = self._table(pa.concat_arrays([s.chunks for s in splits]))
+        begin = 0
+        for s in splits:
+            both = pieces[begin : begin + len(s.chunks)]
+            begin += len(s.chunks)
+            sizes = size[both].sum(1)
+            ends = np.concatenate(([0], np.cumsum(sizes[s.of])))
+            own = _gather(_gather(ids, start, size, both.ravel()), np.cumsum(sizes) - sizes, sizes, s.of)
+            counts = np.diff(ends[s.offsets])
+            if not s.sure.all():
+                ends = 4 * np.cumsum(counts)
+                data = own.tobytes()
+                parts = np.empty(len(s.sure), object)
+                parts[s.sure] = [data[b - 4 * n : b] for b, n in zip(ends.tolist(), counts.tolist(), strict=True)]
+                parts[~s.sure] = s.others
+                own, counts = np.frombuffer(b"".join(parts), "<u4"), np.array([len(p) >> 2 for p in parts], np.int64)
+            yield own, counts
+
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return next(self.encode_splits([self.split(texts)]))
 
     def encode(self, text: str | None) -> bytes:
         """One text's ids as little-endian unsigned 32-bit bytes."""
@@ -201,4 +233,7 @@ def encoder(path: str) -> ChunkEncoder:
     if path not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[path] = ChunkEncoder(path)
+        # What a worker has loaded by now stays, so that collections, which ``give_back`` makes after each file and task, need not look through it again.
+        gc.collect()
+        gc.freeze()
     return _ENCODERS[path]
