@@ -68,12 +68,19 @@ def mutual_goals(edges: DataFrame, deny_sources: list[str] = (), deny_targets: l
     """object_1 (the target), what it is to object_2, object_2 (the source), the reverse relation, and the forward kind.
 
     Unique forward and (``both``) unique in reverse; with ``both`` false, those that are unique forward only. One direction of a pair
-    is kept: that whose source comes first in a seeded order of ids. ``goals.in_order`` puts those of kind relational first.
+    is kept: that whose source comes first in a seeded order of ids. ``goals.in_order`` puts those of kind relational first. Edges with back_rel
+    (``relations.few_edges``) need no reverse edge beside them: one that is left out is not unique.
     """
-    counted = materialize(unique_edges(edges).select("scene", "src", "dst", "rel", "kind"), "kinds")
+    known = "back_rel" in edges.columns
+    counted = materialize(unique_edges(edges).select("scene", "src", "dst", "rel", "kind", *(["back_rel"] if known else [])), "kinds")
     u = counted.where("kind is not null").where(~denied(F.col("src"), list(deny_sources)) & ~denied(F.col("dst"), list(deny_targets)))
     back = counted.select("scene", F.col("src").alias("dst"), F.col("dst").alias("src"), F.col("rel").alias("back_rel"), F.col("kind").alias("back_kind"))
-    j = u.join(back, ["scene", "src", "dst"]).where(F.col("back_kind").isNotNull() if both else F.col("back_kind").isNull())
+    if known and not both:
+        u, back = u.withColumnRenamed("back_rel", "known"), back.withColumn("met", F.lit(True))
+        j = u.join(back, ["scene", "src", "dst"], "left").withColumn("back_rel", F.when(F.col("met"), F.col("back_rel")).otherwise(F.col("known")))
+    else:
+        j = u.drop("back_rel").join(back, ["scene", "src", "dst"])
+    j = j.where(F.col("back_kind").isNotNull() if both else F.col("back_kind").isNull())
     rank = F.md5(F.concat(F.lit(seed + "|"), "src"))
     w = Window.partitionBy("scene", F.least("src", "dst"), F.greatest("src", "dst")).orderBy(rank, "src", "dst")
     kept = j.withColumn("n", F.row_number().over(w)).where("n = 1") if both else j
