@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trajlake.storage import materialize
@@ -72,39 +72,48 @@ def sector_cells(faces: DataFrame, cells: DataFrame, key: str, radius: float, ha
 
 
 def sector_risk(faces: DataFrame, dists: DataFrame, key: str, radius: float, half_arc_cos: float, cell: float, by: tuple[str, ...] = ()) -> DataFrame:
-    """key, risk: sum of 1 / (d^2 + 1e-6) over the free cells before a face (row, col, nx, ny); infinite where there is none."""
-    hit = sector_cells(faces, dists, key, radius, half_arc_cos, cell, by)
-    risk = hit.groupBy(*by, key).agg(F.sum(1 / (F.col("dist") * F.col("dist") + 1e-6)).alias("risk"))
-    return faces.select(*by, key).join(risk, [*by, key], "left").select(*by, key, F.coalesce("risk", F.lit(float("inf"))).alias("risk"))
+    """key, risk: sum of 1 / (d^2 + 1e-6) over the free cells before a face (row, col, nx, ny); infinite where there is none. Faces at one place that look the same way are asked once."""
+    place = [*by, "row", "col", "nx", "ny"]
+    once = faces.select(*place).distinct().withColumn("face", F.monotonically_increasing_id())
+    once = materialize(once, "faces")
+    hit = sector_cells(once, dists, "face", radius, half_arc_cos, cell, by)
+    risk = hit.groupBy("face").agg(F.sum(1 / (F.col("dist") * F.col("dist") + 1e-6)).alias("risk"))
+    risk = materialize(once.join(risk, "face").drop("face"), "risks")
+    # A key of several faces has the sum over all of them on each.
+    total = F.sum("risk").over(Window.partitionBy(*by, key))
+    return faces.select(key, *place).join(risk, place, "left").select(*by, key, F.coalesce(total, F.lit(float("inf"))).alias("risk"))
 
 
 def _nearest(points: DataFrame, cells: DataFrame, targets: DataFrame, key: str, by: tuple[str, ...], far) -> DataFrame:
     """by, key, row, col, d of the target cell with the least distance ``far(dr, dc)`` (ties: row, then col) of each point (key, row, col) inside the raster;
     nulls where its raster has no target. Points and targets meet in squares as wide as the reach, which is doubled twice until all have one, so
-    a round costs what is left."""
-    inside = points.select(*by, key, "row", "col").join(cells.select(*by, "row", "col"), [*by, "row", "col"], "left_semi")
+    a round costs what is left. Points of one cell are looked for once."""
+    at = [*by, "r0", "c0"]
+    placed = points.select(*by, key, F.col("row").alias("r0"), F.col("col").alias("c0"))
+    there = placed.select(*at).distinct().join(cells.select(*by, F.col("row").alias("r0"), F.col("col").alias("c0")), at, "left_semi")
     wide = cells.agg(F.greatest(F.max("row") - F.min("row"), F.max("col") - F.min("col"))).first()[0]
-    left, out, reach = materialize(inside, "near"), None, 4
+    left, out, reach = materialize(there, "near"), None, 4
     while wide is not None:
         square = lambda c: F.floor(F.col(c) / reach)  # noqa: B023, E731
-        p = left.select(*by, key, F.col("row").alias("r0"), F.col("col").alias("c0"))
+        p = left
         for b, c in (("br", "r0"), ("bc", "c0")):
             p = p.withColumn(b, F.explode(F.sequence(square(c) - 1, square(c) + 1)))
         t = targets.select(*by, "row", "col", square("row").alias("br"), square("col").alias("bc"))
         met = p.join(t, [*by, "br", "bc"]).withColumn("d", far(F.col("row") - F.col("r0"), F.col("col") - F.col("c0"))).where(F.col("d") <= reach)
-        found = materialize(met.groupBy(*by, key).agg(F.min(F.struct("d", "row", "col")).alias("m")).select(*by, key, "m.row", "m.col", "m.d"), "near")
+        found = materialize(met.groupBy(*at).agg(F.min(F.struct("d", "row", "col")).alias("m")).select(*at, "m.row", "m.col", "m.d"), "near")
         out = found if out is None else out.unionByName(found)
-        left = materialize(left.join(found.select(*by, key), [*by, key], "left_anti"), "near")
+        left = materialize(left.join(found.select(*at), at, "left_anti"), "near")
         if reach > 2 * wide or not left.limit(1).count():
             break
         reach *= 4
-    none = left.select(*by, key, *(F.lit(None).cast("int").alias(c) for c in ("row", "col", "d")))
-    return none if out is None else out.unionByName(none)
+    none = left.select(*at, *(F.lit(None).cast("int").alias(c) for c in ("row", "col", "d")))
+    return placed.join(none if out is None else out.unionByName(none), at).select(*by, key, "row", "col", "d")
 
 
 def nearest_free(points: DataFrame, cells: DataFrame, key: str, by: tuple[str, ...] = ()) -> DataFrame:
     """key, row, col, d of the free cell with the least Chebyshev distance (ties: row, then col), however far; nulls where a raster has no free cell. Points outside the raster are left out."""
-    return _nearest(points, cells, cells.where("free"), key, by, lambda dr, dc: F.greatest(F.abs(dr), F.abs(dc)))
+    near = _nearest(points, cells, cells.where("free"), key, by, lambda dr, dc: F.greatest(F.abs(dr), F.abs(dc)))
+    return near.groupBy(*by, key).agg(F.min(F.struct("d", "row", "col")).alias("m")).select(*by, key, "m.row", "m.col", "m.d")
 
 
 def nearest_clear(points: DataFrame, cells: DataFrame, key: str, threshold: float = 5.0, by: tuple[str, ...] = ()) -> DataFrame:
