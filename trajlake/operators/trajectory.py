@@ -146,12 +146,13 @@ def densify_every(steps: DataFrame, every: float) -> DataFrame:
     s = steps.withColumns({"nx": F.lead("x").over(w), "ny": F.lead("y").over(w), "first": F.lag("x").over(w).isNull()})
     leg = F.sqrt((F.col("nx") - F.col("x")) * (F.col("nx") - F.col("x")) + (F.col("ny") - F.col("y")) * (F.col("ny") - F.col("y")))
     s = s.withColumn("leg", leg)
-    n = F.floor(F.col("leg") / every).cast("int")
-    inner = s.where((F.col("leg") > 0) & (n >= 1)).select("traj", "step", F.explode(F.sequence(F.lit(1), n)).alias("sub"), "x", "y", "nx", "ny", "leg")
+    n, none = F.floor(F.col("leg") / every).cast("int"), F.array().cast("array<int>")
+    inner = F.when((F.col("leg") > 0) & (n >= 1), F.sequence(F.lit(1), n)).otherwise(none)
+    start = F.when(F.col("first"), F.array(F.lit(0))).otherwise(none)
+    last = F.when(F.col("nx").isNull(), F.array(F.when(F.col("first"), 1).otherwise(0))).otherwise(none)
+    s = s.withColumn("sub", F.explode(F.concat(start, inner, last)))
     part = F.col("sub") * every / F.col("leg")
-    inner = inner.select("traj", "step", "sub", *((F.col(c) + (F.col(f"n{c}") - F.col(c)) * part).alias(c) for c in ("x", "y")))
-    last = s.where("nx is null").select("traj", "step", F.when(F.col("first"), 1).otherwise(0).alias("sub"), "x", "y")
-    return inner.unionByName(s.where("first").select("traj", "step", F.lit(0).alias("sub"), "x", "y")).unionByName(last)
+    return s.select("traj", "step", "sub", *(F.when((F.col("sub") > 0) & F.col("nx").isNotNull(), F.col(c) + (F.col(f"n{c}") - F.col(c)) * part).otherwise(F.col(c)).alias(c) for c in ("x", "y")))
 
 
 def through_door(steps: DataFrame, segments: DataFrame) -> DataFrame:
