@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from trajlake.llm import idcoder, idfiles, lengths, tokens
+from trajlake.llm import idcoder, idfiles, lengths, merges, tokens
 from trajlake.llm.queries import tokenizer_path
 
 PATH = tokenizer_path()
@@ -213,6 +213,39 @@ def test_words_reach_the_library_at_the_byte_level():
     assert ids.tolist() == sum(want, []) and size.tolist() == list(map(len, want))
 
 
+def test_new_words_are_merged_without_the_library():
+    import pyarrow as pa
+
+    coder = tokens.ChunkEncoder(PATH)
+    rng, letters = np.random.default_rng(8), np.array(list("aaeeiioouunrstlcdmpéèñüßøz"))
+    words = sorted({"".join(rng.choice(letters, n)) for n in rng.integers(1, 30, 20_000)} - {""})
+    short = [w for w in words if len(w.encode()) <= merges.LONGEST]
+    assert len(words) > len(short) > merges.WORDS
+    want, size = coder._of_words(words)
+    want = np.split(want, np.cumsum(size)[:-1])
+    want = [w for w, of in zip(want, words, strict=True) if len(of.encode()) <= merges.LONGEST]
+    coder._library = coder._words = None
+    ids, size = coder.encode_batch(pa.array([" ".join(short), "", short[0]]))
+    assert ids.tolist() == np.concatenate([*want, want[0]]).tolist()
+    assert size.tolist() == [sum(map(len, want)), 0, len(want[0])]
+    other = tokens.ChunkEncoder(PATH)
+    other._merges = None  # as for a file whose merges aren't of this form
+    assert other.encode_batch(pa.array([" ".join(short), "", short[0]]))[0].tobytes() == ids.tobytes()
+
+
+def test_merges_of_equal_number_go_from_the_left_and_each_pair_has_its_own():
+    import pyarrow as pa
+
+    byte = np.arange(256)
+    own = merges.Merges(byte, byte + 256, np.array([[97, 97], [600, 600], [97, 98 + 256]]), np.array([600, 601, 602]))
+    ids, size = own.encode(pa.array(["aaaaab", "aab", "b", "a" * merges.LONGEST]))
+    assert size.tolist() == [2, 2, 1, 9] and ids.tolist()[:5] == [601, 602, 600, 354, 354]
+    with pytest.raises(ValueError):
+        merges.Merges(byte, byte + 256, np.array([[97, 97], [97, 97]]), np.array([600, 601]))
+    with pytest.raises(ValueError):
+        merges.Merges(byte, byte + 70_000, np.array([[97, 97]]), np.array([600]))
+
+
 def test_damaged_files_are_refused():
     data = bytearray(idfiles.pack([1, None], [2, 1], np.array([5, 6, 7], "<u4")))
     keys, counts, ids = idfiles.unpack(bytes(data))

@@ -39,11 +39,15 @@ _SLOTS, _CHECK_BITS = 1 << _SLOT_BITS, 24 - _SLOT_BITS
 #: Where the shares of leads 1 to 3 that hold start: hits of 32 tries, for orders 1 and 2; the largest share, as 1 / (1 - share).
 _START1, _START2, _TRIES = np.array([0, 2, 10, 26]), np.array([0, 3, 20, 30]), np.array([1, 32, 32, 32])
 _MOST1, _MOST2 = 16, 64
+#: Groups that are looked through at once when decoding, and a number that no sum of counts is.
+_PART, _NEVER = 16, (1 << 16) - 1
 #: Numbers as arrays: on a few thousand blocks a NumPy call takes half as long again if it must convert a Python number.
 _U1, _U2, _U3, _U4 = (np.array(i, np.uint16) for i in (1, 2, 3, 4))
 _PAIR, _SCRAMBLE, _BITS, _CHECK, _SHIFT, _WIDE, _MATCH = (np.array(i, np.uint32) for i in (12, _ODD, 0xFFFFFF, (1 << _CHECK_BITS) - 1, _CHECK_BITS, 14, 1 << 14))
 _TOTAL_, _LEAST_, _FULL, _MASK_, _16 = (np.array(i) for i in (_TOTAL, _LEAST, 1 << _LEAST, _MASK, 16))
 _NONE, _ONE, _MOST_V = (np.array(i) for i in (0, 1, (1 << _TOTAL) - 1))
+_BYTES, _TOP, _PART_ = np.array(0x0101010101010101, np.uint64), np.array(56, np.uint64), np.array(_PART)
+_TWO, _HALF, _LOWER = (np.array(i) for i in (2, 32, (1 << 32) - 1))
 _BYTE16, _GAIN = np.array(16, np.uint8), np.array(GAIN, np.uint16)
 #: Bytes of a cache line, and numbers by which rows of a power of two are longer, or all would lie in the same few cache lines.
 _LINE, _PAD = 64, 16
@@ -129,8 +133,9 @@ def _lines(rows: np.ndarray, n: int) -> np.ndarray:
     return out.reshape(-1, rows.shape[-1])
 
 
-def _any(x: np.ndarray) -> bool:
-    return b"\1" in x.tobytes()  # a third of what any() takes
+def _rows(x: np.ndarray) -> np.ndarray:
+    """How many of fewer than 256 rows are true, for each column."""
+    return np.add.reduce(x.view(np.uint8), 0, dtype=np.uint8)
 
 
 class _Model:
@@ -145,30 +150,34 @@ class _Model:
         self.total = table.total
         self.t1 = np.zeros(n * self.ranks, np.uint16)
         self.t2 = np.zeros(n * _SLOTS, np.uint32)
-        self.hits1, self.hits2 = np.tile(_START1, n), np.tile(_START2, n)
-        self.tries1, self.tries2 = np.tile(_TRIES, n), np.tile(_TRIES, n)
+        self.hits1, self.hits2, self.tries1, self.tries2 = (np.tile(x, (n, 1)) for x in (_START1, _START2, _TRIES, _TRIES))
         self.shrink(n)
 
     def shrink(self, n: int) -> None:
         """From now on the first ``n`` blocks alone."""
         self.n = n
         self.lane = np.arange(n)
-        self.lane1, self.lane4, self.lane16, self.row = (self.lane * w for w in (self.ranks, 4, 16, self.groups))
+        self.lane1, self.lane4, self.row = (self.lane * w for w in (self.ranks, 4, self.groups))
         self.lane2 = (self.lane * _SLOTS).astype(np.uint32)
         self.before = np.ascontiguousarray(self.before[:, :n])
         self.old, self.add = np.empty((2, n, GROUP + 1), np.uint16)
         self.refresh()
 
     def refresh(self) -> None:
-        """Weights, from counts: for each block and leads of orders 2 and 1, where their intervals end and what one of order 0's counts is worth."""
-        n = 4 * self.n
-        share2 = np.minimum((self.hits2[:n] << _TOTAL) // self.tries2[:n], (1 << _TOTAL) - (1 << _TOTAL) // _MOST2).reshape(-1, 4, 1)
-        share1 = np.minimum((self.hits1[:n] << 16) // self.tries1[:n], (1 << 16) - (1 << 16) // _MOST1).reshape(-1, 1, 4)
-        end1 = ((1 << _TOTAL) - share2) * share1
-        end1 >>= 16
-        end1 += share2
-        self.end2, self.end1 = np.repeat(share2, 4), end1.ravel()
-        self.unit = _quotient(((1 << _TOTAL) - self.end1) << 16, self.total)
+        """Weights, from counts: for each block and leads of orders 2 and 1, where their intervals end and what one of order 0's counts is worth.
+
+        The last two are one number, or they'd take more of a cache than there is.
+        """
+        n = self.n
+        share2 = np.minimum(_quotient(self.hits2[:n] << _TOTAL, self.tries2[:n]), (1 << _TOTAL) - (1 << _TOTAL) // _MOST2)
+        share1 = np.minimum(_quotient(self.hits1[:n] << 16, self.tries1[:n]), (1 << 16) - (1 << 16) // _MOST1)
+        mixed = ((1 << _TOTAL) - share2)[:, :, None] * share1[:, None]
+        mixed >>= 16
+        mixed += share2[:, :, None]
+        unit = _quotient(((1 << _TOTAL) - mixed) << 16, self.total)  # less than 2^31, as totals are more than 2^11
+        mixed <<= _HALF
+        mixed |= unit
+        self.end2, self.mixed = share2.reshape(-1), mixed.reshape(-1)
 
     def pair(self, x2: np.ndarray, x1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """24 bits of a pair of ranks (32-bit numbers): a slot of order 2 and, above 14 bits, what tells the pair from others in it."""
@@ -194,10 +203,14 @@ class _Model:
         c1, c2 = lead[0].astype(np.uint8), lead[1].astype(np.uint8)
         # Where both orders lead to one rank, order 1 has nothing to add.
         c1 *= ((v[0] ^ v[1]) > _U3) >= c2.astype(bool)
-        at = c2 << 2
+        at = self.lane4 + c2
+        end2 = self.end2.take(at, mode="clip")
+        at <<= _TWO
         at += c1
-        at = self.lane16 + at
-        return c2, c1, self.end2.take(at, mode="clip"), self.end1.take(at, mode="clip"), self.unit.take(at, mode="clip")
+        unit = self.mixed.take(at, mode="clip")
+        end1 = unit >> _HALF
+        unit &= _LOWER
+        return c2, c1, end2, end1, unit
 
     def lead(self, new: np.ndarray, i1: np.ndarray, i2: np.ndarray, check: np.ndarray, v: np.ndarray, lead: np.ndarray, same: np.ndarray) -> None:
         """Learns who leads: a leader that has come again gains, another that came makes it lose, and takes its place at a lead of 1."""
@@ -207,7 +220,6 @@ class _Model:
 
     def count(self, x: np.ndarray, c2: np.ndarray, hit2: np.ndarray, c1: np.ndarray, hit1: np.ndarray) -> None:
         """Learns a step's ids (one row for each of STEP) and which leads have held."""
-        size = 4 * self.n
         group = x // GROUP
         place = (x - group * GROUP).astype(np.int64)
         new = self.old.view(self.lines.dtype)[:, 0]
@@ -224,20 +236,15 @@ class _Model:
         for m, b in zip(more.reshape(self.groups, self.n), self.before[1:], strict=True):
             run += m
             b += run
-        at2, at1 = self.lane4 + c2, self.lane4 + c1
-        at2 *= 2
-        at2 += hit2
-        at1 *= 4
-        at1 += hit1
-        at1 += hit2.view(np.uint8) * 2  # not asked
-        held = np.bincount(at2.ravel(), minlength=2 * size).reshape(size, 2)
-        self.tries2[:size] += held[:, 0] + held[:, 1]
-        self.hits2[:size] += held[:, 1]
-        held = np.bincount(at1.ravel(), minlength=4 * size).reshape(size, 4)
-        self.tries1[:size] += held[:, 0] + held[:, 1]
-        self.hits1[:size] += held[:, 1]
-        # A lead of 0 predicts nothing.
-        self.hits1[:size:4] = self.hits2[:size:4] = 0
+        missed = ~hit2  # only then order 1 is asked
+        for k in range(1, len(_TRIES)):  # a lead of 0 predicts nothing
+            for lead, asked, hit, tries, hits in ((c2, None, hit2, self.tries2, self.hits2), (c1, missed, hit1, self.tries1, self.hits1)):
+                own = lead == k
+                if asked is not None:
+                    own &= asked
+                tries[: self.n, k] += _rows(own)
+                own &= hit
+                hits[: self.n, k] += _rows(own)
         self.total += GAIN * len(x)
         self.refresh()
 
@@ -266,17 +273,23 @@ class _Writer:
         if over.size:  # words may pass 16 bits; carries run left at the end
             self.flat[at[over] - 1] += 1
             low &= _MASK_
-        while True:
-            small = range_ < _FULL
-            if not _any(small):
-                break
-            # All blocks write the word that would go out next; where none goes out, it will be written over.
-            self.flat[at] = low >> _LEAST_
-            at += small
-            shift = small.view(np.uint8) * _BYTE16
-            low <<= shift
-            low &= _MASK_
-            range_ <<= shift
+        # All blocks write the word that would go out next; where none goes out, it will be written over.
+        small = range_ < _FULL
+        self.flat[at] = low >> _LEAST_
+        at += small
+        shift = small.view(np.uint8) * _BYTE16
+        low <<= shift
+        low &= _MASK_
+        range_ <<= shift
+        few = (range_ < _FULL).nonzero()[0]
+        while few.size:  # a second word, of a few blocks
+            own = low[few]
+            self.flat[at[few]] = own >> _LEAST_
+            at[few] += 1
+            low[few] = own << _16 & _MASK_
+            own = range_[few] << _16
+            range_[few] = own
+            few = few[own < _FULL]
         self.range[k] = range_
         if not isinstance(k, slice):
             self.low[k], self.at[k] = low, at
@@ -314,15 +327,19 @@ class _Reader:
     def take(self, start: np.ndarray, width: np.ndarray, r: np.ndarray, k: np.ndarray | slice) -> None:
         value, at, range_ = self.value[k], self.at[k], width * r  # of a slice, value and at are views
         value -= start * r
-        while True:
-            small = range_ < _FULL
-            if not _any(small):
-                break
-            shift = small.view(np.uint8) * _BYTE16
-            value <<= shift
-            value |= self.words.take(at, mode="clip") * small
-            range_ <<= shift
-            at += small
+        small = range_ < _FULL
+        shift = small.view(np.uint8) * _BYTE16
+        value <<= shift
+        value |= self.words.take(at, mode="clip") * small
+        range_ <<= shift
+        at += small
+        few = (range_ < _FULL).nonzero()[0]
+        while few.size:  # a second word, of a few blocks
+            value[few] = value[few] << _16 | self.words.take(at[few], mode="clip")
+            at[few] += 1
+            own = range_[few] << _16
+            range_[few] = own
+            few = few[own < _FULL]
         self.range[k] = range_
         if not isinstance(k, slice):
             self.value[k], self.at[k] = value, at
@@ -426,7 +443,7 @@ def decode(blocks: list[tuple[int, int, bytes]], table: Table) -> list[np.ndarra
     for part in np.array_split(np.arange(len(blocks)), -(-len(blocks) // READ_LANES)) if blocks else []:
         own = order[part[0] : part[-1] + 1]
         for b, places in zip(own, _decode([blocks[b] for b in own], table), strict=True):
-            ids = values[np.minimum(places[: blocks[b][0]], len(values) - 1)]
+            ids = values.take(places[: blocks[b][0]], mode="clip")
             if zlib.crc32(blocks[b][2], zlib.crc32(ids.tobytes())) != blocks[b][1]:
                 raise ValueError(f"the checksum of block {b} doesn't hold")
             out[b] = ids
@@ -447,14 +464,20 @@ def _decode(blocks: list[tuple[int, int, bytes]], table: Table) -> np.ndarray:
             model.shrink(live)
             x1, x2 = x1[:live], x2[:live]
             lane32 = np.arange(live) * (GROUP + 1)
-            rows, below, reach = np.empty((live, GROUP + 1), np.uint16), np.empty((live, GROUP + 1), bool), np.empty((model.groups, live), bool)
+            rows, below = np.empty((live, GROUP + 1), np.uint16), np.empty((live, GROUP + 1), bool)
             words = below.view(np.uint64)
+            # Where groups begin, a row for each block; the first of each _PART of them is looked for before the others of its part.
+            parts = -(-model.groups // _PART)
+            begins = np.full((live, parts * _PART), _NEVER, np.uint16)
+            part, inside = np.empty((live, _PART), np.uint16), np.empty((live, _PART), bool)
+            lane_parts, lane_part, halves = np.arange(live) * parts, np.arange(live) * _PART, inside.view(np.uint64)
         k = slice(0, live)
         shape = (STEP, live)
         x, c2, c1 = np.empty(shape, np.uint32), np.empty(shape, np.uint8), np.empty(shape, np.uint8)
         hit2, hit1, place = np.empty(shape, bool), np.empty(shape, bool), np.empty(shape, np.int32)
-        upper, leaders = model.before[1:], np.empty((2, live), np.uint16)
-        flat, lower = rows.reshape(-1), model.before.reshape(-1)
+        begins[:, : model.groups] = model.before[: model.groups].T
+        leaders = np.empty((2, live), np.uint16)
+        flat, firsts, by_part = rows.reshape(-1), model.before[_PART : model.groups : _PART], begins.reshape(-1, _PART)
         for j in range(STEP):
             i1 = model.lane1 + x1
             i2, check = model.pair(x2, x1)
@@ -471,18 +494,27 @@ def _decode(blocks: list[tuple[int, int, bytes]], table: Table) -> np.ndarray:
             v <<= _16
             v -= _ONE
             c = np.minimum(_quotient(v, unit), model.total - 1).astype(np.uint16)
-            np.less_equal(upper, c, out=reach)
-            group = np.add.reduce(reach.view(np.uint8), 0, dtype=np.uint8).astype(np.int64)
-            before = lower.take(group * live + model.lane, mode="clip")
+            group = _rows(firsts <= c).astype(np.int64)
+            by_part.take(lane_parts + group, 0, out=part, mode="clip")
+            np.less_equal(part, c[:, None], out=inside)
+            # How many of a row: the sum of its bytes, which is at most _PART, and GROUP + 1 below.
+            s = halves[:, 0] + halves[:, 1]
+            s *= _BYTES
+            s >>= _TOP
+            s = s.view(np.int64)
+            s -= _ONE
+            before = part.reshape(-1).take(lane_part + s, mode="clip")
+            group *= _PART_
+            group += s
             model.sums.take(model.row + group, 0, out=rows, mode="clip")
             np.less_equal(rows, (c - before)[:, None], out=below)
-            # How many of a row: the sum of its bytes, which is at most GROUP + 1.
             s = words[:, 0] + words[:, 1]
             s += words[:, 2]
             s += words[:, 3]
-            s *= 0x0101010101010101
-            s >>= 56
-            s = s.view(np.int64) - 1
+            s *= _BYTES
+            s >>= _TOP
+            s = s.view(np.int64)
+            s -= _ONE
             at = lane32 + s
             before = before.astype(np.int64)
             start = (before + flat.take(at, mode="clip")) * unit

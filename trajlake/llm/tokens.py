@@ -3,8 +3,8 @@
 The fast way is taken only for the one form of tokenizer that it is proved for, which is read from the file: text composed, white space made one
 space, lower case, pieces that are runs of letters, single digits, runs of other marks or English endings, and byte-level merges whose last piece of a word ends
 in ``</w>``. There the ids of a text are those of its chunks between white space in a row. Arrow splits a batch of texts and numbers its distinct chunks; a worker
-remembers words and other pieces of chunks in Arrow and NumPy arrays (beyond ``CACHE``, only those of its last batch); new words of letters alone go to the library
-together, and the ends of words among the ids part them again. Texts with characters whose case, composition or white-space rules might differ between the libraries, and those with a special token's
+remembers words and other pieces of chunks in Arrow and NumPy arrays (beyond ``CACHE``, only those of its last batch); new words of letters alone are merged together
+in NumPy by the file's merges (``merges``), long ones go to the library together, and the ends of words among the ids part them again. Texts with characters whose case, composition or white-space rules might differ between the libraries, and those with a special token's
 string, go to the library whole; so do all texts under a tokenizer file of any other form.
 """
 
@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from trajlake.llm import merges
+
 #: Pieces that a worker remembers, about 50 bytes each; bytes of text split at once; such splits for which they are looked through once; words in a library call.
 CACHE, SLICE, GROUP, CALL = 500_000, 1 << 22, 2, 500
 
@@ -72,6 +74,18 @@ def _last_bytes(texts: pa.StringArray, sizes: np.ndarray) -> pa.StringArray:
     return pa.StringArray.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(own))
 
 
+def _merges(model: dict) -> merges.Merges | None:
+    """The file's merges at the byte level, if it is one that they are proved for."""
+    vocab, pairs = model["vocab"], [p.split(" ") if isinstance(p, str) else p for p in model["merges"]]
+    try:
+        first, last = ([vocab[_LEVEL.get(b, chr(b)) + end] if b != 32 else 0 for b in range(256)] for end in ("", model["end_of_word_suffix"]))
+        made = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
+        table = np.array(made, np.int64).reshape(-1, 3)
+        return merges.Merges(np.array(first), np.array(last), table[:, :2], table[:, 2])
+    except (KeyError, ValueError):
+        return None
+
+
 @dataclass
 class Split:
     """A batch of texts: which go the fast way, the ids of the others as bytes, and of the first the distinct chunks, all chunks by number, and where each text's are."""
@@ -105,6 +119,7 @@ class ChunkEncoder:
             vocab = self._words.get_vocab()
             self._ends = np.zeros(max(vocab.values()) + 1, bool)
             self._ends[[i for s, i in vocab.items() if s.endswith("</w>")]] = True
+        self._merges = _merges(form["model"]) if self.fast else None
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -128,7 +143,20 @@ class ChunkEncoder:
         """Remembers more pieces, in their order."""
         words, ascii_ = (f(new).to_numpy(zero_copy_only=False) for f in (pc.utf8_is_alpha, pc.string_is_ascii))
         ids, size, at = [self._ids], np.zeros(len(new), np.int64), []
-        for some, learn, most in ((words & ascii_, self._of_words, CALL), (words & ~ascii_, self._of_words, CALL), (~words, self._of_others, len(new))):
+        if self._merges:
+            length = pc.binary_length(new).to_numpy()
+            short = words & (length > 0) & (length <= merges.LONGEST)
+            own = np.flatnonzero(short)
+            own = own[np.argsort(length[own], kind="stable")]  # words of about one length side by side
+            for begin in range(0, len(own), merges.WORDS):
+                part = own[begin : begin + merges.WORDS]
+                got, size[part] = self._merges.encode(new.take(pa.array(part)))
+                ids.append(got)
+            at.append(own)
+            words, others = words & ~short, ~words
+        else:
+            others = ~words
+        for some, learn, most in ((words & ascii_, self._of_words, CALL), (words & ~ascii_, self._of_words, CALL), (others, self._of_others, len(new))):
             own = np.flatnonzero(some)
             names = new.take(pa.array(own)).to_numpy(zero_copy_only=False).tolist()
             for begin in range(0, len(own), most):
