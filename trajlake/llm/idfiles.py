@@ -22,12 +22,45 @@ from trajlake.llm.common import fan_out, folder, fresh_folder, give_back, lean,
 from trajlake.llm.tokens import GROUP, SLICE, encoder, slices
 
 MAGIC = b"TLIDS2\r\n"
-#: Ids of a file, about: a task holds up to twice as many, so that its last files are halves of what is left and none is small. A file's blocks are decoded in one go.
-FILE_IDS = idcoder.READ_LANES * idcoder.BLOCK
+#: Ids of a file, about: a task holds up to twice as many, so that its last files are halves of what is left and none is small. A file's blocks are decoded in two goes.
+FILE_IDS = 2 * idcoder.READ_LANES * idcoder.BLOCK
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long"
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+class Held:
+    """The documents that wait for their file, ids in pieces as they came: more are taken in without a copy of what there is, and each piece goes as it moves to a file."""
+
+    def __init__(self, end_id: int) -> None:
+        self.end_id, self.n_ids = end_id, 0
+        self.keys: list[int | None] = []
+        self.size, self.pieces = np.zeros(0, np.int64), []
+
+    def add(self, keys: list[int | None], ids: np.ndarray, counts: np.ndarray) -> None:
+        """Some more documents, to each of which the end is added."""
+        self.keys += keys
+        self.pieces.append(np.insert(ids, np.cumsum(counts), self.end_id))
+        self.size = np.concatenate((self.size, counts + 1))
+        self.n_ids += len(self.pieces[-1])
+
+    def take(self, most: int) -> tuple[list[int | None], np.ndarray, np.ndarray]:
+        """Keys, sizes and ids of the first documents, up to that which reaches ``most`` ids; they are held no more."""
+        n = min(int(np.searchsorted(np.cumsum(self.size), most)) + 1, len(self.size))
+        keys, size = self.keys[:n], self.size[:n]
+        ids, at = np.empty(int(size.sum()), "<u4"), 0
+        self.pieces.reverse()
+        while at < len(ids):
+            piece = self.pieces.pop()
+            own = piece[: len(ids) - at]
+            ids[at : at + len(own)] = own
+            at += len(own)
+            if len(own) < len(piece):
+                self.pieces.append(piece[len(own) :].copy())
+        self.pieces.reverse()
+        self.keys, self.size, self.n_ids = self.keys[n:], self.size[n:], self.n_ids - len(ids)
+        return keys, size, ids
+
+
 def pack(keys: list[int | None], counts: np.ndarray, ids: np.ndarray, block: int = idcoder.BLOCK) -> bytes:
     """One file's bytes."""
     table = idcoder.Table.of(ids)
@@ -59,10 +92,9 @@ def unpack(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     counts = np.frombuffer(directory, "<i8", docs, at + 9 * docs)
     blocks, at = [], len(MAGIC)
     for ids, crc, size in table:
-        blocks.append((ids, crc, data[at : at + size]))
+        blocks.append((ids, crc, memoryview(data)[at : at + size]))
         at += size
-    parts = idcoder.decode(blocks, ids_table)
-    return [int(k) if t else None for k, t in zip(keys, there, strict=True)], counts, np.concatenate(parts) if parts else np.zeros(0, "<u4")
+    return [int(k) if t else None for k, t in zip(keys, there, strict=True)], counts, idcoder.decode_row(blocks, ids_table)
 
 
 def write_ids(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int, file_ids: int = FILE_IDS, block: int = idcoder.BLOCK) -> DataFrame:
@@ -77,44 +109,41 @@ def write_ids(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int,
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         coder = encoder(tokenizer)
-        keys: list[int | None] = []
-        size, ids = np.zeros(0, np.int64), np.zeros(0, "<u4")
+        held = Held(end_id)
 
         def close(most: int) -> pa.RecordBatch:
             """A file of the first documents, up to that which reaches ``most`` ids."""
-            nonlocal keys, size, ids, seq
-            n = min(int(np.searchsorted(np.cumsum(size), most)) + 1, len(size))
-            own = int(size[:n].sum())
+            nonlocal seq
+            keys, size, ids = held.take(most)
             give_back()  # what texts have taken, before the coder takes its own
-            path = publish(to, f"part-{part:05d}-{seq:05d}", pack(keys[:n], size[:n], ids[:own], block))
-            row = pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [path], "n_docs": [n], "n_tokens": [own]})
-            keys, size, ids, seq = keys[n:], size[n:], ids[own:].copy(), seq + 1
+            path = publish(to, f"part-{part:05d}-{seq:05d}", pack(keys, size, ids, block))
+            row = pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [path], "n_docs": [len(keys)], "n_tokens": [len(ids)]})
+            seq += 1
             return row
 
         def encoded() -> Iterator[tuple[list[int | None], tuple[np.ndarray, np.ndarray]]]:
             """Keys, ids and how many each text has, of a slice each; the words known are looked through once for about ``GROUP`` of them."""
-            own, splits, held = [], [], 0
+            own, splits, size = [], [], 0
             for batch in batches:
                 for some in slices(batch, "t"):
                     own.append(some.column("k").to_pylist())
                     splits.append(coder.split(some.column("t")))
-                    held += some.column("t").nbytes
-                    if held >= GROUP * SLICE:
+                    size += some.column("t").nbytes
+                    if size >= GROUP * SLICE:
                         yield from zip(own, coder.encode_splits(splits), strict=True)
-                        own, splits, held = [], [], 0
+                        own, splits, size = [], [], 0
+                        pa.default_memory_pool().release_unused()
             if splits:
                 yield from zip(own, coder.encode_splits(splits), strict=True)
 
         for own, (new, n) in encoded():
-            keys += own
-            ids = np.concatenate((ids, np.insert(new, np.cumsum(n), end_id)))
-            size = np.concatenate((size, n + 1))
-            while len(ids) >= 2 * file_ids:
+            held.add(own, new, n)
+            while held.n_ids >= 2 * file_ids:
                 yield close(file_ids)
-        if len(ids) > file_ids:
-            yield close(len(ids) // 2)
-        while keys:
-            yield close(len(ids))
+        if held.n_ids > file_ids:
+            yield close(held.n_ids // 2)
+        while held.keys:
+            yield close(held.n_ids)
 
     ordered = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).repartitionByRange("k").sortWithinPartitions("k", "t")
     with small_batches(spark, SLICE):

@@ -16,6 +16,7 @@ import heapq
 import math
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -117,8 +118,14 @@ def quotas(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3,
 
 
 def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """The driver's own list as a table to broadcast: a row per source, or at most ``MAX_SHARDS`` and one more per source."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """The driver's own list as a table to broadcast: a row per source, or at most ``MAX_SHARDS`` and one more per source.
+
+    It goes through Arrow: of Python rows Spark makes an RDD that each executor reads in Python workers of another daemon, which stay.
+    """
+    fields = [(name, {"string": pa.string(), "long": pa.int64(), "double": pa.float64()}[kind]) for name, kind in (x.split() for x in schema.split(","))]
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    table = pa.table([pa.array(c, kind) for c, (_, kind) in zip(columns, fields, strict=True)], pa.schema(fields))
+    return F.broadcast(spark.createDataFrame(table))
 
 
 def _dealt(rows: DataFrame, by_source: DataFrame) -> DataFrame:
